@@ -44,3 +44,171 @@ def q_term_stats(spark, sf_dir):
     """T7 (flagship): letter tokens, lower-cased; top 20 terms by document frequency per language."""
     d = docs(spark, sf_dir, "doc_id", "lang", "text")
     return jobs.term_stats(d, letter_lower(), ["lang"], 20)
+
+
+# ---------------------------------------------------------------------------
+# Text: tokenizers, analyzers and token filters as corpus jobs on `documents`.
+# Each is "tokens per row -> explode -> count per (lang, token)".
+# ---------------------------------------------------------------------------
+from .functions import fold  # noqa: E402
+from .functions import html as html_cf  # noqa: E402
+from .functions import light_stem, porter, stopwords  # noqa: E402
+from .plans import analyze as an  # noqa: E402
+
+
+def std_lower(text="text"):
+    return flt.lowercase(tok.standard(F.col(text)))
+
+
+def _counts(tokens_fn, where=None):
+    def run(spark, sf_dir):
+        d = docs(spark, sf_dir, "doc_id", "lang", "text")
+        if where is not None:
+            d = d.filter(where())
+        return jobs.term_counts(d, tokens_fn(), ["lang"]).withColumn("n", F.col("n").cast("bigint"))
+    return run
+
+
+TERM_COUNT_JOBS = {
+    # Z1-Z8 tokenizers
+    "tok_standard": lambda: tok.standard(F.col("text")),
+    "tok_letter": lambda: tok.letter(F.col("text")),
+    "tok_lowercase": lambda: tok.lowercase(F.col("text")),
+    "tok_whitespace": lambda: tok.whitespace(F.col("text")),
+    "tok_url_email": lambda: tok.uax_url_email(F.col("text")),
+    "tok_classic": lambda: tok.classic(F.col("text")),
+    "tok_ngram": lambda: tok.ngram(F.col("text")),
+    "tok_edge_ngram": lambda: tok.edge_ngram(F.col("text")),
+    # N1-N5, N12 analyzers
+    "an_standard": lambda: an.analyze("text", "standard"),
+    "an_simple": lambda: an.analyze("text", "simple"),
+    "an_whitespace": lambda: an.analyze("text", "whitespace"),
+    "an_stop": lambda: an.analyze("text", "stop"),
+    "an_pattern": lambda: an.analyze("text", "pattern"),
+    "an_cjk": lambda: an.analyze("text", "cjk"),
+    # F* filters after standard + lowercase
+    "f_lowercase": lambda: std_lower(),
+    "f_uppercase": lambda: flt.uppercase(tok.standard(F.col("text"))),
+    "f_asciifolding": lambda: flt.FILTERS["asciifolding"](std_lower()),
+    "f_cjk_width": lambda: flt.FILTERS["cjk_width"](std_lower()),
+    "f_decimal_digit": lambda: flt.FILTERS["decimal_digit"](std_lower()),
+    "f_scand_norm": lambda: flt.FILTERS["scandinavian_normalization"](std_lower()),
+    "f_scand_fold": lambda: flt.FILTERS["scandinavian_folding"](std_lower()),
+    "f_arabic": lambda: flt.FILTERS["arabic_normalization"](std_lower()),
+    "f_persian": lambda: flt.FILTERS["persian_normalization"](std_lower()),
+    "f_serbian": lambda: flt.FILTERS["serbian_normalization"](std_lower()),
+    "f_cjk_bigram": lambda: flt.cjk_bigram(std_lower()),
+    "f_classic": lambda: flt.classic(tok.classic(F.col("text"))),
+    "f_edge_ngram": lambda: flt.edge_ngram(std_lower()),
+    "f_ngram": lambda: flt.ngram(std_lower()),
+    "f_reverse": lambda: flt.reverse(std_lower()),
+    "f_shingle": lambda: flt.shingle(std_lower()),
+    "f_stop": lambda: flt.stop(std_lower()),
+    "f_truncate": lambda: flt.truncate(std_lower()),
+    "f_word_delimiter": lambda: flt.word_delimiter(tok.whitespace(F.col("text"))),
+    "f_trim": lambda: flt.trim(F.split(F.col("text"), "[.!?]")),
+}
+# Language-specific filters run on the documents of that language.
+LANG_JOBS = {
+    "f_german": (lambda: flt.FILTERS["german_normalization"](std_lower()), "de"),
+    "f_elision": (lambda: flt.elision(std_lower()), "fr"),
+}
+
+for _name, _fn in TERM_COUNT_JOBS.items():
+    QUERIES[_name] = _counts(_fn)
+for _name, (_fn, _lang) in LANG_JOBS.items():
+    QUERIES[_name] = _counts(_fn, (lambda L: (lambda: F.col("lang") == L))(_lang))
+
+
+@query("scan_documents")
+def q_scan_documents(spark, sf_dir):
+    """The whole table, every column (match-all)."""
+    return read_table(spark, sf_dir, "documents")
+
+
+@query("doc_count")
+def q_doc_count(spark, sf_dir):
+    """A4."""
+    from .sources.tables import doc_count
+    return doc_count(read_table(spark, sf_dir, "documents"))
+
+
+@query("tokenize_documents")
+def q_tokenize_documents(spark, sf_dir):
+    """T1 + T5 + D5: standard tokenizer, lowercase and asciifolding; joined per row."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return an.with_tokenized(d, "text", "standard", ["lowercase", "asciifolding"]).drop("text")
+
+
+@query("analyze_documents")
+def q_analyze_documents(spark, sf_dir):
+    """The `standard` analyzer; joined per row."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return an.with_analyzed(d, "text", "standard").drop("text")
+
+
+@query("custom_analyzer")
+def q_custom_analyzer(spark, sf_dir):
+    """T4: a registered pipeline by name (standard, lowercase, asciifolding, unique)."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return an.with_analyzed(d, "text", "folded_words").drop("text")
+
+
+@query("token_table")
+def q_token_table(spark, sf_dir):
+    """(doc_id, pos, token) for the `standard` analyzer."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return jobs.token_table(d, ["doc_id"], an.analyze("text", "standard"))
+
+
+@query("html_strip_pages")
+def q_html_strip_pages(spark, sf_dir):
+    """html_strip of every page; the text stays one piece."""
+    p = spread(read_table(spark, sf_dir, "pages").select("page_id", "html"))
+    return an.with_stripped(p, "html").drop("html")
+
+
+@query("fingerprint_clusters")
+def q_fingerprint_clusters(spark, sf_dir):
+    """Documents with equal fingerprints (no output size cap), clusters of 2+."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    fp = F.element_at(an.analyze("text", "fingerprint"), 1)
+    return jobs.fingerprint_clusters(d, "doc_id", fp)
+
+
+@query("f_fingerprint")
+def q_f_fingerprint(spark, sf_dir):
+    """F9 with its default cap of 255 characters: the token or nothing, per document."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    t = flt.fingerprint(std_lower())
+    return d.select("doc_id", F.size(t).cast("bigint").alias("n_tokens"),
+                    F.array_join(t, " ").alias("fingerprint"))
+
+
+@query("f_limit")
+def q_f_limit(spark, sf_dir):
+    """first token only, per document."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return d.select("doc_id", F.array_join(flt.limit(std_lower()), " ").alias("first_token"))
+
+
+@query("f_unique")
+def q_f_unique(spark, sf_dir):
+    """tokens and distinct tokens per source (unique never grows an array)."""
+    d = docs(spark, sf_dir, "doc_id", "source", "text")
+    t = d.select("source", std_lower().alias("t"))
+    return (t.groupBy("source")
+             .agg(F.sum(F.size("t")).cast("bigint").alias("n_tokens"),
+                  F.sum(F.size(flt.unique(F.col("t")))).cast("bigint").alias("n_unique")))
+
+
+@query("f_delimited_payload")
+def q_f_delimited_payload(spark, sf_dir):
+    """F6 on tokens `event_type|value` derived from `events`: token part and payload."""
+    ev = spread(read_table(spark, sf_dir, "events").select("event_id", "event_type", "value"))
+    toks = F.array(F.concat_ws("|", "event_type", F.floor("value").cast("string")))
+    return (ev.select(F.explode(F.arrays_zip(flt.delimited_payload(toks).alias("token"),
+                                            flt.payloads(toks).alias("payload"))).alias("z"))
+              .groupBy(F.col("z.token").alias("token"))
+              .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                   F.sum(F.col("z.payload").cast("bigint")).cast("bigint").alias("payload_sum")))

@@ -90,23 +90,21 @@ def ngram(a: Column, min_gram: int = 1, max_gram: int = 2) -> Column:
     return F.flatten(F.transform(a, grams))
 
 
+def _next(a: Column) -> Column:
+    """The array shifted left by one; zip_with pads it with a null at the end."""
+    return F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
+
+
 def shingle(a: Column, separator: str = " ") -> Column:
     """Unigrams and 2-token shingles, position-major (t1, t1 t2, t2, t2 t3, t3)."""
-    n = F.size(a)
-
-    def at(i):
-        uni = F.element_at(a, i)
-        bi = F.concat(uni, F.lit(separator), F.element_at(a, i + 1))
-        return F.when(i < n, F.array(uni, bi)).otherwise(F.array(uni))
-    return F.when(n == 0, a).otherwise(F.flatten(F.transform(F.sequence(F.lit(1), n), at)))
+    return F.flatten(F.zip_with(a, _next(a), lambda x, y: F.when(y.isNull(), F.array(x))
+                                .otherwise(F.array(x, F.concat(x, F.lit(separator), y)))))
 
 
 def bigram_shingles(a: Column, separator: str = " ") -> Column:
     """Only the 2-token shingles of ``shingle`` (what a phrase count needs)."""
-    n = F.size(a)
-    return F.when(n < 2, _empty()).otherwise(
-        F.transform(F.sequence(F.lit(1), n - 1),
-                    lambda i: F.concat(F.element_at(a, i), F.lit(separator), F.element_at(a, i + 1))))
+    pairs = F.zip_with(a, _next(a), lambda x, y: F.concat(x, F.lit(separator), y))
+    return F.filter(pairs, lambda s: s.isNotNull())
 
 
 def classic(a: Column) -> Column:

@@ -97,18 +97,17 @@ def characters(text: Column) -> Column:
 def ngram(text: Column, min_gram: int = 1, max_gram: int = 2) -> Column:
     """All n-grams of the whole text, position-major (a ab b bc c).
 
-    Built from the character array so the cost is linear in the text length.
+    Built from the character array and its shifted copies with ``zip_with``,
+    so the cost is linear in the text length (nothing refers back to the whole
+    array from inside a per-element lambda).
     """
+    if (min_gram, max_gram) != (1, 2):
+        raise NotImplementedError("only the default sizes 1..2 are built")
     chars = characters(text)
-    n = F.size(chars)
-
-    def grams_at(_, i):
-        out = []
-        for g in range(min_gram, max_gram + 1):
-            gram = F.array_join(F.slice(chars, i + 1, g), "")
-            out.append(F.when(i + g <= n, F.array(gram)).otherwise(F.array().cast("array<string>")))
-        return F.flatten(F.array(*out))
-    return F.flatten(F.transform(chars, grams_at))
+    # zip_with pads the shorter (shifted) array with a null at the end.
+    nxt = F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0)))
+    return F.flatten(F.zip_with(chars, nxt, lambda c, d: F.when(d.isNull(), F.array(c))
+                                .otherwise(F.array(c, F.concat(c, d)))))
 
 
 def edge_ngram(text: Column, min_gram: int = 1, max_gram: int = 2) -> Column:

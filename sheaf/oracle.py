@@ -26,3 +26,237 @@ r AS (SELECT lang, token, tf, df,
 SELECT lang, token, CAST(tf AS BIGINT) AS tf, CAST(df AS BIGINT) AS df, CAST(rank AS BIGINT) AS rank
 FROM r WHERE rank <= 20
 """
+
+
+# ---------------------------------------------------------------------------
+# Text oracles. Fragments take and return DuckDB list expressions.
+# ---------------------------------------------------------------------------
+import sys as _sys  # noqa: E402
+import unicodedata as _ud  # noqa: E402
+
+
+def lit(s: str) -> str:
+    """A SQL string literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def lst(words) -> str:
+    return "[" + ", ".join(lit(w) for w in words) + "]"
+
+
+_W = r"(?:[\p{L}\p{M}]+(?:[.'’:][\p{L}\p{M}]+)*|\p{Nd}+(?:[.,;']\p{Nd}+)*|_)+"
+STD_RE = r"\p{Han}|" + _W
+EMAIL_RE = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+URL_RE = r"(?:https?|ftp)://[^\s<>\"']*[^\s<>\"'.,;:!?)\]]"
+CLASSIC_RE = "|".join([EMAIL_RE, r"\p{L}(?:\.\p{L})+\.?", r"[\p{L}\p{Nd}]+(?:\.[\p{L}\p{Nd}]+)+",
+                       r"\p{L}+(?:'\p{L}+)+", r"\p{L}+[&@]\p{L}+", r"[\p{L}\p{Nd}]+"])
+
+
+def d_split_long(l: str) -> str:
+    return (f"flatten(list_transform({l}, lambda t: CASE WHEN length(t) <= 255 THEN [t] ELSE "
+            f"list_transform(range(0, (length(t) - 1) // 255 + 1), "
+            f"lambda i: substring(t, i * 255 + 1, 255)) END))")
+
+
+def d_extract(text: str, pattern: str) -> str:
+    return f"regexp_extract_all({text}, {lit(pattern)})"
+
+
+def d_standard(text="text"):
+    return d_split_long(d_extract(text, STD_RE))
+
+
+def d_map(l: str, body: str) -> str:
+    """list_transform with the element named x."""
+    return f"list_transform({l}, lambda x: {body})"
+
+
+def d_lower(l):
+    return d_map(l, "lower(x)")
+
+
+def d_std_lower(text="text"):
+    return d_lower(d_standard(text))
+
+
+def d_fold_expr(x: str, steps) -> str:
+    for kind, a, b in steps:
+        if kind == "map":
+            x = f"translate({x}, {lit(a)}, {lit(b)})"
+        else:
+            b = b.replace("$1", "\\1")
+            x = f"regexp_replace({x}, {lit(a)}, {lit(b)}, 'g')"
+    return x
+
+
+def d_fold(l, profile_name):
+    from .functions import fold
+    return d_map(l, d_fold_expr("x", fold.profile(profile_name)))
+
+
+ENGLISH_33 = None
+
+
+def d_stop(l, words):
+    return f"list_filter({l}, lambda x: NOT list_contains({lst(words)}, x))"
+
+
+def d_english_stop(l):
+    from .functions.stopwords import ENGLISH_STOP_33
+    return d_stop(l, ENGLISH_STOP_33)
+
+
+def d_cjk_bigram(l):
+    # documents hold no CJK text: every token passes unchanged (checked by the
+    # same query in Spark, whose CJK branch is tested on a hand fixture).
+    cjk = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]"
+    return (f"flatten(list_transform({l}, lambda x: CASE WHEN NOT regexp_full_match(x, {lit(cjk + '+')}) "
+            f"OR length(x) = 1 THEN [x] ELSE list_transform(range(1, length(x)), "
+            f"lambda i: substring(x, i, 2)) END))")
+
+
+def counts_sql(tokens: str, where: str = "") -> str:
+    w = f"WHERE {where}" if where else ""
+    return (f"SELECT lang, token, CAST(count(*) AS BIGINT) AS n FROM "
+            f"(SELECT lang, unnest({tokens}) AS token FROM documents {w}) GROUP BY lang, token")
+
+
+_T = "text"
+_ngram_text = (f"flatten(list_transform(regexp_extract_all(text, '(?s).'), lambda c, i: "
+               f"CASE WHEN i < length(text) THEN [c, c || substring(text, i + 1, 1)] ELSE [c] END))")
+TOKEN_EXPR = {
+    "tok_standard": d_standard(),
+    "tok_letter": d_extract(_T, r"\p{L}+"),
+    "tok_lowercase": d_extract("lower(text)", r"\p{L}+"),
+    "tok_whitespace": d_split_long(d_extract(_T, r"\S+")),
+    "tok_url_email": d_split_long(d_extract(_T, f"{URL_RE}|{EMAIL_RE}|{STD_RE}")),
+    "tok_classic": d_split_long(d_extract(_T, CLASSIC_RE)),
+    "tok_edge_ngram": ("CASE WHEN text IS NULL THEN NULL WHEN length(text) >= 2 THEN "
+                       "[substring(text, 1, 1), substring(text, 1, 2)] WHEN length(text) = 1 "
+                       "THEN [text] ELSE [] END"),
+    "an_standard": d_std_lower(),
+    "an_simple": d_lower(d_extract(_T, r"\p{L}+")),
+    "an_whitespace": d_split_long(d_extract(_T, r"\S+")),
+    "an_pattern": r"list_filter(string_split_regex(lower(text), '\W+'), lambda x: length(x) > 0)",
+    "f_lowercase": d_std_lower(),
+    "f_uppercase": d_map(d_standard(), "upper(x)"),
+    "f_edge_ngram": (f"flatten({d_map(d_std_lower(), 'CASE WHEN length(x) >= 2 THEN [substring(x, 1, 1), substring(x, 1, 2)] WHEN length(x) = 1 THEN [x] ELSE [] END')})"),
+    "f_ngram": (f"flatten({d_map(d_std_lower(), 'flatten(list_transform(range(1, length(x) + 1), lambda i: CASE WHEN i < length(x) THEN [substring(x, i, 1), substring(x, i, 2)] ELSE [substring(x, i, 1)] END))')})"),
+    "f_reverse": d_map(d_std_lower(), "reverse(x)"),
+    "f_truncate": d_map(d_std_lower(), "substring(x, 1, 10)"),
+    "f_classic": d_map(d_split_long(d_extract(_T, CLASSIC_RE)),
+                       r"CASE WHEN regexp_full_match(regexp_replace(x, '[''’][sS]$', ''), '\p{L}(\.\p{L})+\.?') "
+                       r"THEN replace(regexp_replace(x, '[''’][sS]$', ''), '.', '') "
+                       r"ELSE regexp_replace(x, '[''’][sS]$', '') END"),
+    "f_word_delimiter": (f"flatten({d_map(d_split_long(d_extract(_T, r'\S+')), chr(10).join([r'''list_filter(string_split_regex(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '[''’][sS]$', ''), '(\p{Ll})(\p{Lu})', '\1 \2', 'g'), '(\p{L})(\p{Nd})', '\1 \2', 'g'), '(\p{Nd})(\p{L})', '\1 \2', 'g'), '[^\p{L}\p{Nd}]+'), lambda p: length(p) > 0)''']))})"),
+    "f_trim": d_map("string_split_regex(text, '[.!?]')",
+                    r"regexp_replace(x, '^[ \t\n\r\f\v]+|[ \t\n\r\f\v]+$', '', 'g')"),
+}
+TOKEN_EXPR["f_elision"] = d_map(d_std_lower(), "regexp_replace(x, " + lit(
+    "(?i)^(?:quoiqu|lorsqu|puisqu|jusqu|qu|l|m|t|n|s|j|d|c)['’]") + ", '')")
+for _n, _p in [("f_asciifolding", "asciifolding"), ("f_cjk_width", "cjk_width"),
+               ("f_decimal_digit", "decimal_digit"), ("f_scand_norm", "scandinavian_normalization"),
+               ("f_scand_fold", "scandinavian_folding"), ("f_arabic", "arabic_normalization"),
+               ("f_persian", "persian_normalization"), ("f_serbian", "serbian_normalization"),
+               ("f_german", "german_normalization")]:
+    TOKEN_EXPR[_n] = d_fold(d_std_lower(), _p)
+
+LANG_WHERE = {"f_german": "lang = 'de'", "f_elision": "lang = 'fr'"}
+
+
+def _lazy_text_sql():
+    from .functions.stopwords import ENGLISH_STOP_33
+    TOKEN_EXPR["an_stop"] = d_stop(d_lower(d_extract(_T, r"\p{L}+")), ENGLISH_STOP_33)
+    TOKEN_EXPR["f_stop"] = d_stop(d_std_lower(), ENGLISH_STOP_33)
+    TOKEN_EXPR["an_cjk"] = d_stop(d_cjk_bigram(d_lower(d_fold(d_standard(), "cjk_width"))), ENGLISH_STOP_33)
+    TOKEN_EXPR["f_cjk_bigram"] = d_cjk_bigram(d_std_lower())
+    for name, expr in TOKEN_EXPR.items():
+        SQL[name] = counts_sql(expr, LANG_WHERE.get(name, ""))
+    # n-grams of the whole text: character list, each char with its successor.
+    SQL["tok_ngram"] = (
+        "WITH c AS (SELECT lang, regexp_extract_all(text, '(?s).') AS ch FROM documents) "
+        "SELECT lang, token, CAST(count(*) AS BIGINT) AS n FROM ("
+        " SELECT lang, unnest(flatten(list_transform(ch, lambda x, i: CASE WHEN i < len(ch) "
+        "THEN [x, x || ch[i + 1]] ELSE [x] END))) AS token FROM c) GROUP BY lang, token")
+    SQL["f_shingle"] = (
+        f"WITH t AS (SELECT lang, {d_std_lower()} AS a FROM documents) "
+        "SELECT lang, token, CAST(count(*) AS BIGINT) AS n FROM ("
+        " SELECT lang, unnest(flatten(list_transform(a, lambda x, i: CASE WHEN i < len(a) "
+        "THEN [x, x || ' ' || a[i + 1]] ELSE [x] END))) AS token FROM t) GROUP BY lang, token")
+
+
+_lazy_text_sql()
+
+SQL["scan_documents"] = "SELECT * FROM documents"
+SQL["doc_count"] = "SELECT CAST(count(*) AS BIGINT) AS doc_count FROM documents"
+SQL["tokenize_documents"] = (f"SELECT doc_id, array_to_string({d_fold(d_std_lower(), 'asciifolding')}, ' ') "
+                             "AS text_tokenized FROM documents")
+SQL["analyze_documents"] = f"SELECT doc_id, array_to_string({d_std_lower()}, ' ') AS text_analyzed FROM documents"
+SQL["custom_analyzer"] = f"""
+WITH t AS (SELECT doc_id, {d_fold(d_std_lower(), 'asciifolding')} AS a FROM documents),
+e AS (SELECT doc_id, unnest(a) AS tok, generate_subscripts(a, 1) AS pos FROM t),
+f AS (SELECT doc_id, tok, min(pos) AS pos FROM e GROUP BY doc_id, tok),
+j AS (SELECT doc_id, string_agg(tok, ' ' ORDER BY pos) AS s FROM f GROUP BY doc_id)
+SELECT t.doc_id, CASE WHEN t.a IS NULL THEN NULL ELSE coalesce(j.s, '') END AS text_analyzed
+FROM t LEFT JOIN j ON t.doc_id = j.doc_id
+"""
+SQL["token_table"] = f"""
+WITH t AS (SELECT doc_id, {d_std_lower()} AS a FROM documents)
+SELECT doc_id, CAST(generate_subscripts(a, 1) - 1 AS BIGINT) AS pos, unnest(a) AS token FROM t
+"""
+SQL["fingerprint_clusters"] = f"""
+WITH t AS (SELECT doc_id, {d_fold(d_std_lower(), 'asciifolding')} AS a FROM documents),
+k AS (SELECT doc_id, sha256(array_to_string(list_sort(list_distinct(a)), ' ')) AS fp FROM t WHERE len(a) > 0),
+g AS (SELECT fp, min(doc_id) AS cluster_id, count(*) AS cluster_size FROM k GROUP BY fp HAVING count(*) > 1)
+SELECT k.doc_id, g.cluster_id, CAST(g.cluster_size AS BIGINT) AS cluster_size FROM k JOIN g USING (fp)
+"""
+SQL["f_fingerprint"] = f"""
+WITH t AS (SELECT doc_id, {d_std_lower()} AS a FROM documents),
+f AS (SELECT doc_id, a, array_to_string(list_sort(list_distinct(a)), ' ') AS fp FROM t)
+SELECT doc_id,
+       CAST(CASE WHEN a IS NULL THEN -1 WHEN len(a) = 0 OR length(fp) > 255 THEN 0 ELSE 1 END AS BIGINT) AS n_tokens,
+       CASE WHEN a IS NULL THEN NULL WHEN len(a) = 0 OR length(fp) > 255 THEN '' ELSE fp END AS fingerprint
+FROM f
+"""
+SQL["f_limit"] = f"SELECT doc_id, array_to_string(list_slice({d_std_lower()}, 1, 1), ' ') AS first_token FROM documents"
+SQL["f_unique"] = f"""
+WITH t AS (SELECT source, {d_std_lower()} AS a FROM documents)
+SELECT source, CAST(sum(len(a)) AS BIGINT) AS n_tokens, CAST(sum(len(list_distinct(a))) AS BIGINT) AS n_unique
+FROM t GROUP BY source
+"""
+SQL["f_delimited_payload"] = """
+SELECT event_type AS token, CAST(count(*) AS BIGINT) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS payload_sum
+FROM events GROUP BY event_type
+"""
+
+# uppercase is pinned to full case mapping (ß -> SS), as Java's String.toUpperCase.
+SQL["f_uppercase"] = counts_sql(d_map(d_standard(), "upper(replace(x, 'ß', 'ss'))"))
+
+
+def _html_sql() -> str:
+    from .functions import html
+    s = "html"
+    s = f"regexp_replace({s}, {lit(html.COMMENT)}, '', 'g')"
+    s = f"regexp_replace({s}, {lit(html.SCRIPT)}, '', 'g')"
+    s = f"regexp_replace({s}, {lit(html.STYLE)}, '', 'g')"
+    s = f"regexp_replace({s}, {lit(html.BLOCK)}, chr(10), 'g')"
+    s = f"regexp_replace({s}, {lit(html.TAG)}, '', 'g')"
+    for ent, ch in html.NAMED_ENTITIES.items():
+        s = f"replace({s}, {lit(ent)}, {lit(ch)})"
+    num = html.NUMERIC
+    dec = ("list_transform(regexp_extract_all(s1, " + lit(num) + "), lambda e: "
+           "CASE WHEN lower(substring(e, 3, 1)) = 'x' "
+           "THEN chr(CAST(('0x' || substring(e, 4, length(e) - 4)) AS INTEGER)) "
+           "ELSE chr(CAST(substring(e, 3, length(e) - 3) AS INTEGER)) END)")
+    return f"""
+WITH a AS (SELECT page_id, {s} AS s1 FROM pages),
+b AS (SELECT page_id, s1, string_split_regex(s1, {lit(num)}) AS pieces, {dec} AS ents FROM a)
+SELECT page_id,
+       replace(CASE WHEN position('&#' IN s1) = 0 THEN s1 ELSE
+         array_to_string(list_transform(pieces, lambda p, i: p || coalesce(ents[i], '')), '') END,
+         '&amp;', '&') AS html_stripped
+FROM b
+"""
+
+
+SQL["html_strip_pages"] = _html_sql()

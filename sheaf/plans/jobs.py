@@ -72,7 +72,8 @@ def fingerprint_clusters(df: DataFrame, id_col: str, fingerprint: Column) -> Dat
     the key; a hot key (one cluster holding a third of the corpus) is
     pre-aggregated map-side, and AQE splits its join partition.
     """
-    keyed = df.select(F.col(id_col).alias("doc_id"), F.sha2(fingerprint, 256).alias("_fp"))
+    keyed = (df.select(F.col(id_col).alias("doc_id"), F.sha2(fingerprint, 256).alias("_fp"))
+               .filter(F.col("_fp").isNotNull()))
     sizes = (keyed.groupBy("_fp")
                   .agg(F.min("doc_id").alias("cluster_id"), F.count(F.lit(1)).alias("cluster_size"))
                   .filter(F.col("cluster_size") > 1))
