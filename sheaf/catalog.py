@@ -212,3 +212,277 @@ def q_f_delimited_payload(spark, sf_dir):
               .groupBy(F.col("z.token").alias("token"))
               .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                    F.sum(F.col("z.payload").cast("bigint")).cast("bigint").alias("payload_sum")))
+
+
+# ---------------------------------------------------------------------------
+# Stemming and per-language analysis: stem the distinct vocabulary, not every
+# token occurrence (the vocabulary grows far slower than the corpus).
+# ---------------------------------------------------------------------------
+def _porter_vocab_counts(d):
+    """(lang, stem, n) for English documents: tokens -> counts -> stemmed vocabulary."""
+    counts = jobs.term_counts(d, std_lower(), ["lang"])
+    stems = jobs.apply_word_steps(counts, porter.porter_steps())
+    return stems.groupBy("lang", F.col("stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
+
+
+@query("f_porter_stem")
+def q_f_porter_stem(spark, sf_dir):
+    """forms per Porter stem in English documents: forms, occurrences, documents."""
+    d = docs(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "en")
+    return jobs.stem_groups(d, std_lower(), porter.porter_steps(), "doc_id", ["lang"])
+
+
+@query("f_stemmer")
+def q_f_stemmer(spark, sf_dir):
+    """F16: the `stemmer` filter (default language English) -> stem counts."""
+    d = docs(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "en")
+    return _porter_vocab_counts(d)
+
+
+# Per-language chains: filters before stemming, then the stemmer steps.
+LANG_CHAINS = {
+    "en": ([flt.possessive_english, "lowercase", lambda a: flt.stop(a, stopwords.ENGLISH_STOP_33)],
+           porter.porter_steps),
+    "fr": (["elision", "lowercase", lambda a: flt.stop(a, "french")],
+           lambda: light_stem.steps("french")),
+    "de": (["lowercase", lambda a: flt.stop(a, "german"), "german_normalization"],
+           lambda: light_stem.steps("german")),
+    "es": (["lowercase", lambda a: flt.stop(a, "spanish")],
+           lambda: light_stem.steps("spanish")),
+}
+
+
+@query("an_by_lang")
+def q_an_by_lang(spark, sf_dir):
+    """Each document analysed by its language's analyzer; term counts per language.
+
+    Pre-stem filters run per row (one CASE per language); stemming runs once
+    per distinct (lang, token), one projection per step.
+    """
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
+    base = tok.standard(F.col("text"))
+    expr = None
+    for code, (pre, _) in LANG_CHAINS.items():
+        a = base
+        for f in pre:
+            a = flt.FILTERS[f](a) if isinstance(f, str) else f(a)
+        expr = F.when(F.col("lang") == code, a) if expr is None else expr.when(F.col("lang") == code, a)
+    expr = expr.otherwise(flt.lowercase(base))
+    counts = jobs.term_counts(d, expr, ["lang"])
+    w = counts.withColumn("stem", F.col("token"))
+    for code, (_, steps) in LANG_CHAINS.items():
+        for step in steps():
+            w = w.withColumn("stem", jobs.once(
+                F.col("stem"), (lambda st, c: (lambda x: F.when(F.col("lang") == c, st(x)).otherwise(x)))(step, code)))
+    return w.groupBy("lang", F.col("stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
+
+
+@query("an_stop_lists")
+def q_an_stop_lists(spark, sf_dir):
+    """The ten stop-list-only analyzers over all documents: tokens kept by each."""
+    d = docs(spark, sf_dir, "doc_id", "text").select(std_lower().alias("t"))
+    sums = [F.sum(F.size(flt.stop(F.col("t"), lang))).cast("bigint").alias(lang)
+            for lang in an.STOP_ONLY_LANGUAGES]
+    wide = d.agg(*sums)
+    return wide.select(F.explode(F.array(*[F.struct(F.lit(l).alias("analyzer"), F.col(l).alias("n_tokens"))
+                                         for l in an.STOP_ONLY_LANGUAGES])).alias("r")).select("r.*")
+
+
+# ---------------------------------------------------------------------------
+# Scans, catalogue, filters.
+# ---------------------------------------------------------------------------
+from .operators import keys as keyops  # noqa: E402
+from .operators import shape, upsert as ups  # noqa: E402
+from .sources import tables as tbl  # noqa: E402
+
+
+@query("read_many_union")
+def q_read_many_union(spark, sf_dir):
+    """A2: every table whose name starts with 'c', as one tagged union by column name."""
+    return tbl.read_many(spark, tbl.catalog(sf_dir), prefix="c")
+
+
+@query("table_inventory")
+def q_table_inventory(spark, sf_dir):
+    """A3: every table with its row count, by name."""
+    return tbl.table_inventory(spark, tbl.catalog(sf_dir))
+
+
+@query("unwrap_source")
+def q_unwrap_source(spark, sf_dir):
+    """A5: hits with metadata and `_source`, unwrapped to the body."""
+    return tbl.unwrap_source(tbl.hits(read_table(spark, sf_dir, "documents"), "documents", "doc_id"))
+
+
+@query("discover_columns")
+def q_discover_columns(spark, sf_dir):
+    """Keys found in `events.props`, rows holding each, non-null ones."""
+    return tbl.discover_columns(read_table(spark, sf_dir, "events"), "props", "event_id")
+
+
+@query("prefix_filter")
+def q_prefix_filter(spark, sf_dir):
+    """Documents whose source starts with 'src1' (pushed to the Parquet scan)."""
+    return tbl.prefix_filter(read_table(spark, sf_dir, "documents"), "source", "src1") \
+              .select("doc_id", "source")
+
+
+@query("selection_filter")
+def q_selection_filter(spark, sf_dir):
+    """Documents named by the selection table `labels` (semi join)."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return tbl.selection_filter(d, read_table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("geo_point")
+def q_geo_point(spark, sf_dir):
+    """D3: 'lat,lon' from integer-valued coordinates derived from `customer`."""
+    c = read_table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        (F.col("c_custkey") % 181 - 90).cast("double").alias("lat"),
+        ((F.col("c_nationkey") * 7) % 361 - 180).cast("double").alias("lon"))
+    return shape.geo_point(c).select("geo_point", "c_custkey")
+
+
+# ---------------------------------------------------------------------------
+# Keyed writes (B1-B5) and keys (K1-K3).
+# ---------------------------------------------------------------------------
+def _order_updates(spark, sf_dir):
+    """A batch of order updates derived from `lineitem`: one candidate row per line."""
+    return read_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"),
+        F.col("l_linestatus").alias("o_orderstatus"),
+        F.col("l_extendedprice").alias("o_totalprice"),
+        F.col("l_shipdate").alias("o_orderdate"),
+        F.col("l_linenumber").alias("_line"))
+
+
+@query("upsert_orders")
+def q_upsert_orders(spark, sf_dir):
+    """B1: orders upserted by key with lineitem-derived rows; the last line of an order wins."""
+    return ups.upsert(read_table(spark, sf_dir, "orders"), _order_updates(spark, sf_dir),
+                      "o_orderkey", "_line", drop_order=["_line"])
+
+
+@query("bulk_write_separate")
+def q_bulk_write_separate(spark, sf_dir):
+    """B2: three batches, each into the table of its own name (one exists, two are new)."""
+    out = ups.bulk_write(
+        {"orders": (_order_updates(spark, sf_dir), "o_orderkey", "_line", ["_line"]),
+         "customer": (read_table(spark, sf_dir, "customer"), "c_custkey", "c_custkey"),
+         "supplier": (read_table(spark, sf_dir, "supplier"), "s_suppkey", "s_suppkey")},
+        existing={"orders": read_table(spark, sf_dir, "orders")})
+    res = None
+    for name, df in out.items():
+        part = df.agg(F.lit(name).alias("index"), F.count(F.lit(1)).cast("bigint").alias("doc_count"))
+        res = part if res is None else res.unionByName(part)
+    return res
+
+
+@query("bulk_write_merged")
+def q_bulk_write_merged(spark, sf_dir):
+    """Customer, supplier, part merged into one table on their own keys; later wins."""
+    return ups.merge_tables([
+        ("customer", read_table(spark, sf_dir, "customer"), "c_custkey", "c_custkey"),
+        ("supplier", read_table(spark, sf_dir, "supplier"), "s_suppkey", "s_suppkey"),
+        ("part", read_table(spark, sf_dir, "part"), "p_partkey", "p_partkey")], target="merged")
+
+
+@query("apply_mapping")
+def q_apply_mapping(spark, sf_dir):
+    """`events` as text, mapping inferred from the values, applied with try_cast."""
+    ev = shape.stringify(read_table(spark, sf_dir, "events"))
+    return ups.apply_mapping(ev, shape.infer_mappings(ev))
+
+
+@query("keyword_subfield")
+def q_keyword_subfield(spark, sf_dir):
+    """`text.keyword` kept only for texts of at most 256 characters."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ups.keyword_subfield(d, "text").select("doc_id", "`text.keyword`")
+
+
+@query("key_profile")
+def q_key_profile(spark, sf_dir):
+    """K1: the common columns of `documents` and `labels`, judged as keys."""
+    return keyops.key_profile({"documents": read_table(spark, sf_dir, "documents"),
+                               "labels": read_table(spark, sf_dir, "labels")})
+
+
+@query("add_key")
+def q_add_key(spark, sf_dir):
+    """K2: one key 0.. over supplier then customer, each in key order."""
+    s, c = keyops.add_key([read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "customer")],
+                          [["s_suppkey"], ["c_custkey"]], name="_key")
+    return (s.select(F.lit("supplier").alias("_table"), F.col("s_suppkey").alias("id"), "_key")
+             .unionByName(c.select(F.lit("customer").alias("_table"), F.col("c_custkey").alias("id"), "_key")))
+
+
+@query("add_key_offset")
+def q_add_key_offset(spark, sf_dir):
+    """K3: keys from 100 over orders by (o_orderdate, o_orderkey)."""
+    (o,) = keyops.add_key([read_table(spark, sf_dir, "orders")], [["o_orderdate", "o_orderkey"]],
+                          name="_key", offset="100")
+    return o.select("o_orderkey", "_key")
+
+
+# ---------------------------------------------------------------------------
+# Schema shaping.
+# ---------------------------------------------------------------------------
+def _nested_events(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events")
+    return ev.select("event_id",
+                     F.struct("user_id", F.struct("event_type", "value").alias("detail")).alias("who"),
+                     F.from_json("props", "k bigint").alias("props"))
+
+
+@query("flatten_struct")
+def q_flatten_struct(spark, sf_dir):
+    """Nested event records flattened to dotted columns."""
+    return shape.flatten_struct(_nested_events(spark, sf_dir))
+
+
+@query("flatten_json_rows")
+def q_flatten_json_rows(spark, sf_dir):
+    """One (event_id, key, value) row per leaf of `events.props`."""
+    return shape.flatten_json_rows(read_table(spark, sf_dir, "events"), "props", ["event_id"])
+
+
+@query("nest_columns")
+def q_nest_columns(spark, sf_dir):
+    """Flattened columns nested back, as JSON text per row."""
+    flat = shape.flatten_struct(_nested_events(spark, sf_dir))
+    return shape.nest_to_json(flat, id_cols=["event_id"])
+
+
+@query("nest_to_json")
+def q_nest_to_json(spark, sf_dir):
+    """Inferred mapping rows of `events` -> nested JSON -> leaves read back."""
+    m = shape.infer_mappings(shape.stringify(read_table(spark, sf_dir, "events")))
+    js = shape.dot_expand(m.withColumn("_t", F.lit("events")), group_cols=["_t"])
+    return shape.flatten_json_rows(js, "mapping_json", ["_t"], max_depth=8).select("key", "value")
+
+
+@query("infer_mappings")
+def q_infer_mappings(spark, sf_dir):
+    """E5: mapping rows for `events` seen as text, types inferred from values."""
+    return shape.infer_mappings(shape.stringify(read_table(spark, sf_dir, "events")))
+
+
+@query("infer_types")
+def q_infer_types(spark, sf_dir):
+    """Kinds of the columns of `lineitem` seen as text."""
+    return shape.infer_types(shape.stringify(read_table(spark, sf_dir, "lineitem")))
+
+
+@query("table_mappings")
+def q_table_mappings(spark, sf_dir):
+    """Mapping rows of customer, supplier and part (as text), tagged by table."""
+    return shape.table_mappings({n: shape.stringify(read_table(spark, sf_dir, n))
+                                 for n in ("customer", "supplier", "part")})
+
+
+@query("field_stats")
+def q_field_stats(spark, sf_dir):
+    """Per column of `lineitem`: non-nulls, exact distinct values, longest text."""
+    return shape.field_stats(read_table(spark, sf_dir, "lineitem"))

@@ -54,9 +54,9 @@ def unique(a: Column) -> Column:
 
 def stop(a: Column, words: Iterable[str] | str = "english") -> Column:
     """Drop stop words (case-sensitive). ``filter`` keeps duplicates of the rest."""
-    ws = stopwords.stop_words(words) if isinstance(words, str) else tuple(words)
-    lit = F.array(*[F.lit(w) for w in ws])
-    return F.filter(a, lambda x: ~F.array_contains(lit, x))
+    ws = list(stopwords.stop_words(words) if isinstance(words, str) else words)
+    # `isin` over literals becomes a hash-set lookup (InSet), not a list scan.
+    return F.filter(a, lambda x: ~x.isin(ws))
 
 
 def fingerprint(a: Column, max_output_size: int | None = 255, separator: str = " ") -> Column:

@@ -260,3 +260,161 @@ FROM b
 
 
 SQL["html_strip_pages"] = _html_sql()
+
+
+# ---------------------------------------------------------------------------
+# Stemming oracles: one CTE per step over a vocabulary column ``w``.
+# ---------------------------------------------------------------------------
+def _porter_sql_steps() -> list[str]:
+    from .functions import porter as P
+    m = lambda e, pat: f"regexp_matches({e}, {lit(pat)})"          # noqa: E731
+    ext = lambda e, pat, g: f"regexp_extract({e}, {lit(pat)}, {g})"
+
+    def table_step(table, cond):
+        alt = "|".join(sorted(table, key=len, reverse=True))
+        pat = f"^(.+?)({alt})$"
+        stem, suf = ext("w", pat, 1), ext("w", pat, 2)
+        case = "CASE " + suf + " " + " ".join(f"WHEN {lit(k)} THEN {lit(v)}" for k, v in table.items()) + " END"
+        return f"CASE WHEN {m('w', pat)} AND {m(stem, cond)} THEN {stem} || {case} ELSE w END"
+
+    s4 = "|".join(sorted(P.STEP4, key=len, reverse=True))
+    return [
+        # mark short words; initial y as consonant
+        "CASE WHEN length(w) <= 2 THEN w || chr(2) ELSE regexp_replace(w, '^y', 'Y') END",
+        # 1a
+        f"CASE WHEN {m('w', 'sses$|ies$')} THEN regexp_replace(w, '(ss|i)es$', '\\1') "
+        f"WHEN {m('w', '[^s]s$')} THEN regexp_replace(w, 's$', '') ELSE w END",
+        # 1b
+        f"CASE WHEN {m('w', '^.+?eed$')} THEN (CASE WHEN {m(ext('w', '^(.+?)eed$', 1), P.M_GT0)} "
+        f"THEN regexp_replace(w, 'eed$', 'ee') ELSE w END) "
+        f"WHEN {m('w', '^.+?(ed|ing)$')} AND {m(ext('w', '^(.+?)(ed|ing)$', 1), P.HAS_V)} "
+        f"THEN {ext('w', '^(.+?)(ed|ing)$', 1)} || chr(1) ELSE w END",
+        # 1b cleanup
+        "CASE WHEN NOT ends_with(w, chr(1)) THEN w ELSE (SELECT CASE "
+        f"WHEN {m('s', '(at|bl|iz)$')} THEN s || 'e' "
+        f"WHEN {m('s', P.DOUBLE_NOT_LSZ)} THEN left(s, length(s) - 1) "
+        f"WHEN {m('s', P.CVC)} THEN s || 'e' ELSE s END FROM (SELECT left(w, length(w) - 1) AS s)) END",
+        # 1c
+        f"CASE WHEN {m('w', '^.+?y$')} AND {m(ext('w', '^(.+?)y$', 1), P.HAS_V)} "
+        f"THEN {ext('w', '^(.+?)y$', 1)} || 'i' ELSE w END",
+        table_step(P.STEP2, P.M_GT0),
+        table_step(P.STEP3, P.M_GT0),
+        # 4
+        f"CASE WHEN {m('w', f'^.+?({s4})$')} THEN (CASE WHEN {m(ext('w', f'^(.+?)({s4})$', 1), P.M_GT1)} "
+        f"THEN {ext('w', f'^(.+?)({s4})$', 1)} ELSE w END) "
+        f"WHEN {m('w', '^.+?[st]ion$')} AND {m(ext('w', '^(.+?)ion$', 1), P.M_GT1)} "
+        f"THEN {ext('w', '^(.+?)ion$', 1)} ELSE w END",
+        # 5a
+        f"CASE WHEN {m('w', '^.+?e$')} AND ({m(ext('w', '^(.+?)e$', 1), P.M_GT1)} OR "
+        f"({m(ext('w', '^(.+?)e$', 1), P.M_EQ1)} AND NOT {m(ext('w', '^(.+?)e$', 1), P.CVC)})) "
+        f"THEN {ext('w', '^(.+?)e$', 1)} ELSE w END",
+        # 5b
+        f"CASE WHEN {m('w', 'll$')} AND {m('w', P.M_GT1)} THEN left(w, length(w) - 1) ELSE w END",
+        # unmark
+        "regexp_replace(regexp_replace(w, chr(2) || '$', ''), '^Y', 'y')",
+    ]
+
+
+def _light_sql_steps(lang: str) -> list[str]:
+    if lang == "french":
+        return [
+            "CASE WHEN length(w) >= 6 AND NOT ends_with(w, 'x') THEN w || chr(3) ELSE w END",
+            "CASE WHEN length(w) < 6 THEN w WHEN ends_with(w, 'aux') THEN left(w, length(w) - 2) || 'l' "
+            "WHEN ends_with(w, 'x') THEN left(w, length(w) - 1) ELSE w END",
+        ] + [f"CASE WHEN ends_with(w, {lit(c)} || chr(3)) THEN left(w, length(w) - 2) || chr(3) ELSE w END"
+             for c in ("s", "r", "e", "é")] + [
+            "CASE WHEN ends_with(w, chr(3)) AND length(w) >= 3 AND "
+            "substring(w, length(w) - 1, 1) = substring(w, length(w) - 2, 1) "
+            "THEN left(w, length(w) - 2) || chr(3) ELSE w END",
+            "regexp_replace(w, chr(3) || '$', '')",
+        ]
+    if lang == "german":
+        return [
+            "translate(w, 'äöü', 'aou')",
+            "CASE WHEN length(w) > 5 AND ends_with(w, 'ern') THEN left(w, length(w) - 3) "
+            "WHEN length(w) > 4 AND regexp_matches(w, '(em|en|er|es)$') THEN left(w, length(w) - 2) "
+            "WHEN length(w) > 3 AND ends_with(w, 'e') THEN left(w, length(w) - 1) "
+            "WHEN length(w) > 3 AND regexp_matches(w, '[bdfghklmnrt]s$') THEN left(w, length(w) - 1) "
+            "ELSE w END",
+            "CASE WHEN length(w) > 5 AND ends_with(w, 'est') THEN left(w, length(w) - 3) "
+            "WHEN length(w) > 4 AND regexp_matches(w, '(er|en)$') THEN left(w, length(w) - 2) "
+            "WHEN length(w) > 5 AND regexp_matches(w, '[bdfghklmnt]st$') THEN left(w, length(w) - 2) "
+            "ELSE w END",
+        ]
+    if lang == "spanish":
+        return [
+            "CASE WHEN length(w) >= 5 THEN translate(w, 'áéíóú', 'aeiou') ELSE w END",
+            "CASE WHEN length(w) < 5 THEN w WHEN ends_with(w, 'eses') THEN left(w, length(w) - 2) "
+            "WHEN ends_with(w, 'ces') THEN left(w, length(w) - 3) || 'z' "
+            "WHEN regexp_matches(w, '(os|as|es)$') THEN left(w, length(w) - 2) "
+            "WHEN regexp_matches(w, '[oae]$') THEN left(w, length(w) - 1) ELSE w END",
+        ]
+    raise KeyError(lang)
+
+
+def stem_ctes(src: str, steps: list[str], prefix: str, cols: str = "lang, token") -> tuple[str, str]:
+    """CTE chain applying ``steps`` to ``w``; returns (ctes, last name)."""
+    parts, prev = [f"{prefix}0 AS (SELECT {cols}, token AS w FROM {src})"], f"{prefix}0"
+    for i, st in enumerate(steps, 1):
+        parts.append(f"{prefix}{i} AS MATERIALIZED (SELECT {cols}, {st} AS w FROM {prev})")
+        prev = f"{prefix}{i}"
+    return ",\n".join(parts), prev
+
+
+def _stem_oracles():
+    from .functions.stopwords import ENGLISH_STOP_33, stop_words
+    ctes, last = stem_ctes("v", _porter_sql_steps(), "p")
+    SQL["f_porter_stem"] = f"""
+WITH e AS (SELECT doc_id, lang, unnest({d_std_lower()}) AS token FROM documents WHERE lang = 'en'),
+v AS (SELECT DISTINCT lang, token FROM e),
+{ctes},
+j AS (SELECT e.doc_id, e.lang, {last}.w AS stem FROM e JOIN {last} USING (lang, token)),
+f AS (SELECT lang, w AS stem, CAST(count(*) AS BIGINT) AS n_forms FROM {last} GROUP BY lang, w),
+s AS (SELECT lang, stem, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT doc_id) AS BIGINT) AS df
+      FROM j GROUP BY lang, stem)
+SELECT s.lang, s.stem, s.tf, s.df, f.n_forms FROM s JOIN f USING (lang, stem)
+"""
+    SQL["f_stemmer"] = f"""
+WITH v AS (SELECT lang, token, count(*) AS n FROM
+  (SELECT lang, unnest({d_std_lower()}) AS token FROM documents WHERE lang = 'en') GROUP BY lang, token),
+{stem_ctes("v", _porter_sql_steps(), "p", "lang, token, n")[0]},
+z AS (SELECT * FROM {stem_ctes("v", _porter_sql_steps(), "p", "lang, token, n")[1]})
+SELECT lang, w AS token, CAST(sum(n) AS BIGINT) AS n FROM z GROUP BY lang, w
+"""
+    # Pre-stem filters per language on token lists, then stemming of the vocabulary.
+    std = d_standard()
+    poss = d_map(std, "regexp_replace(x, '[''’][sS]$', '')")
+    pre = {
+        "en": d_stop(d_lower(poss), ENGLISH_STOP_33),
+        "fr": d_stop(d_lower(d_map(std, "regexp_replace(x, " + lit(
+            "(?i)^(?:quoiqu|lorsqu|puisqu|jusqu|qu|l|m|t|n|s|j|d|c)['’]") + ", '')")), stop_words("french")),
+        "de": d_fold(d_stop(d_lower(std), stop_words("german")), "german_normalization"),
+        "es": d_stop(d_lower(std), stop_words("spanish")),
+    }
+    case = "CASE " + " ".join(f"WHEN lang = {lit(k)} THEN {v}" for k, v in pre.items()) + \
+        f" ELSE {d_lower(std)} END"
+    chains = {"en": _porter_sql_steps(), "fr": _light_sql_steps("french"),
+              "de": _light_sql_steps("german"), "es": _light_sql_steps("spanish")}
+    parts, prev, i = ["q0 AS (SELECT lang, token, n, token AS w FROM v)"], "q0", 0
+    for code, steps in chains.items():
+        for st in steps:
+            i += 1
+            parts.append(f"q{i} AS MATERIALIZED (SELECT lang, token, n, CASE WHEN lang = {lit(code)} THEN {st} "
+                         f"ELSE w END AS w FROM {prev})")
+            prev = f"q{i}"
+    SQL["an_by_lang"] = f"""
+WITH v AS (SELECT lang, token, count(*) AS n FROM
+  (SELECT lang, unnest({case}) AS token FROM documents) GROUP BY lang, token),
+{",".join(parts)}
+SELECT lang, w AS token, CAST(sum(n) AS BIGINT) AS n FROM {prev} GROUP BY lang, w
+"""
+    from .plans.analyze import STOP_ONLY_LANGUAGES
+    sums = ", ".join(f"CAST(sum(len({d_stop('t', stop_words(l))})) AS BIGINT) AS {l}"
+                     for l in STOP_ONLY_LANGUAGES)
+    SQL["an_stop_lists"] = f"""
+WITH d AS (SELECT {d_std_lower()} AS t FROM documents), w AS (SELECT {sums} FROM d)
+UNPIVOT w ON {", ".join(STOP_ONLY_LANGUAGES)} INTO NAME analyzer VALUE n_tokens
+"""
+
+
+_stem_oracles()

@@ -90,15 +90,23 @@ def apply_word_steps(vocab: DataFrame, steps: Sequence[Callable[[Column], Column
                      src: str = "token", dst: str = "stem") -> DataFrame:
     """Run a per-word chain on a vocabulary, one projection per step.
 
-    Each step is its own ``withColumn`` over the previous column, so no step's
-    expression is nested inside another's (the plan grows linearly).
+    A step refers to its input several times; applied directly, the chain of
+    steps would be expanded by the optimizer into an expression that grows
+    exponentially with the number of steps. Each step is therefore applied as
+    a lambda over a one-element array, ``transform(array(w), step)[1]``, which
+    refers to the previous column exactly once: the plan grows linearly.
     """
     out = vocab.withColumn(dst, F.col(src))
     for step in steps:
-        out = out.withColumn(dst, step(F.col(dst)))
+        out = out.withColumn(dst, once(F.col(dst), step))
     return out
 
 
+def once(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` referenced once (see ``apply_word_steps``)."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
 def stem_groups(df: DataFrame, tokens: Column, steps, id_col: str,
                 group_cols: Sequence[str] = ()) -> DataFrame:
     """Forms per stem: stem the distinct vocabulary once, join back for counts.
