@@ -354,7 +354,8 @@ def _order_updates(spark, sf_dir):
         F.col("l_linestatus").alias("o_orderstatus"),
         F.col("l_extendedprice").alias("o_totalprice"),
         F.col("l_shipdate").alias("o_orderdate"),
-        F.col("l_linenumber").alias("_line"))
+        # line numbers repeat inside an order: the order value is a struct that is unique
+        F.struct("l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice").alias("_line"))
 
 
 @query("upsert_orders")
@@ -486,3 +487,23 @@ def q_table_mappings(spark, sf_dir):
 def q_field_stats(spark, sf_dir):
     """Per column of `lineitem`: non-nulls, exact distinct values, longest text."""
     return shape.field_stats(read_table(spark, sf_dir, "lineitem"))
+
+
+# ---------------------------------------------------------------------------
+# Repeated keyed load as a stream.
+# ---------------------------------------------------------------------------
+@query("stream_upsert_events")
+def q_stream_upsert_events(spark, sf_dir):
+    """`events` streamed into a table keyed by user_id; per user the latest
+    event by (ts, event_id) wins whatever micro-batch it arrives in."""
+    import os
+    import uuid
+
+    from .session import checkpoint_dir
+    from .streaming import incremental as inc
+    run = os.path.join(checkpoint_dir(spark), f"stream_upsert_events-{uuid.uuid4().hex}")
+    schema = read_table(spark, sf_dir, "events").schema
+    inc.stream_upsert(spark, os.path.join(sf_dir, "events*.parquet"), schema,
+                      target=os.path.join(run, "table"), key="user_id",
+                      order=["ts", "event_id"], checkpoint=os.path.join(run, "stream"))
+    return inc.read_upserted(spark, os.path.join(run, "table"))

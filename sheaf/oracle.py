@@ -418,3 +418,147 @@ UNPIVOT w ON {", ".join(STOP_ONLY_LANGUAGES)} INTO NAME analyzer VALUE n_tokens
 
 
 _stem_oracles()
+
+
+# ---------------------------------------------------------------------------
+# Scans, keys, writes, shaping.
+# ---------------------------------------------------------------------------
+# Column lists of the driver tables (as documented in FIXTURES.md).
+COLUMNS = {
+    "events": "event_id ts user_id event_type value props".split(),
+    "lineitem": ("l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount "
+                 "l_tax l_returnflag l_linestatus l_shipdate").split(),
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment".split(),
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal".split(),
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice".split(),
+}
+ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
+              "pages benchmark labels conversations").split()
+
+SQL["read_many_union"] = ("SELECT 'conversations' AS _table, * FROM conversations "
+                          "UNION ALL BY NAME SELECT 'customer' AS _table, * FROM customer")
+SQL["table_inventory"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"index\", CAST(count(*) AS BIGINT) AS doc_count FROM {t}" for t in sorted(ALL_TABLES))
+SQL["unwrap_source"] = "SELECT * FROM documents"
+SQL["discover_columns"] = """
+WITH k AS (SELECT props, unnest(json_keys(props)) AS key FROM events WHERE json_valid(props))
+SELECT key, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE json_type(json_extract(props, '$."' || key || '"')) <> 'NULL') AS BIGINT) AS n_nonnull
+FROM k GROUP BY key
+"""
+SQL["prefix_filter"] = ("SELECT doc_id, source FROM documents "
+                        "WHERE starts_with(source, 'src1') AND NOT starts_with(source, '.')")
+SQL["selection_filter"] = "SELECT doc_id, lang, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)"
+SQL["geo_point"] = """
+SELECT CAST(CAST(c_custkey % 181 - 90 AS DOUBLE) AS VARCHAR) || ',' ||
+       CAST(CAST((c_nationkey * 7) % 361 - 180 AS DOUBLE) AS VARCHAR) AS geo_point, c_custkey
+FROM customer
+"""
+_UPD = """
+b AS (SELECT * FROM (SELECT l_orderkey AS o_orderkey, l_linestatus AS o_orderstatus,
+        l_extendedprice AS o_totalprice, l_shipdate AS o_orderdate,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_shipdate DESC, l_partkey DESC,
+          l_suppkey DESC, l_extendedprice DESC) AS rn FROM lineitem) WHERE rn = 1)
+"""
+SQL["upsert_orders"] = f"""
+WITH {_UPD}
+SELECT o.* FROM orders o WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.o_orderkey = o.o_orderkey)
+UNION ALL
+SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CAST(NULL AS VARCHAR) AS o_orderpriority FROM b
+"""
+SQL["bulk_write_separate"] = """
+SELECT 'orders' AS "index", CAST(count(*) AS BIGINT) AS doc_count
+  FROM (SELECT o_orderkey FROM orders UNION SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT 'customer', CAST(count(DISTINCT c_custkey) AS BIGINT) FROM customer
+UNION ALL SELECT 'supplier', CAST(count(DISTINCT s_suppkey) AS BIGINT) FROM supplier
+"""
+SQL["bulk_write_merged"] = """
+WITH u AS (SELECT CAST(c_custkey AS VARCHAR) AS _id, 'customer' AS _table, 0 AS _t, * FROM customer
+  UNION ALL BY NAME SELECT CAST(s_suppkey AS VARCHAR) AS _id, 'supplier' AS _table, 1 AS _t, * FROM supplier
+  UNION ALL BY NAME SELECT CAST(p_partkey AS VARCHAR) AS _id, 'part' AS _table, 2 AS _t, * FROM part),
+r AS (SELECT *, row_number() OVER (PARTITION BY _id ORDER BY _t DESC) AS _rn FROM u)
+SELECT * EXCLUDE (_t, _rn) FROM r WHERE _rn = 1
+"""
+SQL["apply_mapping"] = "SELECT * FROM events"
+SQL["keyword_subfield"] = ('SELECT doc_id, CASE WHEN length(text) <= 256 THEN text END AS "text.keyword" '
+                           "FROM documents")
+SQL["key_profile"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", 'doc_id' AS key, CAST(count(*) AS BIGINT) AS n_rows, "
+    f"CAST(count(*) - count(doc_id) AS BIGINT) AS n_null, CAST(count(DISTINCT doc_id) AS BIGINT) AS n_distinct, "
+    f"CAST(count(doc_id) - count(DISTINCT doc_id) AS BIGINT) AS n_duplicates FROM {t}"
+    for t in ("documents", "labels"))
+SQL["add_key"] = """
+SELECT 'supplier' AS _table, s_suppkey AS id, CAST(row_number() OVER (ORDER BY s_suppkey) - 1 AS BIGINT) AS _key
+FROM supplier
+UNION ALL
+SELECT 'customer', c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) - 1 + (SELECT count(*) FROM supplier) AS BIGINT)
+FROM customer
+"""
+SQL["add_key_offset"] = """
+SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) + 99 AS BIGINT) AS _key
+FROM orders
+"""
+SQL["flatten_struct"] = """
+SELECT event_id, user_id AS "who.user_id", event_type AS "who.detail.event_type", value AS "who.detail.value",
+       TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS "props.k" FROM events
+"""
+SQL["flatten_json_rows"] = """
+SELECT event_id, j.key AS key, CASE WHEN j.type = 'NULL' THEN NULL ELSE CAST(j.value AS VARCHAR) END AS value
+FROM events, json_each(props) AS j WHERE json_valid(props)
+"""
+SQL["nest_columns"] = """
+SELECT event_id, to_json({'who': {'user_id': user_id, 'detail': {'event_type': event_type, 'value': value}},
+                          'props': {'k': TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)}}) AS doc
+FROM events
+"""
+
+# Value patterns of type inference (RE2 spelling of the pinned rule).
+_INT, _FLOAT = r"^[+-]?[0-9]{1,18}$", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
+_GEO = r"^-?[0-9]+(\.[0-9]+)?,-?[0-9]+(\.[0-9]+)?$"
+
+
+def infer_types_sql(table: str) -> str:
+    parts = []
+    for c in COLUMNS[table]:
+        v = f"CAST({c} AS VARCHAR)"
+        cnt = lambda pat: f"count(*) FILTER (WHERE regexp_matches({v}, {lit(pat)}))"
+        text = (f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT regexp_matches({v}, {lit(_INT)}) AND NOT "
+                f"regexp_matches({v}, {lit(_FLOAT)}) AND NOT regexp_matches({v}, {lit(_DATE)}) AND NOT "
+                f"regexp_matches({v}, {lit(_GEO)}))")
+        parts.append(
+            f"SELECT '{c}' AS \"column\", CASE WHEN count({c}) = 0 THEN 'anytype' "
+            f"WHEN {cnt(_INT)} = count({c}) THEN 'int' WHEN {cnt(_FLOAT)} = count({c}) THEN 'float' "
+            f"WHEN {cnt(_DATE)} = count({c}) THEN 'date' WHEN {cnt(_GEO)} = count({c}) THEN 'geo_point' "
+            f"WHEN {text} = count({c}) THEN 'str' ELSE 'anytype' END AS type, "
+            f"CAST(count({c}) AS BIGINT) AS n_nonnull, CAST(max(length({v})) AS BIGINT) AS max_len FROM {table}")
+    return " UNION ALL ".join(parts)
+
+
+def _templates_sql() -> str:
+    from .operators.shape import TEMPLATES
+    rows = ", ".join(f"({lit(k)}, {lit(s)}, {lit(v)})" for k, lst_ in TEMPLATES.items() for s, v in lst_)
+    return f"(VALUES {rows}) AS tpl(type, suffix, value)"
+
+
+def infer_mappings_sql(table: str, key_prefix: str = "") -> str:
+    return (f"SELECT {lit(key_prefix)} || k.\"column\" || '.' || tpl.suffix AS key, tpl.value AS value "
+            f"FROM ({infer_types_sql(table)}) AS k JOIN {_templates_sql()} ON k.type = tpl.type")
+
+
+SQL["infer_types"] = infer_types_sql("lineitem")
+SQL["infer_mappings"] = infer_mappings_sql("events")
+SQL["nest_to_json"] = infer_mappings_sql("events", "properties.")
+SQL["table_mappings"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS _table, key, value FROM ({infer_mappings_sql(t)})" for t in ("customer", "supplier", "part"))
+SQL["field_stats"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(count({c}) AS BIGINT) AS n_nonnull, "
+    f"CAST(count(DISTINCT CAST({c} AS VARCHAR)) AS BIGINT) AS n_distinct, "
+    f"CAST(max(length(CAST({c} AS VARCHAR))) AS BIGINT) AS max_len FROM lineitem" for c in COLUMNS["lineitem"])
+
+SQL["stream_upsert_events"] = """
+SELECT event_id, ts, user_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1
+"""
