@@ -171,32 +171,41 @@ def _spark_kind(dt: T.DataType) -> str | None:
     return "str"
 
 
+def _kind_code(s: Column) -> Column:
+    """0 null, 1 int, 2 float (not int), 3 date, 4 geo, 5 free text: at most four
+    pattern tests per value, the first match wins (int is a subset of float)."""
+    return (F.when(s.isNull(), 0).when(s.rlike(INT_RE), 1).when(s.rlike(FLOAT_RE), 2)
+            .when(s.rlike(DATE_RE), 3).when(s.rlike(GEO_RE), 4).otherwise(5))
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """Per column, the narrowest kind covering every non-null value, in one pass.
 
     Kinds: int, float, date, geo_point, str; ``anytype`` for an all-null
     column or one that mixes typed values with free text. Typed columns keep
     the kind of their Spark type. Output: column, type, n_nonnull, max_len.
+    Each value is classified once (a projection), then one global aggregate
+    with map-side partial aggregation counts the classes.
     """
-    aggs, string_cols = [], []
-    for f in df.schema.fields:
-        c = F.col(_q(f.name))
-        s = c.cast("string")
-        aggs += [F.count(c).alias(f"{f.name}\u0001nn"),
-                 F.max(F.length(s)).alias(f"{f.name}\u0001len")]
-        if _spark_kind(f.dataType) is None:
-            string_cols.append(f.name)
-            aggs += [F.count_if(s.rlike(INT_RE)).alias(f"{f.name}\u0001int"),
-                     F.count_if(s.rlike(FLOAT_RE)).alias(f"{f.name}\u0001float"),
-                     F.count_if(s.rlike(DATE_RE)).alias(f"{f.name}\u0001date"),
-                     F.count_if(s.rlike(GEO_RE)).alias(f"{f.name}\u0001geo"),
-                     F.count_if(c.isNotNull() & ~s.rlike(INT_RE) & ~s.rlike(FLOAT_RE)
-                                & ~s.rlike(DATE_RE) & ~s.rlike(GEO_RE)).alias(f"{f.name}\u0001text")]
-    wide = df.agg(*aggs)
+    fields = df.schema.fields
+    proj = []
+    for i, f in enumerate(fields):
+        s = F.col(_q(f.name)).cast("string")
+        proj.append(F.length(s).alias(f"l{i}"))
+        proj.append((_kind_code(s) if _spark_kind(f.dataType) is None
+                     else F.when(s.isNull(), 0).otherwise(9)).alias(f"k{i}"))
+    classified = df.select(*proj)
+    aggs = []
+    for i, _ in enumerate(fields):
+        k = F.col(f"k{i}")
+        aggs += [F.count_if(k > 0).alias(f"nn{i}"), F.max(f"l{i}").alias(f"len{i}"),
+                 F.count_if(k == 1).alias(f"int{i}"), F.count_if((k == 1) | (k == 2)).alias(f"float{i}"),
+                 F.count_if(k == 3).alias(f"date{i}"), F.count_if(k == 4).alias(f"geo{i}"),
+                 F.count_if(k == 5).alias(f"text{i}")]
+    wide = classified.agg(*aggs)
     rows = []
-    for f in df.schema.fields:
-        n = f.name
-        g = lambda k: F.col(_q(f"{n}\u0001{k}"))
+    for i, f in enumerate(fields):
+        g = lambda k: F.col(f"{k}{i}")
         kind = _spark_kind(f.dataType)
         if kind is None:
             t = (F.when(g("nn") == 0, "anytype")
@@ -206,9 +215,11 @@ def infer_types(df: DataFrame) -> DataFrame:
                  .when(g("geo") == g("nn"), "geo_point")
                  .when(g("text") == g("nn"), "str")
                  .otherwise("anytype"))
+        elif kind == "anytype":
+            t = F.lit(kind)
         else:
-            t = F.when(g("nn") == 0, "anytype").otherwise(F.lit(kind)) if kind != "anytype" else F.lit(kind)
-        rows.append(F.struct(F.lit(n).alias("column"), t.alias("type"),
+            t = F.when(g("nn") == 0, "anytype").otherwise(F.lit(kind))
+        rows.append(F.struct(F.lit(f.name).alias("column"), t.alias("type"),
                              g("nn").cast("bigint").alias("n_nonnull"),
                              g("len").cast("bigint").alias("max_len")))
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")

@@ -72,8 +72,12 @@ def fingerprint_clusters(df: DataFrame, id_col: str, fingerprint: Column) -> Dat
     the key; a hot key (one cluster holding a third of the corpus) is
     pre-aggregated map-side, and AQE splits its join partition.
     """
-    keyed = (df.select(F.col(id_col).alias("doc_id"), F.sha2(fingerprint, 256).alias("_fp"))
-               .filter(F.col("_fp").isNotNull()))
+    keyed = df.select(F.col(id_col).alias("doc_id"), F.sha2(fingerprint, 256).alias("_fp"))
+    # Both the aggregate and the join-back read the keys: write them once
+    # (small rows) instead of analysing every text twice; a filter on the
+    # computed key would otherwise also be pushed below the projection and
+    # repeat the analysis there.
+    keyed = materialize(keyed).filter(F.col("_fp").isNotNull())
     sizes = (keyed.groupBy("_fp")
                   .agg(F.min("doc_id").alias("cluster_id"), F.count(F.lit(1)).alias("cluster_size"))
                   .filter(F.col("cluster_size") > 1))
@@ -81,6 +85,17 @@ def fingerprint_clusters(df: DataFrame, id_col: str, fingerprint: Column) -> Dat
                  .select("doc_id", "cluster_id", F.col("cluster_size").cast("bigint")))
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder and read it back.
+
+    A reliable checkpoint (not a local one): the files survive the loss of the
+    executor that wrote them, and the lineage above is cut.
+    """
+    from ..session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def vocabulary(df: DataFrame, tokens: Column, group_cols: Sequence[str] = ()) -> DataFrame:
     """Distinct (group, token) with occurrence counts ``n``."""
     return term_counts(df, tokens, group_cols)
@@ -116,9 +131,10 @@ def stem_groups(df: DataFrame, tokens: Column, steps, id_col: str,
     not a sum over forms).
     """
     occ = df.select(*group_cols, F.col(id_col).alias("_id"), F.explode(tokens).alias("token"))
-    per_doc = occ.groupBy(*group_cols, "_id", "token").agg(F.count(F.lit(1)).alias("n"))
+    # Read three times below (vocabulary, join-back, forms): tokenize once.
+    per_doc = materialize(occ.groupBy(*group_cols, "_id", "token").agg(F.count(F.lit(1)).alias("n")))
     vocab = per_doc.select(*group_cols, "token").distinct()
-    stems = apply_word_steps(vocab, steps)
+    stems = materialize(apply_word_steps(vocab, steps))     # the vocabulary is stemmed once
     joined = per_doc.join(stems, [*group_cols, "token"])
     doc_stem = joined.groupBy(*group_cols, "stem", "_id").agg(F.sum("n").alias("n"))
     forms = stems.groupBy(*group_cols, "stem").agg(F.count(F.lit(1)).cast("bigint").alias("n_forms"))
