@@ -46,7 +46,7 @@ def _decode_numeric(s: Column) -> Column:
         is_hex = F.regexp_extract(e, r"&#([xX]?)", 1) != ""
         n = F.when(is_hex, F.conv(body, 16, 10)).otherwise(body).cast("bigint")
         ok = (n > 0) & (n <= 0x10FFFF) & ~((n >= 0xD800) & (n <= 0xDFFF))
-        ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32BE")
+        ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")  # big-endian when there is no byte-order mark
         return F.when(ok, ch).otherwise(F.lit("�"))
     decoded = F.transform(ents, code)
     merged = F.zip_with(pieces, F.concat(decoded, F.array(F.lit(""))),
