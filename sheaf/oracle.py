@@ -15,7 +15,7 @@ LETTER = r"'\p{L}+'"
 
 
 def letter_lower(text: str = "text") -> str:
-    return f"list_transform(regexp_extract_all({text}, {LETTER}), lambda x: lower(x))"
+    return f"regexp_extract_all(lower({text}), {LETTER})"
 
 
 SQL["term_stats"] = f"""
