@@ -79,7 +79,7 @@ TERM_COUNT_JOBS = {
     "tok_whitespace": lambda: tok.whitespace(F.col("text")),
     "tok_url_email": lambda: tok.uax_url_email(F.col("text")),
     "tok_classic": lambda: tok.classic(F.col("text")),
-    "tok_ngram": lambda: tok.ngram(F.col("text")),
+    "tok_ngram": lambda: tok.ngram_bag(F.col("text")),   # counts: same multiset as tok.ngram
     "tok_edge_ngram": lambda: tok.edge_ngram(F.col("text")),
     # N1-N5, N12 analyzers
     "an_standard": lambda: an.analyze("text", "standard"),
