@@ -25,7 +25,9 @@ _D = r"\p{Nd}"
 _WORD = rf"(?:{_L}+(?:[.'’:]{_L}+)*|{_D}+(?:[.,;']{_D}+)*|_)+"
 STANDARD_PATTERN = rf"\p{{IsHan}}|{_WORD}"
 
-EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
+# The local part is possessive (`++`): `@` is outside its class, so the match set
+# is unchanged, but a long run of such characters is not re-scanned from each start.
+EMAIL_PATTERN = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 URL_PATTERN = r"(?:https?|ftp)://[^\s<>\"']*[^\s<>\"'.,;:!?)\]]"
 URL_EMAIL_PATTERN = rf"{URL_PATTERN}|{EMAIL_PATTERN}|{STANDARD_PATTERN}"
 
