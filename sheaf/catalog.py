@@ -79,7 +79,6 @@ TERM_COUNT_JOBS = {
     "tok_whitespace": lambda: tok.whitespace(F.col("text")),
     "tok_url_email": lambda: tok.uax_url_email(F.col("text")),
     "tok_classic": lambda: tok.classic(F.col("text")),
-    "tok_ngram": lambda: tok.ngram_bag(F.col("text")),   # counts: same multiset as tok.ngram
     "tok_edge_ngram": lambda: tok.edge_ngram(F.col("text")),
     # N1-N5, N12 analyzers
     "an_standard": lambda: an.analyze("text", "standard"),
@@ -104,7 +103,6 @@ TERM_COUNT_JOBS = {
     "f_edge_ngram": lambda: flt.edge_ngram(std_lower()),
     "f_ngram": lambda: flt.ngram(std_lower()),
     "f_reverse": lambda: flt.reverse(std_lower()),
-    "f_shingle": lambda: flt.shingle(std_lower()),
     "f_stop": lambda: flt.stop(std_lower()),
     "f_truncate": lambda: flt.truncate(std_lower()),
     "f_word_delimiter": lambda: flt.word_delimiter(tok.whitespace(F.col("text"))),
@@ -509,3 +507,18 @@ def q_stream_upsert_events(spark, sf_dir):
                       target=os.path.join(run, "table"), key="user_id",
                       order=["ts", "event_id"], checkpoint=os.path.join(run, "stream"))
     return inc.read_upserted(spark, os.path.join(run, "table"))
+
+
+@query("tok_ngram")
+def q_tok_ngram(spark, sf_dir):
+    """Counts of the 1..2-grams of whole texts (position-major tokenizer ``tok.ngram``)."""
+    d = docs(spark, sf_dir, "lang", "text")
+    return jobs.ngram_counts(d, F.col("text"), ["lang"])
+
+
+@query("f_shingle")
+def q_f_shingle(spark, sf_dir):
+    """counts of unigrams and 2-token shingles (the multiset ``flt.shingle`` emits)."""
+    d = docs(spark, sf_dir, "lang", "text").select("lang", std_lower().alias("_t"))
+    bag = F.concat(F.col("_t"), flt.bigram_shingles(F.col("_t")))
+    return jobs.term_counts(d, bag, ["lang"]).withColumn("n", F.col("n").cast("bigint"))

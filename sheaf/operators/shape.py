@@ -184,45 +184,42 @@ def infer_types(df: DataFrame) -> DataFrame:
     Kinds: int, float, date, geo_point, str; ``anytype`` for an all-null
     column or one that mixes typed values with free text. Typed columns keep
     the kind of their Spark type. Output: column, type, n_nonnull, max_len.
-    Each value is classified once (a projection), then one global aggregate
-    with map-side partial aggregation counts the classes.
+
+    Each value is classified once and emitted as a narrow (column, kind,
+    length) row; one aggregate grouped by column (map-side partial, a handful
+    of groups) counts the kinds. The aggregate stays seven expressions wide
+    however many columns the table has.
     """
     fields = df.schema.fields
-    proj = []
-    for i, f in enumerate(fields):
-        s = F.col(_q(f.name)).cast("string")
-        proj.append(F.length(s).alias(f"l{i}"))
-        proj.append((_kind_code(s) if _spark_kind(f.dataType) is None
-                     else F.when(s.isNull(), 0).otherwise(9)).alias(f"k{i}"))
-    classified = df.select(*proj)
-    aggs = []
-    for i, _ in enumerate(fields):
-        k = F.col(f"k{i}")
-        aggs += [F.count_if(k > 0).alias(f"nn{i}"), F.max(f"l{i}").alias(f"len{i}"),
-                 F.count_if(k == 1).alias(f"int{i}"), F.count_if((k == 1) | (k == 2)).alias(f"float{i}"),
-                 F.count_if(k == 3).alias(f"date{i}"), F.count_if(k == 4).alias(f"geo{i}"),
-                 F.count_if(k == 5).alias(f"text{i}")]
-    wide = classified.agg(*aggs)
     rows = []
-    for i, f in enumerate(fields):
-        g = lambda k: F.col(f"{k}{i}")
+    for f in fields:
+        s = F.col(_q(f.name)).cast("string")
+        k = _kind_code(s) if _spark_kind(f.dataType) is None else F.when(s.isNull(), 0).otherwise(9)
+        rows.append(F.struct(F.lit(f.name).alias("column"), k.alias("k"), F.length(s).alias("l")))
+    long = df.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    k = F.col("k")
+    counts = long.groupBy("column").agg(
+        F.count_if(k > 0).alias("nn"), F.max("l").alias("len"),
+        F.count_if(k == 1).alias("int"), F.count_if((k == 1) | (k == 2)).alias("float"),
+        F.count_if(k == 3).alias("date"), F.count_if(k == 4).alias("geo"), F.count_if(k == 5).alias("text"))
+    value_kind = (F.when(F.col("nn") == 0, "anytype")
+                  .when(F.col("int") == F.col("nn"), "int")
+                  .when(F.col("float") == F.col("nn"), "float")
+                  .when(F.col("date") == F.col("nn"), "date")
+                  .when(F.col("geo") == F.col("nn"), "geo_point")
+                  .when(F.col("text") == F.col("nn"), "str")
+                  .otherwise("anytype"))
+    typed = F.lit(None).cast("string")
+    for f in fields:
         kind = _spark_kind(f.dataType)
-        if kind is None:
-            t = (F.when(g("nn") == 0, "anytype")
-                 .when(g("int") == g("nn"), "int")
-                 .when(g("float") == g("nn"), "float")
-                 .when(g("date") == g("nn"), "date")
-                 .when(g("geo") == g("nn"), "geo_point")
-                 .when(g("text") == g("nn"), "str")
-                 .otherwise("anytype"))
-        elif kind == "anytype":
-            t = F.lit(kind)
-        else:
-            t = F.when(g("nn") == 0, "anytype").otherwise(F.lit(kind))
-        rows.append(F.struct(F.lit(f.name).alias("column"), t.alias("type"),
-                             g("nn").cast("bigint").alias("n_nonnull"),
-                             g("len").cast("bigint").alias("max_len")))
-    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+        if kind is not None:
+            typed = F.when(F.col("column") == f.name, F.lit(kind)).otherwise(typed) \
+                if kind == "anytype" else \
+                F.when(F.col("column") == f.name,
+                       F.when(F.col("nn") == 0, "anytype").otherwise(F.lit(kind))).otherwise(typed)
+    return counts.select("column", F.coalesce(typed, value_kind).alias("type"),
+                         F.col("nn").cast("bigint").alias("n_nonnull"),
+                         F.col("len").cast("bigint").alias("max_len"))
 
 
 # ---- E5 / E7: mapping templates ------------------------------------------------

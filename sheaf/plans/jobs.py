@@ -29,6 +29,30 @@ def term_counts(df: DataFrame, tokens: Column, group_cols: Sequence[str] = (),
               .agg(F.count(F.lit(1)).alias(out)))
 
 
+def ngram_counts(df: DataFrame, text: Column, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Counts of the 1- and 2-grams of whole texts (the `ngram` tokenizer), exactly.
+
+    Only the bigrams are generated: every character but the last of a text
+    starts exactly one bigram, so the unigram counts are the bigram counts
+    summed by first character, plus one per text for its last character. Half
+    the rows of exploding both sizes; the bigram aggregate is read twice from
+    one shuffle.
+    """
+    from ..functions.tokenizers import characters
+    chars = df.select(*group_cols, characters(text).alias("_c"), F.substring(text, -1, 1).alias("_last"))
+    n = F.size("_c")
+    bigrams = F.zip_with(F.slice("_c", 1, F.greatest(n - 1, F.lit(0))),
+                         F.slice("_c", 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.concat(a, b))
+    big = (chars.select(*group_cols, F.explode(bigrams).alias("token"))
+                .groupBy(*group_cols, "token").agg(F.count(F.lit(1)).alias("n")))
+    last = chars.filter(F.length("_last") > 0).select(*group_cols, F.col("_last").alias("token"),
+                                                      F.lit(1).cast("bigint").alias("n"))
+    uni = (big.select(*group_cols, F.substring("token", 1, 1).alias("token"), "n")
+              .unionByName(last)
+              .groupBy(*group_cols, "token").agg(F.sum("n").alias("n")))
+    return big.unionByName(uni).withColumn("n", F.col("n").cast("bigint"))
+
+
 def term_freqs(df: DataFrame, tokens: Column, group_cols: Sequence[str] = ()) -> DataFrame:
     """Term frequency ``tf`` and document frequency ``df`` per (group, token), one shuffle.
 
