@@ -160,10 +160,15 @@ PROFILES = ("asciifolding cjk_width decimal_digit german_normalization "
             "persian_normalization serbian_normalization").split()
 
 
+_REGEX_META = set("\\^$.|?*+()[]{}")
+
+
 def fold_string(s: Column, steps) -> Column:
     for kind, a, b in steps:
         if kind == "map":
             s = F.translate(s, a, b)
+        elif not (_REGEX_META & set(a)) and "$" not in b:
+            s = F.replace(s, F.lit(a), F.lit(b))     # a literal rewrite: no regex engine
         else:
             s = F.regexp_replace(s, a, b)
     return s
