@@ -54,6 +54,21 @@ def key_profile(tables: dict[str, DataFrame], candidates: Sequence[str] | None =
                   .cast("bigint").alias("n_duplicates")))
 
 
+def choose_key(profile: DataFrame) -> str:
+    """K1 last step: the first candidate (by name) with no nulls and no
+    duplicates in any table. The profile has one row per (table, candidate),
+    bounded by the schema widths, so reading it on the driver is safe."""
+    rows = profile.collect()
+    by_key: dict[str, bool] = {}
+    for r in rows:
+        ok = r["n_null"] == 0 and r["n_duplicates"] == 0
+        by_key[r["key"]] = by_key.get(r["key"], True) and ok
+    good = sorted(k for k, ok in by_key.items() if ok)
+    if not good:
+        raise ValueError("no common column is a key in every table")
+    return good[0]
+
+
 def _check_offset(offset) -> int:
     if isinstance(offset, str):
         if not offset.isdigit():

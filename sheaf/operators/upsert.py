@@ -1,7 +1,7 @@
 """Keyed writes.
 
-The reference indexes every row under ``_id = key``: a later row with the same
-id replaces the earlier one in full. Here a write is a DataFrame transform:
+A document store indexes every row under ``_id = key``: a later row with the
+same id replaces the earlier one in full. Here a write is a DataFrame transform:
 
     new_table = upsert(target, batch, key, order)
 
@@ -108,9 +108,11 @@ def merge_tables(tables: Sequence[tuple], existing_names: Sequence[str] = (),
         check_columns(df, key, name)
     parts = None
     for i, (name, df, key, order) in enumerate(tables):
-        p = guard_null_keys(df, key).select(
-            F.col(key).cast("string").alias("_id"), F.lit(name).alias("_table"),
-            F.struct(F.lit(i).alias("t"), _order_expr(order).cast("string").alias("o")).alias("_ord"), "*")
+        # Inside a table its own order column decides (typed comparison);
+        # across tables the later one wins, by position.
+        own = latest_per_key(guard_null_keys(df, key), key, order)
+        p = own.select(F.col(key).cast("string").alias("_id"), F.lit(name).alias("_table"),
+                       F.lit(i).alias("_ord"), "*")
         parts = p if parts is None else parts.unionByName(p, allowMissingColumns=True)
     return latest_per_key(parts, "_id", "_ord", drop_order=("_ord",))
 
@@ -204,3 +206,37 @@ def upsert_into(path: str, batch: DataFrame, key: str, order, drop_order: Sequen
     exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
     target = spark.read.parquet(path) if exists else None
     return write_table(upsert(target, batch, key, order, drop_order), path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def bulk_write_to(root: str, batches: Mapping[str, tuple]) -> dict[str, str]:
+    """B2 on storage: each batch into ``root/<name>``, created when missing, else
+    upserted (read, merge, write to a new folder, swap). Key checks for every
+    batch run before any table is touched; each table is its own Spark job."""
+    for name, spec in batches.items():
+        check_columns(spec[0], spec[1], name)
+    out = {}
+    for name, spec in batches.items():
+        df, key, order = spec[:3]
+        drop = spec[3] if len(spec) > 3 else ()
+        out[name] = upsert_into(f"{root.rstrip('/')}/{name}", df, key, order, drop)
+    return out
+
+
+def write_merged(path: str, tables: Sequence[tuple]) -> str:
+    """B3 on storage: refuse an existing target, check every key, then write once."""
+    spark = tables[0][1].sparkSession
+    if path_exists(spark, path):
+        raise KeyError_(f"table {path!r} already exists")
+    merged = merge_tables(tables)
+    return write_table(merged, path, mode="errorifexists")
+
+
+def create_with_mapping(df: DataFrame, mapping: DataFrame | Mapping[str, str], path: str) -> str:
+    """B4 on storage: cast under the mapping and create the table (fails if it exists)."""
+    return write_table(apply_mapping(df, mapping), path, mode="errorifexists")

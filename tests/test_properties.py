@@ -147,3 +147,27 @@ def test_stream_upsert_independent_of_batching(spark, sf_dir, tmp_path):
         results.append(rows(inc.read_upserted(spark, target).select(*ev.columns), "user_id"))
     expected = rows(upsert.latest_per_key(ev, "user_id", ["ts", "event_id"]).select(*ev.columns), "user_id")
     assert results[0] == results[1] == expected
+
+
+def test_bulk_write_to_and_merged_path(spark, tmp_path):
+    root = str(tmp_path / "idx")
+    upsert.bulk_write_to(root, {"t": (keyed_target(spark), "k", "ord")})
+    upsert.bulk_write_to(root, {"t": (keyed_batch(spark), "k", "ord")})
+    assert rows(spark.read.parquet(f"{root}/t"), "k")[1] == (2, 7, "B2", "y")
+    m = str(tmp_path / "merged")
+    upsert.write_merged(m, [("a", keyed_target(spark), "k", "ord")])
+    import pytest as _pt
+    with _pt.raises(upsert.KeyError_):
+        upsert.write_merged(m, [("a", keyed_target(spark), "k", "ord")])
+
+
+def test_choose_key(spark):
+    a = spark.createDataFrame([(1, 1), (2, 1)], "id bigint, g bigint")
+    b = spark.createDataFrame([(1, 5), (3, 6)], "id bigint, g bigint")
+    assert keys.choose_key(keys.key_profile({"a": a, "b": b})) == "id"
+
+
+def test_merge_in_table_order_is_typed(spark):
+    t = spark.createDataFrame([(1, 9, "old"), (1, 10, "new")], "k bigint, ord bigint, v string")
+    m = upsert.merge_tables([("t", t, "k", "ord")])
+    assert [r["v"] for r in m.collect()] == ["new"]
