@@ -11,12 +11,17 @@ dynamic partition overwrite: a micro-batch rewrites only the buckets its keys
 fall in, reading just those buckets (partition pruning) — never the whole
 table. The merge of a bucket is staged in the checkpoint folder first, so the
 overwrite never reads the files it replaces.
+
+Bucket count: the unit of rewrite. A micro-batch whose keys spread over all
+buckets rewrites the whole table, so large tables want many buckets (thousands)
+and micro-batches sized so that each touches a fraction of them.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,7 +75,13 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema, target: str, key
     staging = os.path.join(root, "staging")
 
     def run(batch_df, epoch_id):
-        merge_batch(batch_df, epoch_id, target, key, order, buckets, staging)
+        # The micro-batch is read twice (touched buckets, merge): keep it for
+        # the duration of this batch instead of re-reading the source files.
+        batch_df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merge_batch(batch_df, epoch_id, target, key, order, buckets, staging)
+        finally:
+            batch_df.unpersist()
 
     writer = (stream.writeStream.foreachBatch(run)
               .option("checkpointLocation", os.path.join(root, "offsets")))
