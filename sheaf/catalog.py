@@ -269,11 +269,13 @@ def q_an_by_lang(spark, sf_dir):
         expr = F.when(F.col("lang") == code, a) if expr is None else expr.when(F.col("lang") == code, a)
     expr = expr.otherwise(flt.lowercase(base))
     counts = jobs.term_counts(d, expr, ["lang"])
-    w = counts.withColumn("stem", F.col("token"))
+    stem = F.col("token")
     for code, (_, steps) in LANG_CHAINS.items():
-        for step in steps():
-            w = w.withColumn("stem", jobs.once(
-                F.col("stem"), (lambda st, c: (lambda x: F.when(F.col("lang") == c, st(x)).otherwise(x)))(step, code)))
+        # a language's chain applies to its own rows; inside the lambda the
+        # running value is a variable, so the nesting stays linear
+        stem = jobs.once(stem, (lambda c, st: (lambda x: F.when(F.col("lang") == c, jobs.chain(x, st))
+                                               .otherwise(x)))(code, steps()))
+    w = counts.withColumn("stem", stem)
     return w.groupBy("lang", F.col("stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
 
 

@@ -135,10 +135,15 @@ def apply_word_steps(vocab: DataFrame, steps: Sequence[Callable[[Column], Column
     a lambda over a one-element array, ``transform(array(w), step)[1]``, which
     refers to the previous column exactly once: the plan grows linearly.
     """
-    out = vocab.withColumn(dst, F.col(src))
+    return vocab.withColumn(dst, chain(F.col(src), steps))
+
+
+def chain(value: Column, steps: Sequence[Callable[[Column], Column]]) -> Column:
+    """All steps as one nested expression (one projection, analysed once);
+    ``once`` keeps it linear in the number of steps."""
     for step in steps:
-        out = out.withColumn(dst, once(F.col(dst), step))
-    return out
+        value = once(value, step)
+    return value
 
 
 def once(value: Column, fn: Callable[[Column], Column]) -> Column:
