@@ -524,3 +524,18 @@ def q_f_shingle(spark, sf_dir):
     d = docs(spark, sf_dir, "lang", "text").select("lang", std_lower().alias("_t"))
     bag = F.concat(F.col("_t"), flt.bigram_shingles(F.col("_t")))
     return jobs.term_counts(d, bag, ["lang"]).withColumn("n", F.col("n").cast("bigint"))
+
+
+@query("stream_analyze_documents")
+def q_stream_analyze_documents(spark, sf_dir):
+    """T2 on a stream: `documents` read as a file stream, analysed (standard), written to a sink."""
+    import os
+    import uuid
+
+    from .session import checkpoint_dir
+    from .streaming import incremental as inc
+    run = os.path.join(checkpoint_dir(spark), f"stream_analyze-{uuid.uuid4().hex}")
+    schema = read_table(spark, sf_dir, "documents").schema
+    inc.stream_analyze(spark, os.path.join(sf_dir, "documents*.parquet"), schema, os.path.join(run, "out"),
+                       "doc_id", "text", "standard", checkpoint=os.path.join(run, "stream"))
+    return spark.read.parquet(os.path.join(run, "out"))

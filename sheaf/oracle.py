@@ -562,3 +562,5 @@ SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1
 """
+
+SQL["stream_analyze_documents"] = SQL["analyze_documents"]

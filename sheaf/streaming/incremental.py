@@ -94,3 +94,23 @@ def stream_upsert(spark: SparkSession, source_dir: str, schema, target: str, key
 
 def read_upserted(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).drop(BUCKET)
+
+
+def stream_analyze(spark: SparkSession, source_dir: str, schema, out_dir: str, id_col: str,
+                   text_col: str, analyzer: str = "standard", checkpoint: str | None = None,
+                   max_files_per_trigger: int | None = None):
+    """Text analysis on a stream: the same stateless column expression as in
+    batch (`<col>_analyzed`), appended to a Parquet sink; exactly-once through
+    the file sink's commit log. Runs to the end of the input (availableNow)."""
+    from ..plans.analyze import analyze, joined
+    root = checkpoint or os.path.join(checkpoint_dir(spark), "stream_analyze")
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    out = reader.parquet(source_dir).select(
+        id_col, joined(analyze(text_col, analyzer)).alias(f"{text_col}_analyzed"))
+    q = (out.writeStream.format("parquet").option("path", out_dir)
+            .option("checkpointLocation", os.path.join(root, "offsets"))
+            .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
