@@ -79,10 +79,15 @@ def d_std_lower(text="text"):
     return d_lower(d_standard(text))
 
 
+_META = set("\\^$.|?*+()[]{}")
+
+
 def d_fold_expr(x: str, steps) -> str:
     for kind, a, b in steps:
         if kind == "map":
             x = f"translate({x}, {lit(a)}, {lit(b)})"
+        elif not (_META & set(a)) and "$" not in b:
+            x = f"replace({x}, {lit(a)}, {lit(b)})"
         else:
             b = b.replace("$1", "\\1")
             x = f"regexp_replace({x}, {lit(a)}, {lit(b)}, 'g')"

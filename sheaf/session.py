@@ -23,6 +23,9 @@ _DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
     # Upserts overwrite only the key buckets a batch touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # JSON objects with a repeated key keep the last value (as a dict would)
+    # instead of being rejected as invalid.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Written-once intermediates (checkpoint files) are removed when their
     # DataFrame is no longer referenced.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",

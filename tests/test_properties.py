@@ -171,3 +171,8 @@ def test_merge_in_table_order_is_typed(spark):
     t = spark.createDataFrame([(1, 9, "old"), (1, 10, "new")], "k bigint, ord bigint, v string")
     m = upsert.merge_tables([("t", t, "k", "ord")])
     assert [r["v"] for r in m.collect()] == ["new"]
+
+
+def test_json_duplicate_key_last_wins(spark):
+    js = spark.createDataFrame([(1, '{"a": 1, "a": 2}')], "id bigint, js string")
+    assert [tuple(r) for r in shape.flatten_json_rows(js, "js", ["id"]).collect()] == [(1, "a", "2")]
