@@ -94,9 +94,17 @@ def d_fold_expr(x: str, steps) -> str:
     return x
 
 
+# Profiles whose every source character is outside ASCII: an ASCII token is unchanged.
+_NON_ASCII_ONLY = {"asciifolding", "cjk_width", "decimal_digit", "arabic_normalization",
+                   "persian_normalization", "serbian_normalization"}
+
+
 def d_fold(l, profile_name):
     from .functions import fold
-    return d_map(l, d_fold_expr("x", fold.profile(profile_name)))
+    body = d_fold_expr("x", fold.profile(profile_name))
+    if profile_name in _NON_ASCII_ONLY:
+        body = f"CASE WHEN regexp_matches(x, '[^\\x00-\\x7F]') THEN {body} ELSE x END"
+    return d_map(l, body)
 
 
 ENGLISH_33 = None
