@@ -52,8 +52,6 @@ def q_term_stats(spark, sf_dir):
 # Text: tokenizers, analyzers and token filters as corpus jobs on `documents`.
 # Each is "tokens per row -> explode -> count per (lang, token)".
 # ---------------------------------------------------------------------------
-from .functions import fold  # noqa: E402
-from .functions import html as html_cf  # noqa: E402
 from .functions import light_stem, porter, stopwords  # noqa: E402
 from .plans import analyze as an  # noqa: E402
 

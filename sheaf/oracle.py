@@ -31,8 +31,6 @@ FROM r WHERE rank <= 20
 # ---------------------------------------------------------------------------
 # Text oracles. Fragments take and return DuckDB list expressions.
 # ---------------------------------------------------------------------------
-import sys as _sys  # noqa: E402
-import unicodedata as _ud  # noqa: E402
 
 
 def lit(s: str) -> str:
@@ -107,9 +105,6 @@ def d_fold(l, profile_name):
     return d_map(l, body)
 
 
-ENGLISH_33 = None
-
-
 def d_stop(l, words):
     return f"list_filter({l}, lambda x: NOT list_contains({lst(words)}, x))"
 
@@ -135,8 +130,6 @@ def counts_sql(tokens: str, where: str = "") -> str:
 
 
 _T = "text"
-_ngram_text = (f"flatten(list_transform(regexp_extract_all(text, '(?s).'), lambda c, i: "
-               f"CASE WHEN i < length(text) THEN [c, c || substring(text, i + 1, 1)] ELSE [c] END))")
 TOKEN_EXPR = {
     "tok_standard": d_standard(),
     "tok_letter": d_extract(_T, r"\p{L}+"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The driver's test tables, in the order they are documented.
@@ -128,17 +128,14 @@ def discover_columns(df: DataFrame, json_col: str, id_col: str) -> DataFrame:
     """Which keys occur in a JSON text column, with how many rows hold each.
 
     ``key`` is the top-level name; ``n_rows`` rows contain it, ``n_nonnull`` of
-    them with a non-null value, ``json_type`` is the variant type name seen
-    (one row per key and type). Variant parsing runs in the JVM; the explode
-    is a generator, and the grouping has map-side partial aggregation.
+    them with a non-null value. Variant parsing runs in the JVM; the explode is
+    a generator, and the grouping has map-side partial aggregation.
     """
     parsed = df.select(F.col(id_col), F.try_parse_json(F.col(json_col)).alias("_v"))
-    parsed.createOrReplaceTempView("_sheaf_discover")
-    spark = df.sparkSession
-    kv = spark.sql(
+    kv = df.sparkSession.sql(
         "SELECT e.key AS key, e.value AS value "
-        "FROM _sheaf_discover, LATERAL variant_explode_outer(_v) AS e "
-        "WHERE e.key IS NOT NULL")
+        "FROM {p} AS p, LATERAL variant_explode_outer(p._v) AS e "
+        "WHERE e.key IS NOT NULL", p=parsed)
     return (kv.groupBy("key")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                  F.count_if(F.expr("NOT is_variant_null(value)")).cast("bigint").alias("n_nonnull")))

@@ -1,6 +1,5 @@
 """One test per pinned refusal."""
 import pytest
-from pyspark.sql import functions as F
 
 from sheaf.operators import keys, shape, upsert
 from sheaf.sources import tables

@@ -1,7 +1,4 @@
 """Properties and the semantics of the keyed and shaping operators."""
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from sheaf.functions import filters as flt
