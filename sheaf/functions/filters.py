@@ -62,7 +62,7 @@ def stop(a: Column, words: Iterable[str] | str = "english") -> Column:
 def fingerprint(a: Column, max_output_size: int | None = 255, separator: str = " ") -> Column:
     """Sorted distinct tokens joined into one token; none when longer than the cap."""
     fp = F.array_join(F.array_sort(F.array_distinct(a)), separator)
-    out = F.when(F.size(a) == 0, _empty())
+    out = F.when(a.isNull(), F.lit(None).cast("array<string>")).when(F.size(a) == 0, _empty())
     if max_output_size is not None:
         out = out.when(F.length(fp) > max_output_size, _empty())
     return out.otherwise(F.array(fp))

@@ -161,3 +161,20 @@ def test_html_strip(spark):
          "<p>One <b>bold</b>&nbsp;&#65;&#x42;</p><div>x &amp;lt; y</div></body></html>")
     # html, head, /head, body, p -> five breaks; /p, div; /div, /body, /html -> three
     assert one(spark, html.html_strip, h) == "\n\n\n\n\nOne bold\xa0AB\n\nx &lt; y\n\n\n"
+
+
+@pytest.mark.parametrize("name", sorted(k for k in tok.TOKENIZERS if k not in (None, "None", "keyword")))
+def test_tokenizers_null_and_empty(spark, name):
+    df = spark.createDataFrame([(None,), ("",), ("   ",)], "t string")
+    got = [r[0] for r in df.select(tok.TOKENIZERS[name](F.col("t"))).collect()]
+    assert got[0] is None
+    assert got[1] == []
+    assert all(x.strip() == "" for x in got[2]) if name in ("ngram", "edge_ngram") else got[2] == []
+
+
+@pytest.mark.parametrize("name", sorted(flt.FILTERS))
+def test_filters_null_and_empty_arrays(spark, name):
+    df = spark.createDataFrame([(None,), ([],)], "a array<string>")
+    got = [r[0] for r in df.select(flt.FILTERS[name](F.col("a"))).collect()]
+    assert got[0] is None
+    assert got[1] == []
