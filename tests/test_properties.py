@@ -173,3 +173,16 @@ def test_merge_in_table_order_is_typed(spark):
 def test_json_duplicate_key_last_wins(spark):
     js = spark.createDataFrame([(1, '{"a": 1, "a": 2}')], "id bigint, js string")
     assert [tuple(r) for r in shape.flatten_json_rows(js, "js", ["id"]).collect()] == [(1, "a", "2")]
+
+
+def test_stream_analyze_equals_batch(spark, sf_dir, tmp_path):
+    from sheaf.plans import analyze as an
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    src = str(tmp_path / "docs")
+    d.repartition(3).write.parquet(src)
+    out = str(tmp_path / "out")
+    inc.stream_analyze(spark, src, d.schema, out, "doc_id", "text", "standard",
+                       checkpoint=str(tmp_path / "ck"), max_files_per_trigger=1)
+    got = rows(spark.read.parquet(out), "doc_id")
+    want = rows(an.with_analyzed(d, "text", "standard").drop("text"), "doc_id")
+    assert got == want
