@@ -62,7 +62,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     cluster an unset value is an error, because a machine-local folder would
     vanish with the executor that wrote it.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:               # a Spark Connect session: the server's setting applies
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is not set; set it to a shared folder")
+        return current
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():
@@ -84,7 +90,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     already far above the core count and this is a no-op.
     """
     spark = df.sparkSession
-    want = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    try:
+        want = min_partitions or spark.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:               # no RDD view (Spark Connect): leave the scan as it is
+        return df
+    if have < want:
         return df.repartition(want)
     return df
