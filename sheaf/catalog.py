@@ -248,11 +248,16 @@ LANG_CHAINS = {
     "es": (["lowercase", lambda a: flt.stop(a, "spanish")],
            lambda: light_stem.steps("spanish")),
 }
+# The stop-list-only languages, by ISO code: lowercase and the language's stop list,
+# all in one branch that looks the list up by language.
+STOP_ONLY_CODES = {"da": "danish", "nl": "dutch", "fi": "finnish", "hu": "hungarian", "it": "italian",
+                   "no": "norwegian", "pt": "portuguese", "ru": "russian", "sv": "swedish",
+                   "tr": "turkish"}
 
 
 @query("an_by_lang")
 def q_an_by_lang(spark, sf_dir):
-    """Each document analysed by its language's analyzer; term counts per language.
+    """Each document analysed by its language's analyzer; term counts per language.
 
     Pre-stem filters run per row (one CASE per language); stemming runs once
     per distinct (lang, token), one projection per step.
@@ -265,7 +270,9 @@ def q_an_by_lang(spark, sf_dir):
         for f in pre:
             a = flt.FILTERS[f](a) if isinstance(f, str) else f(a)
         expr = F.when(F.col("lang") == code, a) if expr is None else expr.when(F.col("lang") == code, a)
-    expr = expr.otherwise(flt.lowercase(base))
+    expr = (expr.when(F.col("lang").isin(list(STOP_ONLY_CODES)),
+                      flt.stop_by_lang(flt.lowercase(base), F.col("lang"), STOP_ONLY_CODES))
+                .otherwise(flt.lowercase(base)))
     counts = jobs.term_counts(d, expr, ["lang"])
     stem = F.col("token")
     for code, (_, steps) in LANG_CHAINS.items():

@@ -59,6 +59,19 @@ def stop(a: Column, words: Iterable[str] | str = "english") -> Column:
     return F.filter(a, lambda x: ~x.isin(ws))
 
 
+def stop_by_lang(a: Column, lang: Column, codes_to_languages: dict[str, str]) -> Column:
+    """Drop the stop words of each row's language (rows of other languages keep all tokens).
+
+    The lists are one literal ``map<code, array<word>>`` built from a single
+    JSON string (one expression, however many languages), looked up per row.
+    """
+    import json
+    table = {code: list(stopwords.stop_words(language)) for code, language in codes_to_languages.items()}
+    m = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "map<string,array<string>>")
+    words = F.coalesce(F.element_at(m, lang), F.array().cast("array<string>"))
+    return F.filter(a, lambda x: ~F.array_contains(words, x))
+
+
 def fingerprint(a: Column, max_output_size: int | None = 255, separator: str = " ") -> Column:
     """Sorted distinct tokens joined into one token; none when longer than the cap."""
     fp = F.array_join(F.array_sort(F.array_distinct(a)), separator)

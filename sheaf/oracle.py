@@ -397,6 +397,10 @@ SELECT lang, w AS token, CAST(sum(n) AS BIGINT) AS n FROM z GROUP BY lang, w
         "de": d_fold(d_stop(d_lower(std), stop_words("german")), "german_normalization"),
         "es": d_stop(d_lower(std), stop_words("spanish")),
     }
+    for code, lang in [("da", "danish"), ("nl", "dutch"), ("fi", "finnish"), ("hu", "hungarian"),
+                       ("it", "italian"), ("no", "norwegian"), ("pt", "portuguese"), ("ru", "russian"),
+                       ("sv", "swedish"), ("tr", "turkish")]:
+        pre[code] = d_stop(d_lower(std), stop_words(lang))
     case = "CASE " + " ".join(f"WHEN lang = {lit(k)} THEN {v}" for k, v in pre.items()) + \
         f" ELSE {d_lower(std)} END"
     chains = {"en": _porter_sql_steps(), "fr": _light_sql_steps("french"),

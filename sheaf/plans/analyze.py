@@ -126,7 +126,7 @@ LANG_ANALYZER = {"en": "english", "fr": "french", "de": "german", "es": "spanish
                  "sv": "swedish", "tr": "turkish"}
 
 
-def analyze_by_lang(text, lang, languages: Sequence[str] = ("en", "fr", "de", "es"),
+def analyze_by_lang(text, lang, languages: Sequence[str] | None = None,
                     default: str = "standard") -> Column:
     """Analyze each row with the analyzer of its language.
 
@@ -136,15 +136,24 @@ def analyze_by_lang(text, lang, languages: Sequence[str] = ("en", "fr", "de", "e
     """
     base = tok.standard(_as_col(text))
     lang = _as_col(lang)
+    languages = list(LANG_ANALYZER) if languages is None else languages
 
     def chain(name, a):
         for f in ANALYZERS[name][1]:
             a = flt.FILTERS[f](a) if isinstance(f, str) else f(a)
         return a
     out = None
+    stop_only = {c: LANG_ANALYZER[c] for c in languages if LANG_ANALYZER[c] in STOP_ONLY_LANGUAGES}
     for code in languages:
+        if code in stop_only:
+            continue
         branch = chain(LANG_ANALYZER[code], base)
         out = F.when(lang == code, branch) if out is None else out.when(lang == code, branch)
+    if stop_only:
+        # one branch for every stop-list-only language: lowercase, then its list
+        shared = flt.stop_by_lang(flt.lowercase(base), lang, stop_only)
+        cond = lang.isin(list(stop_only))
+        out = F.when(cond, shared) if out is None else out.when(cond, shared)
     fallback = chain(default, base) if default in ANALYZERS and ANALYZERS[default][0] == "standard" \
         else analyze(text, default)
     return out.otherwise(fallback) if out is not None else fallback

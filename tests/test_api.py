@@ -28,7 +28,8 @@ def test_register_custom_analyzer(spark):
 
 def test_analyze_by_lang(spark):
     df = spark.createDataFrame([("en", "The cats were running"), ("fr", "L'avion des chevaux"),
-                                ("de", "Die Häuser"), ("es", "Los gatos"), ("xx", "Other Words")],
+                                ("de", "Die Häuser"), ("es", "Los gatos"), ("xx", "Other Words"),
+                                ("it", "Il cane e il gatto")],
                                "lang string, t string")
     got = {r["lang"]: r["a"] for r in df.select("lang", an.analyze_by_lang("t", "lang").alias("a")).collect()}
     assert got["en"] == ["cat", "were", "run"]
@@ -36,6 +37,7 @@ def test_analyze_by_lang(spark):
     assert got["de"] == ["haus"]
     assert got["es"] == ["gat"]
     assert got["xx"] == ["other", "words"]
+    assert got["it"] == ["cane", "gatto"]
 
 
 def test_ngram_counts_equal_tokenizer_multiset(spark, sf_dir):
