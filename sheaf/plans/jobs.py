@@ -86,15 +86,22 @@ def term_stats(df: DataFrame, tokens: Column, group_cols: Sequence[str] = ("lang
     return top_k(stats, group_cols, [F.col("df").desc(), F.col("tf").desc(), F.col("token")], k)
 
 
-def fingerprint_clusters(df: DataFrame, id_col: str, fingerprint: Column) -> DataFrame:
+def fingerprint_clusters(df: DataFrame, id_col: str, fingerprint: Column,
+                         max_hot_keys: int = 100_000, min_hot_size: int = 100_000) -> DataFrame:
     """Documents whose fingerprints are equal, in clusters of two or more.
 
     Output: ``doc_id``, ``cluster_id`` (smallest id of the cluster),
     ``cluster_size``. The fingerprint is reduced to a SHA-256 key first, so the
     shuffle moves 32 bytes per row, not the whole fingerprint. A cluster is
-    never collected: an aggregate gives (key -> min id, size), joined back on
-    the key; a hot key (one cluster holding a third of the corpus) is
-    pre-aggregated map-side, and AQE splits its join partition.
+    never collected: an aggregate gives (key -> min id, size), pre-aggregated
+    map-side, and is joined back on the key.
+
+    Hot clusters are split off explicitly: a cluster of at least
+    ``max(min_hot_size, ceil(n / max_hot_keys))`` documents is hot, and there
+    can be at most ``max_hot_keys`` of those, so their (key, id, size) rows
+    have a proven bound and are broadcast; their documents join map-side,
+    without a shuffle. The remaining clusters are each smaller than the
+    threshold and join by a shuffle without skew.
     """
     keyed = df.select(F.col(id_col).alias("doc_id"), F.sha2(fingerprint, 256).alias("_fp"))
     # Both the aggregate and the join-back read the keys: write them once
@@ -105,8 +112,14 @@ def fingerprint_clusters(df: DataFrame, id_col: str, fingerprint: Column) -> Dat
     sizes = (keyed.groupBy("_fp")
                   .agg(F.min("doc_id").alias("cluster_id"), F.count(F.lit(1)).alias("cluster_size"))
                   .filter(F.col("cluster_size") > 1))
-    return (keyed.join(sizes, "_fp", "inner")
-                 .select("doc_id", "cluster_id", F.col("cluster_size").cast("bigint")))
+    n = keyed.count()                          # one pass over the written keys
+    threshold = max(min_hot_size, -(-n // max_hot_keys), 2)
+    hot = F.broadcast(sizes.filter(F.col("cluster_size") >= threshold))
+    cold = sizes.filter(F.col("cluster_size") < threshold)
+    hot_rows = keyed.join(hot, "_fp", "inner")
+    cold_rows = keyed.join(hot.select("_fp"), "_fp", "left_anti").join(cold, "_fp", "inner")
+    return (hot_rows.unionByName(cold_rows)
+                    .select("doc_id", "cluster_id", F.col("cluster_size").cast("bigint")))
 
 
 def materialize(df: DataFrame) -> DataFrame:

@@ -70,3 +70,21 @@ def test_field_stats_approx_close(spark, sf_dir):
     approx = {r["column"]: r["n_distinct"] for r in shape.field_stats(li, approx=True).collect()}
     for c, n in exact.items():
         assert abs(approx[c] - n) <= max(2, 0.1 * n)
+
+
+def test_fingerprint_hot_split_same_result(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    fp = F.element_at(an.analyze("text", "fingerprint"), 1)
+    base = sorted(tuple(r) for r in jobs.fingerprint_clusters(d, "doc_id", fp).collect())
+    # every cluster of 2+ treated as hot (broadcast path), and none (shuffle path)
+    hot = sorted(tuple(r) for r in jobs.fingerprint_clusters(d, "doc_id", fp, min_hot_size=2).collect())
+    assert base and hot == base
+
+
+def test_fingerprint_hot_cluster(spark):
+    rows = [(i, "same words here") for i in range(50)] + [(100, "other"), (101, "other"), (102, "lone")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    fp = F.element_at(an.analyze("text", "fingerprint"), 1)
+    out = jobs.fingerprint_clusters(d, "doc_id", fp, max_hot_keys=10, min_hot_size=10)
+    got = {r["doc_id"]: (r["cluster_id"], r["cluster_size"]) for r in out.collect()}
+    assert got == {**{i: (0, 50) for i in range(50)}, 100: (100, 2), 101: (100, 2)}
