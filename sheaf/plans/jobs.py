@@ -112,14 +112,29 @@ def fingerprint_clusters(df: DataFrame, id_col: str, fingerprint: Column,
     sizes = (keyed.groupBy("_fp")
                   .agg(F.min("doc_id").alias("cluster_id"), F.count(F.lit(1)).alias("cluster_size"))
                   .filter(F.col("cluster_size") > 1))
-    n = keyed.count()                          # one pass over the written keys
-    threshold = max(min_hot_size, -(-n // max_hot_keys), 2)
-    hot = F.broadcast(sizes.filter(F.col("cluster_size") >= threshold))
-    cold = sizes.filter(F.col("cluster_size") < threshold)
-    hot_rows = keyed.join(hot, "_fp", "inner")
-    cold_rows = keyed.join(hot.select("_fp"), "_fp", "left_anti").join(cold, "_fp", "inner")
-    return (hot_rows.unionByName(cold_rows)
-                    .select("doc_id", "cluster_id", F.col("cluster_size").cast("bigint")))
+    joined = join_hot_split(keyed, sizes, ["_fp"], "cluster_size", keyed.count(),
+                            max_hot_keys, min_hot_size)
+    return joined.select("doc_id", "cluster_id", F.col("cluster_size").cast("bigint"))
+
+
+def join_hot_split(big: DataFrame, small: DataFrame, on: Sequence[str], weight_col: str, n_big: int,
+                   max_hot_keys: int = 100_000, min_hot_size: int = 100_000) -> DataFrame:
+    """Inner join of ``big`` with ``small`` (unique on ``on``) that splits hot keys off.
+
+    ``small[weight_col]`` is the number of ``big`` rows of each key. Keys with
+    at least ``max(min_hot_size, ceil(n_big / max_hot_keys))`` rows are hot;
+    there can be at most ``max_hot_keys`` of them, a proven bound, so their
+    ``small`` rows are broadcast and their ``big`` rows join map-side. Every
+    other key has fewer rows than the threshold and joins by a shuffle without
+    skew.
+    """
+    on = list(on)
+    threshold = max(min_hot_size, -(-n_big // max_hot_keys), 1)
+    hot = F.broadcast(small.filter(F.col(weight_col) >= threshold))
+    cold = small.filter(F.col(weight_col) < threshold)
+    hot_rows = big.join(hot, on, "inner")
+    cold_rows = big.join(hot.select(*on), on, "left_anti").join(cold, on, "inner")
+    return hot_rows.unionByName(cold_rows)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -165,7 +180,8 @@ def once(value: Column, fn: Callable[[Column], Column]) -> Column:
 
 
 def stem_groups(df: DataFrame, tokens: Column, steps, id_col: str,
-                group_cols: Sequence[str] = ()) -> DataFrame:
+                group_cols: Sequence[str] = (), max_hot_keys: int = 100_000,
+                min_hot_size: int = 100_000) -> DataFrame:
     """Forms per stem: stem the distinct vocabulary once, join back for counts.
 
     Output per (group, stem): ``n_forms`` distinct surface forms, ``tf``
@@ -175,9 +191,12 @@ def stem_groups(df: DataFrame, tokens: Column, steps, id_col: str,
     occ = df.select(*group_cols, F.col(id_col).alias("_id"), F.explode(tokens).alias("token"))
     # Read three times below (vocabulary, join-back, forms): tokenize once.
     per_doc = materialize(occ.groupBy(*group_cols, "_id", "token").agg(F.count(F.lit(1)).alias("n")))
-    vocab = per_doc.select(*group_cols, "token").distinct()
+    # document frequency per form: the join-back weight of each vocabulary row
+    vocab = per_doc.groupBy(*group_cols, "token").agg(F.count(F.lit(1)).alias("_docs"))
     stems = materialize(apply_word_steps(vocab, steps))     # the vocabulary is stemmed once
-    joined = per_doc.join(stems, [*group_cols, "token"])
+    # A common form ("the") is in nearly every document: split hot forms off.
+    joined = join_hot_split(per_doc, stems, [*group_cols, "token"], "_docs", per_doc.count(),
+                            max_hot_keys, min_hot_size).drop("_docs")
     doc_stem = joined.groupBy(*group_cols, "stem", "_id").agg(F.sum("n").alias("n"))
     forms = stems.groupBy(*group_cols, "stem").agg(F.count(F.lit(1)).cast("bigint").alias("n_forms"))
     freq = doc_stem.groupBy(*group_cols, "stem").agg(F.sum("n").cast("bigint").alias("tf"),

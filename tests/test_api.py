@@ -88,3 +88,13 @@ def test_fingerprint_hot_cluster(spark):
     out = jobs.fingerprint_clusters(d, "doc_id", fp, max_hot_keys=10, min_hot_size=10)
     got = {r["doc_id"]: (r["cluster_id"], r["cluster_size"]) for r in out.collect()}
     assert got == {**{i: (0, 50) for i in range(50)}, 100: (100, 2), 101: (100, 2)}
+
+
+def test_stem_groups_hot_split_same_result(spark, sf_dir):
+    from sheaf.functions import porter
+    d = read_table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    t = flt.lowercase(tok.standard(F.col("text")))
+    base = sorted(tuple(r) for r in jobs.stem_groups(d, t, porter.porter_steps(), "doc_id", ["lang"]).collect())
+    hot = sorted(tuple(r) for r in jobs.stem_groups(d, t, porter.porter_steps(), "doc_id", ["lang"],
+                                                   min_hot_size=5).collect())
+    assert base and hot == base
