@@ -1,16 +1,16 @@
 """Stop-word lists.
 
 Language lists are Spark ML's defaults (the files behind
-``StopWordsRemover.loadDefaultStopWords``), read straight from the installed
-``spark-mllib`` jar so that no JVM is needed to build a plan or an oracle.
+``StopWordsRemover.loadDefaultStopWords``), kept unchanged as package data in
+``sheaf/data/stopwords`` (Apache License 2.0, see the NOTICE there): neither a
+jar nor a JVM is needed to build a plan or an oracle. A list is read on first
+use, never at import.
 """
 
 from __future__ import annotations
 
 import functools
-import glob
 import os
-import zipfile
 
 # The 33-word English stop set used by the `stop` analyzer and
 # the `stop` token filter with default parameters.
@@ -29,12 +29,7 @@ LANG_CODES = {"en": "english", "fr": "french", "de": "german", "es": "spanish",
               "ru": "russian", "sv": "swedish", "tr": "turkish"}
 
 
-def _mllib_jar() -> str:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if not jars:
-        raise FileNotFoundError("spark-mllib jar not found next to pyspark")
-    return jars[0]
+_DATA = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "data", "stopwords")
 
 
 @functools.lru_cache(maxsize=None)
@@ -43,9 +38,8 @@ def default_stop_words(language: str) -> tuple[str, ...]:
     language = LANG_CODES.get(language, language)
     if language not in SPARK_LANGUAGES:
         raise KeyError(f"no default stop list for {language!r}")
-    with zipfile.ZipFile(_mllib_jar()) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    words = [w.strip() for w in raw.splitlines()]
+    with open(os.path.join(_DATA, f"{language}.txt"), encoding="utf-8") as f:
+        words = [w.strip() for w in f]
     return tuple(dict.fromkeys(w for w in words if w))
 
 

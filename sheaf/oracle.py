@@ -427,8 +427,6 @@ UNPIVOT w ON {", ".join(STOP_ONLY_LANGUAGES)} INTO NAME analyzer VALUE n_tokens
 """
 
 
-_stem_oracles()
-
 
 # ---------------------------------------------------------------------------
 # Scans, keys, writes, shaping.
@@ -574,3 +572,10 @@ WHERE rn = 1
 """
 
 SQL["stream_analyze_documents"] = SQL["analyze_documents"]
+
+
+def all_sql() -> dict[str, str]:
+    """Every oracle; the ones that need word lists are built here, not at import."""
+    if "an_by_lang" not in SQL:
+        _stem_oracles()
+    return dict(SQL)
