@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from .bagminhash import op6_near_dedup
 from .mixing import op9_mixing
 from .repetition import op2_repetition
 
-QUERIES = {f.__name__: f for f in (op2_repetition, op9_mixing)}
+QUERIES = {f.__name__: f for f in (op2_repetition, op6_near_dedup, op9_mixing)}
 ORACLES: dict[str, str] = {}
