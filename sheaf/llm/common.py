@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,8 @@ def within(df: DataFrame, limit: int) -> bool:
 def broadcast_within(df: DataFrame, limit: int) -> DataFrame:
     """``df`` with a broadcast hint only if it was counted to have at most ``limit`` rows."""
     return F.broadcast(df) if within(df, limit) else df
+
+
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` computed once, however often ``fn`` uses it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
