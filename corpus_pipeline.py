@@ -10,15 +10,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheaf.llm import bagminhash, mixing
+from sheaf.llm import bagminhash, cotrain, decontam, mixing, pii
 from sheaf.llm.common import WORD, fresh, save_shared, table, text_of
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained quality classifier rejects go."""
+    return cotrain.keep_good(docs, cotrain.quality_labels(spark, sf_dir))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates stays: the one with the smallest id."""
     return bagminhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sanitisation(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are replaced; n_chars follows a changed text."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of each document for the mix, by pivotal rounding; documents that the mix does not take go."""
     size, key = fresh(docs, "size", "text_hash")
@@ -29,7 +45,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("pii", sanitisation),
     ("mixing", mix_sources),
 ]
 
