@@ -40,8 +40,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     size, key = fresh(docs, "size", "text_hash")
     sized = (docs.withColumn(size, F.regexp_count(text_of("text"), F.lit(WORD)).cast("bigint"))
                  .withColumn(key, F.xxhash64("text")))
+    in_source, target, copies = fresh(sized, "source_size", "target", "copies")
     mixed = mixing.mix(sized, "source", size, ("doc_id", key))
-    return mixed.filter(F.col("copies") > 0).drop(size, key, "source_size", "target")
+    return mixed.filter(F.col(copies) > 0).drop(size, key, in_source, target)
 
 
 STAGES = [

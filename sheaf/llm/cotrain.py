@@ -188,6 +188,8 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              carry: tuple[str, ...] = (), rounds: int = ROUNDS) -> DataFrame:
     """The columns ``carry`` of ``docs`` plus (text_score, meta_score, score): calibrated probabilities of being good.
 
+    Where a carried column has one of these names, underscores are put before the new one.
+
     ``labels``: (id, y) with y 1 for good documents and 0 for others.
     """
     views = featurise(docs, id_col, text_col, meta_cols, number_cols, carry)
@@ -207,7 +209,7 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 z = [logistic(cal[0]), logistic(cal[1]), logistic(score(np.column_stack(cal), model["final"]))]
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(c)) for c in kept], *z], names=schema.names)
     out = views.mapInArrow(run, schema)
-    s1, s2, s3 = fresh(out, "text_score", "meta_score", "score")
+    s1, s2, s3 = fresh(docs.select(*[F.col(f"`{c}`") for c in carry]), "text_score", "meta_score", "score")
     return out.select(*[F.col(c).alias(carry[i]) for i, c in enumerate(kept)],
                       F.col("z0").alias(s1), F.col("z1").alias(s2), F.col("z").alias(s3))
 

@@ -103,17 +103,21 @@ def mix(docs: DataFrame, source_col: str = "source", size_col: str = "size", key
         chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``docs`` plus (source_size, target, copies): how often the mix takes each row.
 
+    Where ``docs`` has a column of one of these names, underscores are put before the new one.
+
     ``key_cols`` seed the random choices: the same rows give the same result in
     any order and partitioning. Columns of ``docs`` pass through unchanged.
     """
     p, h, chunk, whole, lev, n_docs, src = fresh(docs, "__p", "__h", "__chunk", "__whole", "__done", "__n", "__src")
+    in_source, target, copies = fresh(docs, "source_size", "target", "copies")
     targets = source_targets(docs, source_col, size_col, weights, max_repeat).select(
-        F.col("source").alias(src), F.col("source_size"), F.col("target"), F.col("n_docs").alias(n_docs))
+        F.col("source").alias(src), F.col("source_size").alias(in_source), F.col("target").alias(target),
+        F.col("n_docs").alias(n_docs))
     # two scalars about the sources; whether their table may be broadcast is decided on its counted size
     stat = targets.agg(F.count(F.lit(1)).alias("n"), F.max(n_docs).alias("most")).first()
     small = stat["n"] <= BROADCAST_SOURCES
     joined = docs.join(F.broadcast(targets) if small else targets, docs[source_col].eqNullSafe(targets[src]))
-    ratio = F.when(F.col("source_size") > 0, F.least(F.lit(max_repeat), F.col("target") / F.col("source_size"))).otherwise(0.0)
+    ratio = F.when(F.col(in_source) > 0, F.least(F.lit(max_repeat), F.col(target) / F.col(in_source))).otherwise(0.0)
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("coin"), *key_cols), 11) / F.lit(float(1 << 53))
     frac = ratio - F.floor(ratio)
     zero = F.coalesce(F.col(size_col), F.lit(0)) <= 0
@@ -158,7 +162,7 @@ def mix(docs: DataFrame, source_col: str = "source", size_col: str = "size", key
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
-    return out.withColumn("copies", F.col(whole) + F.col(p).cast("bigint")).drop(p, h, chunk, whole, lev, src)
+    return out.withColumn(copies, F.col(whole) + F.col(p).cast("bigint")).drop(p, h, chunk, whole, lev, src)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import table, text_of
+from .common import fresh, table, text_of
 
 #: Shortest repeat that counts, in words.
 MIN_REPEAT = 8
@@ -137,20 +137,21 @@ def _measure(texts: list) -> dict[str, np.ndarray]:
 def repetition(df: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
     """``df`` plus n_words, n_repeat_words, covered_chars, longest_repeat, n_repeat_starts.
 
-    ``keep_text=False`` drops the text itself from the output.
+    ``keep_text=False`` drops the text itself from the output. Where ``df`` has a
+    column of one of these names, underscores are put before the new one.
     """
     kept = [f for f in df.schema.fields if keep_text or f.name != text_col]
     schema = df.select(*[F.col(f"`{f.name}`") for f in kept]).schema
-    for name, _ in OUT_FIELDS:
+    names, new = [f.name for f in kept], fresh(df, *[name for name, _ in OUT_FIELDS])
+    for name in new:
         schema = schema.add(name, T.LongType(), False)
-    names = [f.name for f in kept]
 
     def run(batches):
         for batch in batches:
             found = _measure(batch.column(batch.schema.names.index(text_col)).to_pylist())
             columns = [batch.column(batch.schema.names.index(c)) for c in names]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(found[c]) for c, _ in OUT_FIELDS],
-                                             names=names + [c for c, _ in OUT_FIELDS])
+                                             names=names + new)
 
     return df.mapInArrow(run, schema)
 
