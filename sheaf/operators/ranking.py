@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -24,6 +24,37 @@ def save_shared(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables of one computation in the shared folder; all are deleted when the ``with`` block ends.
+
+    What the block returns must not read them any more: write it with
+    ``save_shared`` before.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        """``save_shared`` for the length of the block."""
+        path = f"{checkpoint_dir(self.spark)}/tables/{name}-{uuid.uuid4().hex}"
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a file system that Spark knows."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "_key", offset: int = 0) -> DataFrame:
     """``df`` plus ``name``: consecutive integers from ``offset`` in the order of ``order_by``.
 
