@@ -61,5 +61,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = save_shared(stage(spark, docs, sf_dir), name)
+        docs = save_shared(stage(spark, docs, sf_dir), name)      # written and read again
     return STAGES[-1][1](spark, docs, sf_dir)

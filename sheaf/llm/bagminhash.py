@@ -15,11 +15,9 @@ Search. Signatures are cut into bands; texts with an equal band share a bucket.
 No bucket is expanded into pairs: in each, one hub (the text with the most
 bucket mates) is compared with all others, and texts linked by verified pairs form
 classes. Pairs of *different* classes that share a bucket are then compared one by
-one where a bucket has few of them. Where it has many (a passage that very many
-texts share), an exact prefix filter replaces the bucket: two texts with a
-similarity of t must share one of their rarest (1 - t) n + 1 shingles, so only
-texts that share such a rare shingle are compared. Every comparison counts the
-multiset overlap exactly.
+one, after an exact filter on the shingles that a text has alone (``_open_pairs``):
+where very many texts share a passage, or are almost near to each other, it leaves
+few of them. Every comparison counts the multiset overlap exactly.
 
 Output: one row per document with the class it belongs to; exact copies are one
 text throughout, so copies cost nothing but their own row.
@@ -36,16 +34,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, save_shared, table, text_of
+from .common import Scratch, fresh, save_shared, table, text_of
 from .shingles import _WordHashes, blocks, mix, occurrences, shingle_hashes
 
 #: Components of a signature: bands times rows. At a similarity of 0.8 a pair shares no band
-#: with a probability of (1 - 0.8 ** ROWS) ** BANDS = 5e-6.
-BANDS, ROWS = 40, 6
+#: with a probability of (1 - 0.8 ** ROWS) ** BANDS = 8e-6. Long rows keep texts that only share a passage apart.
+BANDS, ROWS = 64, 8
 #: Verified similarity, as a fraction: NEAR_NUM / NEAR_DEN = 0.8.
 NEAR_NUM, NEAR_DEN = 4, 5
-#: Buckets with more pairs of different classes than this go to the prefix filter.
-FEW_PAIRS = 256
 #: Texts to verify are picked by a broadcast of their keys up to this number, else by a shuffle.
 BROADCAST_KEYS = 250_000
 
@@ -113,7 +109,7 @@ def _signed(batches):
             doc, value, nth, times = occurrences(*shingle_hashes(flat, counts, cache))
             size = np.bincount(doc, minlength=end - begin)
             one = nth == 0
-            keys = band_keys(signatures(doc[one], value[one], times[one], end - begin, BANDS * ROWS))
+            keys = band_keys(signatures(doc[one], value[one], times[one], end - begin, BANDS * ROWS), BANDS, ROWS)
             full = np.flatnonzero(size)
             offsets = np.arange(len(full) + 1, dtype=np.int32) * BANDS
             yield pa.RecordBatch.from_arrays(
@@ -151,16 +147,16 @@ def _verified(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return found.filter(NEAR_DEN * F.col("both") >= NEAR_NUM * (F.col("sum") - F.col("both"))).select("a", "b")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, class) of the connected components of ``links`` (a, b); the class is the smallest node.
 
     Label propagation with shortcuts; every round is written to the shared
     folder, so a lost executor costs a round at most. Only the number of changed
     labels reaches the driver.
     """
-    edges = save_shared(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = scratch.save(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
                         .distinct(), "edges")
-    labels = save_shared(edges.groupBy("a").agg(F.min("b").alias("low"))
+    labels = scratch.save(edges.groupBy("a").agg(F.min("b").alias("low"))
                          .select(F.col("a").alias("node"), F.least("a", "low").alias("class")), "labels")
     while True:
         heard = (edges.join(labels.withColumnRenamed("node", "b"), "b")
@@ -168,60 +164,61 @@ def components(links: DataFrame) -> DataFrame:
         told = labels.join(heard, "node").select("node", F.col("class").alias("was"), F.least("class", "heard").alias("to"))
         # shortcut: the label of my label
         jump = labels.select(F.col("node").alias("to"), F.col("class").alias("further"))
-        new = save_shared(told.join(jump, "to", "left").select(
+        new = scratch.save(told.join(jump, "to", "left").select(
             "node", "was", F.least("to", F.coalesce("further", "to")).alias("class")), "labels")
         labels = new.select("node", "class")
         if new.filter(F.col("was") != F.col("class")).isEmpty():
             return labels
 
 
-def _hub_pairs(groups: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of (bucket, node): the pairs of each bucket's hub with its other members, and each bucket's hub.
+def _hub_pairs(groups: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Of (bucket, node, n): the pairs of each bucket's hub with its other members, and each bucket's hub.
 
     The hub is the member with the most bucket mates over all buckets: the
     original of a group of near copies has more of them than any copy.
     """
     sizes = groups.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > 1)
-    multi = save_shared(groups.join(sizes, "bucket"), "multi")
+    multi = scratch.save(groups.join(sizes, "bucket"), "multi")
     mass = multi.groupBy("node").agg(F.sum("size").alias("mass"))
-    hubs = save_shared(multi.join(mass, "node").groupBy("bucket").agg(
+    hubs = scratch.save(multi.join(mass, "node").groupBy("bucket").agg(
         F.max(F.struct("mass", "node"))["node"].alias("hub")), "hubs")
     rest = multi.join(hubs, "bucket").filter(F.col("node") != F.col("hub"))
     pairs = rest.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    return pairs, rest.select("bucket", "node")
+    return pairs, rest.select("bucket", "node", "n")
 
 
-def _cross(rest: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (bucket, node, class) of the buckets that still hold several classes, and (bucket, pairs)."""
+def _open_buckets(rest: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members (bucket, node, n, class), and the buckets that still hold several classes (bucket, least n)."""
     named = rest.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    per_class = named.groupBy("bucket", "class").agg(F.count(F.lit(1)).alias("k"))
-    pairs = (per_class.groupBy("bucket").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("same"))
-                      .select("bucket", ((F.col("n") * F.col("n") - F.col("same")) / 2).cast("bigint").alias("pairs"))
-                      .filter(F.col("pairs") > 0))
-    return named, pairs
-
-
-def _cross_pairs(named: DataFrame, buckets: DataFrame) -> DataFrame:
-    """All pairs of members of different classes in ``buckets``: classes are paired first, then their members."""
-    members = save_shared(named.join(buckets.select("bucket"), "bucket"), "members")
-    classes = members.select("bucket", "class").distinct()
-    pairs = classes.join(classes.withColumnRenamed("class", "other"), "bucket").filter(F.col("class") < F.col("other"))
-    left = members.select("bucket", "class", F.col("node").alias("a"))
-    right = members.select("bucket", F.col("class").alias("other"), F.col("node").alias("b"))
-    return pairs.join(left, ["bucket", "class"]).join(right, ["bucket", "other"]).select("a", "b").distinct()
-
-
-def _prefix_groups(nodes: DataFrame, bags: DataFrame) -> DataFrame:
-    """(bucket, node): texts by the rare shingles of which two near texts must share one (exact)."""
-    items = save_shared(nodes.join(bags, "node").select("node", F.size("bag").alias("n"), F.explode("bag").alias("bucket")),
-                        "items")
-    often = items.groupBy("bucket").agg(F.count(F.lit(1)).alias("df"))
-    # the rarest n - ceil(t n) + 1 shingles, ties by hash: the same order for every text
-    from pyspark.sql import Window
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "bucket"))
-    keep = F.col("n") - F.ceil(F.col("n") * F.lit(NEAR_NUM) / F.lit(NEAR_DEN)) + 1
-    return (items.join(often, "bucket").withColumn("rank", rank).filter((F.col("rank") <= keep) & (F.col("df") > 1))
-                 .select("bucket", "node"))
+    some = named.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.min("n").alias("least"))
+    return named, some.filter(F.col("low") != F.col("high")).select("bucket", "least")
+
+
+def _open_pairs(named: DataFrame, buckets: DataFrame, bags: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs of different classes in ``buckets`` that can still be near.
+
+    An exact filter goes before any pair is made. Of the n shingles of a text, u
+    occur in no other text of the buckets, so no partner shares more than s = n - u
+    of them; near texts of n and m shingles share t / (1 + t) (n + m) at least. A
+    text that cannot reach that even with the smallest member leaves the bucket
+    (texts that only have a passage in common leave this way), and a pair is made
+    only where both sides can reach it.
+    """
+    members = scratch.save(named.join(buckets, "bucket"), "members")
+    nodes = members.select("node").distinct()
+    shingles = nodes.join(bags, "node").select("node", F.explode("bag").alias("shingle"))
+    # a shingle of one text only names that text: two aggregations, no join on shingles
+    sole = (shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("node").alias("node"))
+                    .filter(F.col("df") == 1).groupBy("node").agg(F.count(F.lit(1)).alias("u")))
+    shared = F.col("n") - F.coalesce("u", F.lit(0))
+    # the largest partner that a text of n shingles can have: (1 + t) / t s - n
+    largest = F.floor(shared * F.lit(NEAR_NUM + NEAR_DEN) / F.lit(NEAR_NUM)).cast("bigint") - F.col("n")
+    able = scratch.save(members.join(sole, "node", "left").withColumn("most", largest).filter(F.col("most") >= F.col("least"))
+                              .select("bucket", "class", "node", "n", "most"), "able")
+    left, right = able.alias("x"), able.alias("y")
+    return left.join(right, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
+                     & (F.col("x.class") != F.col("y.class")) & (F.col("x.n") <= F.col("y.most"))
+                     & (F.col("y.n") <= F.col("x.most"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,49 +229,47 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of that id; ``firsts`` counts its rows with that id. ``node`` is
     ``node_of(text_col)``. Ids may repeat or be null: nulls come last.
     """
+    with Scratch(docs.sparkSession) as scratch:
+        return _classes(docs, id_col, text_col, scratch)
+
+
+def _classes(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> DataFrame:
     slim = docs.select(F.col(id_col).alias("id"), node_of(text_col).alias("node"))
     keyed = docs.select(node_of(text_col).alias("node"), text_of(text_col).alias("text"))
     per_id = slim.groupBy("node", "id").agg(F.count(F.lit(1)).alias("rows"))
-    texts = save_shared(per_id.groupBy("node").agg(
+    texts = scratch.save(per_id.groupBy("node").agg(
         F.min("id").alias("id"), F.sum("rows").alias("copies"),
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rows"))["rows"].alias("firsts")), "texts")
-    signed = save_shared(keyed.mapInArrow(_signed, "node binary, n bigint, bands array<bigint>")
+    signed = scratch.save(keyed.mapInArrow(_signed, "node binary, n bigint, bands array<bigint>")
                          .dropDuplicates(["node"]), "signed")
-    pairs, rest = _hub_pairs(signed.select(F.explode("bands").alias("bucket"), "node"))
-    pairs = save_shared(pairs, "pairs")
-    rest = save_shared(rest, "rest")
+    pairs, rest = _hub_pairs(signed.select(F.explode("bands").alias("bucket"), "node", "n"), scratch)
+    pairs = scratch.save(pairs, "pairs")
+    rest = scratch.save(rest, "rest")
 
     # the multisets of the texts that share a bucket at all, one document of each text
     wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = save_shared(wanted.join(texts, "node").select("node", F.col("id").alias("keep")), "wanted")
+    wanted = scratch.save(wanted.join(texts, "node").select("node", F.col("id").alias("keep")), "wanted")
     if wanted.count() <= BROADCAST_KEYS:
         wanted = F.broadcast(wanted)
     rows = docs.select(node_of(text_col).alias("node"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     picked = rows.join(wanted, "node").filter(F.col("id").eqNullSafe(F.col("keep"))).select("node", "text")
-    bags = save_shared(picked.mapInArrow(_bagged, "node binary, bag array<bigint>").dropDuplicates(["node"]), "bags")
-
-    links = save_shared(_verified(pairs, bags), "links")
-    labels = components(links)
-    # pairs of different classes: one by one where they are few, through the prefix filter where not
-    named, left = _cross(rest, labels)
-    named, left = save_shared(named, "named"), save_shared(left, "left")
-    few = _cross_pairs(named, left.filter(F.col("pairs") <= FEW_PAIRS))
-    links = save_shared(links.unionByName(_verified(few, bags)), "links")
-    many = left.filter(F.col("pairs") > FEW_PAIRS)
-    if not many.isEmpty():
-        nodes = named.join(many.select("bucket"), "bucket").select("node").distinct()
-        pairs, rest = _hub_pairs(_prefix_groups(nodes, bags))
-        links = save_shared(links.unionByName(_verified(pairs, bags)), "links")
-        named, left = _cross(rest, components(links))
-        named, left = save_shared(named, "named"), save_shared(left, "left")
-        links = save_shared(links.unionByName(_verified(_cross_pairs(named, left), bags)), "links")
-    labels = components(links)
+    bags = scratch.save(picked.mapInArrow(_bagged, "node binary, bag array<bigint>").dropDuplicates(["node"]), "bags")
+
+    links = scratch.save(_verified(pairs, bags), "links")
+    labels = components(links, scratch)
+    # pairs of texts of different classes that share a bucket
+    named, buckets = _open_buckets(rest, labels)
+    named, buckets = scratch.save(named, "named"), scratch.save(buckets, "open")
+    more = _open_pairs(named, buckets, bags, scratch)
+    links = scratch.save(links.unionByName(_verified(more, bags)), "links")
+    labels = components(links, scratch)
     named = texts.join(labels, "node", "left").withColumn("class", F.coalesce("class", "node"))
     classes = named.groupBy("class").agg(
         F.min("id").alias("class_id"), F.sum("copies").alias("class_size"),
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "node"))["node"].alias("first"))
-    return named.join(classes, "class").select("node", "class_id", "class_size",
+    done = named.join(classes, "class").select("node", "class_id", "class_size",
                                                (F.col("node") == F.col("first")).alias("is_first"), "firsts")
+    return save_shared(done, "classes")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

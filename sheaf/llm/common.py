@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ranking import save_shared  # noqa: F401  (re-exported)
+from ..operators.ranking import Scratch, delete_path, save_shared  # noqa: F401  (re-exported)
 
 #: A word, as every contract of this subpackage defines it.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -15,7 +15,7 @@ scores by how reliable they proved there, and every document is scored.
 
 Scale. Texts are read once, by tasks, into a table of ``N_TEXT + N_META`` numbers per
 document in the shared folder; each round is a scan of that table. Models are fitted
-on samples bounded by ``MAX_LABELLED`` and ``MAX_PSEUDO`` rows, picked by hash from
+on samples bounded (in expectation) by ``MAX_LABELLED`` and ``MAX_PSEUDO`` rows, picked by hash from
 *all* rows that qualify, so the choice does not depend on order or partitioning.
 
 Defined cases: null texts are empty, null metadata is a value of its own; a label of
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh, save_shared, table
+from .common import Scratch, fresh, table
 
 #: Numbers per document: hashed byte pairs plus shares; hashed metadata plus lengths.
 N_PAIRS, N_SHARES, N_META = 96, 14, 48
@@ -43,6 +43,7 @@ N_TEXT = N_PAIRS + N_SHARES
 #: Bounds of the training samples (rows): labelled ones, and pseudo-labels per view, class and round.
 MAX_LABELLED, MAX_PSEUDO = 20_000, 1_000
 ROUNDS = 3
+VIEWS = ("text_view", "meta_view")
 #: A pseudo-label is given from this probability of either class.
 CONFIDENT = 0.97
 #: Part of the labelled sample that is kept for calibration, and the score from which a document is kept.
@@ -107,74 +108,97 @@ def _matrix(rows: list, name: str) -> np.ndarray:
     return np.array([np.frombuffer(r[name], dtype=np.float32) for r in rows], dtype=np.float64)
 
 
-def _scores(batch, names: list[str], models: list[np.ndarray]) -> list[np.ndarray]:
+def _scores(batch, models: list[np.ndarray]) -> list[np.ndarray]:
     out = []
-    for name, w in zip(names, models):
+    for name, w in zip(VIEWS, models):
         column = batch.column(batch.schema.names.index(name))
-        x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(len(column), -1) if len(column) else np.zeros((0, len(w) - 1))
-        out.append(score(x, w))
+        x = np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(len(column), len(w) - 1)
+        out.append(score(x.astype(np.float64), w))
     return out
 
 
-def featurise(docs: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str, ...], number_cols: tuple[str, ...],
-              carry: tuple[str, ...] = ()) -> DataFrame:
-    """(id, text_view, meta_view) and the columns ``carry``, one row per document, written once."""
-    used = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"),
+def _inputs(docs: DataFrame, id_col: str, text_col: str, meta_cols: tuple[str, ...], number_cols: tuple[str, ...],
+            carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, text, values, numbers) and the columns ``carry`` as c0, c1, ..."""
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"),
                        F.array(*[F.col(c).cast("string") for c in meta_cols]).alias("values"),
                        F.array(*[F.col(c).cast("double") for c in number_cols]).alias("numbers"),
                        *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(carry)])
-    kept = [f"c{i}" for i in range(len(carry))]
+
+
+def _both_views(batch) -> list[np.ndarray]:
+    get = lambda c: batch.column(batch.schema.names.index(c)).to_pylist()
+    text = [text_features(t) for t in get("text")]
+    meta = [meta_features(v, n) for v, n in zip(get("values"), get("numbers"))]
+    return [np.array(x, dtype=np.float32).reshape(len(x), n) for x, n in ((text, N_TEXT), (meta, N_META))]
+
+
+def featurise(inputs: DataFrame, seed: int = 11) -> DataFrame:
+    """(id, text_view, meta_view, h) of ``_inputs``, one row per document; ``h`` is a hash that picks samples."""
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("text_view", T.BinaryType()),
-                           T.StructField("meta_view", T.BinaryType()), *[used.schema[c] for c in kept]])
+                           T.StructField("meta_view", T.BinaryType())])
 
     def run(batches):
         for batch in batches:
-            get = lambda c: batch.column(batch.schema.names.index(c))  # noqa: E731, B023
-            text = [text_features(t).tobytes() for t in get("text").to_pylist()]
-            meta = [meta_features(v, n).tobytes() for v, n in zip(get("values").to_pylist(), get("numbers").to_pylist())]
-            yield pa.RecordBatch.from_arrays([get("id"), pa.array(text, pa.binary()), pa.array(meta, pa.binary()),
-                                              *[get(c) for c in kept]], names=schema.names)
-    return save_shared(used.mapInArrow(run, schema), "views")
+            views = [pa.array([r.tobytes() for r in x], pa.binary()) for x in _both_views(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.names.index("id")), *views], names=schema.names)
+    views = inputs.select("id", "text", "values", "numbers").mapInArrow(run, schema)
+    return views.withColumn("h", F.xxhash64(F.lit(seed), "id", "text_view", "meta_view"))
+
 
+def _part(h: str, share: float):
+    """Whether a row belongs to a random share of all rows, by its hash."""
+    return (F.col(h) / F.lit(2.0 ** 64) + 0.5) < share
 
-def _sample(rows: DataFrame, limit: int, seed: int) -> list:
-    """At most ``limit`` rows, picked by hash."""
-    return rows.orderBy(F.xxhash64(F.lit(seed), "id", "text_view"), "id").limit(limit).collect()
 
+def train(views: DataFrame, labels: DataFrame, scratch: Scratch, rounds: int = ROUNDS, seed: int = 11) -> dict:
+    """The two models, their calibrations and the final combination; {"share": s} where there is nothing to learn.
 
-def train(views: DataFrame, labels: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> dict:
-    """The two models, their calibrations and the final combination; {"share": s} where there is nothing to learn."""
+    Labels beyond a random ``MAX_LABELLED`` of them are not used.
+    """
     one = labels.filter(F.col("y").isNotNull() & F.col("id").isNotNull()).groupBy("id").agg(F.min("y").alias("y"))
-    known = _sample(views.join(one, "id").dropDuplicates(["id"]), MAX_LABELLED, seed)
+    one = scratch.save(one.withColumn("hid", F.xxhash64(F.lit(seed), "id")), "labels")
+    n = one.count()
+    picked = F.broadcast(one.filter(_part("hid", MAX_LABELLED / max(n, 1))).select("id", "y"))    # its size is the bound
+    known, seen = [], set()
+    for r in views.join(picked, "id").orderBy("h").collect():
+        if r["id"] not in seen:                                         # a repeated document counts once
+            seen.add(r["id"])
+            known.append(r)
     y = np.array([r["y"] for r in known], dtype=np.float64)
     if len(set(y)) < 2:
         return {"share": float(y.mean()) if len(y) else 1.0}
     held = np.array([zlib.crc32(f"{seed}:{r['id']}".encode()) % 1000 < 1000 * HELD_OUT for r in known])
     if len(set(y[~held])) < 2 or len(set(y[held])) < 2:
         held[:] = False
-    names = ["text_view", "meta_view"]
-    x = [_matrix(known, n) for n in names]
+    x = [_matrix(known, n) for n in VIEWS]
     sets = [[(x[v][~held], y[~held])] for v in (0, 1)]
-    unlabelled = views.join(one, "id", "left_anti")
     models = [fit(*map(np.concatenate, zip(*sets[v]))) for v in (0, 1)]
-    schema = T.StructType([*views.select("id", *names).schema.fields, T.StructField("z0", T.DoubleType()),
-                           T.StructField("z1", T.DoubleType())])
-    least = np.log(CONFIDENT / (1 - CONFIDENT))
+    schema = T.StructType([T.StructField("h", T.LongType()), T.StructField("z0", T.DoubleType()), T.StructField("z1", T.DoubleType())])
+    least = float(np.log(CONFIDENT / (1 - CONFIDENT)))
     for turn in range(rounds):
         fixed = list(models)
 
         def run(batches, fixed=fixed):
             for batch in batches:
-                z = _scores(batch, names, fixed)
+                z = _scores(batch, fixed)
                 sure = pa.array((np.abs(z[0]) >= least) | (np.abs(z[1]) >= least))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(z[0]), pa.array(z[1])], names=schema.names).filter(sure)
-        sure = save_shared(unlabelled.select("id", *names).mapInArrow(run, schema), f"confident{turn}")
+                h = batch.column(batch.schema.names.index("h"))
+                yield pa.RecordBatch.from_arrays([h, pa.array(z[0]), pa.array(z[1])], names=schema.names).filter(sure)
+        free = views.join(picked.select("id"), "id", "left_anti")
+        sure = scratch.save(free.mapInArrow(run, schema), f"confident{turn}")
+        # what each view is sure of, counted over all documents; then a random part of each kind
+        kinds = [(t, y_, (F.col(f"z{t}") >= least) if y_ else (F.col(f"z{t}") <= -least)) for t in (0, 1) for y_ in (0, 1)]
+        counts = sure.agg(*[F.count(F.when(c, 1)).alias(f"n{t}{y_}") for t, y_, c in kinds]).first()
+        mark = lambda t, y_, c: F.when(c & _part("h", MAX_PSEUDO / max(counts[f"n{t}{y_}"], 1)), y_)  # noqa: E731, B023
+        marked = sure.select("h", *[F.coalesce(*[mark(*k) for k in kinds if k[0] == t]).alias(f"y{t}") for t in (0, 1)])
+        chosen = F.broadcast(marked.filter(F.col("y0").isNotNull() | F.col("y1").isNotNull()).dropDuplicates(["h"]))  # 4 MAX_PSEUDO
+        rows = {r["h"]: r for r in views.join(chosen, "h").collect()}
+        rows = [rows[h] for h in sorted(rows)]
         for teacher, learner in ((0, 1), (1, 0)):
-            z = F.col(f"z{teacher}")
-            told = sure.withColumn("y", F.when(z >= least, 1).when(z <= -least, 0))
-            rows = [r for y_ in (0, 1) for r in _sample(told.filter(F.col("y") == y_), MAX_PSEUDO, seed + turn + 1)]
-            if rows:
-                sets[learner].append((_matrix(rows, names[learner]), np.array([r["y"] for r in rows], dtype=np.float64)))
+            told = [r for r in rows if r[f"y{teacher}"] is not None]
+            if told:
+                sets[learner].append((_matrix(told, VIEWS[learner]), np.array([r[f"y{teacher}"] for r in told], dtype=np.float64)))
         models = [fit(*map(np.concatenate, zip(*sets[v]))) for v in (0, 1)]
     check = held if held.any() else ~held
     z = [score(x[v][check], models[v]) for v in (0, 1)]
@@ -188,15 +212,15 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              carry: tuple[str, ...] = (), rounds: int = ROUNDS) -> DataFrame:
     """The columns ``carry`` of ``docs`` plus (text_score, meta_score, score): calibrated probabilities of being good.
 
-    Where a carried column has one of these names, underscores are put before the new one.
-
-    ``labels``: (id, y) with y 1 for good documents and 0 for others.
+    ``labels``: (id, y) with y 1 for good documents and 0 for others. Where a carried column has one of the new
+    names, underscores are put before the new one. The models are all that is kept from training: the final scan
+    reads the documents themselves.
     """
-    views = featurise(docs, id_col, text_col, meta_cols, number_cols, carry)
-    model = train(views.select("id", "text_view", "meta_view"), labels, rounds)
-    names = ["text_view", "meta_view"]
+    inputs = _inputs(docs, id_col, text_col, meta_cols, number_cols, carry)
+    with Scratch(docs.sparkSession) as scratch:
+        model = train(scratch.save(featurise(inputs), "views"), labels, scratch, rounds)
     kept = [f"c{i}" for i in range(len(carry))]
-    schema = T.StructType([*[views.schema[c] for c in kept], *[T.StructField(n, T.DoubleType()) for n in ("z0", "z1", "z")]])
+    schema = T.StructType([*[inputs.schema[c] for c in kept], *[T.StructField(n, T.DoubleType()) for n in ("z0", "z1", "z")]])
 
     def run(batches):
         logistic = lambda z: pa.array(1 / (1 + np.exp(-z)))
@@ -204,11 +228,11 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             if "share" in model:
                 z = [pa.array(np.full(len(batch), model["share"]))] * 3
             else:
-                raw = _scores(batch, names, model["models"])
+                raw = [score(x.astype(np.float64), w) for x, w in zip(_both_views(batch), model["models"])]
                 cal = [score(r[:, None], c) for r, c in zip(raw, model["calibrations"])]
                 z = [logistic(cal[0]), logistic(cal[1]), logistic(score(np.column_stack(cal), model["final"]))]
             yield pa.RecordBatch.from_arrays([*[batch.column(batch.schema.names.index(c)) for c in kept], *z], names=schema.names)
-    out = views.mapInArrow(run, schema)
+    out = inputs.mapInArrow(run, schema)
     s1, s2, s3 = fresh(docs.select(*[F.col(f"`{c}`") for c in carry]), "text_score", "meta_score", "score")
     return out.select(*[F.col(c).alias(carry[i]) for i, c in enumerate(kept)],
                       F.col("z0").alias(s1), F.col("z1").alias(s2), F.col("z").alias(s3))

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SHINGLE, fresh, let, save_shared, table, text_of, within, words
+from .common import SHINGLE, Scratch, fresh, let, save_shared, table, text_of, within, words
 
 #: Containment from which an item counts as found, as a fraction: 4 / 5 = 0.8.
 NUM, DEN = 4, 5
@@ -54,37 +54,41 @@ def _key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def item_signatures(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+def item_signatures(items: DataFrame, scratch: Scratch, id_col: str = "item_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Items (item, n_items, shingles, w) and their signatures (item, w, i, value, hash)."""
     text = text_of(text_col)
     one = items.groupBy(text.alias("text")).agg(F.min(id_col).alias("item"), F.count(F.lit(1)).alias("n_items"))
     listed = one.withColumn("shingles", _spelled(F.col("text"))).filter(F.size("shingles") > 0)
     w = F.pow(F.lit(2), F.ceil(F.log2(F.size("shingles")))).cast("int")
-    listed = save_shared(listed.withColumn("w", F.greatest(w, F.lit(4))), "items")
+    listed = scratch.save(listed.withColumn("w", F.greatest(w, F.lit(4))), "items")
     minima = F.transform(F.sequence(F.lit(0), F.lit(FUNCTIONS - 1)), lambda i: F.array_min(F.transform(
         "hashes", lambda h: F.struct(F.xxhash64(h, i).alias("value"), h.alias("hash"), i.alias("i")))))
     signed = (listed.withColumn("hashes", F.array_distinct(_hashed(F.col("text"))))
                     .select("item", "w", F.explode(minima).alias("m")).select("item", "w", "m.i", "m.value", "m.hash"))
-    return listed.drop("text"), save_shared(signed, "signed")
+    return listed.drop("text"), scratch.save(signed, "signed")
 
 
 def contained(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """(text_key, item, n_items, n_shared, n_item): the items that the distinct texts of ``docs`` contain."""
-    text = text_of(text_col)
+    with Scratch(docs.sparkSession) as scratch:
+        return save_shared(_contained(docs, items, text_of(text_col), scratch), "contained")
+
+
+def _contained(docs: DataFrame, items: DataFrame, text: Column, scratch: Scratch) -> DataFrame:
     plain = docs.select(_key(text).alias("text_key"), text.alias("text"))
-    listed, signed = item_signatures(items)
+    listed, signed = item_signatures(items, scratch)
     # hits: the shingles of documents that are some item's minimum
     minima = signed.select("hash").distinct()
     if within(minima, BROADCAST_ROWS):
         minima = F.broadcast(minima)
     hits = (plain.select("text_key", F.posexplode(_hashed(F.col("text"))).alias("pos", "hash"))
                  .join(minima, "hash").distinct())
-    hits = save_shared(hits, "hits")
+    hits = scratch.save(hits, "hits")
     # the texts with hits, each once
-    keys = save_shared(hits.select("text_key").distinct(), "keys")
+    keys = scratch.save(hits.select("text_key").distinct(), "keys")
     if within(keys, BROADCAST_ROWS):
         keys = F.broadcast(keys)
-    texts = save_shared(plain.join(keys, "text_key").groupBy("text_key").agg(F.first("text").alias("text")), "texts")
+    texts = scratch.save(plain.join(keys, "text_key").groupBy("text_key").agg(F.first("text").alias("text")), "texts")
     hashed = texts.select("text_key", _hashed(F.col("text")).alias("hashes"))
     per_item = (hits.join(signed, "hash").groupBy("text_key", "item", "w")
                     .agg(F.collect_list(F.struct("pos", "i", "value")).alias("at")))
@@ -106,7 +110,7 @@ def contained(docs: DataFrame, items: DataFrame, text_col: str = "text") -> Data
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` without those that contain a benchmark item."""
     (key,) = fresh(docs, "__text_key")
-    bad = save_shared(contained(docs, items, text_col).select(F.col("text_key").alias(key)).distinct(), "bad")
+    bad = contained(docs, items, text_col).select(F.col("text_key").alias(key)).distinct()
     if within(bad, BROADCAST_ROWS):
         bad = F.broadcast(bad)
     return docs.withColumn(key, _key(text_of(text_col))).join(bad, key, "left_anti").drop(key)
@@ -114,7 +118,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text") ->
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    found = save_shared(contained(docs, items), "contained")
+    found = contained(docs, items)
     return (docs.select("doc_id", _key(text_of("text")).alias("text_key")).join(found, "text_key")
                 .select("doc_id", F.col("item").alias("item_id"), "n_items", "n_shared", "n_item",
                         (F.col("n_shared") / F.col("n_item")).alias("containment")))

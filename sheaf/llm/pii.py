@@ -34,7 +34,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, let, save_shared, table, text_of
+from .common import Scratch, fresh, let, save_shared, table, text_of
 
 #: Kinds of spans in the order that breaks ties; the last two come from the method.
 KINDS = ("email", "ip", "card", "phone", "term", "broad")
@@ -156,14 +156,13 @@ def _placed_terms(context: Column, origin: Column, is_left: bool) -> Column:
     return let(F.regexp_extract_all(context, F.lit(_TOKEN), F.lit(0)), tokens)
 
 
-def find(df: DataFrame, text_col: str = "text", keep_text: bool = True) -> DataFrame:
-    """``df`` plus ``entities`` and ``text_key``, written once to the shared folder."""
+def find(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` without its text, plus ``entities`` and ``text_key``."""
     text = text_of(text_col)
-    out = df.withColumns({"entities": entities(text), "text_key": F.unhex(F.md5(text))})
-    return save_shared(out if keep_text else out.drop(text_col), "entities")
+    return df.withColumns({"entities": entities(text), "text_key": F.unhex(F.md5(text))}).drop(text_col)
 
 
-def disclosing_terms(found: DataFrame, texts: DataFrame, max_bits: float = MAX_BITS,
+def disclosing_terms(found: DataFrame, texts: DataFrame, scratch: Scratch, max_bits: float = MAX_BITS,
                      min_texts: int = MIN_TEXTS) -> tuple[DataFrame, DataFrame]:
     """Windows (text_key, entity, term, start, end) and disclosing pairs (entity, term, n, total, bits, kind).
 
@@ -175,16 +174,16 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, max_bits: float = MAX_B
     around = F.concat(
         _placed_terms(F.col("e.left"), F.col("e.start") - F.length("e.left"), True),
         _placed_terms(F.col("e.right"), F.col("e.end"), False))
-    windows = save_shared(
+    windows = scratch.save(
         some.select("text_key", "copies", F.explode("entities").alias("e"))
             .select("text_key", "copies", F.col("e.entity").alias("entity"), F.explode(around).alias("t"))
             .select("text_key", "copies", "entity", "t.term", "t.start", "t.end").distinct(), "windows")
     pairs = windows.groupBy("entity", "term", "text_key").agg(F.sum("copies").alias("n"))
-    pairs = save_shared(pairs.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
+    pairs = scratch.save(pairs.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
                              .withColumn("class", F.substring("term", 1, CLASS_LETTERS)), "pairs")
     totals = (texts.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
                    .withColumn("class", F.substring("term", 1, CLASS_LETTERS)))
-    totals = save_shared(totals, "totals")
+    totals = scratch.save(totals, "totals")
     bits = lambda total, n: F.log2(F.col(total) / F.col(n))
     told = (pairs.filter(F.col("texts") >= min_texts).join(totals.drop("class"), "term")
                  .withColumn("bits", bits("total", "n")).filter(F.col("bits") <= max_bits))
@@ -196,19 +195,31 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, max_bits: float = MAX_B
     return windows, told.select("entity", "term", "n", "total", "bits", "kind")
 
 
-def with_spans(found: DataFrame, texts: DataFrame, max_bits: float = MAX_BITS, min_texts: int = MIN_TEXTS) -> DataFrame:
-    """``found`` plus ``all_spans``: the base spans and those of disclosing terms, as (start, kind, end)."""
-    windows, told = disclosing_terms(found, texts, max_bits, min_texts)
+def spans_of(found: DataFrame, texts: DataFrame, scratch: Scratch, max_bits: float = MAX_BITS,
+             min_texts: int = MIN_TEXTS) -> DataFrame:
+    """(text_key, all_spans) of the distinct texts of ``found`` that hold an entity.
+
+    ``all_spans``: base spans and those of disclosing terms, as (start, kind, end).
+    """
+    windows, told = disclosing_terms(found, texts, scratch, max_bits, min_texts)
     more = (windows.join(told.select("entity", "term", "kind"), ["entity", "term"])
                    .groupBy("text_key", "start", "end").agg(F.max("kind").alias("kind"))
                    .groupBy("text_key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more")))
     base = F.transform("entities", lambda e: F.struct(e["start"], e["kind"], e["end"]))
+    some = found.filter(F.size("entities") > 0).groupBy("text_key").agg(F.first("entities").alias("entities"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    # documents without an entity cannot have further spans: they take no part in the join
-    has = F.size("entities") > 0
-    joined = (found.filter(has).join(more, "text_key", "left")
-                   .withColumn("all_spans", F.array_sort(F.concat(base, F.coalesce("more", none)))).drop("more"))
-    return joined.unionByName(found.filter(~has).withColumn("all_spans", none))
+    return some.join(more, "text_key", "left").select(
+        "text_key", F.array_sort(F.concat(base, F.coalesce("more", none))).alias("all_spans"))
+
+
+def with_spans(docs: DataFrame, text_col: str = "text", max_bits: float = MAX_BITS, min_texts: int = MIN_TEXTS) -> DataFrame:
+    """``docs`` without the text, plus (entities, text_key, all_spans)."""
+    found = save_shared(find(docs, text_col), "entities")
+    with Scratch(docs.sparkSession) as scratch:
+        spans = save_shared(spans_of(found, docs.select(text_of(text_col).alias("text")), scratch, max_bits, min_texts), "spans")
+    # documents without an entity take no part in the join
+    has, none = F.size("entities") > 0, F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    return found.filter(has).join(spans, "text_key").unionByName(found.filter(~has).withColumn("all_spans", none))
 
 
 def _listed(spans: Column) -> Column:
@@ -239,21 +250,23 @@ def sanitise(docs: DataFrame, text_col: str = "text", max_bits: float = MAX_BITS
 
     A document without an entity keeps its text (also a null one) unchanged.
     """
-    ent, key, spans = fresh(docs, "entities", "text_key", "all_spans")
-    renamed = {c: f"c{i}" for i, c in enumerate(docs.columns)}          # no column can clash with ours
-    plain = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in renamed.items()])
-    text = renamed[text_col]
-    found = find(plain, text)
-    done = with_spans(found, plain.select(text_of(text).alias("text")), max_bits, min_texts)
-    redacted = done.withColumn(text, F.when(F.size("all_spans") > 0, _redacted(F.col(text), F.col("all_spans")))
-                               .otherwise(F.col(text)))
-    return redacted.select(*[F.col(n).alias(c) for c, n in renamed.items()])
+    key, spans = fresh(docs, "__text_key", "__spans")
+    plain = docs.select(text_of(F.col(f"`{text_col}`")).alias("text"))
+    with Scratch(docs.sparkSession) as scratch:
+        found = scratch.save(find(plain), "entities")
+        known = save_shared(spans_of(found, plain, scratch, max_bits, min_texts), "spans")
+    known = known.select(F.col("text_key").alias(key), F.col("all_spans").alias(spans))
+    # an entity holds a digit or an at sign: texts without either are passed by
+    text = F.col(f"`{text_col}`")
+    may = F.coalesce(text.rlike("[0-9@]"), F.lit(False))
+    joined = docs.filter(may).withColumn(key, F.unhex(F.md5(text))).join(known, key, "left")
+    done = joined.withColumn(text_col, F.when(F.col(spans).isNotNull(), _redacted(text, F.col(spans))).otherwise(text))
+    return done.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter(~may))
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = find(docs, keep_text=False)
-    done = with_spans(found, docs.select(text_of("text").alias("text")))
+    done = with_spans(docs)
     count = lambda k: F.size(F.filter("entities", lambda e: e["kind"] == KINDS.index(k))).cast("bigint")
     return done.select("doc_id", *[count(k).alias(f"n_{k}") for k in PATTERNS],
                        F.sha2(_listed(F.col("entities")), 256).alias("base_sha256"),

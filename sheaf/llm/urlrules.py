@@ -28,7 +28,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, save_shared, table, within
+from .common import Scratch, fresh, save_shared, table, within
 
 #: (host, path prefix, verdict) of the listed rules.
 LISTED = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -73,20 +73,20 @@ def tokens_of(url: Column) -> Column:
     return F.when(url.contains("://"), F.array_sort(F.array_distinct(every))).otherwise(F.array().cast("array<string>"))
 
 
-def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+def mine(urls: DataFrame, labels: DataFrame, scratch: Scratch, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
          min_lift: float = MIN_LIFT) -> DataFrame:
     """Rules (tokens, verdict, support, confidence) from ``urls`` (url) and ``labels`` (id, bad: boolean)."""
     one = labels.filter(F.col("id").isNotNull() & F.col("bad").isNotNull()).groupBy("id").agg(F.max("bad").alias("bad"))
     known = (urls.select(document_of(F.col("url")).alias("id"), tokens_of(F.col("url")).alias("tokens")).join(one, "id")
                  .select(F.concat("tokens", F.array(F.when(F.col("bad"), F.lit(BAD)).otherwise(F.lit(GOOD)))).alias("items")))
-    known = save_shared(known, "labelled")
+    known = scratch.save(known, "labelled")
     n = known.count()
     empty = urls.sparkSession.createDataFrame([], "tokens array<string>, verdict string, support bigint, confidence double")
     if not n:
         return empty
     support = max(min_support, min(1.0, MIN_COUNT / n))
     sets = FPGrowth(itemsCol="items", minSupport=support, minConfidence=1.0).fit(known).freqItemsets
-    sets = save_shared(sets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
+    sets = scratch.save(sets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
     marks = F.array(F.lit(BAD), F.lit(GOOD))
     whole = sets.filter(F.arrays_overlap("items", marks)).select(
         F.array_except("items", marks).alias("tokens"), F.array_intersect("items", marks)[0].alias("mark"), F.col("freq").alias("hit"))
@@ -96,7 +96,7 @@ def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, m
                   .withColumn("confidence", F.col("hit") / F.col("freq"))
                   .filter((F.col("confidence") >= min_confidence) & (F.col("confidence") >= min_lift * F.col("share"))))
     verdict = F.when(F.col("mark") == BAD, "block").otherwise("allow")
-    rules = save_shared(rules.select("tokens", verdict.alias("verdict"), F.col("hit").alias("support"), "confidence"), "rules")
+    rules = scratch.save(rules.select("tokens", verdict.alias("verdict"), F.col("hit").alias("support"), "confidence"), "rules")
     # pruned: another rule for the same verdict uses fewer of the tokens and is right as often
     token = rules.select("tokens", "verdict", "confidence", F.explode("tokens").alias("first"))
     short = rules.select(F.col("tokens").alias("part"), "verdict", F.col("confidence").alias("better"),
@@ -107,20 +107,20 @@ def mine(urls: DataFrame, labels: DataFrame, min_support: float = MIN_SUPPORT, m
     return rules.join(covered, ["tokens", "verdict"], "left_anti")
 
 
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def match(urls: DataFrame, rules: DataFrame, scratch: Scratch) -> DataFrame:
     """(url, verdict, tokens, confidence) for every distinct non-null url that a rule matches; the best rule of each."""
-    rules = save_shared(rules, "kept_rules")
+    rules = scratch.save(rules, "kept_rules")
     often = rules.select(F.explode("tokens").alias("token")).distinct()
     if within(often, BROADCAST_RULES):
         often = F.broadcast(often)
-    listed = save_shared(urls.filter(F.col("url").isNotNull()).select("url").distinct()
+    listed = scratch.save(urls.filter(F.col("url").isNotNull()).select("url").distinct()
                              .withColumn("own", tokens_of(F.col("url"))), "tokens")
     counts = listed.select(F.explode("own").alias("token")).join(often, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     # the rarest token of each rule is where the rule is filed
     filed = (rules.withColumn("token", F.explode("tokens")).join(counts, "token", "left")
                   .groupBy("tokens", "verdict", "support", "confidence")
                   .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))["token"].alias("token")))
-    filed = save_shared(filed, "index")
+    filed = scratch.save(filed, "index")
     if within(filed, BROADCAST_RULES):
         filed = F.broadcast(filed)
     hits = (listed.select("url", "own", F.explode("own").alias("token")).join(filed, "token")
@@ -143,7 +143,9 @@ def judge(pages: DataFrame, labels: DataFrame, url_col: str = "url", rules: tupl
     """``pages`` plus (host, path, rule, verdict, mined_rule): see the module."""
     host, path, rule, verdict, mined, key, named = fresh(pages, "host", "path", "rule", "verdict", "mined_rule", "__url", "__listed")
     urls = pages.select(F.col(f"`{url_col}`").alias("url"))
-    matched = match(urls, mine(urls, labels)).select(F.col("url").alias(key), F.col("verdict").alias(verdict), F.col("mined_rule").alias(mined))
+    with Scratch(pages.sparkSession) as scratch:
+        matched = save_shared(match(urls, mine(urls, labels, scratch), scratch), "matched")
+    matched = matched.select(F.col("url").alias(key), F.col("verdict").alias(verdict), F.col("mined_rule").alias(mined))
     url = F.col(f"`{url_col}`")
     out = pages.withColumns({host: host_of(url), path: path_of(url)}).withColumn(named, listed_rule(F.col(host), F.col(path), rules))
     out = out.join(matched, url == F.col(key), "left")

@@ -91,13 +91,24 @@ def test_classes_against_brute_force(spark):
     check(spark, corpus())
 
 
-def test_prefix_filter_finds_the_same(spark, monkeypatch):
-    monkeypatch.setattr(B, "FEW_PAIRS", 0)          # every bucket with two classes goes the exact way
+def test_loose_buckets_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(B, "BANDS", 30)
-    monkeypatch.setattr(B, "ROWS", 2)               # loose buckets, many false candidates
+    monkeypatch.setattr(B, "ROWS", 2)               # many false candidates for the exact filter
     check(spark, corpus(seed=4, bases=15))
 
 
+def test_links_between_texts_that_are_not_near_to_the_hub(spark):
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for k in range(40):
+        w = list(base)
+        for i in rng.sample(range(120), rng.randint(1, 6)):
+            w[i] = f"{rng.choice('xyz')}{i}"         # edits that several copies share
+        rows.append((k, " ".join(w)))
+    check(spark, rows)
+
+
 def test_chain_of_near_texts_is_one_class(spark):
     w = [f"v{i}" for i in range(200)]
     check(spark, [(k, " ".join(w[:k] + [f"n{i}" for i in range(k)] + w[k:])) for k in range(0, 12)])

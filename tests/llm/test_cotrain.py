@@ -27,11 +27,12 @@ def test_held_out_accuracy(spark, docs, labels):
 
 
 def test_pseudo_labels_change_the_models(spark, docs, labels):
-    views = C.featurise(docs, "doc_id", "text", ("source", "lang"), ("n_chars",))
+    views = C.featurise(C._inputs(docs, "doc_id", "text", ("source", "lang"), ("n_chars",))).cache()
     few = labels.filter(F.col("id") < 250)
-    alone, together = C.train(views, few, rounds=0), C.train(views, few, rounds=2)
+    with C.Scratch(spark) as scratch:
+        alone, together = C.train(views, few, scratch, rounds=0), C.train(views, few, scratch, rounds=2)
+        again = C.train(views.repartition(5), few, scratch, rounds=2)
     assert abs(alone["models"][1] - together["models"][1]).max() > 1e-3
-    again = C.train(views.repartition(5), few, rounds=2)
     for a, b in zip(together["models"], again["models"]):
         assert abs(a - b).max() < 1e-6
 

@@ -78,7 +78,8 @@ def test_rules_and_verdicts(spark):
     pages = spark.createDataFrame([(i if i % 13 else None, u) for i, u in enumerate(urls)], "page_id bigint, url string")
     marked = spark.createDataFrame(labels, "id bigint, bad boolean")
     kept, verdicts = brute(urls, bad, U.MIN_SUPPORT, U.MIN_CONFIDENCE, U.MIN_LIFT)
-    rules = U.mine(pages.select("url"), marked).collect()
+    with U.Scratch(spark) as scratch:
+        rules = U.mine(pages.select("url"), marked, scratch).collect()
     got = {(tuple(r.tokens), r.verdict): (r.support, r.confidence) for r in rules}
     assert len(kept) > 3 and {v for _, v in kept} == {"block", "allow"}
     assert got == kept
