@@ -1,8 +1,8 @@
 """Association-rule filtering of URLs, in DataFrame and SQL operations (Spark's own FP-growth).
 
-Every URL becomes a set of tokens: scheme, host labels, the host's last two
-labels, words of a label, path segments (digits as one token), file type and query
-keys. The set of a URL whose document has a label gets the label as one more
+Every URL becomes a set of tokens: scheme, the host's last two labels, each further
+label and the words of a hyphenated one, path segments that are not numbers, file type
+and query keys. The set of a URL whose document has a label gets the label as one more
 token. FP-growth mines frequent token sets; those that lead to a label with enough
 confidence and lift over the label's share become rules, and a rule that a shorter
 rule with at least its confidence already covers is pruned.
@@ -64,12 +64,17 @@ def tokens_of(url: Column) -> Column:
     kind = F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1)
     query = F.regexp_extract_all(F.regexp_extract(url, r"\?([^#]*)", 1), F.lit("(?:^|&)([^=&]+)"), F.lit(1))
     prefixed = lambda p, a: F.transform(a, lambda t: F.concat(F.lit(p), t))
+    depth = F.size(labels)
+    subs = F.slice(labels, F.lit(1), F.greatest(depth - 2, F.lit(0)))
+    parts = F.flatten(F.transform(F.filter(subs, lambda x: x.contains("-")), lambda x: F.split(x, "-")))
+    # each fact is one token: redundant tokens would double the frequent sets, not inform them
     every = F.concat(
         F.array(F.concat(F.lit("scheme="), F.regexp_extract(url, r"(?s)^(.*?)://", 1))),
-        prefixed("host=", labels), prefixed("word=", F.flatten(F.transform(labels, lambda x: F.split(x, "-")))),
-        F.array(F.concat(F.lit("site="), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 2, F.lit(1)), 3), "."))),
-        prefixed("path=", F.transform(segments, lambda s: F.regexp_replace(s, "[0-9]+", "0"))),
-        F.array(F.concat(F.lit("type="), kind)), prefixed("key=", query))
+        F.array(F.concat(F.lit("site="), F.array_join(F.slice(labels, F.greatest(depth - 1, F.lit(1)), F.lit(2)), "."))),
+        prefixed("sub=", subs), prefixed("word=", parts),
+        prefixed("path=", F.filter(segments, lambda s: ~s.rlike("^[0-9]+$"))),
+        F.when(kind != "", F.array(F.concat(F.lit("type="), kind))).otherwise(F.array().cast("array<string>")),
+        prefixed("key=", query))
     return F.when(url.contains("://"), F.array_sort(F.array_distinct(every))).otherwise(F.array().cast("array<string>"))
 
 
@@ -84,8 +89,9 @@ def mine(urls: DataFrame, labels: DataFrame, scratch: Scratch, min_support: floa
     empty = urls.sparkSession.createDataFrame([], "tokens array<string>, verdict string, support bigint, confidence double")
     if not n:
         return empty
-    support = max(min_support, min(1.0, MIN_COUNT / n))
-    sets = FPGrowth(itemsCol="items", minSupport=support, minConfidence=1.0).fit(known).freqItemsets
+    parts = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    support = max(min_support, min(1.0, (MIN_COUNT - 0.5) / n))        # Spark rounds support times rows up
+    sets = FPGrowth(itemsCol="items", minSupport=support, minConfidence=1.0, numPartitions=parts).fit(known).freqItemsets
     sets = scratch.save(sets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
     marks = F.array(F.lit(BAD), F.lit(GOOD))
     whole = sets.filter(F.arrays_overlap("items", marks)).select(

@@ -25,9 +25,10 @@ def tokens(url):
     kind = re.search(r"\.([A-Za-z0-9]+)\Z", path)
     segments = [s for s in re.sub(r"\.[A-Za-z0-9]+\Z", "", path).split("/") if s]
     query = re.search(r"\?([^#]*)", url)
-    out = {"scheme=" + re.match(r"(?s)(.*?)://", url).group(1), "site=" + ".".join(labels[max(len(labels) - 2, 1) - 1:])}
-    out |= {"host=" + x for x in labels} | {"word=" + w for x in labels for w in x.split("-")}
-    out |= {"path=" + re.sub("[0-9]+", "0", s) for s in segments} | {"type=" + (kind.group(1) if kind else "")}
+    subs = labels[:max(len(labels) - 2, 0)]
+    out = {"scheme=" + re.match(r"(?s)(.*?)://", url).group(1), "site=" + ".".join(labels[-2:])}
+    out |= {"sub=" + x for x in subs} | {"word=" + w for x in subs if "-" in x for w in x.split("-")}
+    out |= {"path=" + s for s in segments if not re.search("^[0-9]+$", s)} | {"type=" + kind.group(1) for _ in [0] if kind}
     out |= {"key=" + k for k in re.findall(r"(?:^|&)([^=&]+)", query.group(1) if query else "")}
     return frozenset(out)
 
@@ -61,10 +62,10 @@ def doc(u):
 
 def data():
     rng, urls, bad = random.Random(6), [], {}
-    for d in range(110):
+    for d in range(160):
         spam = rng.random() < .3
         host = rng.choice(["cheap-pills", "casino-win"]) if spam else rng.choice(["news", "blog", "shop"])
-        urls.append(f"http://{host}.{rng.choice(['com', 'org', 'net'])}/{rng.choice(['en', 'de'])}/{d}"
+        urls.append(f"http://{host}.example.{rng.choice(['com', 'org', 'net'])}/{rng.choice(['en', 'de'])}/{d}"
                     + rng.choice(["", "/", ".html", "?ref=x", "#top"]))
         if rng.random() < .8:
             bad[d] = spam if rng.random() < .93 else not spam
