@@ -43,7 +43,15 @@ def letter_lower(text="text"):
 
 @query("term_stats")
 def q_term_stats(spark, sf_dir):
-    """T7 (flagship): lowercase-tokenizer terms; top 20 by document frequency per language."""
+    """T7 (flagship): every lowercase-tokenizer term per language with tf and df."""
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
+    stats = jobs.term_freqs(d, letter_lower(), ["lang"])
+    return stats.select("lang", "token", F.col("tf").cast("bigint").alias("tf"), F.col("df").cast("bigint").alias("df"))
+
+
+@query("top_terms")
+def q_top_terms(spark, sf_dir):
+    """T7, report: the 20 terms of each language with the highest document frequency."""
     d = docs(spark, sf_dir, "doc_id", "lang", "text")
     return jobs.term_stats(d, letter_lower(), ["lang"], 20)
 
@@ -60,11 +68,9 @@ def std_lower(text="text"):
     return flt.lowercase(tok.standard(F.col(text)))
 
 
-def _counts(tokens_fn, where=None):
+def _counts(tokens_fn):
     def run(spark, sf_dir):
         d = docs(spark, sf_dir, "doc_id", "lang", "text")
-        if where is not None:
-            d = d.filter(where())
         return jobs.term_counts(d, tokens_fn(), ["lang"]).withColumn("n", F.col("n").cast("bigint"))
     return run
 
@@ -105,17 +111,13 @@ TERM_COUNT_JOBS = {
     "f_truncate": lambda: flt.truncate(std_lower()),
     "f_word_delimiter": lambda: flt.word_delimiter(tok.whitespace(F.col("text"))),
     "f_trim": lambda: flt.trim(F.split(F.col("text"), "[.!?]")),
-}
-# Language-specific filters run on the documents of that language.
-LANG_JOBS = {
-    "f_german": (lambda: flt.FILTERS["german_normalization"](std_lower()), "de"),
-    "f_elision": (lambda: flt.elision(std_lower()), "fr"),
+    # filters made for one language, over every document as any other filter
+    "f_german": lambda: flt.FILTERS["german_normalization"](std_lower()),
+    "f_elision": lambda: flt.elision(std_lower()),
 }
 
 for _name, _fn in TERM_COUNT_JOBS.items():
     QUERIES[_name] = _counts(_fn)
-for _name, (_fn, _lang) in LANG_JOBS.items():
-    QUERIES[_name] = _counts(_fn, (lambda L: (lambda: F.col("lang") == L))(_lang))
 
 
 @query("scan_documents")
@@ -170,7 +172,7 @@ def q_html_strip_pages(spark, sf_dir):
 def q_fingerprint_clusters(spark, sf_dir):
     """Documents with equal fingerprints (no output size cap), clusters of 2+."""
     d = docs(spark, sf_dir, "doc_id", "text")
-    fp = F.element_at(an.analyze("text", "fingerprint"), 1)
+    fp = F.get(an.analyze("text", "fingerprint"), F.lit(0))      # null for a text without tokens
     return jobs.fingerprint_clusters(d, "doc_id", fp)
 
 
@@ -217,7 +219,7 @@ def q_f_delimited_payload(spark, sf_dir):
 # token occurrence (the vocabulary grows far slower than the corpus).
 # ---------------------------------------------------------------------------
 def _porter_vocab_counts(d):
-    """(lang, stem, n) for English documents: tokens -> counts -> stemmed vocabulary."""
+    """(lang, stem, n): tokens -> counts -> stemmed vocabulary."""
     counts = jobs.term_counts(d, std_lower(), ["lang"])
     stems = jobs.apply_word_steps(counts, porter.porter_steps())
     return stems.groupBy("lang", F.col("stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
@@ -225,15 +227,15 @@ def _porter_vocab_counts(d):
 
 @query("f_porter_stem")
 def q_f_porter_stem(spark, sf_dir):
-    """forms per Porter stem in English documents: forms, occurrences, documents."""
-    d = docs(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "en")
+    """forms per language and Porter stem: forms, occurrences, documents."""
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
     return jobs.stem_groups(d, std_lower(), porter.porter_steps(), "doc_id", ["lang"])
 
 
 @query("f_stemmer")
 def q_f_stemmer(spark, sf_dir):
     """F16: the `stemmer` filter (default language English) -> stem counts."""
-    d = docs(spark, sf_dir, "doc_id", "lang", "text").filter(F.col("lang") == "en")
+    d = docs(spark, sf_dir, "doc_id", "lang", "text")
     return _porter_vocab_counts(d)
 
 
@@ -380,11 +382,11 @@ def q_bulk_write_separate(spark, sf_dir):
          "customer": (read_table(spark, sf_dir, "customer"), "c_custkey", "c_custkey"),
          "supplier": (read_table(spark, sf_dir, "supplier"), "s_suppkey", "s_suppkey")},
         existing={"orders": read_table(spark, sf_dir, "orders")})
-    res = None
-    for name, df in out.items():
-        part = df.agg(F.lit(name).alias("index"), F.count(F.lit(1)).cast("bigint").alias("doc_count"))
-        res = part if res is None else res.unionByName(part)
-    return res
+    shown = {"orders": ("o_orderkey", "o_orderstatus", "o_totalprice"), "customer": ("c_custkey", "c_name", "c_acctbal"),
+             "supplier": ("s_suppkey", "s_name", "s_acctbal")}
+    parts = [out[name].select(F.lit(name).alias("index"), F.col(k).cast("bigint").alias("_id"), F.col(t).alias("text"),
+                              F.col(v).alias("amount")) for name, (k, t, v) in shown.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("bulk_write_merged")
@@ -431,7 +433,7 @@ def q_add_key_offset(spark, sf_dir):
     """K3: keys from 100 over orders by (o_orderdate, o_orderkey)."""
     (o,) = keyops.add_key([read_table(spark, sf_dir, "orders")], [["o_orderdate", "o_orderkey"]],
                           name="_key", offset="100")
-    return o.select("o_orderkey", "_key")
+    return o
 
 
 # ---------------------------------------------------------------------------
@@ -458,9 +460,9 @@ def q_flatten_json_rows(spark, sf_dir):
 
 @query("nest_columns")
 def q_nest_columns(spark, sf_dir):
-    """Flattened columns nested back, as JSON text per row."""
-    flat = shape.flatten_struct(_nested_events(spark, sf_dir))
-    return shape.nest_to_json(flat, id_cols=["event_id"])
+    """Flattened columns nested back into structs; each struct is shown as JSON."""
+    nested = shape.nest_columns(shape.flatten_struct(_nested_events(spark, sf_dir)), keep=["event_id"])
+    return nested.select("event_id", *[F.to_json(c, {"ignoreNullFields": "false"}).alias(c) for c in ("who", "props")])
 
 
 @query("nest_to_json")
@@ -468,7 +470,7 @@ def q_nest_to_json(spark, sf_dir):
     """Inferred mapping rows of `events` -> nested JSON -> leaves read back."""
     m = shape.infer_mappings(shape.stringify(read_table(spark, sf_dir, "events")))
     js = shape.dot_expand(m.withColumn("_t", F.lit("events")), group_cols=["_t"])
-    return shape.flatten_json_rows(js, "mapping_json", ["_t"], max_depth=8).select("key", "value")
+    return shape.flatten_json_rows(js, "mapping_json", ["_t"]).select("key", "value")
 
 
 @query("infer_mappings")

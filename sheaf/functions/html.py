@@ -1,12 +1,15 @@
 """`html_strip` character filter as chained ``regexp_replace``.
 
 Order: comments; script and style elements with their content; block-level
-tags -> newline; every other tag -> nothing; named entities; numeric
-entities; ``&amp;`` last, so ``&amp;lt;`` becomes the text ``&lt;``.
+tags -> newline; every other tag -> nothing; then all entities in one pass. A
+tag starts with a letter, ``/``, ``!`` or ``?`` right after its bracket, so
+``a < b > c`` is text.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,43 +18,42 @@ BLOCK_TAGS = ("address article aside blockquote br dd div dl dt fieldset figcapt
               "footer form h1 h2 h3 h4 h5 h6 head header hr html li main nav ol p pre "
               "section table tbody td tfoot th thead title tr ul body").split()
 
-# Named entities decoded (besides &amp;, which is decoded last).
-NAMED_ENTITIES = {
-    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " ",
-    "&middot;": "·", "&copy;": "©", "&reg;": "®", "&mdash;": "—",
-    "&ndash;": "–", "&hellip;": "…", "&laquo;": "«", "&raquo;": "»",
-    "&euro;": "€",
-}
+#: Named entities: the table of the HTML 4 standard (Python's ``html.entities``), and ``&apos;``.
+#: A no-break space becomes a blank.
+NAMED_ENTITIES = {name: " " if name == "nbsp" else chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
 
 COMMENT = r"(?s)<!--.*?-->"
 SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
 STYLE = r"(?is)<style\b[^>]*>.*?</style\s*>"
 BLOCK = r"(?i)</?(?:" + "|".join(BLOCK_TAGS) + r")\b[^>]*>"
-TAG = r"<[^>]*>"
-NUMERIC = r"&#(?:[xX][0-9a-fA-F]{1,6}|[0-9]{1,7});"
+TAG = r"<[A-Za-z/!?][^>]*>"
+ENTITY = r"&(?:#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);"
 
 
-def _decode_numeric(s: Column) -> Column:
-    """Replace &#NNN; and &#xHH; by the character.
+def _decode_entities(s: Column) -> Column:
+    """Replace &name;, &#NNN; and &#xHH; by the character, each once.
 
     The text is split at each entity (split keeps the text between matches),
-    entities are extracted in the same order, decoded through UTF-32 bytes and
-    zipped back. Linear in the text; no per-row Python.
+    entities are extracted in the same order, decoded and zipped back. Linear in
+    the text; no per-row Python; a decoded ``&`` is never read again, so
+    ``&amp;lt;`` becomes the text ``&lt;``. Unknown names stay as they are; a
+    number that is no character becomes the replacement character.
     """
-    pieces = F.split(s, NUMERIC)
-    ents = F.regexp_extract_all(s, F.lit(NUMERIC), 0)
+    names = F.create_map(*[F.lit(x) for pair in sorted(NAMED_ENTITIES.items()) for x in pair])
 
     def code(e):
-        body = F.regexp_extract(e, r"&#([xX]?)([0-9a-fA-F]+);", 2)
-        is_hex = F.regexp_extract(e, r"&#([xX]?)", 1) != ""
-        n = F.when(is_hex, F.conv(body, 16, 10)).otherwise(body).cast("bigint")
-        ok = (n > 0) & (n <= 0x10FFFF) & ~((n >= 0xD800) & (n <= 0xDFFF))
+        is_hex = e.rlike("^&#[xX]")
+        body = F.regexp_replace(F.regexp_extract(e, r"&#[xX]?([0-9a-fA-F]+);", 1), "^0+", "")
+        n = F.when(F.length(body).between(1, 7), F.when(is_hex, F.conv(body, 16, 10)).otherwise(body)).try_cast("bigint")
+        ok = n.between(1, 0x10FFFF) & ~n.between(0xD800, 0xDFFF)
         ch = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")  # big-endian when there is no byte-order mark
-        return F.when(ok, ch).otherwise(F.lit("�"))
-    decoded = F.transform(ents, code)
-    merged = F.zip_with(pieces, F.concat(decoded, F.array(F.lit(""))),
-                        lambda p, d: F.concat(p, F.coalesce(d, F.lit(""))))
-    return F.when(s.contains("&#"), F.array_join(merged, "")).otherwise(s)
+        number = F.when(ok, ch).otherwise(F.lit("�"))
+        name = F.coalesce(F.try_element_at(names, F.regexp_extract(e, "&([A-Za-z0-9]+);", 1)), e)
+        return F.when(e.startswith("&#"), number).otherwise(name)
+    pieces = F.split(s, ENTITY, -1)
+    decoded = F.transform(F.regexp_extract_all(s, F.lit(ENTITY), 0), code)
+    merged = F.zip_with(pieces, F.concat(decoded, F.array(F.lit(""))), lambda p, d: F.concat(p, d))
+    return F.when(s.contains("&"), F.array_join(merged, "")).otherwise(s)
 
 
 def html_strip(s: Column) -> Column:
@@ -60,10 +62,7 @@ def html_strip(s: Column) -> Column:
     s = F.regexp_replace(s, STYLE, "")
     s = F.regexp_replace(s, BLOCK, "\n")
     s = F.regexp_replace(s, TAG, "")
-    for ent, ch in NAMED_ENTITIES.items():
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    s = _decode_numeric(s)
-    return F.replace(s, F.lit("&amp;"), F.lit("&"))
+    return F.element_at(F.transform(F.array(s), _decode_entities), 1)
 
 
 CHAR_FILTERS = {"html_strip": html_strip}

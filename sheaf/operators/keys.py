@@ -1,21 +1,23 @@
 """Keys (SURVEY K1-K3).
 
 ``add_key`` numbers rows 0..n-1 (plus an offset) in an explicit order without
-a global window: rows are range-partitioned on the order columns and sorted
-inside each partition; each row's number is its index inside its partition
-plus the number of rows in all earlier partitions. The per-partition counts
-are a table with one row per partition (bounded by the partition count, not
-the data), so their prefix sum is a tiny window and its broadcast is safe.
-Several tables run on from one another by the same prefix sum.
+a global window: the whole rows are range-partitioned on the order columns
+once and written to the shared folder with their partition's number; each
+row's key is its rank inside its partition plus the rows of all earlier
+partitions (``ranking.number_rows``). Counts and keys are read from that one
+copy, so they cannot disagree whatever columns a reader keeps. Several tables
+run on from one another by the number of rows of the earlier ones.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import number_rows
+
 
 def common_columns(tables: Sequence[DataFrame]) -> list[str]:
     """K1 step 1: names present in every table (case-sensitive, as dict keys)."""
@@ -40,11 +42,10 @@ def key_profile(tables: dict[str, DataFrame], candidates: Sequence[str] | None =
     names = list(tables)
     cands = list(candidates) if candidates else common_columns([tables[n] for n in names])
     long = None
-    for n in names:
-        for c in cands:
-            part = tables[n].select(F.lit(n).alias("table"), F.lit(c).alias("key"),
-                                    F.col(f"`{c}`").cast("string").alias("v"))
-            long = part if long is None else long.unionByName(part)
+    for n in names:                 # one scan per table: its candidates are unpivoted
+        each = F.array(*[F.struct(F.lit(c).alias("key"), F.col(f"`{c}`").cast("string").alias("v")) for c in cands])
+        part = tables[n].select(F.lit(n).alias("table"), F.inline(each))
+        long = part if long is None else long.unionByName(part)
     per_value = long.groupBy("table", "key", "v").agg(F.count(F.lit(1)).alias("cnt"))
     return (per_value.groupBy("table", "key")
             .agg(F.sum("cnt").cast("bigint").alias("n_rows"),
@@ -80,33 +81,16 @@ def _check_offset(offset) -> int:
 
 
 def add_key(tables: Sequence[DataFrame], order_by: Sequence[Sequence[str]], name: str = "_key",
-            offset: int | str = 0, num_partitions: int | None = None) -> list[DataFrame]:
-    """K2 / K3: consecutive bigint keys over several tables, running on.
+            offset: int | str = 0) -> list[DataFrame]:
+    """K2 / K3: consecutive bigint keys over several tables, running on; every column is kept.
 
     ``order_by[i]`` lists the order columns of table i; together they must
     identify a row (add a unique column as the last one), otherwise ties are
     numbered in an unspecified but still gap-free order.
     """
-    offset = _check_offset(offset)
-    ranged, counts = [], None
-    for i, (df, order) in enumerate(zip(tables, order_by)):
-        n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-        r = (df.repartitionByRange(n, *order)
-               .sortWithinPartitions(*order)
-               .withColumn("_mid", F.monotonically_increasing_id()))
-        r = (r.withColumn("_pid", F.shiftright("_mid", 33))
-              .withColumn("_idx", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-              .drop("_mid"))
-        ranged.append(r)
-        c = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).withColumn("_t", F.lit(i))
-        counts = c if counts is None else counts.unionByName(c)
-    # One row per (table, partition): a tiny window, safe to broadcast back.
-    w = Window.orderBy("_t", "_pid").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0)) + F.lit(offset))
-    out = []
-    for i, r in enumerate(ranged):
-        s = F.broadcast(starts.filter(F.col("_t") == i).select("_pid", "_start"))
-        out.append(r.join(s, "_pid")
-                    .withColumn(name, (F.col("_start") + F.col("_idx")).cast("bigint"))
-                    .drop("_pid", "_idx", "_start"))
+    start, out = _check_offset(offset), []
+    for df, order in zip(tables, order_by):
+        numbered, n = number_rows(df, order, name, start)
+        out.append(numbered)
+        start += n
     return out

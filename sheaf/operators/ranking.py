@@ -55,8 +55,8 @@ def delete_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "_key", offset: int = 0) -> DataFrame:
-    """``df`` plus ``name``: consecutive integers from ``offset`` in the order of ``order_by``.
+def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "_key", offset: int = 0) -> tuple[DataFrame, int]:
+    """``df`` plus ``name``, consecutive integers from ``offset`` in the order of ``order_by``; and the number of rows.
 
     ``order_by`` are column names (ascending) or sort expressions. The rows are
     range-partitioned *once* and written to the shared folder together with the
@@ -71,6 +71,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "_key", offs
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    return (ranged.join(F.broadcast(starts), "__part")
-                  .withColumn(name, (F.col("__start") + within - 1 + offset).cast("bigint"))
-                  .drop("__part", "__start"))
+    numbered = (ranged.join(F.broadcast(starts), "__part")
+                      .withColumn(name, (F.col("__start") + within - 1 + offset).cast("bigint"))
+                      .drop("__part", "__start"))
+    return numbered, ranged.count()

@@ -13,9 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_DEPTH = 8
-
-
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -94,7 +91,7 @@ def nest_to_json(df: DataFrame, id_cols: Sequence[str] = (), sep: str = ".",
     body = F.struct(*[F.col(_q(c)) for c in nested.columns if c not in id_cols])
     if root:
         body = F.struct(body.alias(root))
-    return nested.select(*id_cols, F.to_json(body).alias(out))
+    return nested.select(*id_cols, F.to_json(body, {"ignoreNullFields": "false"}).alias(out))
 
 
 def dot_expand(mapping: DataFrame, group_cols: Sequence[str] = (), root: str = "properties",
@@ -108,26 +105,49 @@ def dot_expand(mapping: DataFrame, group_cols: Sequence[str] = (), root: str = "
     keys = sorted(r[0] for r in mapping.select("key").distinct().collect())
     _tree(keys, ".")     # leaf/prefix clash check before any job
     wide = (mapping.groupBy(*group_cols).pivot("key", keys)
-                   .agg(F.last(F.parse_json("value"))))
+                   .agg(F.parse_json(F.max("value"))))      # a repeated key: the greatest text, not chance
     return nest_to_json(wide, id_cols=group_cols, root=root, out=out)
 
 
 # ---- E2 / A7: JSON text -> key/value leaf rows --------------------------------
 
+def json_depth(df: DataFrame, json_col: str) -> int:
+    """Deepest nesting of objects in a JSON column, by one aggregate over the texts.
+
+    Brackets inside strings are removed first; objects inside arrays count too,
+    so this is an upper bound of the levels that ``flatten_json_rows`` needs.
+    """
+    bare = F.regexp_replace(F.col(json_col), r'"(?:[^"\\\\]|\\\\.)*+"', "")
+    step = lambda a, c: F.struct(
+        (a["at"] + F.when(c == "{", 1).otherwise(-1)).alias("at"),
+        F.greatest(a["most"], a["at"] + F.when(c == "{", 1).otherwise(-1)).alias("most"))
+    depth = F.aggregate(F.regexp_extract_all(bare, F.lit("[{}]"), F.lit(0)),
+                        F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")), step, lambda a: a["most"])
+    return df.agg(F.max(depth)).first()[0] or 0
+
+
 def flatten_json_rows(df: DataFrame, json_col: str, id_cols: Sequence[str] = (),
-                      max_depth: int = MAX_DEPTH) -> DataFrame:
+                      max_depth: int | None = None) -> DataFrame:
     """One row per leaf of each JSON object: ids, ``key`` (dotted path), ``value`` (JSON).
 
-    One pass: a chain of ``max_depth`` lateral ``variant_explode_outer``
-    generators, each exploding only the object values of the level above, so
-    the work is linear in the number of leaves and the input is read once.
-    Arrays and scalars are leaves; a JSON null gives a row with a null value;
-    an empty object gives no row; an object at the depth limit stays whole.
+    One pass: a chain of lateral ``variant_explode_outer`` generators, one per
+    level, each exploding only the object values of the level above, so the
+    work is linear in the number of leaves. The number of levels is read off
+    the data (``json_depth``) unless ``max_depth`` states it; an object at a
+    stated limit stays whole. Arrays and scalars are leaves; a JSON null gives
+    a row with a null value; an empty object gives no row. A text whose root is
+    an array or a scalar gives one row with an empty key and the whole value;
+    a text that is not JSON gives one row with a null key and the text itself.
+    An object that repeats a key keeps the last value: the session setting for
+    that is set here, so the result does not depend on who built the session.
     """
     if not id_cols:
         raise ValueError("give the id columns that identify a row")
     spark = df.sparkSession
-    base = df.select(*id_cols, F.try_parse_json(F.col(json_col)).alias("_v0"))
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    if max_depth is None:
+        max_depth = max(json_depth(df, json_col), 1)
+    base = df.select(*id_cols, F.col(json_col).alias("_text"), F.try_parse_json(F.col(json_col)).alias("_v0"))
     ids = ", ".join(f"b.{_q(c)}" for c in id_cols)
     laterals, keys, vals = [], [], []
     prev = "b._v0"
@@ -137,21 +157,27 @@ def flatten_json_rows(df: DataFrame, json_col: str, id_cols: Sequence[str] = (),
         vals.append(f"e{k}.value")
         prev = f"CASE WHEN schema_of_variant(e{k}.value) LIKE 'OBJECT%' THEN e{k}.value END"
     deepest = "coalesce(" + ", ".join(reversed(vals)) + ")"
+    objects = base.filter(F.schema_of_variant("_v0").startswith("OBJECT"))
     rows = spark.sql(
         f"SELECT {ids}, concat_ws('.', {', '.join(keys)}) AS key, {deepest} AS _v, "
         f"e{max_depth}.value IS NOT NULL AS _at_limit "
-        f"FROM {{b}} AS b, {', '.join(laterals)} WHERE e1.key IS NOT NULL", b=base)
+        f"FROM {{b}} AS b, {', '.join(laterals)} WHERE e1.key IS NOT NULL", b=objects)
     is_obj = F.schema_of_variant("_v").startswith("OBJECT")
     rows = rows.filter(~(is_obj & ~F.col("_at_limit")) | F.col("_v").isNull())
-    return rows.select(*id_cols, "key",
-                       F.when(F.col("_v").isNull() | F.expr("is_variant_null(_v)"),
-                              F.lit(None).cast("string")).otherwise(F.to_json("_v")).alias("value"))
+    null = F.lit(None).cast("string")
+    leaves = rows.select(*id_cols, "key", F.when(F.col("_v").isNull() | F.expr("is_variant_null(_v)"), null)
+                         .otherwise(F.to_json("_v")).alias("value"))
+    other = base.filter(F.col("_text").isNotNull() & ~F.coalesce(F.schema_of_variant("_v0").startswith("OBJECT"), F.lit(False)))
+    whole = F.when(F.expr("is_variant_null(_v0)"), null).otherwise(F.to_json("_v0"))
+    return leaves.unionByName(other.select(
+        *id_cols, F.when(F.col("_v0").isNotNull(), "").alias("key"),
+        F.when(F.col("_v0").isNull(), F.col("_text")).otherwise(whole).alias("value")))
 
 
 # ---- E6: infer column types from values --------------------------------------
 
 # The value patterns of type inference.
-INT_RE = r"^[+-]?[0-9]{1,18}$"
+INT_RE = r"^[+-]?[0-9]+$"
 FLOAT_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
 GEO_RE = r"^-?[0-9]+(\.[0-9]+)?,-?[0-9]+(\.[0-9]+)?$"
@@ -173,8 +199,9 @@ def _spark_kind(dt: T.DataType) -> str | None:
 
 def _kind_code(s: Column) -> Column:
     """0 null, 1 int, 2 float (not int), 3 date, 4 geo, 5 free text: at most four
-    pattern tests per value, the first match wins (int is a subset of float)."""
-    return (F.when(s.isNull(), 0).when(s.rlike(INT_RE), 1).when(s.rlike(FLOAT_RE), 2)
+    pattern tests per value, the first match wins (int is a subset of float). Digits
+    that do not fit a bigint are text: as a float they would lose places."""
+    return (F.when(s.isNull(), 0).when(s.rlike(INT_RE), F.when(s.try_cast("bigint").isNotNull(), 1).otherwise(5)).when(s.rlike(FLOAT_RE), 2)
             .when(s.rlike(DATE_RE), 3).when(s.rlike(GEO_RE), 4).otherwise(5))
 
 

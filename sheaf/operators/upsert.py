@@ -5,9 +5,9 @@ same id replaces the earlier one in full. Here a write is a DataFrame transform:
 
     new_table = upsert(target, batch, key, order)
 
-* in-batch last-wins: ``groupBy(key).agg(max_by(struct(*), order))`` — a hash
-  aggregate with map-side partial aggregation, so a key holding a third of the
-  batch is reduced inside every task before the shuffle;
+* in-batch last-wins: ``groupBy(key).agg(max_by(struct(*), order))`` — a sort
+  aggregate (the row is a struct), partial on the map side, so a key holding a
+  third of the batch is reduced inside every task before the shuffle;
 * rows of the target whose key is in the batch are dropped with a
   ``left_anti`` join (the planner broadcasts the batch only when its measured
   size is under the threshold; both sides have unique keys, so no join skew);
@@ -34,9 +34,10 @@ class KeyError_(ValueError):
 
 
 def _order_expr(order) -> Column:
-    if isinstance(order, (list, tuple)):
-        return F.struct(*[F.col(c) if isinstance(c, str) else c for c in order])
-    return F.col(order) if isinstance(order, str) else order
+    """The order as a struct: never null itself, so a row with a null order value still
+    counts (it is smaller than any other) instead of being skipped by ``max_by``."""
+    parts = order if isinstance(order, (list, tuple)) else [order]
+    return F.struct(*[F.col(c) if isinstance(c, str) else c for c in parts])
 
 
 def check_columns(df: DataFrame, key: str, name: str = "batch") -> None:

@@ -19,6 +19,10 @@ def letter_lower(text: str = "text") -> str:
 
 
 SQL["term_stats"] = f"""
+WITH e AS (SELECT doc_id, lang, unnest({letter_lower()}) AS token FROM documents)
+SELECT lang, token, CAST(count(*) AS BIGINT) AS tf, CAST(count(DISTINCT doc_id) AS BIGINT) AS df FROM e GROUP BY lang, token
+"""
+SQL["top_terms"] = f"""
 WITH e AS (SELECT doc_id, lang, unnest({letter_lower()}) AS token FROM documents),
 c AS (SELECT lang, token, count(*) AS tf, count(DISTINCT doc_id) AS df FROM e GROUP BY lang, token),
 r AS (SELECT lang, token, tf, df,
@@ -167,7 +171,7 @@ for _n, _p in [("f_asciifolding", "asciifolding"), ("f_cjk_width", "cjk_width"),
                ("f_german", "german_normalization")]:
     TOKEN_EXPR[_n] = d_fold(d_std_lower(), _p)
 
-LANG_WHERE = {"f_german": "lang = 'de'", "f_elision": "lang = 'fr'"}
+LANG_WHERE: dict[str, str] = {}
 
 
 def _lazy_text_sql():
@@ -240,16 +244,21 @@ SQL["f_uppercase"] = counts_sql(d_map(d_standard(), "upper(replace(x, 'ß', 'ss'
 
 
 def _html_sql() -> str:
-    from .functions import html
+    """Written from the definition, not from the operator's patterns: markup goes first (comments, scripts and
+    styles whole, line-breaking tags as a line break), then entities, the ampersand itself last."""
+    from html.entities import name2codepoint
+    breaking = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|"
+                "header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul")
     s = "html"
-    s = f"regexp_replace({s}, {lit(html.COMMENT)}, '', 'g')"
-    s = f"regexp_replace({s}, {lit(html.SCRIPT)}, '', 'g')"
-    s = f"regexp_replace({s}, {lit(html.STYLE)}, '', 'g')"
-    s = f"regexp_replace({s}, {lit(html.BLOCK)}, chr(10), 'g')"
-    s = f"regexp_replace({s}, {lit(html.TAG)}, '', 'g')"
-    for ent, ch in html.NAMED_ENTITIES.items():
-        s = f"replace({s}, {lit(ent)}, {lit(ch)})"
-    num = html.NUMERIC
+    for pattern, new in ((r"(?s)<!--.*?-->", "''"), (r"(?is)<script\b[^>]*>.*?</script\s*>", "''"),
+                         (r"(?is)<style\b[^>]*>.*?</style\s*>", "''"), (rf"(?i)</?({breaking})\b[^>]*>", "chr(10)"),
+                         (r"<[a-zA-Z/!?][^>]*>", "''")):
+        s = f"regexp_replace({s}, {lit(pattern)}, {new}, 'g')"
+    for name, code in name2codepoint.items():
+        if name != "amp":
+            s = f"replace({s}, {lit('&' + name + ';')}, {lit(' ' if name == 'nbsp' else chr(code))})"
+    s = f"replace({s}, '&apos;', {lit(chr(39))})"
+    num = "&#([xX][0-9a-fA-F]+|[0-9]+);"
     dec = ("list_transform(regexp_extract_all(s1, " + lit(num) + "), lambda e: "
            "CASE WHEN lower(substring(e, 3, 1)) = 'x' "
            "THEN chr(CAST(('0x' || substring(e, 4, length(e) - 4)) AS INTEGER)) "
@@ -371,7 +380,7 @@ def _stem_oracles():
     from .functions.stopwords import ENGLISH_STOP_33, stop_words
     ctes, last = stem_ctes("v", _porter_sql_steps(), "p")
     SQL["f_porter_stem"] = f"""
-WITH e AS (SELECT doc_id, lang, unnest({d_std_lower()}) AS token FROM documents WHERE lang = 'en'),
+WITH e AS (SELECT doc_id, lang, unnest({d_std_lower()}) AS token FROM documents),
 v AS (SELECT DISTINCT lang, token FROM e),
 {ctes},
 j AS (SELECT e.doc_id, e.lang, {last}.w AS stem FROM e JOIN {last} USING (lang, token)),
@@ -382,7 +391,7 @@ SELECT s.lang, s.stem, s.tf, s.df, f.n_forms FROM s JOIN f USING (lang, stem)
 """
     SQL["f_stemmer"] = f"""
 WITH v AS (SELECT lang, token, count(*) AS n FROM
-  (SELECT lang, unnest({d_std_lower()}) AS token FROM documents WHERE lang = 'en') GROUP BY lang, token),
+  (SELECT lang, unnest({d_std_lower()}) AS token FROM documents) GROUP BY lang, token),
 {stem_ctes("v", _porter_sql_steps(), "p", "lang, token, n")[0]},
 z AS (SELECT * FROM {stem_ctes("v", _porter_sql_steps(), "p", "lang, token, n")[1]})
 SELECT lang, w AS token, CAST(sum(n) AS BIGINT) AS n FROM z GROUP BY lang, w
@@ -475,11 +484,11 @@ UNION ALL
 SELECT o_orderkey, CAST(NULL AS BIGINT) AS o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CAST(NULL AS VARCHAR) AS o_orderpriority FROM b
 """
-SQL["bulk_write_separate"] = """
-SELECT 'orders' AS "index", CAST(count(*) AS BIGINT) AS doc_count
-  FROM (SELECT o_orderkey FROM orders UNION SELECT l_orderkey FROM lineitem)
-UNION ALL SELECT 'customer', CAST(count(DISTINCT c_custkey) AS BIGINT) FROM customer
-UNION ALL SELECT 'supplier', CAST(count(DISTINCT s_suppkey) AS BIGINT) FROM supplier
+SQL["bulk_write_separate"] = f"""
+SELECT 'orders' AS "index", CAST(o_orderkey AS BIGINT) AS _id, o_orderstatus AS text, o_totalprice AS amount
+  FROM ({SQL["upsert_orders"]})
+UNION ALL SELECT 'customer', c_custkey, c_name, c_acctbal FROM customer
+UNION ALL SELECT 'supplier', s_suppkey, s_name, s_acctbal FROM supplier
 """
 SQL["bulk_write_merged"] = """
 WITH u AS (SELECT CAST(c_custkey AS VARCHAR) AS _id, 'customer' AS _table, 0 AS _t, * FROM customer
@@ -504,7 +513,7 @@ SELECT 'customer', c_custkey, CAST(row_number() OVER (ORDER BY c_custkey) - 1 +
 FROM customer
 """
 SQL["add_key_offset"] = """
-SELECT o_orderkey, CAST(row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) + 99 AS BIGINT) AS _key
+SELECT *, CAST(row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) + 99 AS BIGINT) AS _key
 FROM orders
 """
 SQL["flatten_struct"] = """
@@ -516,13 +525,13 @@ SELECT event_id, j.key AS key, CASE WHEN j.type = 'NULL' THEN NULL ELSE CAST(j.v
 FROM events, json_each(props) AS j WHERE json_valid(props)
 """
 SQL["nest_columns"] = """
-SELECT event_id, to_json({'who': {'user_id': user_id, 'detail': {'event_type': event_type, 'value': value}},
-                          'props': {'k': TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)}}) AS doc
+SELECT event_id, to_json({'user_id': user_id, 'detail': {'event_type': event_type, 'value': value}}) AS who,
+       to_json({'k': TRY_CAST(json_extract_string(props, '$.k') AS BIGINT)}) AS props
 FROM events
 """
 
 # Value patterns of type inference (RE2 spelling of the pinned rule).
-_INT, _FLOAT = r"^[+-]?[0-9]{1,18}$", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_INT, _FLOAT = r"^[+-]?[0-9]+$", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
 _GEO = r"^-?[0-9]+(\.[0-9]+)?,-?[0-9]+(\.[0-9]+)?$"
 
@@ -531,10 +540,11 @@ def infer_types_sql(table: str) -> str:
     parts = []
     for c in COLUMNS[table]:
         v = f"CAST({c} AS VARCHAR)"
-        cnt = lambda pat: f"count(*) FILTER (WHERE regexp_matches({v}, {lit(pat)}))"
-        text = (f"count(*) FILTER (WHERE {c} IS NOT NULL AND NOT regexp_matches({v}, {lit(_INT)}) AND NOT "
+        big = f"(regexp_matches({v}, {lit(_INT)}) AND TRY_CAST({v} AS BIGINT) IS NULL)"
+        cnt = lambda pat: f"count(*) FILTER (WHERE regexp_matches({v}, {lit(pat)}) AND NOT {big})"  # noqa: E731, B023
+        text = (f"count(*) FILTER (WHERE {c} IS NOT NULL AND ({big} OR NOT regexp_matches({v}, {lit(_INT)}) AND NOT "
                 f"regexp_matches({v}, {lit(_FLOAT)}) AND NOT regexp_matches({v}, {lit(_DATE)}) AND NOT "
-                f"regexp_matches({v}, {lit(_GEO)}))")
+                f"regexp_matches({v}, {lit(_GEO)})))")
         parts.append(
             f"SELECT '{c}' AS \"column\", CASE WHEN count({c}) = 0 THEN 'anytype' "
             f"WHEN {cnt(_INT)} = count({c}) THEN 'int' WHEN {cnt(_FLOAT)} = count({c}) THEN 'float' "

@@ -9,6 +9,8 @@ group limit before the shuffle and a final limit after it.
 
 from __future__ import annotations
 
+import functools
+
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -132,8 +134,13 @@ def join_hot_split(big: DataFrame, small: DataFrame, on: Sequence[str], weight_c
     threshold = max(min_hot_size, -(-n_big // max_hot_keys), 1)
     hot = F.broadcast(small.filter(F.col(weight_col) >= threshold))
     cold = small.filter(F.col(weight_col) < threshold)
-    hot_rows = big.join(hot, on, "inner")
-    cold_rows = big.join(hot.select(*on), on, "left_anti").join(cold, on, "inner")
+    def null_safe(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        # equality on names would lose the rows whose group is null
+        right = right.withColumnsRenamed({c: f"__{c}" for c in on})
+        cond = functools.reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"__{c}"]) for c in on])
+        return left.join(right, cond, how).drop(*[f"__{c}" for c in on])
+    hot_rows = null_safe(big, hot, "inner")
+    cold_rows = null_safe(null_safe(big, hot.select(*on), "left_anti"), cold, "inner")
     return hot_rows.unionByName(cold_rows)
 
 
@@ -201,4 +208,7 @@ def stem_groups(df: DataFrame, tokens: Column, steps, id_col: str,
     forms = stems.groupBy(*group_cols, "stem").agg(F.count(F.lit(1)).cast("bigint").alias("n_forms"))
     freq = doc_stem.groupBy(*group_cols, "stem").agg(F.sum("n").cast("bigint").alias("tf"),
                                                      F.count(F.lit(1)).cast("bigint").alias("df"))
-    return freq.join(forms, [*group_cols, "stem"])
+    on = [*group_cols, "stem"]
+    forms = forms.withColumnsRenamed({c: f"__{c}" for c in on})
+    same = functools.reduce(lambda a, b: a & b, [freq[c].eqNullSafe(forms[f"__{c}"]) for c in on])
+    return freq.join(forms, same).drop(*[f"__{c}" for c in on])
