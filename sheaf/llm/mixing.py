@@ -52,7 +52,7 @@ def source_targets(docs: DataFrame, source_col: str, size_col: str,
     """
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(
         F.sum(size_col).cast("bigint").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
-    ranked = number_rows(sizes, [F.col("source").isNull(), F.col("source")], "rank")
+    ranked, _ = number_rows(sizes, [F.col("source").isNull(), F.col("source")], "rank")
     cycle = F.array(*[F.lit(float(w)) for w in weights])
     ranked = save_shared(ranked.withColumn(
         "weight", F.element_at(cycle, (F.col("rank") % len(weights) + 1).cast("int"))), "sources")
