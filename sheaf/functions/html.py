@@ -19,8 +19,7 @@ BLOCK_TAGS = ("address article aside blockquote br dd div dl dt fieldset figcapt
               "section table tbody td tfoot th thead title tr ul body").split()
 
 #: Named entities: the table of the HTML 4 standard (Python's ``html.entities``), and ``&apos;``.
-#: A no-break space becomes a blank.
-NAMED_ENTITIES = {name: " " if name == "nbsp" else chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+NAMED_ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
 
 COMMENT = r"(?s)<!--.*?-->"
 SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"

@@ -14,8 +14,9 @@ same id replaces the earlier one in full. Here a write is a DataFrame transform:
 * the batch rows are appended with ``unionByName(allowMissingColumns=True)``:
   columns the batch lacks are null (full replace, not a merge).
 
-``write_table`` persists a result into a new folder and only then swaps it in,
-so a failed or retried job never leaves a half-written table.
+``replace_table`` writes a result to a new folder through Spark's commit and
+then points the catalogue entry to it, one metadata change: a failed or retried
+job leaves the old table as it was.
 """
 
 from __future__ import annotations
@@ -166,78 +167,90 @@ def keyword_subfield(df: DataFrame, col: str, ignore_above: int = 256) -> DataFr
     return df.withColumn(f"{col}.keyword", F.when(F.length(c) <= ignore_above, c))
 
 
-# ---- persistence ------------------------------------------------------------
+# ---- persistence: catalogue tables ---------------------------------------------
+# A table is a catalogue entry that points to a folder of Parquet files. A write goes
+# to a new folder through Spark's own commit, and only when it is complete does one
+# metadata change point the entry to it. Whatever fails before that leaves the entry,
+# and the old folder, as they were.
 
-def write_table(df: DataFrame, path: str, mode: str = "swap") -> str:
-    """Write ``df`` as Parquet at ``path``.
+def table_exists(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table)
 
-    ``mode='errorifexists'`` fails when the table exists (B4 creation);
-    ``mode='swap'`` writes to a sibling folder and renames it over ``path``
-    afterwards, so a table can be rewritten from a plan that reads it.
-    """
+
+def create_table(df: DataFrame, table: str, root: str) -> str:
+    """Create ``table`` from ``df`` with its files under ``root`` (fails if it exists)."""
     spark = df.sparkSession
-    if mode == "errorifexists":
-        df.write.mode("errorifexists").parquet(path)
-        return path
-    tmp = f"{path.rstrip('/')}.__new_{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(tmp)
-    _swap(spark, tmp, path)
-    return path
-
-
-def _swap(spark: SparkSession, src: str, dst: str) -> None:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    dst_p = jvm.org.apache.hadoop.fs.Path(dst)
-    fs = dst_p.getFileSystem(conf)
-    if fs.exists(dst_p):
-        old = jvm.org.apache.hadoop.fs.Path(f"{dst.rstrip('/')}.__old_{uuid.uuid4().hex}")
-        fs.rename(dst_p, old)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(src), dst_p)
-        fs.delete(old, True)
-    else:
-        fs.rename(jvm.org.apache.hadoop.fs.Path(src), dst_p)
-
-
-def upsert_into(path: str, batch: DataFrame, key: str, order, drop_order: Sequence[str] = ()) -> str:
-    """B1 against a stored table: read, upsert, write to a new folder, swap."""
-    spark = batch.sparkSession
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    exists = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-    target = spark.read.parquet(path) if exists else None
-    return write_table(upsert(target, batch, key, order, drop_order), path)
+    if table_exists(spark, table):
+        raise KeyError_(f"table {table!r} already exists")
+    location = _new_version(df, table, root)
+    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}'")
+    return table
+
 
+def replace_table(df: DataFrame, table: str, root: str) -> str:
+    """Point ``table`` to a new folder with the rows of ``df``, which may read the table itself.
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    Columns that the entry lacks are added first (readers of the old folder see
+    nulls); columns it has must be in ``df``. The old folder stays for readers
+    that still use it; ``drop_old_versions`` removes it.
+    """
+    spark = df.sparkSession
+    if not table_exists(spark, table):
+        return create_table(df, table, root)
+    old = spark.table(table).schema
+    lost = [c for c in old.names if c not in df.columns]
+    if lost:
+        raise KeyError_(f"{table}: column(s) {lost} are missing")
+    location = _new_version(df, table, root)
+    new = [f for f in df.schema.fields if f.name not in old.names]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    return table
+
+
+def _new_version(df: DataFrame, table: str, root: str) -> str:
+    location = f"{root.rstrip('/')}/{table}/version-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(location)
+    return location
+
+
+def drop_old_versions(spark: SparkSession, table: str, root: str) -> None:
+    """Delete the folders of ``table`` that its entry does not point to (no reader may use them any more)."""
+    current = [r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r["col_name"] == "Location"][0]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{table}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(folder):
+        if status.getPath().getName() != current.rstrip("/").rsplit("/", 1)[-1]:
+            fs.delete(status.getPath(), True)
+
+
+def upsert_into(table: str, batch: DataFrame, key: str, order, root: str, drop_order: Sequence[str] = ()) -> str:
+    """B1 against a catalogue table: read, upsert, write a new folder, switch the entry."""
+    spark = batch.sparkSession
+    target = spark.table(table) if table_exists(spark, table) else None
+    return replace_table(upsert(target, batch, key, order, drop_order), table, root)
 
 
 def bulk_write_to(root: str, batches: Mapping[str, tuple]) -> dict[str, str]:
-    """B2 on storage: each batch into ``root/<name>``, created when missing, else
-    upserted (read, merge, write to a new folder, swap). Key checks for every
-    batch run before any table is touched; each table is its own Spark job."""
+    """B2 on storage: each batch into the catalogue table of its name, created when missing, else upserted.
+
+    Key checks for every batch run before any table is touched; each table is its own Spark job."""
     for name, spec in batches.items():
         check_columns(spec[0], spec[1], name)
-    out = {}
-    for name, spec in batches.items():
-        df, key, order = spec[:3]
-        drop = spec[3] if len(spec) > 3 else ()
-        out[name] = upsert_into(f"{root.rstrip('/')}/{name}", df, key, order, drop)
-    return out
+    return {name: upsert_into(name, spec[0], spec[1], spec[2], root, spec[3] if len(spec) > 3 else ())
+            for name, spec in batches.items()}
 
 
-def write_merged(path: str, tables: Sequence[tuple]) -> str:
+def write_merged(table: str, tables: Sequence[tuple], root: str) -> str:
     """B3 on storage: refuse an existing target, check every key, then write once."""
-    spark = tables[0][1].sparkSession
-    if path_exists(spark, path):
-        raise KeyError_(f"table {path!r} already exists")
-    merged = merge_tables(tables)
-    return write_table(merged, path, mode="errorifexists")
+    if table_exists(tables[0][1].sparkSession, table):
+        raise KeyError_(f"table {table!r} already exists")
+    return create_table(merge_tables(tables), table, root)
 
 
-def create_with_mapping(df: DataFrame, mapping: DataFrame | Mapping[str, str], path: str) -> str:
+def create_with_mapping(df: DataFrame, mapping: DataFrame | Mapping[str, str], table: str, root: str) -> str:
     """B4 on storage: cast under the mapping and create the table (fails if it exists)."""
-    return write_table(apply_mapping(df, mapping), path, mode="errorifexists")
+    return create_table(apply_mapping(df, mapping), table, root)

@@ -256,7 +256,7 @@ def _html_sql() -> str:
         s = f"regexp_replace({s}, {lit(pattern)}, {new}, 'g')"
     for name, code in name2codepoint.items():
         if name != "amp":
-            s = f"replace({s}, {lit('&' + name + ';')}, {lit(' ' if name == 'nbsp' else chr(code))})"
+            s = f"replace({s}, {lit('&' + name + ';')}, {lit(chr(code))})"
     s = f"replace({s}, '&apos;', {lit(chr(39))})"
     num = "&#([xX][0-9a-fA-F]+|[0-9]+);"
     dec = ("list_transform(regexp_extract_all(s1, " + lit(num) + "), lambda e: "

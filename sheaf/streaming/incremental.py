@@ -10,7 +10,9 @@ The table is bucketed on ``pmod(xxhash64(key), buckets)`` and written with
 dynamic partition overwrite: a micro-batch rewrites only the buckets its keys
 fall in, reading just those buckets (partition pruning) — never the whole
 table. The merge of a bucket is staged in the checkpoint folder first, so the
-overwrite never reads the files it replaces.
+overwrite never reads the files it replaces; the overwrite itself is Spark's
+dynamic partition commit. Rows are dealt to tasks by bucket before both writes:
+one file per touched bucket.
 
 Bucket count: the unit of rewrite. A micro-batch whose keys spread over all
 buckets rewrites the whole table, so large tables want many buckets (thousands)
@@ -52,10 +54,11 @@ def merge_batch(batch: DataFrame, epoch: int, target: str, key: str, order, buck
         merged_in = current.unionByName(b, allowMissingColumns=True)
     else:
         merged_in = b
-    merged = latest_per_key(merged_in, key, order)
+    # one task per touched bucket, so a micro-batch leaves one file in each
+    merged = latest_per_key(merged_in, key, order).repartition(BUCKET)
     stage = os.path.join(staging, f"epoch={epoch}")
     merged.write.mode("overwrite").partitionBy(BUCKET).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
+    (spark.read.parquet(stage).repartition(BUCKET).write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(target))
 
 

@@ -56,18 +56,43 @@ def test_apply_mapping_and_keyword(spark):
     assert [r["t.keyword"] for r in kw.orderBy("a").collect()] == [None, "short"]
 
 
-def test_write_table_swap(spark, tmp_path):
-    path = str(tmp_path / "tbl")
-    upsert.upsert_into(path, keyed_target(spark), "k", "ord")
-    upsert.upsert_into(path, keyed_batch(spark), "k", "ord")
-    assert rows(spark.read.parquet(path), "k")[1] == (2, 7, "B2", "y")
+def test_replace_table_switches_the_entry(spark, tmp_path):
+    root = str(tmp_path)
+    upsert.upsert_into("t_switch", keyed_target(spark), "k", "ord", root)
+    upsert.upsert_into("t_switch", keyed_batch(spark), "k", "ord", root)
+    want = [(1, 0, "a", None), (2, 7, "B2", "y"), (3, 0, "c", None), (4, 1, "D", None)]
+    assert rows(spark.table("t_switch"), "k") == want
+    upsert.drop_old_versions(spark, "t_switch", root)
+    assert rows(spark.table("t_switch"), "k") == want and len(list((tmp_path / "t_switch").iterdir())) == 1
+
+
+def test_failing_write_leaves_the_old_table(spark, tmp_path):
+    import pytest as _pt
+    root = str(tmp_path)
+    upsert.upsert_into("t_fail", keyed_target(spark), "k", "ord", root)
+    bad = keyed_batch(spark).withColumn("v", F.when(F.col("k") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("v")))
+    with _pt.raises(Exception):
+        upsert.upsert_into("t_fail", bad, "k", "ord", root)
+    null_key = spark.createDataFrame([(None, 1, "x")], "k bigint, ord bigint, v string")
+    with _pt.raises(Exception):
+        upsert.upsert_into("t_fail", null_key, "k", "ord", root)
+    assert rows(spark.table("t_fail"), "k") == rows(keyed_target(spark), "k")
+
+
+def test_null_order_value_keeps_its_row(spark):
+    batch = spark.createDataFrame([(1, None, "only"), (2, None, "no"), (2, 3, "yes")], "k bigint, ord bigint, v string")
+    assert rows(upsert.latest_per_key(batch, "k", "ord"), "k") == [(1, None, "only"), (2, 3, "yes")]
 
 
 def test_add_key_is_gap_free_and_runs_on(spark, sf_dir):
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
-    ko, kc = keys.add_key([o, c], [["o_orderdate", "o_orderkey"], ["c_custkey"]], offset=7, num_partitions=5)
+    ko, kc = keys.add_key([o, c], [["o_orderdate", "o_orderkey"], ["c_custkey"]], offset=7)
     n_o, n_c = o.count(), c.count()
+    assert ko.columns == [*o.columns, "_key"] and kc.columns == [*c.columns, "_key"]
+    whole = [r.asDict() for r in ko.orderBy("_key").collect()]             # every column, not the order columns only
+    assert [r["_key"] for r in whole] == list(range(7, 7 + n_o))
+    assert [r["o_orderkey"] for r in whole] == [r["o_orderkey"] for r in o.orderBy("o_orderdate", "o_orderkey").collect()]
     vals = sorted(r[0] for r in ko.select("_key").collect())
     assert vals == list(range(7, 7 + n_o))
     assert sorted(r[0] for r in kc.select("_key").collect()) == list(range(7 + n_o, 7 + n_o + n_c))
@@ -94,8 +119,8 @@ def test_flatten_json_rows_semantics(spark):
     js = spark.createDataFrame([
         (1, '{"a": {"b": {"c": 1}}, "x": [1, 2]}'), (2, '{"n": null, "e": {}}'), (3, "{}"), (4, "not json"),
         (5, '{"A": 1, "a": 2}')], "id bigint, js string")
-    got = sorted(tuple(r) for r in shape.flatten_json_rows(js, "js", ["id"]).collect())
-    assert got == [(1, "a.b.c", "1"), (1, "x", "[1,2]"), (2, "n", None), (5, "A", "1"), (5, "a", "2")]
+    got = sorted((tuple(r) for r in shape.flatten_json_rows(js, "js", ["id"]).collect()), key=repr)
+    assert got == [(1, "a.b.c", "1"), (1, "x", "[1,2]"), (2, "n", None), (4, None, "not json"), (5, "A", "1"), (5, "a", "2")]
 
 
 def test_dot_expand(spark):
@@ -146,16 +171,15 @@ def test_stream_upsert_independent_of_batching(spark, sf_dir, tmp_path):
     assert results[0] == results[1] == expected
 
 
-def test_bulk_write_to_and_merged_path(spark, tmp_path):
-    root = str(tmp_path / "idx")
-    upsert.bulk_write_to(root, {"t": (keyed_target(spark), "k", "ord")})
-    upsert.bulk_write_to(root, {"t": (keyed_batch(spark), "k", "ord")})
-    assert rows(spark.read.parquet(f"{root}/t"), "k")[1] == (2, 7, "B2", "y")
-    m = str(tmp_path / "merged")
-    upsert.write_merged(m, [("a", keyed_target(spark), "k", "ord")])
+def test_bulk_write_to_and_merged_table(spark, tmp_path):
     import pytest as _pt
+    root = str(tmp_path / "idx")
+    upsert.bulk_write_to(root, {"t_bulk": (keyed_target(spark), "k", "ord")})
+    upsert.bulk_write_to(root, {"t_bulk": (keyed_batch(spark), "k", "ord")})
+    assert rows(spark.table("t_bulk"), "k")[1] == (2, 7, "B2", "y")
+    upsert.write_merged("t_merged", [("a", keyed_target(spark), "k", "ord")], root)
     with _pt.raises(upsert.KeyError_):
-        upsert.write_merged(m, [("a", keyed_target(spark), "k", "ord")])
+        upsert.write_merged("t_merged", [("a", keyed_target(spark), "k", "ord")], root)
 
 
 def test_choose_key(spark):
@@ -186,3 +210,50 @@ def test_stream_analyze_equals_batch(spark, sf_dir, tmp_path):
     got = rows(spark.read.parquet(out), "doc_id")
     want = rows(an.with_analyzed(d, "text", "standard").drop("text"), "doc_id")
     assert got == want
+
+
+def test_json_rows_of_any_depth_and_root(spark):
+    deep = "1"
+    for k in range(12, 0, -1):
+        deep = '{"l%d": %s, "x": "}{"}' % (k, deep)
+    data = [(1, deep), (2, '[1,{"a":2}]'), (3, "5"), (4, "{bad"), (5, "null"), (6, None), (7, "{}"), (8, '{"a":{"b":null}}')]
+    out = shape.flatten_json_rows(spark.createDataFrame(data, "id bigint, js string"), "js", ["id"]).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r.id, []).append((r.key, r.value))
+    path = ".".join(f"l{k}" for k in range(1, 13))
+    assert (path, "1") in got[1] and len(got[1]) == 13
+    assert got[2] == [("", '[1,{"a":2}]')] and got[3] == [("", "5")] and got[4] == [(None, "{bad")] and got[5] == [("", None)]
+    assert 6 not in got and 7 not in got and got[8] == [("a.b", None)]
+
+
+def test_long_integers_keep_every_digit(spark):
+    df = spark.createDataFrame([("1234567890123456789", "12345678901234567890", "7")], "a string, b string, c string")
+    kinds = {r["column"]: r["type"] for r in shape.infer_types(df).collect()}
+    assert kinds == {"a": "int", "b": "str", "c": "int"}
+    out = upsert.apply_mapping(df, shape.infer_mappings(df)).first()
+    assert (out.a, out.b, out.c) == (1234567890123456789, "12345678901234567890", 7)
+
+
+def test_null_leaves_and_repeated_mapping_keys(spark):
+    df = spark.createDataFrame([(1, None, 2)], "id bigint, `a.b` bigint, `a.c` bigint")
+    assert shape.nest_to_json(df, id_cols=["id"]).first()["doc"] == '{"a":{"b":null,"c":2}}'
+    m = spark.createDataFrame([("a.type", '"float"'), ("a.type", '"text"')], "key string, value string").repartition(3)
+    assert {shape.dot_expand(m).first()[0] for _ in range(3)} == {'{"properties":{"a":{"type":"text"}}}'}
+
+
+def test_fingerprint_clusters_with_texts_without_tokens(spark):
+    from sheaf.plans import analyze as an
+    from sheaf.plans import jobs
+    df = spark.createDataFrame([(1, ""), (2, "!!!"), (3, None), (4, "b a"), (5, "A, b")], "doc_id bigint, text string")
+    out = jobs.fingerprint_clusters(df, "doc_id", F.get(an.analyze("text", "fingerprint"), F.lit(0)))
+    assert rows(out, "doc_id") == [(4, 4, 2), (5, 4, 2)]
+
+
+def test_stem_groups_keep_a_null_group(spark):
+    from sheaf.functions import porter
+    from sheaf.plans import jobs
+    df = spark.createDataFrame([(1, None, "cats cat"), (2, "en", "cat")], "doc_id bigint, lang string, text string")
+    out = jobs.stem_groups(df, tok.lowercase(F.col("text")), porter.porter_steps(), "doc_id", ["lang"])
+    assert sorted(map(tuple, out.select("lang", "stem", "tf", "df", "n_forms").collect()), key=repr) == [
+        ("en", "cat", 1, 1, 1), (None, "cat", 2, 1, 2)]

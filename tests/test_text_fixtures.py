@@ -178,3 +178,13 @@ def test_filters_null_and_empty_arrays(spark, name):
     got = [r[0] for r in df.select(flt.FILTERS[name](F.col("a"))).collect()]
     assert got[0] is None
     assert got[1] == []
+
+
+def test_html_text_between_brackets_and_entities(spark):
+    from sheaf.functions import html
+    cases = {"a < b > c": "a < b > c", "x<b>y</b>z": "xyz", "<!doctype html>t<?pi?>": "t", "&eacute;&Uuml;&nbsp;&unknown;": "éÜ\xa0&unknown;",
+             "&amp;lt; &#38;lt;": "&lt; &lt;", "&#00000000065;&#x000000042;": "AB", "&#xFFFFFFFFFFFFFFFFFF;&#0;": "��", "5 &lt 6 & 7": "5 &lt 6 & 7"}
+    df = spark.createDataFrame(list(cases.items()), "html string, want string")
+    from pyspark.sql import functions as F
+    for r in df.select("html", "want", html.html_strip(F.col("html")).alias("got")).collect():
+        assert r.got == r.want, r.html
