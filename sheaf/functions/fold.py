@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 ASCII_SPECIALS = {
     "ß": "ss", "ẞ": "SS", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O",
     "đ": "d", "Đ": "D", "ð": "d", "Ð": "D", "ł": "l", "Ł": "L", "þ": "th", "Þ": "TH",
-    "ı": "i", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ŀ": "l", "Ŀ": "L", "ŉ": "n",
+    "ı": "i", "ŋ": "n", "Ŋ": "N", "ħ": "h", "Ħ": "H", "ŧ": "t", "Ŧ": "T", "ŀ": "l", "Ŀ": "L", "ŉ": "n",
     "ĸ": "q", "ſ": "s", "ƒ": "f", "ǝ": "e", "ə": "e", "Ə": "E",
 }
 
@@ -40,6 +40,9 @@ def _ascii_fold_table() -> tuple[str, str, tuple[tuple[str, str], ...]]:
             if len(base) == 1 and base.isalpha():
                 src.append(ch)
                 dst.append(base)
+    full, plain = _full_width_table()
+    src += full
+    dst += plain
     for ch, rep in ASCII_SPECIALS.items():
         if len(rep) == 1:
             src.append(ch)
@@ -105,12 +108,30 @@ SERBIAN = [
 ARABIC_MAP = ("آأإىة", "ااايه")
 ARABIC_DROP = "ـ" + "".join(chr(c) for c in range(0x064B, 0x0653))
 
-# Persian normalization. Farsi yeh -> yeh, keheh -> kaf,
+# Persian normalization. Farsi yeh and yeh barree -> yeh, keheh -> kaf,
 # heh with yeh above and heh goal -> heh; hamza above is removed.
-PERSIAN_MAP = ("یکۀہ", "يكهه")
+PERSIAN_MAP = ("یےکۀہ", "ييكهه")
 PERSIAN_DROP = "ٔ"
 
 
+# Hindi normalization (code points). Letters with a dot below -> without; candra and
+# short e / o -> e / o; long vowels and vowel signs -> short ones; candrabindu -> anusvara. The dot
+# below, the virama and the joiners are removed; na + virama becomes anusvara first.
+HINDI_MAP = {
+    0x0929: 0x0928, 0x0931: 0x0930, 0x0934: 0x0933, 0x0958: 0x0915, 0x0959: 0x0916, 0x095A: 0x0917, 0x095B: 0x091C,
+    0x095C: 0x0921, 0x095D: 0x0922, 0x095E: 0x092B, 0x095F: 0x092F, 0x0901: 0x0902, 0x0945: 0x0947, 0x0946: 0x0947,
+    0x0949: 0x094B, 0x094A: 0x094B, 0x090D: 0x090F, 0x090E: 0x090F, 0x0911: 0x0913, 0x0912: 0x0913, 0x0972: 0x0905,
+    0x0906: 0x0905, 0x0908: 0x0907, 0x090A: 0x0909, 0x0960: 0x090B, 0x0961: 0x090C, 0x0910: 0x090F, 0x0914: 0x0913,
+    0x0940: 0x093F, 0x0942: 0x0941, 0x0944: 0x0943, 0x0963: 0x0962, 0x0948: 0x0947, 0x094C: 0x094B,
+}
+HINDI_DROP = "\u093c\u094d\u200c\u200d"
+
+# Sorani normalization. Arabic yeh and alef maksura -> Farsi yeh; kaf -> keheh; teh marbuta -> ae;
+# heh doachashmee -> heh; reh with small v above -> reh with small v below. Tatweel, harakat and joiners go.
+SORANI_MAP = ("\u064a\u0649\u0643\u0629\u06be\u0692", "\u06cc\u06cc\u06a9\u06d5\u0647\u0695")
+SORANI_DROP = "\u0640\u200c" + "".join(chr(c) for c in range(0x064B, 0x0653))
+
+
 def _serbian_steps():
     one = [(a, b) for a, b in SERBIAN if len(b) == 1]
     many = [(a, b) for a, b in SERBIAN if len(b) > 1]
@@ -150,6 +171,13 @@ def profile(name: str) -> list[tuple[str, str, str]]:
         return [("map", ARABIC_MAP[0] + ARABIC_DROP, ARABIC_MAP[1])]
     if name == "persian_normalization":
         return [("map", PERSIAN_MAP[0] + PERSIAN_DROP, PERSIAN_MAP[1])]
+    if name == "hindi_normalization":
+        return [("sub", "\u0928\u094d", "\u0902"),
+                ("map", "".join(map(chr, HINDI_MAP)) + HINDI_DROP, "".join(map(chr, HINDI_MAP.values())))]
+    if name == "sorani_normalization":
+        # heh before a non-joiner or at the end of a word is the vowel ae; a first reh is the rolled one
+        return [("sub", "\u0647\u200c", "\u06d5"), ("sub", "\u0647$", "\u06d5"), ("sub", "^\u0631", "\u0695"),
+                ("map", SORANI_MAP[0] + SORANI_DROP, SORANI_MAP[1])]
     if name == "serbian_normalization":
         return _serbian_steps()
     raise KeyError(f"unknown fold profile {name!r}")
@@ -157,7 +185,8 @@ def profile(name: str) -> list[tuple[str, str, str]]:
 
 PROFILES = ("asciifolding cjk_width decimal_digit german_normalization "
             "scandinavian_normalization scandinavian_folding arabic_normalization "
-            "persian_normalization serbian_normalization").split()
+            "persian_normalization serbian_normalization hindi_normalization "
+            "sorani_normalization").split()
 
 
 _REGEX_META = set("\\^$.|?*+()[]{}")

@@ -188,3 +188,14 @@ def test_html_text_between_brackets_and_entities(spark):
     from pyspark.sql import functions as F
     for r in df.select("html", "want", html.html_strip(F.col("html")).alias("got")).collect():
         assert r.got == r.want, r.html
+
+
+@pytest.mark.parametrize("profile,word,want", [
+    ("asciifolding", "ŋＡＢｃŊ１", "nABcN1"), ("persian_normalization", "ےی", "يي"),
+    ("hindi_normalization", "अँगरेज़ी", "अंगरेजि"), ("hindi_normalization", "अन्गरेज़ी", "अंगरेजि"), ("hindi_normalization", "आईऊॐ", "अइउॐ"),
+    ("sorani_normalization", "يىكـً", "ییک"), ("sorani_normalization", "ره", "ڕە"),
+    ("sorani_normalization", "ه‌اھة", "ەاهە")])
+def test_more_folds(spark, profile, word, want):
+    from sheaf.functions import fold
+    df = spark.createDataFrame([([word],)], "t array<string>")
+    assert df.select(fold.fold_chars(F.col("t"), profile)).first()[0] == [want]
