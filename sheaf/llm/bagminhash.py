@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh, save_shared, table, text_of
+from .common import Scratch, fresh, save_shared, table, text_of, within
 from .shingles import _WordHashes, blocks, mix, occurrences, shingle_hashes
 
 #: Components of a signature: bands times rows. At a similarity of 0.8 a pair shares no band
@@ -278,13 +278,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Repeated rows of that id (or, in a class without ids, all rows) are reduced to
     one as well; only the rows of such classes are compared for it.
     """
-    node, cls, first, rows = fresh(docs, "__node", "__class", "__first", "__rows")
-    classes = near_classes(docs, id_col, text_col)
-    best = classes.filter(F.col("is_first")).select(F.col("node").alias(node), F.col("class_id").alias(first),
-                                                    F.col("firsts").alias(rows))
-    kept = (docs.withColumn(node, node_of(text_col)).join(best, node)
-                .filter(F.col(f"`{id_col}`").eqNullSafe(F.col(first))))
-    one = kept.filter(F.col(rows) == 1)
+    node, first, rows, chosen = fresh(docs, "__node", "__first", "__rows", "__chosen")
+    classes = near_classes(docs, id_col, text_col).filter(F.col("class_size") > 1)
+    groups = classes.select(F.col("node").alias(node), F.col("class_id").alias(first), F.col("firsts").alias(rows),
+                            F.col("is_first").alias(chosen))
+    if within(groups, BROADCAST_KEYS):          # texts of classes of one are not in it, and need no shuffle then
+        groups = F.broadcast(groups)
+    joined = docs.withColumn(node, node_of(text_col)).join(groups, node, "left")
+    kept = joined.filter(F.col(chosen).isNull() | (F.col(chosen) & F.col(f"`{id_col}`").eqNullSafe(F.col(first))))
+    one = kept.filter(F.coalesce(F.col(rows), F.lit(1)) == 1)
     more = kept.filter(F.col(rows) > 1).dropDuplicates([node])
     return one.unionByName(more).select(*[F.col(f"`{c}`") for c in docs.columns])
 
