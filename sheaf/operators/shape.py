@@ -302,8 +302,10 @@ def stringify(df: DataFrame) -> DataFrame:
 def field_stats(df: DataFrame, approx: bool = False) -> DataFrame:
     """Per column: non-null values, distinct values, longest text form.
 
-    Exact distinct counts unpivot to (column, value), group on it (a hot value
-    is pre-aggregated map-side), then count per column. ``approx=True`` uses
+    Distinct counts unpivot to (column, 128-bit digest of the value), group on it
+    (a hot value is pre-aggregated map-side, with its length) and count per column:
+    the shuffle carries 16 bytes per distinct value, however long it is.
+    ``approx=True`` uses
     HyperLogLog sketches in one aggregation pass instead.
     """
     if approx:
@@ -316,12 +318,13 @@ def field_stats(df: DataFrame, approx: bool = False) -> DataFrame:
         return df.agg(F.array(*aggs).alias("a")).select(F.explode("a").alias("r")).select("r.*")
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(_q(c)).cast("string").alias("v"))
                                 for c in df.columns]))
-    per_value = (df.select(pairs.alias("p")).select("p.*")
-                   .groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    per_value = (df.select(pairs.alias("p"))
+                   .select("p.column", F.unhex(F.md5("p.v")).alias("v"), F.length("p.v").alias("len"))
+                   .groupBy("column", "v").agg(F.count(F.lit(1)).alias("cnt"), F.max("len").alias("len")))
     return (per_value.groupBy("column")
             .agg(F.sum(F.when(F.col("v").isNotNull(), F.col("cnt")).otherwise(0)).cast("bigint").alias("n_nonnull"),
                  F.count("v").cast("bigint").alias("n_distinct"),
-                 F.max(F.length("v")).cast("bigint").alias("max_len")))
+                 F.max("len").cast("bigint").alias("max_len")))
 
 
 # ---- D3: geo point -------------------------------------------------------------

@@ -16,6 +16,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranking import save_shared
+
 
 def token_table(df: DataFrame, id_cols: Sequence[str], tokens: Column) -> DataFrame:
     """One row per token occurrence: ids, ``pos`` (0-based), ``token``."""
@@ -145,14 +147,12 @@ def join_hot_split(big: DataFrame, small: DataFrame, on: Sequence[str], weight_c
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared checkpoint folder and read it back.
+    """Compute ``df`` once into the shared folder and read it back, as Parquet.
 
-    A reliable checkpoint (not a local one): the files survive the loss of the
-    executor that wrote them, and the lineage above is cut.
+    The files survive the loss of the executor that wrote them, the lineage above
+    is cut, and readers keep column pruning and filter pushdown.
     """
-    from ..session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return save_shared(df, "written")
 
 
 def vocabulary(df: DataFrame, tokens: Column, group_cols: Sequence[str] = ()) -> DataFrame:
