@@ -42,6 +42,8 @@ from .shingles import _WordHashes, blocks, mix, occurrences, shingle_hashes
 BANDS, ROWS = 64, 8
 #: Verified similarity, as a fraction: NEAR_NUM / NEAR_DEN = 0.8.
 NEAR_NUM, NEAR_DEN = 4, 5
+#: 64-bit words of a parity sketch (see ``_open_pairs``).
+PARITY_WORDS = 16
 #: Texts to verify are picked by a broadcast of their keys up to this number, else by a shuffle.
 BROADCAST_KEYS = 250_000
 
@@ -127,9 +129,13 @@ def _bagged(batches):
             # the nth occurrence of a shingle is an element of its own: multiset overlap is set overlap
             element = mix(value + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
             offsets = np.concatenate(([0], np.cumsum(np.bincount(doc, minlength=end - begin)))).astype(np.int32)
+            bits = 64 * PARITY_WORDS
+            odd = np.bincount(doc * bits + (element & (bits - 1)), minlength=(end - begin) * bits) & 1
+            parity = np.packbits(odd.astype(np.uint8)).view(np.int64)
+            words = np.arange(end - begin + 1, dtype=np.int32) * PARITY_WORDS
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes[begin:end], type=pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(element))], names=["node", "bag"])
+                [pa.array(nodes[begin:end], type=pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(element)),
+                 pa.ListArray.from_arrays(pa.array(words), pa.array(parity))], names=["node", "bag", "parity"])
 
 
 def node_of(text_col: str) -> Column:
@@ -197,12 +203,15 @@ def _open_buckets(rest: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFr
 def _open_pairs(named: DataFrame, buckets: DataFrame, bags: DataFrame, scratch: Scratch) -> DataFrame:
     """The pairs of different classes in ``buckets`` that can still be near.
 
-    An exact filter goes before any pair is made. Of the n shingles of a text, u
+    Two exact filters go before any pair is made. Of the n shingles of a text, u
     occur in no other text of the buckets, so no partner shares more than s = n - u
     of them; near texts of n and m shingles share t / (1 + t) (n + m) at least. A
     text that cannot reach that even with the smallest member leaves the bucket
     (texts that only have a passage in common leave this way), and a pair is made
-    only where both sides can reach it.
+    only where both sides can reach it. The second filter counts what differs: near
+    texts differ in (1 - t) / (1 + t) (n + m) shingles at most. Shingles are dealt to
+    the bits of a sketch that hold whether their number is odd; every bit in which two
+    sketches differ takes one shingle at least that only one of the texts has.
     """
     members = scratch.save(named.join(buckets, "bucket"), "members")
     nodes = members.select("node").distinct()
@@ -213,12 +222,15 @@ def _open_pairs(named: DataFrame, buckets: DataFrame, bags: DataFrame, scratch:
     shared = F.col("n") - F.coalesce("u", F.lit(0))
     # the largest partner that a text of n shingles can have: (1 + t) / t s - n
     largest = F.floor(shared * F.lit(NEAR_NUM + NEAR_DEN) / F.lit(NEAR_NUM)).cast("bigint") - F.col("n")
-    able = scratch.save(members.join(sole, "node", "left").withColumn("most", largest).filter(F.col("most") >= F.col("least"))
-                              .select("bucket", "class", "node", "n", "most"), "able")
+    able = members.join(sole, "node", "left").withColumn("most", largest).filter(F.col("most") >= F.col("least"))
+    able = scratch.save(able.join(bags.select("node", "parity"), "node")
+                            .select("bucket", "class", "node", "n", "most", "parity"), "able")
     left, right = able.alias("x"), able.alias("y")
+    differ = sum((F.bit_count(F.get("x.parity", F.lit(i)).bitwiseXOR(F.get("y.parity", F.lit(i)))) for i in range(PARITY_WORDS)), F.lit(0))
+    few_differ = differ * (NEAR_DEN + NEAR_NUM) <= (F.col("x.n") + F.col("y.n")) * (NEAR_DEN - NEAR_NUM)
     return left.join(right, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node"))
                      & (F.col("x.class") != F.col("y.class")) & (F.col("x.n") <= F.col("y.most"))
-                     & (F.col("y.n") <= F.col("x.most"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+                     & (F.col("y.n") <= F.col("x.most")) & few_differ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,7 +265,7 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, scratch: Scratch) -> D
         wanted = F.broadcast(wanted)
     rows = docs.select(node_of(text_col).alias("node"), F.col(id_col).alias("id"), text_of(text_col).alias("text"))
     picked = rows.join(wanted, "node").filter(F.col("id").eqNullSafe(F.col("keep"))).select("node", "text")
-    bags = scratch.save(picked.mapInArrow(_bagged, "node binary, bag array<bigint>").dropDuplicates(["node"]), "bags")
+    bags = scratch.save(picked.mapInArrow(_bagged, "node binary, bag array<bigint>, parity array<bigint>").dropDuplicates(["node"]), "bags")
 
     links = scratch.save(_verified(pairs, bags), "links")
     labels = components(links, scratch)
