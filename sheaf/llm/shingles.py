@@ -11,14 +11,14 @@ from .common import SHINGLE
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 #: Words hashed together in one array.
-BLOCK_WORDS = 300_000
+BLOCK_WORDS = 100_000
 
 
 class _WordHashes(dict):
     """Hash of a word, computed on first use."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
