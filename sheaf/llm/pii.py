@@ -58,6 +58,8 @@ MAX_BITS, MIN_TEXTS = 2.0, 3
 CLASS_LETTERS = 3
 
 _BLOCK = 256
+#: Characters of the pieces that contexts are cut from.
+_CUT = 1024
 #: A term: a blank-separated token whose core is letters only, without digits or at signs around it.
 _TOKEN = r"[^\x20\x09-\x0D]+"
 _CORE = r"^[^\p{L}0-9@]*+(\p{L}{3,}+)[^\p{L}0-9@]*+$"
@@ -100,7 +102,7 @@ def _entity(kind: str, found: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), value)
 
 
-_FOUND = "array<struct<start:int,kind:int,end:int,entity:string,left:string,right:string>>"
+_FOUND = "array<struct<start:int,kind:int,end:int,entity:string>>"
 
 
 def _of_kind(text: Column, kind: str) -> Column:
@@ -114,9 +116,7 @@ def _of_kind(text: Column, kind: str) -> Column:
                 every = F.transform(found, lambda f, i: let(
                     before(i) + F.length(F.get(pieces, i)), lambda start: F.struct(
                         start.alias("start"), F.lit(KINDS.index(kind)).alias("kind"),
-                        (start + F.length(f)).alias("end"), F.when(_valid(kind, f), _entity(kind, f)).alias("entity"),
-                        F.right(F.get(pieces, i), F.lit(CONTEXT + 1)).alias("left"),
-                        F.left(F.get(pieces, i + 1), F.lit(CONTEXT + 1)).alias("right"))))
+                        (start + F.length(f)).alias("end"), F.when(_valid(kind, f), _entity(kind, f)).alias("entity"))))
                 return F.filter(every, lambda s: s["entity"].isNotNull())
             return let(lengths, lambda ls: _running(ls, F.lit(0), lambda a, b: a + b, at))
         return F.when(F.exists(found, lambda f: _valid(kind, f)), let(F.split(text, pattern, -1), placed))
@@ -125,9 +125,26 @@ def _of_kind(text: Column, kind: str) -> Column:
     return F.coalesce(F.when(may, let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)).cast(_FOUND), none)
 
 
+def _with_contexts(text: Column, spans: Column) -> Column:
+    """``spans`` with the text on either side, one character longer than ``CONTEXT`` where the text goes on."""
+    def add(blocks: Column) -> Column:
+        def cut(begin: Column, end: Column) -> Column:
+            b = F.floor(begin / _CUT).cast("int")
+            return F.substring(F.concat(F.get(blocks, b), F.coalesce(F.get(blocks, b + 1), F.lit(""))), begin % _CUT + 1, end - begin)
+        left = lambda s: cut(F.greatest(s["start"] - (CONTEXT + 1), F.lit(0)), s["start"])
+        right = lambda s: F.coalesce(cut(s["end"], s["end"] + CONTEXT + 1), F.lit(""))
+        return F.transform(spans, lambda s: F.struct(
+            s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["entity"].alias("entity"),
+            left(s).alias("left"), right(s).alias("right")))
+    # in pieces of equal length, so that a context costs the same wherever it stands in a long text
+    return F.when(F.size(spans) > 0, let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CUT}}}"), F.lit(0)), add))
+
+
 def entities(text: Column) -> Column:
     """Base findings of a text, by start and kind, with the contexts on either side."""
-    return F.array_sort(F.concat(*[_of_kind(text, k) for k in PATTERNS]))
+    spans = F.array_sort(F.concat(*[_of_kind(text, k) for k in PATTERNS]))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,entity:string,left:string,right:string>>")
+    return let(spans, lambda s: F.coalesce(_with_contexts(text, s), none))
 
 
 def _terms(text: Column) -> Column:
