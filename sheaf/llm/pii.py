@@ -12,13 +12,18 @@ occurrences of t in all documents and n(e, t) those near e. A term whose rest is
 at most ``MAX_BITS`` discloses e, once the pair was seen in ``MIN_TEXTS``
 different texts (an estimate from fewer is no estimate). A disclosing term is
 generalised to its class, the words with the same first ``CLASS_LETTERS``
-letters, if the class itself leaves more than ``MAX_BITS`` open, and removed
-otherwise. Terms are only touched near the entity; documents without an entity
-stay as they are.
+letters, if the class itself leaves more than ``MAX_BITS`` open and is shorter than
+the term, and removed otherwise; where entities differ in that, it is removed. Every
+occurrence of a disclosing term goes, near an entity or not, in every document.
+
+A term is a run of letters, marks and digits of any length, also across single
+hyphens and apostrophes. Base entities are read as blanks: their parts are no terms.
 
 All counts cover all documents. Terms are counted with partial aggregation, so
 frequent ones cost one row per task; only (entity, term) pairs with enough
-support are looked up in them. Exact copies are worked on once per text.
+support are looked up in them. The disclosing terms, few against the vocabulary, are
+broadcast to all occurrences if they are within ``BROADCAST_TERMS``. Windows and
+spans of exact copies are kept once per text.
 
 Positions come from splitting a text at a pattern and adding up lengths, in
 blocks, so that a text with very many matches stays cheap.
@@ -34,7 +39,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, fresh, let, save_shared, table, text_of
+from .common import Scratch, broadcast_within, fresh, let, save_shared, table, text_of
 
 #: Kinds of spans in the order that breaks ties; the last two come from the method.
 KINDS = ("email", "ip", "card", "phone", "term", "broad")
@@ -60,9 +65,12 @@ CLASS_LETTERS = 3
 _BLOCK = 256
 #: Characters of the pieces that contexts are cut from.
 _CUT = 1024
-#: A term: a blank-separated token whose core is letters only, without digits or at signs around it.
-_TOKEN = r"[^\x20\x09-\x0D]+"
-_CORE = r"^[^\p{L}0-9@]*+(\p{L}{3,}+)[^\p{L}0-9@]*+$"
+#: A term.
+_TERM = r"[\p{L}\p{M}\p{N}]++(?:['\u2019\u2010\u2011-][\p{L}\p{M}\p{N}]++)*+"
+#: Beyond ``CONTEXT``, so many characters show whether a term goes on there.
+_MORE = 2
+#: Up to so many disclosing terms are broadcast; beyond, they are joined by shuffle.
+BROADCAST_TERMS = 200_000
 
 
 def _running(values: Column, zero: Column, op: Callable[[Column, Column], Column],
@@ -126,57 +134,78 @@ def _of_kind(text: Column, kind: str) -> Column:
 
 
 def _with_contexts(text: Column, spans: Column) -> Column:
-    """``spans`` with the text on either side, one character longer than ``CONTEXT`` where the text goes on."""
+    """``spans`` with the text on either side, ``_MORE`` characters longer than ``CONTEXT`` where the text goes on."""
     def add(blocks: Column) -> Column:
         def cut(begin: Column, end: Column) -> Column:
             b = F.floor(begin / _CUT).cast("int")
             return F.substring(F.concat(F.get(blocks, b), F.coalesce(F.get(blocks, b + 1), F.lit(""))), begin % _CUT + 1, end - begin)
-        left = lambda s: cut(F.greatest(s["start"] - (CONTEXT + 1), F.lit(0)), s["start"])
-        right = lambda s: F.coalesce(cut(s["end"], s["end"] + CONTEXT + 1), F.lit(""))
+        left = lambda s: cut(F.greatest(s["start"] - (CONTEXT + _MORE), F.lit(0)), s["start"])
+        right = lambda s: F.coalesce(cut(s["end"], s["end"] + CONTEXT + _MORE), F.lit(""))
         return F.transform(spans, lambda s: F.struct(
             s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), s["entity"].alias("entity"),
             left(s).alias("left"), right(s).alias("right")))
     # in pieces of equal length, so that a context costs the same wherever it stands in a long text
-    return F.when(F.size(spans) > 0, let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CUT}}}"), F.lit(0)), add))
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_CUT}}}"), F.lit(0)), add)
 
 
-def entities(text: Column) -> Column:
-    """Base findings of a text, by start and kind, with the contexts on either side."""
-    spans = F.array_sort(F.concat(*[_of_kind(text, k) for k in PATTERNS]))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,entity:string,left:string,right:string>>")
-    return let(spans, lambda s: F.coalesce(_with_contexts(text, s), none))
+def _base(text: Column) -> Column:
+    return F.array_sort(F.concat(*[_of_kind(text, k) for k in PATTERNS]))
+
+
+def _marked(texts: DataFrame) -> DataFrame:
+    """``texts`` (text) plus (base, blank): base findings by start and kind, and the text with as many blanks in their place.
+
+    In steps, as the analyser passes over an expression once per level of nested lambdas, 100 times at most.
+    """
+    marked = texts.withColumn("base", _base(F.col("text")))
+    return marked.withColumn("blank", F.when(F.size("base") > 0, _blanked(F.col("text"), F.col("base"))).otherwise(F.col("text")))
 
 
 def _terms(text: Column) -> Column:
     """Lower-case terms of a whole text."""
-    return F.regexp_extract_all(F.lower(text), F.lit(
-        r"(?<![^\x20\x09-\x0D])[^\p{L}0-9@\x20\x09-\x0D]*+(\p{L}{3,}+)[^\p{L}0-9@\x20\x09-\x0D]*+(?![^\x20\x09-\x0D])"), F.lit(1))
-
+    return F.transform(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), F.lower)
 
-def _placed_terms(context: Column, origin: Column, is_left: bool) -> Column:
-    """(term, start, end) of the whole words of a short context; ``origin``: where the context starts.
 
-    A context longer than ``CONTEXT`` was cut on its far side: its word there is incomplete.
-    """
-    def tokens(found: Column) -> Column:
+def _placed_terms(text: Column, origin: Column | int = 0) -> Column:
+    """(term, start, end) of the terms of a text that starts at ``origin``."""
+    def terms(found: Column) -> Column:
         def placed(pieces: Column) -> Column:
-            def one(token: Column, i: Column) -> Column:
-                before = F.aggregate(F.slice(pieces, F.lit(1), i + 1), F.lit(0), lambda a, p: a + F.length(p)) + F.aggregate(
-                    F.slice(found, F.lit(1), i), F.lit(0), lambda a, p: a + F.length(p))
-                core = F.regexp_extract(token, _CORE, 1)
-                start = origin + before + F.length(F.regexp_extract(token, r"^[^\p{L}]*+", 0))
-                whole = (F.length(context) <= CONTEXT) | ((i > 0) if is_left else (i < F.size(found) - 1))
-                return F.struct(F.when(whole & (F.length(core) > 0), F.lower(core)).alias("term"), start.alias("start"),
-                                (start + F.length(core)).alias("end"))
-            return F.filter(F.transform(found, one), lambda t: t["term"].isNotNull())
-        return let(F.split(context, _TOKEN, -1), placed)
-    return let(F.regexp_extract_all(context, F.lit(_TOKEN), F.lit(0)), tokens)
+            lengths = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, f: F.length(p) + F.length(f))
+            return let(lengths, lambda ls: _ends(ls, lambda end: F.transform(found, lambda f, i: let(
+                end(i) + origin, lambda e: F.struct(F.lower(f).alias("term"), (e - F.length(f)).alias("start"), e.alias("end"))))))
+        return let(F.split(text, _TERM, -1), placed)
+    return let(F.regexp_extract_all(text, F.lit(_TERM), F.lit(0)), terms)
+
+
+def _ends(lengths: Column, fn: Callable[[Callable[[Column], Column]], Column], width: int = 32) -> Column:
+    """``fn(end)``, where ``end(i)`` sums the first i + 1 of ``lengths``; blocks of blocks, about ``width`` steps per element."""
+    add = lambda a, b: a + b
+    total = lambda values: F.aggregate(values, F.lit(0), add)
+
+    def sums(values: Column) -> Column:
+        n = F.greatest(F.ceil(F.size(values) / F.lit(width)).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), n - 1), lambda b: total(F.slice(values, b * width + 1, F.lit(width))))
+
+    def heads(large: Column) -> Column:
+        return F.transform(large, lambda _, b: total(F.slice(large, F.lit(1), b)))
+
+    def by_block(blocks: Column) -> Column:
+        def starts(head: Column) -> Column:
+            at = lambda i: F.floor(i / width).cast("int")
+            start = F.transform(blocks, lambda _, b: F.get(head, at(b)) + total(F.slice(blocks, at(b) * width + 1, b % width)))
+            return let(start, lambda st: fn(lambda i: F.get(st, at(i)) + total(F.slice(lengths, at(i) * width + 1, i % width + 1))))
+        return let(let(sums(blocks), heads), starts)
+    return let(sums(lengths), by_block)
 
 
 def find(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` without its text, plus ``entities`` and ``text_key``."""
-    text = text_of(text_col)
-    return df.withColumns({"entities": entities(text), "text_key": F.unhex(F.md5(text))}).drop(text_col)
+    """``df`` without its text, plus ``entities`` (base findings with the contexts on either side) and ``text_key``."""
+    kept = [F.col(f"`{c}`") for c in df.columns if c != text_col]
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,entity:string,left:string,right:string>>")
+    marked = _marked(df.select(*([F.struct(*kept).alias("row")] if kept else []), text_of(F.col(f"`{text_col}`")).alias("text")))
+    return marked.select(*(["row.*"] if kept else []),
+                         F.coalesce(F.when(F.size("base") > 0, _with_contexts(F.col("blank"), F.col("base"))), none).alias("entities"),
+                         F.unhex(F.md5("text")).alias("text_key"))
 
 
 def disclosing_terms(found: DataFrame, texts: DataFrame, scratch: Scratch, max_bits: float = MAX_BITS,
@@ -184,13 +213,13 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, scratch: Scratch, max_b
     """Windows (text_key, entity, term, start, end) and disclosing pairs (entity, term, n, total, bits, kind).
 
     ``found`` is the result of ``find``, ``texts`` a table with the one column
-    ``text`` of all documents.
+    ``text`` of all documents. Windows hold the terms that lie wholly within ``CONTEXT``.
     """
     some = (found.filter(F.size("entities") > 0).groupBy("text_key")
                  .agg(F.first("entities").alias("entities"), F.count(F.lit(1)).alias("copies")))
-    around = F.concat(
-        _placed_terms(F.col("e.left"), F.col("e.start") - F.length("e.left"), True),
-        _placed_terms(F.col("e.right"), F.col("e.end"), False))
+    around = F.filter(F.concat(
+        _placed_terms(F.col("e.left"), F.col("e.start") - F.length("e.left")), _placed_terms(F.col("e.right"), F.col("e.end"))),
+        lambda t: (t["start"] >= F.col("e.start") - CONTEXT) & (t["end"] <= F.col("e.end") + CONTEXT))
     windows = scratch.save(
         some.select("text_key", "copies", F.explode("entities").alias("e"))
             .select("text_key", "copies", F.col("e.entity").alias("entity"), F.explode(around).alias("t"))
@@ -198,7 +227,7 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, scratch: Scratch, max_b
     pairs = windows.groupBy("entity", "term", "text_key").agg(F.sum("copies").alias("n"))
     pairs = scratch.save(pairs.groupBy("entity", "term").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("texts"))
                              .withColumn("class", F.substring("term", 1, CLASS_LETTERS)), "pairs")
-    totals = (texts.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+    totals = (_marked(texts).select(F.explode(_terms(F.col("blank"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
                    .withColumn("class", F.substring("term", 1, CLASS_LETTERS)))
     totals = scratch.save(totals, "totals")
     bits = lambda total, n: F.log2(F.col(total) / F.col(n))
@@ -207,26 +236,29 @@ def disclosing_terms(found: DataFrame, texts: DataFrame, scratch: Scratch, max_b
     class_pairs = pairs.groupBy("entity", "class").agg(F.sum("n").alias("class_n"))
     class_totals = totals.groupBy("class").agg(F.sum("total").alias("class_total"))
     told = (told.join(class_pairs, ["entity", "class"]).join(class_totals, "class")
-                .withColumn("kind", F.when(bits("class_total", "class_n") > max_bits, F.lit(KINDS.index("broad")))
+                .withColumn("kind", F.when((bits("class_total", "class_n") > max_bits) & (F.length("term") > CLASS_LETTERS), F.lit(KINDS.index("broad")))
                                      .otherwise(F.lit(KINDS.index("term")))))
     return windows, told.select("entity", "term", "n", "total", "bits", "kind")
 
 
 def spans_of(found: DataFrame, texts: DataFrame, scratch: Scratch, max_bits: float = MAX_BITS,
              min_texts: int = MIN_TEXTS) -> DataFrame:
-    """(text_key, all_spans) of the distinct texts of ``found`` that hold an entity.
+    """(text_key, all_spans) of the distinct texts that hold an entity or a disclosing term.
 
-    ``all_spans``: base spans and those of disclosing terms, as (start, kind, end).
+    ``all_spans``: base spans and those of all occurrences of disclosing terms, as (start, kind, end).
     """
-    windows, told = disclosing_terms(found, texts, scratch, max_bits, min_texts)
-    more = (windows.join(told.select("entity", "term", "kind"), ["entity", "term"])
-                   .groupBy("text_key", "start", "end").agg(F.max("kind").alias("kind"))
-                   .groupBy("text_key").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more")))
+    _, told = disclosing_terms(found, texts, scratch, max_bits, min_texts)
+    # "term", removed, is the smaller kind and goes before "broad"
+    told = scratch.save(told.groupBy("term").agg(F.min("kind").alias("kind")), "told")
+    placed = (_marked(texts).select(F.unhex(F.md5("text")).alias("text_key"), F.explode(_placed_terms(F.col("blank"))).alias("t"))
+                   .select("text_key", "t.term", "t.start", "t.end"))
+    more = (placed.join(broadcast_within(told, BROADCAST_TERMS), "term")
+                  .groupBy("text_key").agg(F.collect_set(F.struct("start", "kind", "end")).alias("more")))
     base = F.transform("entities", lambda e: F.struct(e["start"], e["kind"], e["end"]))
     some = found.filter(F.size("entities") > 0).groupBy("text_key").agg(F.first("entities").alias("entities"))
     none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return some.join(more, "text_key", "left").select(
-        "text_key", F.array_sort(F.concat(base, F.coalesce("more", none))).alias("all_spans"))
+    return some.join(more, "text_key", "full").select(
+        "text_key", F.array_sort(F.concat(F.coalesce(base, none), F.coalesce("more", none))).alias("all_spans"))
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", max_bits: float = MAX_BITS, min_texts: int = MIN_TEXTS) -> DataFrame:
@@ -234,9 +266,8 @@ def with_spans(docs: DataFrame, text_col: str = "text", max_bits: float = MAX_BI
     found = save_shared(find(docs, text_col), "entities")
     with Scratch(docs.sparkSession) as scratch:
         spans = save_shared(spans_of(found, docs.select(text_of(text_col).alias("text")), scratch, max_bits, min_texts), "spans")
-    # documents without an entity take no part in the join
-    has, none = F.size("entities") > 0, F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    return found.filter(has).join(spans, "text_key").unionByName(found.filter(~has).withColumn("all_spans", none))
+    none = F.array().cast("array<struct<start:int,kind:int,end:int>>")
+    return found.join(spans, "text_key", "left").withColumn("all_spans", F.coalesce("all_spans", none))
 
 
 def _listed(spans: Column) -> Column:
@@ -245,27 +276,37 @@ def _listed(spans: Column) -> Column:
         ":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def _redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced; spans that overlap are replaced together, as the first of them."""
-    labels = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
-
+def _replaced(text: Column, spans: Column, label: Callable[[Column, Column], Column]) -> Column:
+    """The text with ``label(span, end)`` for every span that ends after ``end``, where the spans before it ended."""
     def build(before):
         def piece(s: Column, i: Column) -> Column:
-            def after(end: Column) -> Column:
-                broad = F.concat(F.substring(text, s["start"] + 1, F.lit(CLASS_LETTERS)), F.lit("*"))
-                label = F.when(s["kind"] == KINDS.index("broad"), broad).otherwise(F.get(labels, s["kind"]))
-                return F.when(s["start"] >= end, F.concat(F.substring(text, end + 1, s["start"] - end), label)).otherwise("")
-            return let(before(i), after)
+            return let(before(i), lambda end: F.concat(
+                F.when(s["start"] > end, F.substring(text, end + 1, s["start"] - end)).otherwise(""), label(s, end)))
         tail = let(before(F.size(spans)), lambda end: F.substring(text, end + 1, F.length(text)))
         return F.concat(F.array_join(F.transform(spans, piece), ""), tail)
     ends = F.transform(spans, lambda s: s["end"])
     return F.when(F.size(spans) > 0, let(ends, lambda e: _running(e, F.lit(0), lambda a, b: F.greatest(a, b), build))).otherwise(text)
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """The text with every span replaced by as many blanks."""
+    return _replaced(text, spans, lambda s, end: F.repeat(F.lit(" "), F.greatest(s["end"] - F.greatest(s["start"], end), F.lit(0))))
+
+
+def _redacted(text: Column, spans: Column) -> Column:
+    """The text with every span replaced; spans that overlap are replaced together, as the first of them."""
+    labels = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
+
+    def label(s: Column, end: Column) -> Column:
+        broad = F.concat(F.substring(text, s["start"] + 1, F.lit(CLASS_LETTERS)), F.lit("*"))
+        return F.when(s["start"] >= end, F.when(s["kind"] == KINDS.index("broad"), broad).otherwise(F.get(labels, s["kind"]))).otherwise("")
+    return _replaced(text, spans, label)
+
+
 def sanitise(docs: DataFrame, text_col: str = "text", max_bits: float = MAX_BITS, min_texts: int = MIN_TEXTS) -> DataFrame:
     """``docs`` with entities replaced by their kind and disclosing terms generalised or removed.
 
-    A document without an entity keeps its text (also a null one) unchanged.
+    A document without either keeps its text (also a null one) unchanged.
     """
     key, spans = fresh(docs, "__text_key", "__spans")
     plain = docs.select(text_of(F.col(f"`{text_col}`")).alias("text"))
@@ -273,12 +314,10 @@ def sanitise(docs: DataFrame, text_col: str = "text", max_bits: float = MAX_BITS
         found = scratch.save(find(plain), "entities")
         known = save_shared(spans_of(found, plain, scratch, max_bits, min_texts), "spans")
     known = known.select(F.col("text_key").alias(key), F.col("all_spans").alias(spans))
-    # an entity holds a digit or an at sign: texts without either are passed by
     text = F.col(f"`{text_col}`")
-    may = F.coalesce(text.rlike("[0-9@]"), F.lit(False))
-    joined = docs.filter(may).withColumn(key, F.unhex(F.md5(text))).join(known, key, "left")
+    joined = docs.withColumn(key, F.unhex(F.md5(text))).join(known, key, "left")
     done = joined.withColumn(text_col, F.when(F.col(spans).isNotNull(), _redacted(text, F.col(spans))).otherwise(text))
-    return done.select(*[F.col(f"`{c}`") for c in docs.columns]).unionByName(docs.filter(~may))
+    return done.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
