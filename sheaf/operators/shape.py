@@ -117,7 +117,7 @@ def json_depth(df: DataFrame, json_col: str) -> int:
     Brackets inside strings are removed first; objects inside arrays count too,
     so this is an upper bound of the levels that ``flatten_json_rows`` needs.
     """
-    bare = F.regexp_replace(F.col(json_col), r'"(?:[^"\\\\]|\\\\.)*+"', "")
+    bare = F.regexp_replace(F.col(json_col), r'"(?:[^"\\]|\\.)*+"', "")
     step = lambda a, c: F.struct(
         (a["at"] + F.when(c == "{", 1).otherwise(-1)).alias("at"),
         F.greatest(a["most"], a["at"] + F.when(c == "{", 1).otherwise(-1)).alias("most"))
