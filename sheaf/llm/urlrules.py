@@ -32,8 +32,8 @@ from .common import Scratch, fresh, save_shared, table, within
 
 #: (host, path prefix, verdict) of the listed rules.
 LISTED = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-#: A token set must occur in this share of the labelled URLs, and in so many of them.
-MIN_SUPPORT, MIN_COUNT = 0.002, 5
+#: A token set must occur in so many of the labelled URLs, however many there are, and in this share of them (none).
+MIN_SUPPORT, MIN_COUNT = 0.0, 5
 #: A rule must be right this often, and this many times as often as its label is given.
 MIN_CONFIDENCE, MIN_LIFT = 0.8, 1.05
 #: Up to so many rules the index is broadcast; beyond, it is joined by shuffle.
