@@ -15,8 +15,8 @@ from sheaf.llm.common import WORD, fresh, save_shared, table, text_of
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained quality classifier rejects go."""
-    return cotrain.keep_good(docs, cotrain.quality_labels(spark, sf_dir))
+    """Documents that the co-trained quality classifier rejects go, and toxic ones."""
+    return cotrain.keep_good(docs, cotrain.quality_labels(spark, sf_dir), toxic=cotrain.toxic_labels(spark, sf_dir))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

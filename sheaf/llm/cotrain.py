@@ -13,6 +13,10 @@ fitted again. At the end each view's score is calibrated on labelled documents t
 neither was fitted on, a second small regression weighs the two calibrated
 scores by how reliable they proved there, and every document is scored.
 
+Toxicity. Insults are a few words in a long text, which neither view shows. Words that
+labelled documents prove to mark toxic ones are learned, and a document that holds
+one is rejected whatever its quality.
+
 Scale. Texts are read once, by tasks, into a table of ``N_TEXT + N_META`` numbers per
 document in the shared folder; each round is a scan of that table. Models are fitted
 on samples bounded (in expectation) by ``MAX_LABELLED`` and ``MAX_PSEUDO`` rows, picked by hash from
@@ -31,7 +35,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +52,8 @@ VIEWS = ("text_view", "meta_view")
 CONFIDENT = 0.97
 #: Part of the labelled sample that is kept for calibration, and the score from which a document is kept.
 HELD_OUT, KEEP = 0.25, 0.5
+#: A word marks toxic documents from this share of them and this test value; so many words are kept at most.
+TOXIC_SHARE, TOXIC_G2, MAX_TOXIC = 0.8, 24.0, 2000
 
 _CLASSES = ((b"\x00", b" "), (b"!", b"/"), (b"0", b"9"), (b":", b"@"), (b"A", b"Z"), (b"[", b"`"), (b"a", b"z"),
             (b"{", b"\x7f"), (b"\x80", b"\xff"))
@@ -242,13 +248,52 @@ def quality_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("y"))
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, least: float = KEEP) -> DataFrame:
-    """``docs`` without the documents that the classifier rejects."""
+def toxic_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("toxic").alias("y"))
+
+
+def _vocabulary(text) -> Column:
+    """The words of a text, each once, in lower case."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"[\p{L}\p{M}]+"), F.lit(0)))
+
+
+def toxic_words(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 11) -> list[str]:
+    """Words that mark toxic documents, learned from ``labels`` (id, y with y 1 for toxic).
+
+    A word counts if ``TOXIC_SHARE`` of the labelled documents that hold it are toxic and that is no chance: twice the
+    log likelihood ratio against the share of toxic documents is ``TOXIC_G2`` or more. The ``MAX_TOXIC`` surest are kept.
+    """
+    one = labels.filter(F.col("y").isNotNull() & F.col("id").isNotNull()).groupBy("id").agg(F.max("y").alias("y"))
+    n = one.count()
+    picked = one.withColumn("hid", F.xxhash64(F.lit(seed), "id")).filter(_part("hid", MAX_LABELLED / max(n, 1))).select("id", "y")
+    known = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")).join(F.broadcast(picked), "id")
+    share = known.agg(F.avg("y")).first()[0]
+    if not share or share == 1:
+        return []
+    counts = (known.select("y", F.explode(_vocabulary(F.col("text"))).alias("word")).groupBy("word")
+                   .agg(F.sum("y").alias("a"), F.count(F.lit(1)).alias("n")))
+    part = lambda k, p: F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) / (F.col("n") * p))).otherwise(0.0)
+    g2 = 2 * (part("a", share) + part("b", 1 - share))
+    sure = (counts.withColumn("b", F.col("n") - F.col("a")).withColumn("g2", g2)
+                  .filter((F.col("a") >= TOXIC_SHARE * F.col("n")) & (F.col("a") > share * F.col("n")) & (F.col("g2") >= TOXIC_G2)))
+    return [r["word"] for r in sure.orderBy(F.desc("g2"), "word").limit(MAX_TOXIC).collect()]
+
+
+def is_toxic(text: Column, listed: list[str]) -> Column:
+    """Whether a text holds one of the listed words."""
+    return F.arrays_overlap(_vocabulary(text), F.array(*[F.lit(w) for w in listed])) if listed else F.lit(False)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, least: float = KEEP, toxic: DataFrame | None = None) -> DataFrame:
+    """``docs`` without the documents that the classifier rejects and, with labels ``toxic``, without toxic ones."""
+    listed = [] if toxic is None else toxic_words(docs, toxic)
     scored = classify(docs, labels, carry=tuple(docs.columns))
-    return scored.filter(F.col(scored.columns[-1]) >= least).select(*[F.col(f"`{c}`") for c in docs.columns])
+    good = (F.col(scored.columns[-1]) >= least) & ~is_toxic(F.col("text"), listed)
+    return scored.filter(good).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return (classify(docs, quality_labels(spark, sf_dir), carry=("doc_id",))
-            .withColumn("kept", F.col("score") >= KEEP))
+    bad = is_toxic(F.col("text"), toxic_words(docs, toxic_labels(spark, sf_dir)))
+    return (classify(docs.withColumn("toxic", bad), quality_labels(spark, sf_dir), carry=("doc_id", "toxic"))
+            .withColumn("kept", (F.col("score") >= KEEP) & ~F.col("toxic")).drop("toxic"))
