@@ -8,7 +8,7 @@ pieces alone, so equal passages of two texts choose equal anchors wherever they
 stand (a minimizer depends on its neighbours).
 
 A fingerprint is the bottom sketch of a text's distinct anchors: the ``SKETCH``
-smallest of their 32-bit hashes, as hex in ascending order; a text with fewer
+smallest of their 32-bit hashes (signed), as hex in ascending order; a text with fewer
 anchors has them all. The likeness of two fingerprints is the share of common
 hashes among the ``SKETCH`` smallest of both together, an unbiased estimate of the
 Jaccard similarity of the anchors (exact if both are complete; standard
@@ -28,6 +28,8 @@ have equal fingerprints.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,14 +76,13 @@ def anchors(text: Column) -> Column:
 
 
 def sketch(found: Column) -> Column:
-    """The ``SKETCH`` smallest hashes of anchors, ascending, as numbers from 0 on."""
-    values = F.transform(found, lambda a: a["hash"].cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))
-    return F.slice(F.sort_array(F.array_distinct(values)), 1, SKETCH)
+    """The ``SKETCH`` smallest hashes of anchors (as signed numbers), ascending."""
+    return F.slice(F.sort_array(F.array_distinct(F.transform(found, lambda a: a["hash"]))), 1, SKETCH)
 
 
 def spelled(values: Column) -> Column:
     """A sketch as text: eight hex digits per anchor."""
-    return F.array_join(F.transform(values, lambda v: F.lpad(F.lower(F.hex(v)), 8, "0")), "")
+    return F.array_join(F.transform(values, lambda v: F.lpad(F.lower(F.hex(v.cast("bigint").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def fingerprint(text: Column) -> Column:
@@ -102,38 +103,37 @@ def leading_anchors(a: Column, b: Column) -> Column:
     return let(F.array_position(differs, F.lit(True)), lambda p: F.when(p > 0, p - 1).otherwise(F.size(a)))
 
 
-def with_next(docs: DataFrame, take: Column, id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None) -> DataFrame:
+def with_next(docs: DataFrame, take_of: Callable[[Column], Column], carry_of: Callable[[Column], Column],
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text, carried, next_text, next_carried): every document and the one after it, by descending id.
 
     The last one is followed by the first; null ids come last; documents of one
     id follow in the order of a digest of their text; equal rows are one place.
-    ``take`` says how many code points of the next text a document needs (an
-    expression over ``text``), ``carry`` an expression over ``text`` that is
-    computed once per document and that comes along.
+    ``take_of`` a text is how many code points of the next one its document
+    needs; ``carry_of`` a text is computed once and comes along.
 
     Texts are shuffled once: both joins read the same exchange, and of the next
     text only what is taken moves a second time. Places are numbered on ids and
     digests alone.
     """
-    text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.md5(text.cast("binary")).alias("digest"), text.alias("text"))
-    places, n = number_rows(rows.select("id", "digest", take.cast("int").alias("take")).distinct(),
+    text, id_ = text_of(text_col), F.col(id_col)
+    row = F.unhex(F.md5(F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("")), text).cast("binary")))
+    places, n = number_rows(docs.select(row.alias("row"), id_.alias("id"), F.md5(text.cast("binary")).alias("digest"), take_of(text).cast("int").alias("take")).distinct(),
                             [F.col("id").desc_nulls_last(), F.col("digest")], "place")
-    places = save_shared(places, "places")
-    links = places.select(F.col("id").alias("to_id"), F.col("digest").alias("to_digest"), "take", F.pmod(F.col("place") + 1, F.lit(max(n, 1))).alias("place"))
-    links = links.join(places.select("place", F.col("id").alias("from_id"), F.col("digest").alias("from_digest")), "place").drop("place")
-    rows = rows.withColumn("carried", F.lit(None) if carry is None else carry)
-    from_, to = (F.col("id").eqNullSafe(F.col(f"{x}_id")) & (F.col("digest") == F.col(f"{x}_digest")) for x in ("from", "to"))
-    given = rows.join(links, from_).groupBy("to_id", "to_digest").agg(
-        F.first(F.left("text", F.col("take"))).alias("next_text"), F.first("carried").alias("next_carried"))
-    return rows.join(given, to).select("id", "text", "carried", "next_text", "next_carried")
+    places = save_shared(places.drop("digest"), "places")
+    links = places.select("id", F.col("row").alias("to"), "take", F.pmod(F.col("place") + 1, F.lit(max(n, 1))).alias("place"))
+    links = links.join(places.select("place", "row"), "place").drop("place")
+    rows = docs.select(row.alias("row"), text.alias("text"), carry_of(text).alias("carried"))
+    given = rows.join(links, "row").groupBy("to").agg(
+        F.first("id").alias("id"), F.first(F.left("text", F.col("take"))).alias("next_text"), F.first("carried").alias("next_carried"))
+    return rows.join(given, F.col("row") == F.col("to")).select("id", "text", "carried", "next_text", "next_carried")
 
 
 def op11_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = lambda text: F.floor(F.length(text) / 3).cast("int")
+    both = with_next(table(spark, sf_dir, "documents"), third, lambda text: sketch(anchors(text)))
     n = F.length("text")
-    cut = F.floor(n / 3).cast("int")
-    both = with_next(table(spark, sf_dir, "documents"), cut, carry=sketch(anchors(F.col("text"))))
-    edited = F.concat(F.left("text", n - cut), "next_text")
+    edited = F.concat(F.left("text", n - third(F.col("text"))), "next_text")
     both = both.select(F.col("id").alias("doc_id"), n.cast("bigint").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"),
                        "carried", sketch(anchors(edited)).alias("edited"), "next_carried")
     return both.select("doc_id", "n_chars", "edited_sha256", spelled(F.col("carried")).alias("fingerprint"),

@@ -59,7 +59,8 @@ def test_anchors_are_free_of_context(spark):
 def likeness(a, b):
     cut = lambda x: [x[i:i + 8] for i in range(0, len(x), 8)]
     a, b = set(cut(a)), set(cut(b))
-    both = sorted(a | b)[:Y.SKETCH]
+    signed = lambda x: (int(x, 16) ^ 2 ** 31) - 2 ** 31
+    both = sorted(a | b, key=signed)[:Y.SKETCH]
     return sum(x in a and x in b for x in both) / len(both) if both else 1.0
 
 
