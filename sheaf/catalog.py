@@ -405,6 +405,36 @@ def q_apply_mapping(spark, sf_dir):
     return ups.apply_mapping(ev, shape.infer_mappings(ev))
 
 
+#: Texts derived from `events` that an explicit mapping keeps in part.
+MISFITS = {
+    "user_id": ("integer", "CASE event_id % 5 WHEN 0 THEN event_type WHEN 1 THEN concat(user_id, '.5') "
+                           "WHEN 2 THEN concat(user_id, '00000000000000000000') ELSE concat(user_id, '') END"),
+    "amount": ("float", "CASE event_id % 4 WHEN 0 THEN concat(event_id, '.12345678901234567') WHEN 1 THEN '1e999' ELSE concat(event_id, '.5') END"),
+    "day": ("date", "CASE event_id % 3 WHEN 0 THEN '2024-99-99' WHEN 1 THEN props ELSE '2024-01-31' END"),
+    "place": ("geo_point", "CASE event_id % 6 WHEN 0 THEN '999.5,999.5' WHEN 1 THEN 'nowhere' WHEN 2 THEN NULL ELSE '1.5,2' END"),
+    "price": ("decimal(5,2)", "CASE event_id % 7 WHEN 0 THEN '12.345' WHEN 1 THEN '123456789' ELSE '12.30' END"),
+}
+
+
+def _split_misfits(spark, sf_dir):
+    ev = read_table(spark, sf_dir, "events").select("event_id", *[F.expr(e).alias(c) for c, (_, e) in MISFITS.items()])
+    return ups.split_by_mapping(ev, {c: t for c, (t, _) in MISFITS.items()}, ["event_id"])
+
+
+@query("mapping_accepted")
+def q_mapping_accepted(spark, sf_dir):
+    """Rows derived from `events` whose every value an explicit mapping keeps."""
+    accepted, _, _ = _split_misfits(spark, sf_dir)
+    return accepted.withColumn("price", F.col("price").cast("double"))
+
+
+@query("mapping_rejects")
+def q_mapping_rejects(spark, sf_dir):
+    """The dead-letter table of the same write: one row per refused value, with the reason."""
+    _, rejects, _ = _split_misfits(spark, sf_dir)
+    return rejects
+
+
 @query("keyword_subfield")
 def q_keyword_subfield(spark, sf_dir):
     """`text.keyword` kept only for texts of at most 256 characters."""
@@ -485,6 +515,27 @@ def q_infer_types(spark, sf_dir):
     return shape.infer_types(shape.stringify(read_table(spark, sf_dir, "lineitem")))
 
 
+#: Texts derived from `lineitem`, a column for each step of the type lattice.
+LATTICE = {
+    "whole": "concat(l_partkey, '')", "long": "concat('9007199254', l_orderkey + 1000000)",
+    "fraction": "concat(l_linenumber, '.', l_suppkey)", "exact": "concat(l_linenumber, '.0123456789012345', l_suppkey)",
+    "long_or_fraction": "CASE WHEN l_linenumber = 1 THEN '0.5' ELSE concat('9007199254', l_orderkey + 1000000) END",
+    "expo": "concat(l_linenumber, '.5e', l_suppkey % 100)", "huge": "concat('1e', 300 + l_linenumber * 10)",
+    "big": "concat(l_orderkey, '00000000000000000001')", "too_big": "concat(l_orderkey, repeat('7', 39))",
+    "exact_or_expo": "CASE WHEN l_linenumber = 1 THEN '1e5' ELSE concat('0.', repeat('3', 20)) END",
+    "day": "concat(2000 + l_linenumber, '-0', l_linenumber, '-28 10:0', l_linenumber)", "bad_day": "concat('2023-0', l_linenumber, '-30')",
+    "point": "concat(l_linenumber, '.5,', l_suppkey % 180)", "off_point": "concat(l_suppkey % 91, ',200')",
+    "flag": "CASE WHEN l_returnflag <> 'A' THEN l_returnflag END", "nothing": "CASE WHEN l_linenumber > 100 THEN 'x' END",
+    "mixed": "CASE WHEN l_linenumber = 1 THEN 'x' ELSE '5' END",
+}
+
+
+@query("infer_exact_types")
+def q_infer_exact_types(spark, sf_dir):
+    """Kinds of texts derived from `lineitem` that only some types keep."""
+    return shape.infer_types(read_table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(c) for c, e in LATTICE.items()]))
+
+
 @query("table_mappings")
 def q_table_mappings(spark, sf_dir):
     """Mapping rows of customer, supplier and part (as text), tagged by table."""

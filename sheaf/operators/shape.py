@@ -2,7 +2,7 @@
 
 Flatten / nest work on the schema (driver side, bounded by the schema width)
 and produce one projection; JSON leaves come from ``variant_explode``; type
-and mapping inference is one aggregation pass with partial aggregation.
+inference is in ``kinds``, mappings join its result to a template table.
 """
 
 from __future__ import annotations
@@ -13,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .kinds import infer_types  # noqa: F401  (E6, re-exported)
+
+
 def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -174,81 +177,6 @@ def flatten_json_rows(df: DataFrame, json_col: str, id_cols: Sequence[str] = (),
         F.when(F.col("_v0").isNull(), F.col("_text")).otherwise(whole).alias("value")))
 
 
-# ---- E6: infer column types from values --------------------------------------
-
-# The value patterns of type inference.
-INT_RE = r"^[+-]?[0-9]+$"
-FLOAT_RE = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
-GEO_RE = r"^-?[0-9]+(\.[0-9]+)?,-?[0-9]+(\.[0-9]+)?$"
-
-
-def _spark_kind(dt: T.DataType) -> str | None:
-    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        return "int"
-    if isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
-        return "float"
-    if isinstance(dt, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return "date"
-    if isinstance(dt, T.StringType):
-        return None                     # decided from the values
-    if isinstance(dt, T.VariantType):
-        return "anytype"
-    return "str"
-
-
-def _kind_code(s: Column) -> Column:
-    """0 null, 1 int, 2 float (not int), 3 date, 4 geo, 5 free text: at most four
-    pattern tests per value, the first match wins (int is a subset of float). Digits
-    that do not fit a bigint are text: as a float they would lose places."""
-    return (F.when(s.isNull(), 0).when(s.rlike(INT_RE), F.when(s.try_cast("bigint").isNotNull(), 1).otherwise(5)).when(s.rlike(FLOAT_RE), 2)
-            .when(s.rlike(DATE_RE), 3).when(s.rlike(GEO_RE), 4).otherwise(5))
-
-
-def infer_types(df: DataFrame) -> DataFrame:
-    """Per column, the narrowest kind covering every non-null value, in one pass.
-
-    Kinds: int, float, date, geo_point, str; ``anytype`` for an all-null
-    column or one that mixes typed values with free text. Typed columns keep
-    the kind of their Spark type. Output: column, type, n_nonnull, max_len.
-
-    Each value is classified once and emitted as a narrow (column, kind,
-    length) row; one aggregate grouped by column (map-side partial, a handful
-    of groups) counts the kinds. The aggregate stays seven expressions wide
-    however many columns the table has.
-    """
-    fields = df.schema.fields
-    rows = []
-    for f in fields:
-        s = F.col(_q(f.name)).cast("string")
-        k = _kind_code(s) if _spark_kind(f.dataType) is None else F.when(s.isNull(), 0).otherwise(9)
-        rows.append(F.struct(F.lit(f.name).alias("column"), k.alias("k"), F.length(s).alias("l")))
-    long = df.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
-    k = F.col("k")
-    counts = long.groupBy("column").agg(
-        F.count_if(k > 0).alias("nn"), F.max("l").alias("len"),
-        F.count_if(k == 1).alias("int"), F.count_if((k == 1) | (k == 2)).alias("float"),
-        F.count_if(k == 3).alias("date"), F.count_if(k == 4).alias("geo"), F.count_if(k == 5).alias("text"))
-    value_kind = (F.when(F.col("nn") == 0, "anytype")
-                  .when(F.col("int") == F.col("nn"), "int")
-                  .when(F.col("float") == F.col("nn"), "float")
-                  .when(F.col("date") == F.col("nn"), "date")
-                  .when(F.col("geo") == F.col("nn"), "geo_point")
-                  .when(F.col("text") == F.col("nn"), "str")
-                  .otherwise("anytype"))
-    typed = F.lit(None).cast("string")
-    for f in fields:
-        kind = _spark_kind(f.dataType)
-        if kind is not None:
-            typed = F.when(F.col("column") == f.name, F.lit(kind)).otherwise(typed) \
-                if kind == "anytype" else \
-                F.when(F.col("column") == f.name,
-                       F.when(F.col("nn") == 0, "anytype").otherwise(F.lit(kind))).otherwise(typed)
-    return counts.select("column", F.coalesce(typed, value_kind).alias("type"),
-                         F.col("nn").cast("bigint").alias("n_nonnull"),
-                         F.col("len").cast("bigint").alias("max_len"))
-
-
 # ---- E5 / E7: mapping templates ------------------------------------------------
 
 # Mapping rows per kind, as (suffix, JSON value).
@@ -261,6 +189,7 @@ TEMPLATES = {
     "float": [("type", '"float"')],
     "date": [("type", '"date"')],
     "geo_point": [("type", '"geo_point"')],
+    "decimal": [("type", None)],            # the type itself: decimal(p,s)
 }
 
 
@@ -269,27 +198,26 @@ def templates_df(spark) -> DataFrame:
     return spark.createDataFrame(rows, "type string, suffix string, value string")
 
 
-def infer_mappings(df: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """E5: mapping rows (key ``<column>.<suffix>``, value JSON) from the inferred types.
+def infer_mappings(df: DataFrame) -> DataFrame:
+    """E5: mapping rows (key ``<column>.<suffix>``, value JSON) from the inferred types."""
+    return _template_rows(infer_types(df)).select("key", "value").orderBy("key")
 
-    The template table has a fixed size (16 rows): broadcasting it is safe.
-    """
-    kinds = infer_types(df)
-    for g in group_cols:
-        kinds = kinds.withColumn(g, F.lit(None))
-    t = F.broadcast(templates_df(df.sparkSession))
-    return (kinds.join(t, "type")
-                 .select(F.concat_ws(".", "column", "suffix").alias("key"), "value")
-                 .orderBy("key"))
+
+def _template_rows(kinds: DataFrame) -> DataFrame:
+    """``kinds`` joined to its template rows; the 17 rows of the template table are broadcast."""
+    t = F.broadcast(templates_df(kinds.sparkSession).withColumnRenamed("type", "kind"))
+    own = F.concat(F.lit('"'), F.col("type"), F.lit('"'))
+    return (kinds.withColumn("kind", F.substring_index("type", "(", 1)).join(t, "kind")
+                 .withColumn("key", F.concat_ws(".", "column", "suffix")).withColumn("value", F.coalesce("value", own)))
 
 
 def table_mappings(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """E5 for several tables, tagged with ``_table``."""
-    out = None
+    """E5 for several tables, tagged with ``_table``: one aggregate per table, then one join and one sort."""
+    kinds = None
     for name, df in tables.items():
-        m = infer_mappings(df).select(F.lit(name).alias("_table"), "key", "value")
-        out = m if out is None else out.unionByName(m)
-    return out.orderBy("_table", "key")
+        own = infer_types(df).withColumn("_table", F.lit(name))
+        kinds = own if kinds is None else kinds.unionByName(own)
+    return _template_rows(kinds).select("_table", "key", "value").orderBy("_table", "key")
 
 
 def stringify(df: DataFrame) -> DataFrame:

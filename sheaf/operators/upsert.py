@@ -24,9 +24,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .kinds import rejects_of
+from .ranking import save_shared
+
 RESERVED = ("_id", "_index")
 
 
@@ -131,34 +134,65 @@ MAPPING_TYPES = {
 }
 
 
-def mapping_schema(mapping: DataFrame) -> dict[str, str]:
-    """Mapping rows (key 'a.b.type', value JSON) -> {column: spark type}.
+def mapped_types(mapping: DataFrame | Mapping[str, str]) -> dict[str, tuple[str, str]]:
+    """{column: (Spark type, mapped type)} of mapping rows (key 'a.b.type', value JSON) or of {column: mapped or Spark type}.
 
     Only the ``<field>.type`` rows are needed; a mapping has one such row per
     field, so the collected list is bounded by the schema width, not the data.
     """
-    rows = (mapping.filter(F.col("key").endswith(".type") & ~F.col("key").contains(".fields."))
-                   .select("key", "value").collect())
-    out = {}
-    for r in rows:
-        field = r["key"][: -len(".type")]
-        es_type = r["value"].strip('"')
-        out[field] = MAPPING_TYPES.get(es_type, "string")
-    return out
+    if isinstance(mapping, Mapping):
+        named = dict(mapping)
+    else:
+        rows = (mapping.filter(F.col("key").endswith(".type") & ~F.col("key").contains(".fields."))
+                       .select("key", "value").collect())
+        named = {r["key"][: -len(".type")]: r["value"].strip('"') for r in rows}
+    known = set(MAPPING_TYPES.values())
+    return {c: (t if t in known or t.startswith("decimal(") else MAPPING_TYPES.get(t, "string"), t) for c, t in named.items()}
+
+
+def mapping_schema(mapping: DataFrame) -> dict[str, str]:
+    """Mapping rows -> {column: Spark type}."""
+    return {c: t for c, (t, _) in mapped_types(mapping).items()}
 
 
 def apply_mapping(df: DataFrame, mapping: DataFrame | Mapping[str, str]) -> DataFrame:
     """Project every mapped column through ``try_cast`` to its mapped type.
 
-    Values that do not fit become null (the store would reject the document);
-    columns without a mapping pass unchanged.
+    Columns without a mapping pass unchanged. A mapping inferred from the same
+    rows changes no value; under another one, values that do not fit become
+    null: ``split_by_mapping`` tells them apart.
+    """
+    schema = mapped_types(mapping)
+    return df.select(*[F.col(f"`{c}`").try_cast(schema[c][0]).alias(c) if c in schema else F.col(f"`{c}`") for c in df.columns])
+
+
+def split_by_mapping(df: DataFrame, mapping: DataFrame | Mapping[str, str], id_cols: Sequence[str]
+                     ) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """B4 with a dead-letter table: (accepted rows, rejects, counts), no value lost.
+
+    The store refuses a document with a value that its mapping cannot keep. The
+    rows are judged and written once; accepted rows have every mapped column in
+    its type, rejects are (id columns, column, value, reason), one per refused
+    value, with the text as it was. The counts (``rows``, ``rejected``, taken
+    while the rows are written) are Python numbers.
+
+    A null is accepted by every type; a number that only loses digits is
+    refused, too. Column names of rejects that clash with an id column raise.
     """
-    schema = mapping if isinstance(mapping, Mapping) else mapping_schema(mapping)
-    cols = []
-    for c in df.columns:
-        t = schema.get(c)
-        cols.append(F.col(f"`{c}`").try_cast(t).alias(c) if t else F.col(f"`{c}`"))
-    return df.select(*cols)
+    clash = {"column", "value", "reason"} & {c.lower() for c in id_cols}
+    if clash:
+        raise ValueError(f"id column(s) {sorted(clash)} clash with the columns of the rejects")
+    schema, seen = mapped_types(mapping), Observation()
+    mark = "_refused"
+    while mark in df.columns:
+        mark = f"_{mark}"
+    judged = df.withColumn(mark, rejects_of(df, schema, df.columns))
+    judged = judged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size(mark) > 0).alias("rejected"))
+    written = save_shared(judged, "mapped")
+    accepted = apply_mapping(written.filter(F.size(mark) == 0).drop(mark), mapping if isinstance(mapping, Mapping) else {c: t for c, (_, t) in schema.items()})
+    rejects = written.select(*[F.col(f"`{c}`") for c in id_cols], F.explode(mark).alias(mark)).select(
+        *[F.col(f"`{c}`") for c in id_cols], f"{mark}.column", f"{mark}.value", f"{mark}.reason")
+    return accepted, rejects, dict(seen.get)
 
 
 def keyword_subfield(df: DataFrame, col: str, ignore_above: int = 256) -> DataFrame:

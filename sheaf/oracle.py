@@ -532,37 +532,76 @@ FROM events
 
 # Value patterns of type inference (RE2 spelling of the pinned rule).
 _INT, _FLOAT = r"^[+-]?[0-9]+$", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]+)?)?)?$"
+_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?)?$"
 _GEO = r"^-?[0-9]+(\.[0-9]+)?,-?[0-9]+(\.[0-9]+)?$"
 
 
-def infer_types_sql(table: str) -> str:
+def _number_sql(v: str) -> dict[str, str]:
+    """Digits of a number in text, and the tests on it."""
+    mantissa = f"regexp_extract({v}, '^[+-]?([0-9.]*)', 1)"
+    whole = f"split_part({mantissa}, '.', 1)"
+    part = f"rtrim(split_part({mantissa}, '.', 2), '0')"
+    out = {"before": f"length(ltrim({whole}, '0'))", "after": f"length({part})", "sig": f"length(ltrim({whole} || {part}, '0'))",
+           "exp": f"regexp_matches({v}, '[eE]')"}
+    d = f"abs(TRY_CAST({v} AS DOUBLE))"
+    inside = f"coalesce({d} >= 2.3e-308 AND {d} < CAST('inf' AS DOUBLE), false)"
+    out["double"] = f"(({out['sig']} <= 15 AND ({out['sig']} = 0 OR {inside})) OR ({inside} AND CAST(TRY_CAST({v} AS DOUBLE) AS VARCHAR) = {v}))"
+    out["int"], out["float"] = f"regexp_matches({v}, {lit(_INT)})", f"regexp_matches({v}, {lit(_FLOAT)})"
+    out["date"], out["geo"] = f"regexp_matches({v}, {lit(_DATE)})", f"regexp_matches({v}, {lit(_GEO)})"
+    out["calendar"] = f"TRY_CAST({v} AS TIMESTAMP) IS NOT NULL"
+    out["globe"] = f"(abs(TRY_CAST(split_part({v}, ',', 1) AS DOUBLE)) <= 90 AND abs(TRY_CAST(split_part({v}, ',', 2) AS DOUBLE)) <= 180)"
+    return out
+
+
+def infer_types_sql(table: str, exprs: dict[str, str] | None = None) -> str:
+    """One named class per value; the column's type from which classes occur."""
     parts = []
-    for c in COLUMNS[table]:
-        v = f"CAST({c} AS VARCHAR)"
-        big = f"(regexp_matches({v}, {lit(_INT)}) AND TRY_CAST({v} AS BIGINT) IS NULL)"
-        cnt = lambda pat: f"count(*) FILTER (WHERE regexp_matches({v}, {lit(pat)}) AND NOT {big})"  # noqa: E731, B023
-        text = (f"count(*) FILTER (WHERE {c} IS NOT NULL AND ({big} OR NOT regexp_matches({v}, {lit(_INT)}) AND NOT "
-                f"regexp_matches({v}, {lit(_FLOAT)}) AND NOT regexp_matches({v}, {lit(_DATE)}) AND NOT "
-                f"regexp_matches({v}, {lit(_GEO)})))")
+    for c, e in (exprs or {c: f"CAST({c} AS VARCHAR)" for c in COLUMNS[table]}).items():
+        n = _number_sql("v")
+        plain = f"CASE WHEN {n['before']} + {n['after']} <= 38 THEN 'exact' ELSE 'huge' END"
+        cls = (f"CASE WHEN v IS NULL THEN NULL WHEN {n['int']} THEN CASE WHEN TRY_CAST(v AS BIGINT) IS NULL THEN {plain} "
+               f"WHEN {n['sig']} <= 15 THEN 'short' ELSE 'long' END WHEN {n['float']} THEN CASE WHEN {n['double']} THEN "
+               f"CASE WHEN {n['exp']} THEN 'expo' ELSE 'float' END WHEN {n['exp']} THEN 'huge' ELSE {plain} END "
+               f"WHEN {n['date']} AND {n['calendar']} THEN 'date' WHEN {n['geo']} AND {n['globe']} THEN 'geo' ELSE 'text' END")
+        only = lambda *names: f"bool_and(k IN ({', '.join(map(lit, names))}))"
+        width = "greatest(max(bf) + max(af), 1)"
         parts.append(
-            f"SELECT '{c}' AS \"column\", CASE WHEN count({c}) = 0 THEN 'anytype' "
-            f"WHEN {cnt(_INT)} = count({c}) THEN 'int' WHEN {cnt(_FLOAT)} = count({c}) THEN 'float' "
-            f"WHEN {cnt(_DATE)} = count({c}) THEN 'date' WHEN {cnt(_GEO)} = count({c}) THEN 'geo_point' "
-            f"WHEN {text} = count({c}) THEN 'str' ELSE 'anytype' END AS type, "
-            f"CAST(count({c}) AS BIGINT) AS n_nonnull, CAST(max(length({v})) AS BIGINT) AS max_len FROM {table}")
+            f"SELECT {lit(c)} AS \"column\", CASE WHEN count(v) = 0 THEN 'anytype' WHEN {only('short', 'long')} THEN 'int' "
+            f"WHEN {only('short', 'float', 'expo')} THEN 'float' WHEN {only('short', 'long', 'float', 'exact')} AND {width} <= 38 "
+            f"THEN 'decimal(' || {width} || ',' || max(af) || ')' WHEN {only('short', 'long', 'float', 'exact', 'huge', 'expo')} THEN 'str' "
+            f"WHEN {only('date')} THEN 'date' WHEN {only('geo')} THEN 'geo_point' WHEN {only('text', 'huge')} THEN 'str' ELSE 'anytype' END AS type, "
+            f"CAST(count(v) AS BIGINT) AS n_nonnull, CAST(max(length(v)) AS BIGINT) AS max_len FROM (SELECT v, {cls} AS k, "
+            f"CASE WHEN {n['float']} THEN {n['before']} END AS bf, CASE WHEN {n['float']} THEN {n['after']} END AS af FROM (SELECT {e} AS v FROM {table}))")
     return " UNION ALL ".join(parts)
 
 
+def _misfits_sql() -> tuple[str, dict[str, str]]:
+    """The derived rows, and per column the reason why a value is refused (null: kept)."""
+    from .catalog import MISFITS
+    why = {}
+    for c, (kind, _) in MISFITS.items():
+        n = _number_sql(c)
+        number = f"NOT {n['float']} THEN 'not a number'"
+        why[c] = {
+            "integer": f"CASE WHEN NOT {n['int']} THEN CASE WHEN {n['float']} THEN 'loses digits' ELSE 'not a number' END "
+                       f"WHEN TRY_CAST({c} AS BIGINT) IS NULL THEN 'out of range' END",
+            "float": f"CASE WHEN {number} WHEN coalesce(isinf(TRY_CAST({c} AS DOUBLE)), true) THEN 'out of range' WHEN NOT {n['double']} THEN 'loses digits' END",
+            "date": f"CASE WHEN NOT {n['date']} THEN 'not a date' WHEN NOT {n['calendar']} THEN 'not in the calendar' END",
+            "geo_point": f"CASE WHEN NOT {n['geo']} THEN 'not a point' WHEN NOT {n['globe']} THEN 'out of range' END",
+            "decimal(5,2)": f"CASE WHEN {number} WHEN {n['exp']} OR {n['after']} > 2 THEN 'loses digits' "
+                            f"WHEN TRY_CAST({c} AS DECIMAL(5,2)) IS NULL THEN 'out of range' END"}[kind]
+    return "SELECT event_id, " + ", ".join(f"{e} AS {c}" for c, (_, e) in MISFITS.items()) + " FROM events", why
+
+
 def _templates_sql() -> str:
     from .operators.shape import TEMPLATES
-    rows = ", ".join(f"({lit(k)}, {lit(s)}, {lit(v)})" for k, lst_ in TEMPLATES.items() for s, v in lst_)
+    rows = ", ".join(f"({lit(k)}, {lit(s)}, {lit(v) if v else 'NULL'})" for k, lst_ in TEMPLATES.items() for s, v in lst_)
     return f"(VALUES {rows}) AS tpl(type, suffix, value)"
 
 
 def infer_mappings_sql(table: str, key_prefix: str = "") -> str:
-    return (f"SELECT {lit(key_prefix)} || k.\"column\" || '.' || tpl.suffix AS key, tpl.value AS value "
-            f"FROM ({infer_types_sql(table)}) AS k JOIN {_templates_sql()} ON k.type = tpl.type")
+    return (f"SELECT {lit(key_prefix)} || k.\"column\" || '.' || tpl.suffix AS key, coalesce(tpl.value, '\"' || k.type || '\"') AS value "
+            f"FROM ({infer_types_sql(table)}) AS k JOIN {_templates_sql()} ON split_part(k.type, '(', 1) = tpl.type")
 
 
 SQL["infer_types"] = infer_types_sql("lineitem")
@@ -584,8 +623,21 @@ WHERE rn = 1
 SQL["stream_analyze_documents"] = SQL["analyze_documents"]
 
 
+def _mapping_oracles() -> None:
+    from .catalog import LATTICE
+    SQL["infer_exact_types"] = infer_types_sql("lineitem", LATTICE)
+    rows, why = _misfits_sql()
+    SQL["mapping_rejects"] = f"WITH e AS ({rows}), r AS (" + " UNION ALL ".join(
+        f"SELECT event_id, '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, {w} AS reason FROM e WHERE {c} IS NOT NULL"
+        for c, w in why.items()) + ") SELECT * FROM r WHERE reason IS NOT NULL"
+    kept = " AND ".join(f"({c} IS NULL OR ({w}) IS NULL)" for c, w in why.items())
+    SQL["mapping_accepted"] = (f"WITH e AS ({rows}), k AS (SELECT * FROM e WHERE {kept}) SELECT event_id, TRY_CAST(user_id AS BIGINT) AS user_id, "
+                               "TRY_CAST(amount AS DOUBLE) AS amount, TRY_CAST(day AS TIMESTAMP) AS day, place, TRY_CAST(price AS DOUBLE) AS price FROM k")
+
+
 def all_sql() -> dict[str, str]:
     """Every oracle; the ones that need word lists are built here, not at import."""
     if "an_by_lang" not in SQL:
         _stem_oracles()
+        _mapping_oracles()
     return dict(SQL)
