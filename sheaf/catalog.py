@@ -512,7 +512,7 @@ def q_infer_mappings(spark, sf_dir):
 @query("infer_types")
 def q_infer_types(spark, sf_dir):
     """Kinds of the columns of `lineitem` seen as text."""
-    return shape.infer_types(shape.stringify(read_table(spark, sf_dir, "lineitem")))
+    return shape.infer_types(shape.stringify(spread(read_table(spark, sf_dir, "lineitem"))))
 
 
 #: Texts derived from `lineitem`, a column for each step of the type lattice.
@@ -533,7 +533,7 @@ LATTICE = {
 @query("infer_exact_types")
 def q_infer_exact_types(spark, sf_dir):
     """Kinds of texts derived from `lineitem` that only some types keep."""
-    return shape.infer_types(read_table(spark, sf_dir, "lineitem").select(*[F.expr(e).alias(c) for c, e in LATTICE.items()]))
+    return shape.infer_types(spread(read_table(spark, sf_dir, "lineitem")).select(*[F.expr(e).alias(c) for c, e in LATTICE.items()]))
 
 
 @query("table_mappings")

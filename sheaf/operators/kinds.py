@@ -17,7 +17,7 @@ column is changed by a cast to the type inferred for it.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,11 +72,11 @@ def is_date(s: Column) -> Column:
 
 def value_class(s: Column) -> Column:
     """(bits, before, after) of a text; bits are null for a null."""
-    d = digits(s)
+    d, few = digits(s), ~F.contains(F.lower(s), F.lit("e")) & (F.length(s) <= DOUBLE_DIGITS)
     plain = F.when(d["before"] + d["after"] <= DECIMAL_DIGITS, EXACT).otherwise(HUGE)
     bits = (F.when(s.isNull(), F.lit(None))
-            .when(s.rlike(INT_RE), F.when(s.try_cast("bigint").isNull(), plain).when(d["significant"] <= DOUBLE_DIGITS, SHORT).otherwise(LONG))
-            .when(s.rlike(FLOAT_RE), F.when(keeps_double(s), F.when(d["exponent"], FLOAT | EXPONENT).otherwise(FLOAT))
+            .when(s.rlike(INT_RE), F.when(F.length(s) <= DOUBLE_DIGITS, SHORT).when(s.try_cast("bigint").isNull(), plain).when(d["significant"] <= DOUBLE_DIGITS, SHORT).otherwise(LONG))
+            .when(s.rlike(FLOAT_RE), F.when(few, FLOAT).when(keeps_double(s), F.when(d["exponent"], FLOAT | EXPONENT).otherwise(FLOAT))
                   .when(d["exponent"], HUGE).otherwise(plain))
             .when(is_date(s), DATE).when(is_point(s), GEO).otherwise(TEXT)).cast("int")
     number = s.rlike(FLOAT_RE)
@@ -118,25 +118,27 @@ def infer_types(df: DataFrame) -> DataFrame:
     """Per column the least type that keeps every value: (column, type, n_nonnull, max_len).
 
     Text columns are typed by their values, others keep the kind of their type;
-    a column without values is ``anytype``. One aggregate without grouping, no
-    row per value: a few numbers per column leave each task.
+    a column without values is ``anytype``. Each value becomes a narrow row
+    (column, text) inside its task, is classified there by compiled code, and
+    one hash aggregate over a handful of groups is partial in every task: a few
+    numbers per column are shuffled, and the plan does not grow with the table's
+    width.
     """
-    names = [f.name for f in df.schema.fields]
-    text = [F.col(_q(n)).cast("string").alias(f"s{i}") for i, n in enumerate(names)]
-    open_ = [i for i, f in enumerate(df.schema.fields) if _own_kind(f.dataType) is None]
-    seen = df.select(*text).select(*[f"s{i}" for i in range(len(names))], *[value_class(F.col(f"s{i}")).alias(f"k{i}") for i in open_])
-    aggregates = []
-    for i in range(len(names)):
-        aggregates += [F.count(f"s{i}").alias(f"n{i}"), F.max(F.length(f"s{i}")).alias(f"l{i}")]
-    for i in open_:
-        aggregates += [F.bit_or(f"k{i}.bits").alias(f"b{i}"), F.max(f"k{i}.before").alias(f"p{i}"), F.max(f"k{i}.after").alias(f"a{i}")]
-    one = seen.agg(*aggregates)
-    rows = []
-    for i, f in enumerate(df.schema.fields):
-        kind = bound(F.col(f"b{i}"), F.col(f"p{i}"), F.col(f"a{i}")) if i in open_ else F.when(F.col(f"n{i}") == 0, "anytype").otherwise(_own_kind(f.dataType))
-        rows.append(F.struct(F.lit(f.name).alias("column"), kind.alias("type"), F.col(f"n{i}").cast("bigint").alias("n_nonnull"),
-                             F.col(f"l{i}").cast("bigint").alias("max_len")))
-    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    fields = df.schema.fields
+    own = [_own_kind(f.dataType) for f in fields]
+    values = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k is None).alias("open"), F.col(_q(f.name)).cast("string").alias("s"))
+                       for i, (f, k) in enumerate(zip(fields, own))])
+    long = df.select(F.explode(values).alias("r")).select("r.i", F.length("r.s").alias("l"), F.when(F.col("r.open"), F.col("r.s")).alias("s"))
+    seen = long.select("i", "l", value_class(F.col("s")).alias("k"))
+    counted = seen.groupBy("i").agg(F.count("l").alias("n"), F.max("l").alias("l"), F.bit_or("k.bits").alias("b"),
+                                    F.max("k.before").alias("p"), F.max("k.after").alias("a"))
+    # a row for every column, also of an empty table
+    named = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("column"), F.lit(k).cast("string").alias("own"))
+                      for i, (f, k) in enumerate(zip(fields, own))])
+    columns = df.sparkSession.range(1).select(F.explode(named).alias("r")).select("r.*")
+    n = F.coalesce("n", F.lit(0).cast("bigint"))
+    kind = F.when(n == 0, "anytype").when(F.col("own").isNotNull(), F.col("own")).otherwise(bound(F.col("b"), F.col("p"), F.col("a")))
+    return columns.join(counted, "i", "left").select("column", kind.alias("type"), n.alias("n_nonnull"), F.col("l").cast("bigint").alias("max_len"))
 
 
 # ---- B4: which values a mapped type refuses ---------------------------------------
@@ -163,14 +165,16 @@ def refusal(s: Column, spark_type: str, mapped: str) -> Column:
     return F.when(s.isNotNull(), why)
 
 
-def rejects_of(df: DataFrame, schema: Mapping[str, tuple[str, str]], columns: Sequence[str]) -> Column:
-    """All refusals of a row: array of (column, value, reason), in the order of the columns."""
-    found = []
-    for c in columns:
+def rejects_of(df: DataFrame, schema: Mapping[str, tuple[str, str]]) -> Column:
+    """All refusals of a row: array of (column, value, reason). Columns of one type are judged by one lambda."""
+    by_type: dict[tuple[str, str], list[str]] = {}
+    for c in df.columns:
         if c in schema:
-            s = F.col(_q(c)).cast("string")
-            why = refusal(s, *schema[c])
-            found.append(F.when(why.isNotNull(), F.struct(F.lit(c).alias("column"), s.alias("value"), why.alias("reason"))))
-    if not found:
-        return F.array().cast("array<struct<column:string,value:string,reason:string>>")
-    return F.filter(F.array(*found), lambda r: r.isNotNull())
+            by_type.setdefault(schema[c], []).append(c)
+
+    def refused(kind: tuple[str, str], columns: list[str]) -> Column:
+        values = F.array(*[F.struct(F.lit(c).alias("column"), F.col(_q(c)).cast("string").alias("value")) for c in columns])
+        judged = F.transform(values, lambda r: F.struct(r["column"].alias("column"), r["value"].alias("value"), refusal(r["value"], *kind).alias("reason")))
+        return F.filter(judged, lambda r: r["reason"].isNotNull())
+    none = F.array().cast("array<struct<column:string,value:string,reason:string>>")
+    return F.concat(none, *[refused(kind, columns) for kind, columns in by_type.items()])

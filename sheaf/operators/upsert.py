@@ -186,7 +186,7 @@ def split_by_mapping(df: DataFrame, mapping: DataFrame | Mapping[str, str], id_c
     mark = "_refused"
     while mark in df.columns:
         mark = f"_{mark}"
-    judged = df.withColumn(mark, rejects_of(df, schema, df.columns))
+    judged = df.withColumn(mark, rejects_of(df, schema))
     judged = judged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.size(mark) > 0).alias("rejected"))
     written = save_shared(judged, "mapped")
     accepted = apply_mapping(written.filter(F.size(mark) == 0).drop(mark), mapping if isinstance(mapping, Mapping) else {c: t for c, (_, t) in schema.items()})
