@@ -329,6 +329,33 @@ def q_discover_columns(spark, sf_dir):
     return tbl.discover_columns(read_table(spark, sf_dir, "events"), "props", "event_id")
 
 
+#: Schemaless texts derived from `events`: nested keys, some in part of the rows, of mixed types; some texts are no objects.
+SCHEMALESS = """CASE WHEN event_id % 10 = 0 THEN '[1]' WHEN event_id % 100 = 51 THEN '{broken' ELSE concat('{"p":', props,
+ ',"who":{"id":', user_id, ',"kind":"', event_type, '"', CASE event_id % 3 WHEN 0 THEN ',"score":0.5' WHEN 1 THEN ',"score":7' ELSE '' END, '}',
+ CASE event_id % 4 WHEN 0 THEN ',"tag":"x"' WHEN 1 THEN ',"tag":5' WHEN 2 THEN ',"flags":[true]' ELSE '' END, '}') END"""
+
+
+def _schemaless(spark, sf_dir):
+    return read_table(spark, sf_dir, "events").select("event_id", F.expr(SCHEMALESS).alias("js"))
+
+
+@query("merged_schema")
+def q_merged_schema(spark, sf_dir):
+    """The leaves of the one schema that holds all objects, with the kind of their type."""
+    schema, _ = tbl.merged_schema(_schemaless(spark, sf_dir), "js")
+    kinds = {"bigint": "integer", "string": "text", "boolean": "boolean", "variant": "mixed", "double": "fraction", "decimal": "fraction", "array<boolean>": "list"}
+    rows = [(p, kinds[t.split("(")[0]]) for p, t in tbl.schema_rows(schema)]
+    return spark.createDataFrame(rows, "path string, kind string")
+
+
+@query("typed_rows")
+def q_typed_rows(spark, sf_dir):
+    """Every event with one typed column per key of the merged schema; a missing key is null."""
+    out = tbl.typed_rows(_schemaless(spark, sf_dir), "js", ["event_id"])
+    return out.select("event_id", F.col("p.k").alias("k"), F.col("who.id").alias("id"), F.col("who.kind").alias("kind"),
+                      F.col("who.score").cast("double").alias("score"), F.to_json("tag").alias("tag"), F.to_json("flags").alias("flags"))
+
+
 @query("prefix_filter")
 def q_prefix_filter(spark, sf_dir):
     """Documents whose source starts with 'src1' (pushed to the Parquet scan)."""

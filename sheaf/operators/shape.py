@@ -7,6 +7,8 @@ inference is in ``kinds``, mappings join its result to a template table.
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -98,9 +100,12 @@ def nest_to_json(df: DataFrame, id_cols: Sequence[str] = (), sep: str = ".",
 
 
 def dot_expand(mapping: DataFrame, group_cols: Sequence[str] = (), root: str = "properties",
-               out: str = "mapping_json") -> DataFrame:
+               out: str = "mapping_json", order: str | None = None) -> DataFrame:
     """E4 on mapping rows: (key 'a.b.c', value JSON) -> one nested JSON text per group.
 
+    Of a repeated key the last row by the ``order`` column wins (ties and no
+    order: the greatest text, so never chance).
+
     The keys of a mapping are its field paths, bounded by the schema width:
     they are pivoted into columns (one row per group), nested, and written as
     JSON with the values kept as JSON (numbers and booleans unquoted).
@@ -108,53 +113,136 @@ def dot_expand(mapping: DataFrame, group_cols: Sequence[str] = (), root: str = "
     keys = sorted(r[0] for r in mapping.select("key").distinct().collect())
     _tree(keys, ".")     # leaf/prefix clash check before any job
     wide = (mapping.groupBy(*group_cols).pivot("key", keys)
-                   .agg(F.parse_json(F.max("value"))))      # a repeated key: the greatest text, not chance
+                   .agg(F.parse_json(F.max("value") if order is None else F.max_by("value", F.struct(order, "value")))))
     return nest_to_json(wide, id_cols=group_cols, root=root, out=out)
 
 
 # ---- E2 / A7: JSON text -> key/value leaf rows --------------------------------
 
-def json_depth(df: DataFrame, json_col: str) -> int:
-    """Deepest nesting of objects in a JSON column, by one aggregate over the texts.
+#: Levels of objects that the plan itself unfolds; deeper objects are walked inside their task.
+PLAN_LEVELS = 6
+#: Texts nested deeper than this never become variants: the JVM parses and types them by recursion.
+VARIANT_LEVELS = 60
+_JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^\s"{}\[\],:]+')
 
-    Brackets inside strings are removed first; objects inside arrays count too,
-    so this is an upper bound of the levels that ``flatten_json_rows`` needs.
-    """
-    bare = F.regexp_replace(F.col(json_col), r'"(?:[^"\\]|\\.)*+"', "")
+
+def nesting(text: Column) -> Column:
+    """Deepest nesting of brackets in a JSON text (brackets inside strings do not count)."""
+    bare = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*+"', "")
     step = lambda a, c: F.struct(
-        (a["at"] + F.when(c == "{", 1).otherwise(-1)).alias("at"),
-        F.greatest(a["most"], a["at"] + F.when(c == "{", 1).otherwise(-1)).alias("most"))
-    depth = F.aggregate(F.regexp_extract_all(bare, F.lit("[{}]"), F.lit(0)),
-                        F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")), step, lambda a: a["most"])
-    return df.agg(F.max(depth)).first()[0] or 0
+        (a["at"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("at"),
+        F.greatest(a["most"], a["at"] + F.when(c.isin("{", "["), 1).otherwise(-1)).alias("most"))
+    return F.aggregate(F.regexp_extract_all(bare, F.lit(r"[{}\[\]]"), F.lit(0)),
+                       F.struct(F.lit(0).alias("at"), F.lit(0).alias("most")), step, lambda a: a["most"])
+
+
+def is_deep(text: Column) -> Column:
+    """Whether a text is nested deeper than VARIANT_LEVELS; only texts with so many brackets are looked at closely."""
+    brackets = F.length(text) - F.length(F.translate(text, "{[", ""))
+    return F.when(brackets > VARIANT_LEVELS, nesting(text) > VARIANT_LEVELS).otherwise(False)
+
+
+def _deep_leaves(text: str, prefix: str | None):
+    """{path: JSON} of the leaves of a valid JSON object, with a stack of its own; of a repeated key the last one stays."""
+    out, path, seen, at, arrays, begin = {}, [(prefix,)] if prefix is not None else [()], [], "value", 0, 0
+    key, opened = None, False
+    for m in _JSON_TOKEN.finditer(text):
+        t = m.group()
+        if arrays:                                    # inside an array: only its end matters
+            arrays += (t in "[{") - (t in "]}")
+            if not arrays:
+                out[path[-1] + (key,)] = text[begin:m.end()]
+                at = "next"
+        elif t == "{":
+            if opened:
+                path.append(path[-1] + (key,))
+            opened = True
+            seen.append(set())
+            at = "key"
+        elif t == "}":
+            path.pop()
+            seen.pop()
+            at = "next"
+        elif t == "[":
+            arrays, begin = 1, m.start()
+        elif t == ",":
+            at = "key"
+        elif t == ":":
+            at = "value"
+        elif at == "key":
+            key = json.loads(t)
+            if key in seen[-1]:
+                gone = path[-1] + (key,)
+                out = {p: v for p, v in out.items() if p[:len(gone)] != gone}
+            seen[-1].add(key)
+        else:
+            out[path[-1] + (key,)] = t
+            at = "next"
+    return {".".join(p): v for p, v in out.items()}
+
+
+def _walk_deep(df: DataFrame) -> DataFrame:
+    """Rows (..., key, value) with a JSON object as value -> a row per leaf below it.
+
+    Rows with a null key hold a whole text: one that is an array gives an empty
+    key, one that is not JSON stays as it is.
+    """
+    import pyarrow as pa
+
+    n = len(df.columns)
+
+    def leaves_of(key, value):
+        if key is None:
+            try:
+                json.loads(value)
+            except (ValueError, RecursionError):
+                return [(None, value)]
+            if not value.lstrip().startswith("{"):
+                return [("", value)]
+        return [(k, None if v == "null" else v) for k, v in _deep_leaves(value, key).items()]
+
+    def run(batches):
+        for batch in batches:
+            for row, (key, value) in enumerate(zip(batch.column(n - 2).to_pylist(), batch.column(n - 1).to_pylist())):
+                leaves = leaves_of(key, value)
+                if leaves:
+                    same = [batch.column(i).take(pa.array([row] * len(leaves))) for i in range(n - 2)]
+                    yield pa.RecordBatch.from_arrays(same + [pa.array(list(c), pa.string()) for c in zip(*leaves)], names=batch.schema.names)
+    return df.mapInArrow(run, df.schema)
 
 
 def flatten_json_rows(df: DataFrame, json_col: str, id_cols: Sequence[str] = (),
                       max_depth: int | None = None) -> DataFrame:
     """One row per leaf of each JSON object: ids, ``key`` (dotted path), ``value`` (JSON).
 
-    One pass: a chain of lateral ``variant_explode_outer`` generators, one per
-    level, each exploding only the object values of the level above, so the
-    work is linear in the number of leaves. The number of levels is read off
-    the data (``json_depth``) unless ``max_depth`` states it; an object at a
-    stated limit stays whole. Arrays and scalars are leaves; a JSON null gives
-    a row with a null value; an empty object gives no row. A text whose root is
-    an array or a scalar gives one row with an empty key and the whole value;
-    a text that is not JSON gives one row with a null key and the text itself.
-    An object that repeats a key keeps the last value: the session setting for
-    that is set here, so the result does not depend on who built the session.
+    One pass and a plan of fixed size: ``PLAN_LEVELS`` lateral
+    ``variant_explode`` generators, each over the object values of the level
+    above, so the work is linear in the number of leaves; an object below the
+    last of them is walked by a stack inside its task. A text nested deeper than
+    ``VARIANT_LEVELS`` is walked so from its root, whatever its depth; its leaves
+    are spelled as in the text. With ``max_depth`` an object at that level stays
+    whole. Arrays and scalars are leaves; a JSON null
+    gives a row with a null value; an empty object gives no row. A text whose
+    root is an array or a scalar gives one row with an empty key and the whole
+    value; a text that is not JSON gives one row with a null key and the text
+    itself. An object that repeats a key keeps the last value: the session
+    setting for that is switched on here where it is off, so the result does not
+    depend on who built the session.
     """
     if not id_cols:
         raise ValueError("give the id columns that identify a row")
     spark = df.sparkSession
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-    if max_depth is None:
-        max_depth = max(json_depth(df, json_col), 1)
-    base = df.select(*id_cols, F.col(json_col).alias("_text"), F.try_parse_json(F.col(json_col)).alias("_v0"))
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    levels = PLAN_LEVELS if max_depth is None else max_depth
+    text = F.col(json_col)
+    deep = is_deep(text) if max_depth is None else F.lit(False)
+    parsed = df.select(*id_cols, text.alias("_text"), F.coalesce(deep, F.lit(False)).alias("_deep"))
+    base = parsed.filter(~F.col("_deep")).select(*id_cols, "_text", F.try_parse_json("_text").alias("_v0"))
     ids = ", ".join(f"b.{_q(c)}" for c in id_cols)
     laterals, keys, vals = [], [], []
     prev = "b._v0"
-    for k in range(1, max_depth + 1):
+    for k in range(1, levels + 1):
         laterals.append(f"LATERAL variant_explode_outer({prev}) AS e{k}")
         keys.append(f"e{k}.key")
         vals.append(f"e{k}.value")
@@ -163,18 +251,22 @@ def flatten_json_rows(df: DataFrame, json_col: str, id_cols: Sequence[str] = (),
     objects = base.filter(F.schema_of_variant("_v0").startswith("OBJECT"))
     rows = spark.sql(
         f"SELECT {ids}, concat_ws('.', {', '.join(keys)}) AS key, {deepest} AS _v, "
-        f"e{max_depth}.value IS NOT NULL AS _at_limit "
+        f"e{levels}.value IS NOT NULL AS _at_limit "
         f"FROM {{b}} AS b, {', '.join(laterals)} WHERE e1.key IS NOT NULL", b=objects)
-    is_obj = F.schema_of_variant("_v").startswith("OBJECT")
-    rows = rows.filter(~(is_obj & ~F.col("_at_limit")) | F.col("_v").isNull())
+    is_obj = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
     null = F.lit(None).cast("string")
-    leaves = rows.select(*id_cols, "key", F.when(F.col("_v").isNull() | F.expr("is_variant_null(_v)"), null)
-                         .otherwise(F.to_json("_v")).alias("value"))
+    whole = is_obj & F.col("_at_limit") if max_depth is not None else F.lit(False)
+    leaves = rows.filter(~is_obj | whole).select(
+        *id_cols, "key", F.when(F.col("_v").isNull() | F.expr("is_variant_null(_v)"), null).otherwise(F.to_json("_v")).alias("value"))
+    if max_depth is None:
+        below = rows.filter(is_obj & F.col("_at_limit")).select(*id_cols, "key", F.to_json("_v").alias("value"))
+        whole_texts = parsed.filter("_deep").select(*id_cols, null.alias("key"), F.col("_text").alias("value"))
+        leaves = leaves.unionByName(_walk_deep(below.unionByName(whole_texts)))
     other = base.filter(F.col("_text").isNotNull() & ~F.coalesce(F.schema_of_variant("_v0").startswith("OBJECT"), F.lit(False)))
-    whole = F.when(F.expr("is_variant_null(_v0)"), null).otherwise(F.to_json("_v0"))
+    text = F.when(F.expr("is_variant_null(_v0)"), null).otherwise(F.to_json("_v0"))
     return leaves.unionByName(other.select(
         *id_cols, F.when(F.col("_v0").isNotNull(), "").alias("key"),
-        F.when(F.col("_v0").isNull(), F.col("_text")).otherwise(whole).alias("value")))
+        F.when(F.col("_v0").isNull(), F.col("_text")).otherwise(text).alias("value")))
 
 
 # ---- E5 / E7: mapping templates ------------------------------------------------

@@ -623,6 +623,21 @@ WHERE rn = 1
 SQL["stream_analyze_documents"] = SQL["analyze_documents"]
 
 
+def _schemaless_oracles() -> None:
+    from .catalog import SCHEMALESS
+    objects = f"SELECT event_id, CASE WHEN json_valid(js) AND json_type(js) = 'OBJECT' THEN js END AS js FROM (SELECT event_id, {SCHEMALESS} AS js FROM events)"
+    # every leaf of every object, its kinds merged
+    paths = ["p.k", "who.id", "who.kind", "who.score", "tag", "flags"]
+    leaves = " UNION ALL ".join(f"SELECT '{p}' AS path, json_type(js, '$.{p}') AS t FROM o WHERE json_exists(js, '$.{p}')" for p in paths)
+    whole = "bool_and(t IN ('UBIGINT', 'BIGINT'))"
+    SQL["merged_schema"] = (f"WITH o AS ({objects}), l AS ({leaves}) SELECT path, CASE WHEN {whole} THEN 'integer' "
+                            "WHEN bool_and(t IN ('UBIGINT', 'BIGINT', 'DOUBLE')) THEN 'fraction' WHEN bool_and(t = 'VARCHAR') THEN 'text' "
+                            "WHEN bool_and(t = 'ARRAY') THEN 'list' ELSE 'mixed' END AS kind FROM l GROUP BY path")
+    SQL["typed_rows"] = (f"WITH o AS ({objects}) SELECT event_id, TRY_CAST(js->>'$.p.k' AS BIGINT) AS k, TRY_CAST(js->>'$.who.id' AS BIGINT) AS id, "
+                         "js->>'$.who.kind' AS kind, TRY_CAST(js->>'$.who.score' AS DOUBLE) AS score, CAST(js->'$.tag' AS VARCHAR) AS tag, "
+                         "CAST(js->'$.flags' AS VARCHAR) AS flags FROM o")
+
+
 def _mapping_oracles() -> None:
     from .catalog import LATTICE
     SQL["infer_exact_types"] = infer_types_sql("lineitem", LATTICE)
@@ -640,4 +655,5 @@ def all_sql() -> dict[str, str]:
     if "an_by_lang" not in SQL:
         _stem_oracles()
         _mapping_oracles()
+        _schemaless_oracles()
     return dict(SQL)

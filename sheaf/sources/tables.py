@@ -7,10 +7,14 @@ All functions return lazy DataFrames; nothing is collected except table names.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.shape import is_deep
 
 # The driver's test tables, in the order they are documented.
 TEST_TABLES = ("region nation customer supplier part orders lineitem events "
@@ -139,3 +143,71 @@ def discover_columns(df: DataFrame, json_col: str, id_col: str) -> DataFrame:
     return (kv.groupBy("key")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"),
                  F.count_if(F.expr("NOT is_variant_null(value)")).cast("bigint").alias("n_nonnull")))
+
+
+def merged_schema(df: DataFrame, json_col: str) -> tuple[T.StructType, dict[str, int]]:
+    """One schema that holds every JSON object of a column, and how many texts are none.
+
+    ``schema_of_variant_agg`` merges the schemas of all rows in one aggregate
+    (partial in every task): a key is there if any row has it, at any depth;
+    values of different types widen to one that holds them (whole numbers and
+    fractions to a decimal or double, else ``variant``). Only the schema text and
+    the counts reach the driver. Counts: ``objects``, ``not_objects`` (JSON whose
+    root is an array or a scalar), ``not_json`` (or nested too deep for a
+    variant, see ``operators.shape.is_deep``), ``nulls``.
+    """
+    text = F.col(json_col)
+    v = df.select(text.alias("text"), _variant(text).alias("v"))
+    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    got = v.agg(F.schema_of_variant_agg(F.when(is_object, F.col("v"))).alias("schema"),
+                F.count_if(is_object).alias("objects"), F.count_if(F.col("v").isNotNull() & ~is_object).alias("not_objects"),
+                F.count_if(F.col("text").isNotNull() & F.col("v").isNull()).alias("not_json"), F.count_if(F.col("text").isNull()).alias("nulls")).first()
+    counts = {k: got[k] for k in ("objects", "not_objects", "not_json", "nulls")}
+    return _struct_of(got["schema"] or "OBJECT<>"), counts
+
+
+def _variant(text: Column) -> Column:
+    return F.when(~is_deep(text), F.try_parse_json(text))
+
+
+def _ddl(t: T.DataType) -> str:
+    """A type as DDL with quoted names."""
+    if isinstance(t, T.StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in t.fields) + ">"
+    return f"array<{_ddl(t.elementType)}>" if isinstance(t, T.ArrayType) else t.simpleString()
+
+
+def _struct_of(schema: str) -> T.StructType:
+    """The struct type of a schema text of variants (OBJECT<...>); a key without any value is text."""
+    ddl = re.sub(r"`(?:[^`]|``)*`|[A-Z]+", lambda m: {"OBJECT": "STRUCT", "VOID": "STRING"}.get(m.group(), m.group()), schema)
+    return T.StructType([]) if ddl in ("STRUCT<>", "STRING") else T.DataType.fromDDL(ddl)
+
+
+def typed_rows(df: DataFrame, json_col: str, id_cols: Iterable[str], schema: T.StructType | None = None) -> DataFrame:
+    """Id columns and one typed column per key of the merged schema; a missing key is null.
+
+    Nested objects become structs. A value that its column's type does not hold
+    is null there (none is with the merged schema of the same rows); a text that
+    is no object has nulls only, so no row is lost.
+    """
+    ids = list(id_cols)
+    schema = merged_schema(df, json_col)[0] if schema is None else schema
+    clash = {c.lower() for c in ids} & {f.name.lower() for f in schema.fields}
+    if clash:
+        raise ValueError(f"id column(s) {sorted(clash)} are also keys of the objects")
+    v = df.select(*ids, _variant(F.col(json_col)).alias("__v"))
+    if not schema.fields:
+        return v.select(*ids)
+    whole = F.try_variant_get("__v", "$", _ddl(schema))
+    return v.select(*ids, whole.alias("__s")).select(*ids, *[F.col("__s").getField(f.name).alias(f.name) for f in schema.fields])
+
+
+def schema_rows(schema: T.StructType) -> list[tuple[str, str]]:
+    """(dotted path, type) of every leaf of a schema, in its order; arrays are leaves."""
+    def walk(t: T.StructType, prefix: str):
+        for f in t.fields:
+            if isinstance(f.dataType, T.StructType) and f.dataType.fields:
+                yield from walk(f.dataType, f"{prefix}{f.name}.")
+            else:
+                yield f"{prefix}{f.name}", f.dataType.simpleString()
+    return list(walk(schema, ""))
