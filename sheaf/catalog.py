@@ -68,9 +68,23 @@ def std_lower(text="text"):
     return flt.lowercase(tok.standard(F.col(text)))
 
 
-def _counts(tokens_fn):
+#: Filters for scripts that the tables do not hold: the texts get such letters by a stated substitution.
+SUBSTITUTED = {
+    "f_cjk_width": "translate(text, 'abcdefg', 'ａｂｃｄｅｆｇ')",
+    "f_decimal_digit": "translate(text, 'aeio', '٣४５๗')",
+    "f_arabic": "translate(text, 'aehiotn', 'أآةىإـً')",
+    "f_persian": "translate(text, 'aehio', 'یێۀکہ')",
+    "f_serbian": "translate(text, 'abcdefghijklmnoprstuvz', 'абцдефгхијклмнопрстувз')",
+    "f_elision": "replace(replace(text, ' t', ' l''t'), ' o', ' Qu’o')",
+    "f_cjk_bigram": "translate(text, 'aeiou', '中文字单日')", "an_cjk": "translate(text, 'aeioubcd', '中文字单日ｂｃｄ')",
+}
+
+
+def _counts(tokens_fn, text=None):
     def run(spark, sf_dir):
         d = docs(spark, sf_dir, "doc_id", "lang", "text")
+        if text:
+            d = d.withColumn("text", F.expr(text))
         return jobs.term_counts(d, tokens_fn(), ["lang"]).withColumn("n", F.col("n").cast("bigint"))
     return run
 
@@ -102,7 +116,7 @@ TERM_COUNT_JOBS = {
     "f_arabic": lambda: flt.FILTERS["arabic_normalization"](std_lower()),
     "f_persian": lambda: flt.FILTERS["persian_normalization"](std_lower()),
     "f_serbian": lambda: flt.FILTERS["serbian_normalization"](std_lower()),
-    "f_cjk_bigram": lambda: flt.cjk_bigram(std_lower()),
+    "f_cjk_bigram": lambda: an.tokenize("text", "standard", ["lowercase", "cjk_bigram"]),
     "f_classic": lambda: flt.classic(tok.classic(F.col("text"))),
     "f_edge_ngram": lambda: flt.edge_ngram(std_lower()),
     "f_ngram": lambda: flt.ngram(std_lower()),
@@ -117,7 +131,7 @@ TERM_COUNT_JOBS = {
 }
 
 for _name, _fn in TERM_COUNT_JOBS.items():
-    QUERIES[_name] = _counts(_fn)
+    QUERIES[_name] = _counts(_fn, SUBSTITUTED.get(_name))
 
 
 @query("scan_documents")
@@ -156,9 +170,17 @@ def q_custom_analyzer(spark, sf_dir):
 
 @query("token_table")
 def q_token_table(spark, sf_dir):
-    """(doc_id, pos, token) for the `standard` analyzer."""
+    """(doc_id, pos, token, start, end, type) for the `standard` analyzer."""
+    d = docs(spark, sf_dir, "doc_id", "text")
+    return jobs.stream_table(d, ["doc_id"], an.token_stream("text", "standard", ["lowercase"]))
+
+
+@query("shingle_gaps")
+def q_shingle_gaps(spark, sf_dir):
+    """F15 behind F17: 2-token shingles per document with a filler where a stop word stood, with their places."""
     d = docs(spark, sf_dir, "doc_id", "text")
-    return jobs.token_table(d, ["doc_id"], an.analyze("text", "standard"))
+    shingles = an.token_stream("text", "standard", ["lowercase", "stop", "shingle"])
+    return jobs.stream_table(d, ["doc_id"], F.filter(shingles, lambda x: x["type"] == "shingle")).drop("type")
 
 
 @query("html_strip_pages")

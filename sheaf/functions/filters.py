@@ -161,8 +161,12 @@ _CJK_CHAR = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}]"
 
 
 def cjk_bigram(a: Column) -> Column:
-    """Adjacent CJK tokens are joined into runs; a run becomes its overlapping
-    character pairs, a single CJK character stays alone; other tokens pass."""
+    """CJK tokens next to each other in the array are joined into runs; a run becomes its
+    overlapping character pairs, a single CJK character stays alone; other tokens pass.
+
+    An array of strings does not tell whether two tokens touch in the text:
+    ``stream.cjk_bigram`` does, and named pipelines use that.
+    """
     sep = "\u0001"
     joined = F.array_join(a, sep)
     merged = F.regexp_replace(joined, f"({_CJK_CHAR}){sep}(?={_CJK_CHAR})", "$1")
@@ -219,8 +223,10 @@ FILTERS = {
     "word_delimiter": word_delimiter,
     "arabic_normalization": _fold("arabic_normalization"),
     "german_normalization": _fold("german_normalization"),
+    "hindi_normalization": _fold("hindi_normalization"),
     "persian_normalization": _fold("persian_normalization"),
     "scandinavian_normalization": _fold("scandinavian_normalization"),
     "scandinavian_folding": _fold("scandinavian_folding"),
     "serbian_normalization": _fold("serbian_normalization"),
+    "sorani_normalization": _fold("sorani_normalization"),
 }

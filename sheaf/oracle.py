@@ -118,19 +118,30 @@ def d_english_stop(l):
     return d_stop(l, ENGLISH_STOP_33)
 
 
-def d_cjk_bigram(l):
-    # documents hold no CJK text: every token passes unchanged (checked by the
-    # same query in Spark, whose CJK branch is tested on a hand fixture).
-    cjk = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]"
-    return (f"flatten(list_transform({l}, lambda x: CASE WHEN NOT regexp_full_match(x, {lit(cjk + '+')}) "
-            f"OR length(x) = 1 THEN [x] ELSE list_transform(range(1, length(x)), "
-            f"lambda i: substring(x, i, 2)) END))")
-
-
-def counts_sql(tokens: str, where: str = "") -> str:
+def counts_sql(tokens: str, where: str = "", text: str | None = None) -> str:
     w = f"WHERE {where}" if where else ""
+    docs = f"(SELECT doc_id, lang, {text} AS text FROM documents)" if text else "documents"
     return (f"SELECT lang, token, CAST(count(*) AS BIGINT) AS n FROM "
-            f"(SELECT lang, unnest({tokens}) AS token FROM documents {w}) GROUP BY lang, token")
+            f"(SELECT lang, unnest({tokens}) AS token FROM {docs} {w}) GROUP BY lang, token")
+
+
+def d_placed(text: str = "text", token: str = "lower(w)", pattern: str = STD_RE) -> str:
+    """CTEs ending in p(doc_id, lang, pos, token, st, en): standard tokens with their offsets, from the pieces between them."""
+    return (f"t AS (SELECT doc_id, lang, regexp_extract_all({text}, {lit(pattern)}) AS w, string_split_regex({text}, {lit(pattern)}) AS g FROM documents), "
+            "u AS (SELECT doc_id, lang, unnest(w) AS w, unnest(g[1:len(w)]) AS g, unnest(range(0, len(w))) AS pos FROM t), "
+            f"p AS (SELECT doc_id, lang, CAST(pos AS BIGINT) AS pos, {token} AS token, CAST(sum(length(g) + length(w)) OVER d - length(w) AS BIGINT) AS st, "
+            "CAST(sum(length(g) + length(w)) OVER d AS BIGINT) AS en FROM u WINDOW d AS (PARTITION BY doc_id ORDER BY pos))")
+
+
+def _cjk_sql(text: str, token: str, stops: str) -> str:
+    """Counts of the pairs of touching CJK characters and of the other tokens."""
+    cjk = lit(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Hangul}]")
+    # letters beside the Han ones are Latin here; RE2 cannot take one class out of another
+    return (f"WITH {d_placed(text, token, STD_RE.replace('{L}', '{Latin}'))}, n AS (SELECT lang, token, regexp_full_match(token, {cjk}) AS c, "
+            f"lead(token) OVER o AS nt, lead(st) OVER o = en AND regexp_full_match(lead(token) OVER o, {cjk}) AS right_, "
+            f"lag(en) OVER o = st AND regexp_full_match(lag(token) OVER o, {cjk}) AS left_ FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY pos)), "
+            "e AS (SELECT lang, CASE WHEN c AND right_ THEN token || nt WHEN c AND left_ THEN NULL ELSE token END AS token FROM n) "
+            f"SELECT lang, token, CAST(count(*) AS BIGINT) AS n FROM e WHERE token IS NOT NULL {stops} GROUP BY lang, token")
 
 
 _T = "text"
@@ -178,10 +189,20 @@ def _lazy_text_sql():
     from .functions.stopwords import ENGLISH_STOP_33
     TOKEN_EXPR["an_stop"] = d_stop(d_lower(d_extract(_T, r"\p{L}+")), ENGLISH_STOP_33)
     TOKEN_EXPR["f_stop"] = d_stop(d_std_lower(), ENGLISH_STOP_33)
-    TOKEN_EXPR["an_cjk"] = d_stop(d_cjk_bigram(d_lower(d_fold(d_standard(), "cjk_width"))), ENGLISH_STOP_33)
-    TOKEN_EXPR["f_cjk_bigram"] = d_cjk_bigram(d_std_lower())
+    from .catalog import SUBSTITUTED
+    from .functions import fold
     for name, expr in TOKEN_EXPR.items():
-        SQL[name] = counts_sql(expr, LANG_WHERE.get(name, ""))
+        SQL[name] = counts_sql(expr, LANG_WHERE.get(name, ""), SUBSTITUTED.get(name))
+    SQL["f_cjk_bigram"] = _cjk_sql(SUBSTITUTED["f_cjk_bigram"], "lower(w)", "")
+    SQL["an_cjk"] = _cjk_sql(SUBSTITUTED["an_cjk"], f"lower({d_fold_expr('w', fold.profile('cjk_width'))})",
+                             f"AND token NOT IN ({', '.join(map(lit, ENGLISH_STOP_33))})")
+    SQL["token_table"] = (f"WITH {d_placed()} SELECT doc_id, pos, token, st AS start, en AS \"end\", CASE WHEN regexp_full_match(token, {lit(chr(92) + 'p{Han}')}) "
+                          f"THEN '<IDEOGRAPHIC>' WHEN regexp_matches(token, {lit('^' + chr(92) + 'p{Nd}')}) THEN '<NUM>' ELSE '<ALPHANUM>' END AS type FROM p")
+    SQL["shingle_gaps"] = (f"WITH {d_placed()}, k AS (SELECT doc_id, pos, token, st, en, lead(token) OVER o AS nt, lead(pos) OVER o AS np, lead(st) OVER o AS ns, "
+                           f"lead(en) OVER o AS ne FROM p WHERE token NOT IN ({', '.join(map(lit, ENGLISH_STOP_33))}) WINDOW o AS (PARTITION BY doc_id ORDER BY pos)) "
+                           "SELECT doc_id, pos, token || ' ' || nt AS token, st AS start, ne AS \"end\" FROM k WHERE np = pos + 1 "
+                           "UNION ALL SELECT doc_id, pos, token || ' _', st, en FROM k WHERE np > pos + 1 "
+                           "UNION ALL SELECT doc_id, np - 1, '_ ' || nt, ns, ne FROM k WHERE np > pos + 1")
     # n-grams of the whole text: character list, each char with its successor.
     SQL["tok_ngram"] = (
         "WITH c AS (SELECT lang, regexp_extract_all(text, '(?s).') AS ch FROM documents) "
@@ -195,8 +216,6 @@ def _lazy_text_sql():
         "THEN [x, x || ' ' || a[i + 1]] ELSE [x] END))) AS token FROM t) GROUP BY lang, token")
 
 
-_lazy_text_sql()
-
 SQL["scan_documents"] = "SELECT * FROM documents"
 SQL["doc_count"] = "SELECT CAST(count(*) AS BIGINT) AS doc_count FROM documents"
 SQL["tokenize_documents"] = (f"SELECT doc_id, array_to_string({d_fold(d_std_lower(), 'asciifolding')}, ' ') "
@@ -210,10 +229,6 @@ j AS (SELECT doc_id, string_agg(tok, ' ' ORDER BY pos) AS s FROM f GROUP BY doc_
 SELECT t.doc_id, CASE WHEN t.a IS NULL THEN NULL ELSE coalesce(j.s, '') END AS text_analyzed
 FROM t LEFT JOIN j ON t.doc_id = j.doc_id
 """
-SQL["token_table"] = f"""
-WITH t AS (SELECT doc_id, {d_std_lower()} AS a FROM documents)
-SELECT doc_id, CAST(generate_subscripts(a, 1) - 1 AS BIGINT) AS pos, unnest(a) AS token FROM t
-"""
 SQL["fingerprint_clusters"] = f"""
 WITH t AS (SELECT doc_id, {d_fold(d_std_lower(), 'asciifolding')} AS a FROM documents),
 k AS (SELECT doc_id, sha256(array_to_string(list_sort(list_distinct(a)), ' ')) AS fp FROM t WHERE len(a) > 0),
@@ -653,6 +668,7 @@ def _mapping_oracles() -> None:
 def all_sql() -> dict[str, str]:
     """Every oracle; the ones that need word lists are built here, not at import."""
     if "an_by_lang" not in SQL:
+        _lazy_text_sql()
         _stem_oracles()
         _mapping_oracles()
         _schemaless_oracles()

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import filters as flt
-from ..functions import html, light_stem, porter, stopwords, tokenizers as tok
+from ..functions import html, light_stem, porter, stopwords, stream, tokenizers as tok
 
 def _empty() -> Column:
     return F.array().cast("array<string>")
@@ -38,11 +38,15 @@ def tokenize(text, tokenizer: str | None = "standard",
         s = html.CHAR_FILTERS[cf](s) if isinstance(cf, str) else cf(s)
     if tokenizer not in tok.TOKENIZERS and not callable(tokenizer):
         raise KeyError(f"unknown tokenizer {tokenizer!r}")
-    a = tokenizer(s) if callable(tokenizer) else tok.TOKENIZERS[tokenizer](s)
     filters = list(token_filters or ())
     if any(f is None or f == "None" for f in filters):
         filters = []
-    for f in filters:
+    n = _positional(tokenizer, filters)
+    if n:                           # filters that look at gaps, and what comes before them, on a stream
+        a = stream.tokens(stream.apply(stream.tokenize(s, tokenizer), filters[:n]))
+    else:
+        a = tokenizer(s) if callable(tokenizer) else tok.TOKENIZERS[tokenizer](s)
+    for f in filters[n:]:
         if callable(f):
             a = f(a)
         elif f in flt.FILTERS:
@@ -52,6 +56,19 @@ def tokenize(text, tokenizer: str | None = "standard",
     return a
 
 
+def _positional(tokenizer, filters: Sequence) -> int:
+    """How many of the filters need a token stream: all up to the last that pairs tokens behind one that parts them."""
+    pairs = [i for i, f in enumerate(filters) if f == "cjk_bigram" or f == "shingle" and "stop" in filters[:i]]
+    n = pairs[-1] + 1 if pairs else 0
+    known = not callable(tokenizer) and tokenizer in stream.TOKENIZERS
+    return n if known and all(not callable(f) and (f in stream.ONE_TO_ONE or f in stream.POSITIONAL) for f in filters[:n]) else 0
+
+
+def token_stream(text, tokenizer: str = "standard", token_filters: Sequence = ()) -> Column:
+    """Tokens with offsets, positions and types, through filters that keep them."""
+    return stream.apply(stream.tokenize(_as_col(text), tokenizer), token_filters)
+
+
 def joined(tokens: Column, sep: str = " ") -> Column:
     """T5: the token texts joined by one blank."""
     return F.array_join(tokens, sep)

@@ -25,6 +25,13 @@ def token_table(df: DataFrame, id_cols: Sequence[str], tokens: Column) -> DataFr
              .withColumn("pos", F.col("pos").cast("bigint"))
 
 
+def stream_table(df: DataFrame, id_cols: Sequence[str], stream: Column) -> DataFrame:
+    """One row per token of a stream: ids, ``pos``, ``token``, ``start``, ``end``, ``type``."""
+    x = df.select(*id_cols, F.explode(stream).alias("_x"))
+    return x.select(*id_cols, F.col("_x.position").cast("bigint").alias("pos"), "_x.token", F.col("_x.start").cast("bigint").alias("start"),
+                    F.col("_x.end").cast("bigint").alias("end"), "_x.type")
+
+
 def term_counts(df: DataFrame, tokens: Column, group_cols: Sequence[str] = (),
                 out: str = "n") -> DataFrame:
     """Occurrences per (group, token)."""
