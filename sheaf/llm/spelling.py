@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Scratch, let, save_shared, table, text_of
+from .common import Scratch, save_shared, table, text_of
 from .shingles import mix
 
 #: Least code points and occurrences of a word.
@@ -53,15 +53,14 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_length: int = MIN_LENGTH, min_count: int = MIN_COUNT) -> DataFrame:
     """(word, n): the words of all texts, after one in ``DELETE_ONE_IN`` has lost a letter."""
-    runs = F.regexp_extract_all(text_of(text_col), F.lit(rf"[A-Za-z\x{{C0}}-\x{{FF}}]{{{min_length},}}"), F.lit(0))
+    letter = r"[A-Za-z\x{C0}-\x{FF}]"
+    runs = F.regexp_extract_all(text_of(text_col), F.lit(rf"(?<!{letter}){letter}{{{min_length},}}+"), F.lit(0))
     at = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.explode(runs).alias("run"))
     at = at.select("id", F.translate("run", _UPPER, _LOWER).alias("run"))
-    checksum = F.crc32(F.concat_ws(":", "id", "run").cast("binary"))
-
-    def spelled(h: Column) -> Column:
-        gone = (h % F.length("run")).cast("int")
-        return F.when(h % DELETE_ONE_IN == 0, F.concat(F.substring("run", F.lit(1), gone), F.substring("run", gone + 2, F.length("run")))).otherwise(F.col("run"))
-    counted = at.select(let(checksum, spelled).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    at = at.select("run", F.crc32(F.concat_ws(":", "id", "run").cast("binary")).alias("h"))
+    gone = (F.col("h") % F.length("run")).cast("int")
+    spelled = F.when(F.col("h") % DELETE_ONE_IN == 0, F.concat(F.substring("run", F.lit(1), gone), F.substring("run", gone + 2, F.length("run")))).otherwise(F.col("run"))
+    counted = at.groupBy(spelled.alias("word")).agg(F.count(F.lit(1)).alias("n"))
     return counted.filter((F.length("word") >= min_length) & (F.col("n") >= min_count))
 
 
@@ -145,7 +144,9 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     follows = F.substring("path", F.col("pos") + 1, F.length("label")) == F.col("label")
     replaced = (F.col("letter") > F.substring("path", F.col("pos") + 1, F.lit(1))) & (end <= size) & (
         F.substring("path", F.col("pos") + 2, F.length("label") - 1) == F.substring("label", F.lit(2), F.length("label")))
-    skipped = own.select("path", "back", (F.col("pos") + 1).alias("pos"), "node", "ends", "wide")
+    # of a run of one letter the last is skipped: there the two words part
+    letter = lambda at: F.substring("path", at, F.lit(1))
+    skipped = own.filter(letter(F.col("pos") + 1) != letter(F.col("pos") + 2)).select("path", "back", (F.col("pos") + 1).alias("pos"), "node", "ends", "wide")
     frontier = skipped.unionByName(take(own.drop("ends", "wide"), ["node", "salt"], replaced))
     found = []
     while True:
@@ -165,7 +166,8 @@ def near_pairs(words: DataFrame, scratch: Scratch) -> DataFrame:
     forward = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
     pairs = ended.join(named, "node").select(forward("path").alias("a"), forward("other").alias("b")).distinct()
     pairs = pairs.filter((F.col("a") != F.col("b")) & (F.levenshtein("a", "b") == 1))
-    return scratch.save(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "pairs")
+    pairs = scratch.save(pairs, "pairs")                 # each from one side only: the longer word, or the smaller letter
+    return pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
 def spelling_groups(words: DataFrame, ratio: int = FORM_RATIO) -> DataFrame:
