@@ -62,6 +62,16 @@ def test_pii(steps):
     assert all(r.n_chars == len(r.text) for r in after)
 
 
+def test_pii_with_disclosing_terms(spark):
+    """The stage on tables large enough to have terms that disclose an entity."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    spans = brute(texts)
+    assert any(k >= 4 for x in spans for _, k, _ in x)
+    got = [r.text for r in P.sanitisation(spark, docs, SF).orderBy("doc_id").collect()]
+    assert got == [redact(t, s) if s else t for t, s in zip(texts, spans)]
+
+
 def test_mixing(steps):
     before, after, _, _ = steps["mixing"]
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0d]+", t or ""))
