@@ -192,7 +192,7 @@ def _lazy_text_sql():
     from .catalog import SUBSTITUTED
     from .functions import fold
     for name, expr in TOKEN_EXPR.items():
-        SQL[name] = counts_sql(expr, LANG_WHERE.get(name, ""), SUBSTITUTED.get(name))
+        SQL.setdefault(name, counts_sql(expr, LANG_WHERE.get(name, ""), SUBSTITUTED.get(name)))
     SQL["f_cjk_bigram"] = _cjk_sql(SUBSTITUTED["f_cjk_bigram"], "lower(w)", "")
     SQL["an_cjk"] = _cjk_sql(SUBSTITUTED["an_cjk"], f"lower({d_fold_expr('w', fold.profile('cjk_width'))})",
                              f"AND token NOT IN ({', '.join(map(lit, ENGLISH_STOP_33))})")

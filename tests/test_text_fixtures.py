@@ -132,8 +132,8 @@ def test_trim_and_none(spark):
 
 # cjk_text
 def test_cjk(spark):
-    # pinned: CJK tokens adjacent in the token array form one run (arrays carry no offsets)
-    assert tokens(spark, "中文字 单", "standard", ["cjk_bigram"]) == ["中文", "文字", "字单"]
+    # named pipelines pair characters that touch in the text (on a token stream)
+    assert tokens(spark, "中文字 单", "standard", ["cjk_bigram"]) == ["中文", "文字", "单"]
     assert tokens(spark, "中 abc 文", "standard", ["cjk_bigram"]) == ["中", "abc", "文"]
     assert tokens(spark, "abc 中", "standard", ["cjk_bigram"]) == ["abc", "中"]
     assert one(spark, lambda c: an.analyze(c, "cjk"), "ＡＢＣ 中文 the") == ["abc", "中文"]
