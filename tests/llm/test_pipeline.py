@@ -63,13 +63,15 @@ def test_pii(steps):
 
 
 def test_pii_with_disclosing_terms(spark):
-    """The stage on tables large enough to have terms that disclose an entity."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    """The stage where a term tells of an address; the tables have no such term."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    told = [(10 ** 6 + i, f"n{i} Quarkling ann.lee@x-mail.co.uk {'ipsum ' * i}", "en", "src0", 0) for i in range(4)]
+    docs = docs.unionByName(spark.createDataFrame(told + [(10 ** 6 + 9, "lorem Quarkling alone", "en", "src1", 21)], docs.schema))
     texts = [r.text for r in docs.orderBy("doc_id").collect()]
     spans = brute(texts)
-    assert any(k >= 4 for x in spans for _, k, _ in x)
+    assert sum(k >= 4 for x in spans for _, k, _ in x) >= 5
     got = [r.text for r in P.sanitisation(spark, docs, SF).orderBy("doc_id").collect()]
-    assert got == [redact(t, s) if s else t for t, s in zip(texts, spans)]
+    assert got == [redact(t, s) if s else t for t, s in zip(texts, spans)] and "uarkling" not in got[-1]
 
 
 def test_mixing(steps):
