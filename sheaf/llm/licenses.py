@@ -4,25 +4,36 @@ Templates and documents are sequences of normalised words (letters and digits,
 lower case). Fingerprints are the hashes of ``GRAM`` words in a row; of every
 ``WINDOW`` consecutive ones the smallest is kept (winnowing), so any passage of
 ``GRAM + WINDOW - 1`` words that a document shares with a template has a common
-fingerprint. The templates' fingerprints form an inverted index of a few thousand
-entries, which the tasks hold; documents are fingerprinted in numpy, whole batches at
-a time, and only documents with an entry in the index go on.
-
-A hit gives a place in the document and a place in a template. Hits of a template
-whose distance (the diagonal) agrees within the band are one candidate region; each
-region is aligned with the template inside a band around its diagonals (edit
-operations on words: equal, replaced, left out, put in). The best local alignment
-gives the matched words, their coverage of the template and the span in the
-document. Of regions that overlap, the one with more matched words stays.
+fingerprint. A template of ``LONG`` words or more with at most a fifth of its words
+edited still has that many equal words in a row. A shorter template has not; its
+fingerprints are single words, as many as may be missing from a match and one more
+(those that fewest templates hold), so every match holds one of them. Such a hit
+counts only if enough words of the template lie around it. The templates'
+fingerprints form an inverted index of a few thousand entries, which the tasks hold;
+documents are fingerprinted in numpy, whole batches at a time, and only documents
+with an entry in the index go on.
+
+A hit gives a place in the document and a place in a template. Hits of a long template
+whose distance (the diagonal) agrees within the band are one candidate region; every
+diagonal of a short one is a region of its own. Each region is aligned with the
+template inside a band around its diagonals (edit operations on words: equal,
+replaced, left out, put in). The best local alignment gives the matched words, their
+coverage of the template and the span in the document. A match needs a coverage of
+0.8, and a short template at most a fifth of its words in edits. Of regions that
+overlap, the one with more matched words stays.
 
 Defined cases: a null or blank text has no match; texts of any length are read whole;
 every occurrence is reported, so a document may have many rows or none; repeated rows
-are reported as often as they occur; other columns pass.
+are reported as often as they occur; other columns pass. Coverage alone decides: a
+notice of five words with one replaced, be it the licence's name, is a match of 0.8
+(its ``edits`` tell; a greater ``least`` refuses it).
 """
 
 from __future__ import annotations
 
 import bisect
+import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +45,14 @@ from pyspark.sql import types as T
 from .common import fresh, table
 
 #: Words of a fingerprint, and consecutive fingerprints of which the smallest is kept.
-GRAM, WINDOW = 3, 3
+GRAM, WINDOW = 3, 2
+#: Words from which a template is long: ceil(0.8 n / (0.2 n + 1)) is GRAM + WINDOW - 1 or more.
+LONG = 16
 #: Half the width of the alignment band, in words (for a short template half its length, so that two
 #: occurrences in a row stay two), and the coverage from which a match counts.
 BAND, COVERAGE = 6, 0.8
+#: What an equal word weighs against an edit: a word beside an edited one still belongs to the match.
+EQUAL = 5
 #: Words that are fingerprinted together.
 BLOCK_WORDS = 400_000
 
@@ -112,20 +127,51 @@ def fingerprints(word: np.ndarray, left: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """Inverted index of the templates: hash -> (template, place)."""
+    """Inverted index of the templates: hash -> (template, place); words of the short ones apart."""
 
-    def __init__(self, templates: dict[str, str]):
+    def __init__(self, templates: dict[str, str], least: float = COVERAGE):
         self.hashes, self.names, self.words, self.bands, self.entries = _Hashes(), list(templates), [], [], {}
-        for k, text in enumerate(templates.values()):
-            w = words_of(text)
-            self.words.append(w)
-            self.bands.append(band_of(w))
+        self.words = [words_of(t) for t in templates.values()]
+        self.bands = [band_of(w) for w in self.words]
+        self.need = [max(1, math.ceil(least * len(w) - 1e-9)) for w in self.words]
+        # long only if the equal words of a match, cut into runs by its missing ones, leave a run with a kept fingerprint
+        self.short = [bool(w) and (len(w) < LONG or n <= (len(w) - n + 1) * (GRAM + WINDOW - 2))
+                      for w, n in zip(self.words, self.need)]
+        # a short notice may have as many edits, put-in words included, as words may be missing; fewer never end a match
+        self.rules = [(len(w) - n + 1, len(w) - n) if short else (EQUAL, None)
+                      for w, n, short in zip(self.words, self.need, self.short)]
+        held = Counter(x for w in self.words for x in set(w))
+        self.rare: list[tuple[int, np.ndarray, list[tuple[int, np.uint64]]]] = []
+        for k, w in enumerate(self.words):
             word = np.array([self.hashes[x] for x in w], dtype=np.uint64)
+            if self.short[k]:
+                # a match lacks at most len - need words, so it holds one of any len - need + 1 places
+                places = sorted(range(len(w)), key=lambda i: (held[w[i]], -len(w[i]), i))[:len(w) - self.need[k] + 1]
+                self.rare.append((k, np.unique(word), [(i, word[i]) for i in places]))
+                continue
             # all fingerprints of a template, so that none is lost to another choice of the smallest
             places, hashes = self._all(word)
             for p, h in zip(places, hashes):
                 self.entries.setdefault(int(h), []).append((k, int(p)))
         self.sorted = np.array(sorted(self.entries), dtype=np.uint64)
+        self.vocabulary = np.unique(np.concatenate([h for _, h, _ in self.rare])) if self.rare else np.zeros(0, np.uint64)
+
+    def rare_hits(self, word: np.ndarray):
+        """(template, place in the template, places in ``word``) of the short templates' hits."""
+        if not len(self.vocabulary) or not len(word):
+            return
+        at = np.minimum(np.searchsorted(self.vocabulary, word), len(self.vocabulary) - 1)
+        seen = np.flatnonzero(self.vocabulary[at] == word)               # the few words that any short template holds
+        value = word[seen]
+        for k, vocabulary, places in self.rare:
+            mine = seen[np.isin(value, vocabulary)]                      # places of the words of this template
+            for i, h in places:
+                hit = seen[value == h]
+                low = np.searchsorted(mine, hit - i - self.bands[k])
+                high = np.searchsorted(mine, hit - i + len(self.words[k]) + self.bands[k])
+                hit = hit[high - low >= self.need[k]]
+                if len(hit):
+                    yield k, i, hit
 
     @staticmethod
     def _all(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,11 +190,12 @@ class Index:
         return self.sorted[at] == hashes
 
 
-def align(doc: list[str], template: list[str], low: int, high: int) -> tuple[int, int, int, int, int]:
+def align(doc: list[str], template: list[str], low: int, high: int, equal: int = EQUAL,
+          most: int | None = None) -> tuple[int, int, int, int, int]:
     """Best local alignment of ``template`` with ``doc`` on diagonals low..high (place in doc - place in template).
 
-    (score, matched words, first doc word, last doc word + 1, edits): +1 for an equal
-    word, -1 for a replaced, missing or additional one.
+    (score, matched words, first doc word, last doc word + 1, edits): +``equal`` for an
+    equal word, -1 for a replaced, missing or additional one; ``most`` bounds the edits.
     """
     width = high - low + 1
     none = (0, 0, -1, -1, 0)
@@ -160,7 +207,7 @@ def align(doc: list[str], template: list[str], low: int, high: int) -> tuple[int
             if not 0 <= i < len(doc):
                 continue
             score, matched, start, _, edits = row[b]                    # both advance
-            cell = (score + 1, matched + 1, i if start < 0 else start, i + 1, edits) if doc[i] == t else (score - 1, matched, start, i + 1, edits + 1)
+            cell = (score + equal, matched + 1, i if start < 0 else start, i + 1, edits) if doc[i] == t else (score - 1, matched, start, i + 1, edits + 1)
             if b + 1 < width and row[b + 1][0] - 1 > cell[0]:           # a template word is missing
                 s = row[b + 1]
                 cell = (s[0] - 1, s[1], s[2], s[3], s[4] + 1)
@@ -169,7 +216,7 @@ def align(doc: list[str], template: list[str], low: int, high: int) -> tuple[int
                 cell = (s[0] - 1, s[1], s[2], i + 1, s[4] + 1)
             if cell[0] > 0:
                 new[b] = cell
-                if doc[i] == t and (cell[0], cell[1]) > (best[0], best[1]):
+                if doc[i] == t and (most is None or cell[4] <= most) and (cell[0], cell[1]) > (best[0], best[1]):
                     best = cell
         row = new
     return best
@@ -193,11 +240,12 @@ def regions(seeds: list[tuple[int, int]], bands: list[int]) -> list[tuple[int, i
 def matches(doc: list[str], seeds: list[tuple[int, int]], index: Index, least: float = COVERAGE) -> list[tuple]:
     """(first word, last word + 1, template, matched, edits) of a document, by place; of overlapping ones the best."""
     found = []
-    for k, low, high in regions(seeds, index.bands):
+    alone = [(k, d, d) for k, d in set(seeds) if index.short[k]]
+    for k, low, high in alone + regions([x for x in seeds if not index.short[x[0]]], index.bands):
         template, band = index.words[k], index.bands[k]
         from_word = max(0, low - band)
         part = doc[from_word:high + len(template) + band]
-        _, matched, start, end, edits = align(part, template, low - band - from_word, high + band - from_word)
+        _, matched, start, end, edits = align(part, template, low - band - from_word, high + band - from_word, *index.rules[k])
         if matched >= least * len(template):
             found.append((matched - edits, len(template), -k, from_word + start, from_word + end, matched, edits))
     taken: list[tuple[int, int]] = []
@@ -232,17 +280,23 @@ def scan(docs: DataFrame, text_col: str = "text", keep_text: bool = True, templa
         ends = np.cumsum(counts)
         places, hashes = fingerprints(word, np.repeat(ends, counts) - np.arange(total))
         hit = index.hits(hashes)
-        places, hashes = places[hit], hashes[hit]
-        doc = np.searchsorted(ends, places, side="right")
-        for d in np.unique(doc):
-            mine, begin = doc == d, int(ends[d] - counts[d])
-            seeds = [(k, int(p) - begin - at) for p, h in zip(places[mine], hashes[mine]) for k, at in index.entries[int(h)]]
-            found = matches(split[d], seeds, index, least)
+        seeds: dict[int, list[tuple[int, int]]] = {}
+        def seed(at, k, place):
+            d = int(np.searchsorted(ends, at, side="right"))
+            seeds.setdefault(d, []).append((k, int(at) - int(ends[d] - counts[d]) - place))
+        for p, h in zip(places[hit], hashes[hit]):
+            for k, place in index.entries[int(h)]:
+                seed(p, k, place)
+        for k, place, found in index.rare_hits(word):
+            for p in found:
+                seed(p, k, place)
+        for d in sorted(seeds):
+            found = matches(split[d], seeds[d], index, least)
             if found:
-                yield int(d), found
+                yield d, found
 
     def run(batches):
-        index = Index(known)
+        index = Index(known, least)
         for batch in batches:
             texts = [t or "" for t in batch.column(batch.schema.names.index(text_col)).to_pylist()]
             rows, out, begin = [], [], 0

@@ -23,10 +23,10 @@ def test_winnowing_keeps_a_fingerprint_of_every_shared_passage():
 def plant(rng):
     names, out = list(L.TEMPLATES), []
     vocab = ["thou", "erbe", "éa", "the", "license", "under", "licensed", "İstanbul", "work", "2.0", "of", "ﬃ"]
-    for k in range(300):
+    for k in range(200):
         text, spans = "", []
         for _ in range(rng.randint(0, 4)):
-            text += " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 30))) + rng.choice([" zzz\n", " qqq.\n\n"])
+            text += " ".join(rng.choice(vocab) for _ in range(rng.randint(0, 30))) + rng.choice([" zzz\n", " qqq.\n\n"]) * 7
             if rng.random() < .6:
                 name = rng.choice(names)
                 w = L.TEMPLATES[name].split()
@@ -35,23 +35,71 @@ def plant(rng):
                     w[j:j + 1] = rng.choice([[], ["other"], [w[j], "extra"]])
                 notice = rng.choice([" ", "\n", "  * "]).join(w).upper() if rng.random() < .3 else " ".join(w)
                 spans.append((name, len(text), len(text) + len(notice)))
-                text += notice + rng.choice([" xyz ", "\nxyz\n"])
+                text += notice + rng.choice([" xyz ", "\nxyz\n"]) * 7
         out.append((k, text, spans))
     return out
 
 
-def test_planted_notices(spark):
-    cases = plant(random.Random(4))
+def brute(doc, index):
+    """(template, first word, last word + 1) of every template aligned at every place of a document."""
+    out = set()
+    for k, template in enumerate(index.words):
+        band = index.bands[k]
+        for d in range(1 - len(template), len(doc)):
+            _, matched, start, end, _ = L.align(doc, template, d - band, d + band, *index.rules[k])
+            if matched >= L.COVERAGE * len(template):
+                out.add((index.names[k], start, end))
+    return out
+
+
+def overlap(a, b, c, d):
+    return a < d and c < b
+
+
+def test_planted_notices_against_every_alignment(spark):
+    cases, index = plant(random.Random(4)), L.Index(L.TEMPLATES)
     df = spark.createDataFrame([(k, t) for k, t, _ in cases] + [(900, None), (901, ""), (902, "released under")], "doc_id bigint, text string")
     got = {}
     for r in L.scan(df.withColumn("license", F.lit("mine")), keep_text=False).collect():
         assert r.license == "mine" and L.COVERAGE <= r.coverage <= 1
         got.setdefault(r.doc_id, []).append((r._license, r.span_start, r.span_end))
-    assert sum(len(s) for _, _, s in cases) > 200 and not set(got) & {900, 901, 902}
+    assert sum(len(s) for _, _, s in cases) > 150 and not set(got) & {900, 901, 902}
+    words = L._WORD.findall
     for k, text, spans in cases:
-        words = L._WORD.findall
-        assert [(n, words(text[a:b])) for n, a, b in sorted(got.get(k, []), key=lambda x: x[1])] == [
-            (n, words(text[a:b])) for n, a, b in spans], (text, got.get(k))
+        mine = sorted(got.get(k, []), key=lambda x: x[1])
+        for n, a, b in spans:                                   # each planted notice with its very words
+            assert (n, words(text[a:b])) in [(m, words(text[c:d])) for m, c, d in mine], (n, text, mine)
+        place = [m.span() for m in L._WORD.finditer(text)]
+        if len(place) != len(L.words_of(text)):
+            continue
+        every = brute(L.words_of(text), index)
+        for n, a, b in every:                                   # no alignment of coverage 0.8 is lost
+            assert any(overlap(place[a][0], place[b - 1][1], c, d) for _, c, d in mine), (n, text[place[a][0]:place[b - 1][1]])
+        spans_of = [(place[a][0], place[b - 1][1]) for _, a, b in every]
+        for _, c, d in mine:                                    # and none is made up
+            assert any(overlap(c, d, *s) for s in spans_of), text[c:d]
+
+
+def test_one_word_edits_of_every_notice(spark):
+    rows = []
+    for name, text in L.TEMPLATES.items():
+        w = L.words_of(text)
+        for j in range(len(w)):
+            for edit in ([], ["qqqq"], [w[j], "qqqq"]):
+                rows.append((len(rows), name, " ".join(["zzzz"] * 9 + w[:j] + edit + w[j + 1:] + ["yyyy"] * 9)))
+    df = spark.createDataFrame(rows, "doc_id bigint, name string, text string")
+    found = {(r.doc_id, r.license) for r in L.scan(df, keep_text=False).collect()}
+    least = {name: L.COVERAGE * len(L.words_of(text)) for name, text in L.TEMPLATES.items()}
+    # two notices may differ by one word: then the edited one is found under one of the two
+    lost = [(name, text) for k, name, text in rows if not any(d == k for d, _ in found)]
+    assert len(rows) > 600 and min(least.values()) <= 4 and not lost
+    other = [name for k, name, _ in rows if (k, name) not in found]
+    assert len(other) < 20 and set(other) <= {"MIT", "MIT-licensed", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Apache-2.0"}
+
+
+def test_a_notice_with_another_article(spark):
+    df = spark.createDataFrame([(1, "Licensed under a MIT license")], "doc_id bigint, text string")
+    assert [(r.license, r.coverage, r.span_end) for r in L.scan(df, keep_text=False).collect()] == [("MIT-licensed", 0.8, 28)]
 
 
 def test_occurrences_in_a_row(spark):
