@@ -66,12 +66,16 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "_key", offs
     bounded by the number of shuffle partitions, not by the data.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    ranged = save_shared(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranged")
-    counts = ranged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
-    numbered = (ranged.join(F.broadcast(starts), "__part")
-                      .withColumn(name, (F.col("__start") + within - 1 + offset).cast("bigint"))
-                      .drop("__part", "__start"))
+    part, start = "__part", "__start"
+    taken = {c.lower() for c in df.columns}
+    while taken & {part, start}:
+        part, start = "_" + part, "_" + start
+    ranged = save_shared(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()), "ranged")
+    counts = ranged.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(part, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias(start))
+    within = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    numbered = (ranged.join(F.broadcast(starts), part)
+                      .withColumn(name, (F.col(start) + within - 1 + offset).cast("bigint"))
+                      .drop(part, start))
     return numbered, ranged.count()
