@@ -9,9 +9,10 @@ integral, and the other goes on to the next document. Because the mass that
 moves is counted in *words* (probability times size), the words a source gives
 are kept exactly, up to the one document that is left over.
 
-Distribution: the documents of a source are dealt to chunks of a bounded number
-of rows by a hash, so that a source with a third of all rows is many tasks; each
-chunk leaves at most one fractional document, and these residuals are combined
+Distribution: the documents are put in order of a hash, numbered and cut into chunks
+of a bounded number of rows, so that a source, or one repeated row, with a third of
+all rows is many chunks; what a chunk holds of one source is one group, and each
+group leaves at most one fractional document, and these residuals are combined
 by further rounds over chunks of chunks (a reduction tree). The last residual of
 a source is rounded by a coin of its own probability.
 
@@ -98,6 +99,12 @@ def _pivot(size: np.ndarray, p: np.ndarray, u: np.ndarray) -> int:
     return carry
 
 
+def deal(rows: DataFrame, order: list[str], chunk: str, chunk_rows: int) -> tuple[DataFrame, int]:
+    """``rows`` plus ``chunk``, their rank in ``order`` by ``chunk_rows``; and the number of chunks."""
+    rows, total = number_rows(rows, order, chunk)
+    return rows.withColumn(chunk, F.floor(F.col(chunk) / F.lit(chunk_rows)).cast("bigint")), -(-total // chunk_rows)
+
+
 def mix(docs: DataFrame, source_col: str = "source", size_col: str = "size", key_cols: tuple[str, ...] = ("doc_id",),
         weights: tuple[float, ...] = WEIGHTS, max_repeat: float = MAX_REPEAT, seed: int = 17,
         chunk_rows: int = CHUNK_ROWS) -> DataFrame:
@@ -108,14 +115,12 @@ def mix(docs: DataFrame, source_col: str = "source", size_col: str = "size", key
     ``key_cols`` seed the random choices: the same rows give the same result in
     any order and partitioning. Columns of ``docs`` pass through unchanged.
     """
-    p, h, chunk, whole, lev, n_docs, src = fresh(docs, "__p", "__h", "__chunk", "__whole", "__done", "__n", "__src")
+    p, h, chunk, whole, lev, src = fresh(docs, "__p", "__h", "__chunk", "__whole", "__done", "__src")
     in_source, target, copies = fresh(docs, "source_size", "target", "copies")
     targets = source_targets(docs, source_col, size_col, weights, max_repeat).select(
-        F.col("source").alias(src), F.col("source_size").alias(in_source), F.col("target").alias(target),
-        F.col("n_docs").alias(n_docs))
-    # two scalars about the sources; whether their table may be broadcast is decided on its counted size
-    stat = targets.agg(F.count(F.lit(1)).alias("n"), F.max(n_docs).alias("most")).first()
-    small = stat["n"] <= BROADCAST_SOURCES
+        F.col("source").alias(src), F.col("source_size").alias(in_source), F.col("target").alias(target))
+    # whether the table of sources may be broadcast is decided on its counted size
+    small = targets.count() <= BROADCAST_SOURCES
     joined = docs.join(F.broadcast(targets) if small else targets, docs[source_col].eqNullSafe(targets[src]))
     ratio = F.when(F.col(in_source) > 0, F.least(F.lit(max_repeat), F.col(target) / F.col(in_source))).otherwise(0.0)
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("coin"), *key_cols), 11) / F.lit(float(1 << 53))
@@ -125,9 +130,8 @@ def mix(docs: DataFrame, source_col: str = "source", size_col: str = "size", key
             .withColumn(whole, F.floor(ratio).cast("bigint"))
             # a document without words is rounded by its own coin at once
             .withColumn(p, F.when(zero, F.when(unit < frac, 1.0).otherwise(0.0)).otherwise(frac))
-            .withColumn(h, F.xxhash64(F.lit(seed), *key_cols, size_col))
-            .withColumn(chunk, F.pmod(F.col(h), F.ceil(F.col(n_docs) / F.lit(chunk_rows))).cast("bigint"))
-            .drop(n_docs))
+            .withColumn(h, F.xxhash64(F.lit(seed), *key_cols, size_col)))
+    rows, most = deal(rows, [h, *key_cols, size_col], chunk, chunk_rows)
     rows = rows.withColumn(lev, F.lit(False))
     schema = rows.schema
 
@@ -137,7 +141,8 @@ def mix(docs: DataFrame, source_col: str = "source", size_col: str = "size", key
             group = group.take(pc.sort_indices(group, sort_keys=[(size_col, "descending"), (h, "ascending")]))
             probs = group.column(p).to_numpy().copy()
             size = group.column(size_col).cast(pa.float64()).fill_null(0).to_numpy()
-            rng = np.random.Generator(np.random.Philox(key=[seed, (level << 48) ^ int(group.column(h)[0].as_py()) & (1 << 64) - 1]))
+            own = (level << 48) ^ int(group.column(h)[0].as_py()) ^ int(group.column(chunk)[0].as_py()) * 0x9E3779B97F4A7C15
+            rng = np.random.Generator(np.random.Philox(key=[seed, own & (1 << 64) - 1]))
             left = _pivot(size, probs, rng.random(len(probs)))
             done = np.ones(len(probs), dtype=bool)
             if left >= 0:
@@ -147,7 +152,7 @@ def mix(docs: DataFrame, source_col: str = "source", size_col: str = "size", key
             return group.set_column(names.index(lev), lev, pa.array(done))
         return run
 
-    parts, most = [], -(-(stat["most"] or 0) // chunk_rows)
+    parts = []
     level, rest = 0, rows
     while True:
         out = save_shared(rest.groupBy(src, chunk).applyInArrow(rounding(level), schema), f"mix{level}")

@@ -81,3 +81,17 @@ def test_edge_rows(spark):
     out = mixing.mix(clash)
     assert out.columns[:5] == ["doc_id", "source", "size", "__p", "__chunk"]
     assert {r["__p"] for r in out.collect()} == {"mine"}
+
+
+def test_a_row_repeated_for_most_of_the_table(spark):
+    hot = spark.range(100_000).select(F.lit(7).cast("bigint").alias("doc_id"), F.lit("a").alias("source"), F.lit(4).cast("bigint").alias("size"))
+    docs = hot.unionByName(spark.range(3000).select("id", F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("source"),
+                                                     (F.col("id") % 50).alias("size")).withColumnRenamed("id", "doc_id"))
+    dealt, chunks = mixing.deal(docs, ["doc_id", "size"], "chunk", mixing.CHUNK_ROWS)
+    groups = dealt.groupBy("source", "chunk").count()
+    assert chunks == 51 and groups.agg(F.max("count")).first()[0] <= mixing.CHUNK_ROWS
+    assert groups.filter("source = 'a'").count() >= 49
+    out = mixing.mix(docs.withColumn("__part", F.lit("mine")).withColumn("__start", F.lit(1.5)))
+    for r in out.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("took"), F.max("target").alias("want"),
+                                       F.count(F.lit(1)).alias("n"), F.max("__part").alias("part")).collect():
+        assert abs(r.took - r.want) <= 50 and r.part == "mine" and r.n in (101_500, 1_500)
