@@ -610,12 +610,12 @@ def q_stream_upsert_events(spark, sf_dir):
 
     from .session import checkpoint_dir
     from .streaming import incremental as inc
-    run = os.path.join(checkpoint_dir(spark), f"stream_upsert_events-{uuid.uuid4().hex}")
+    name = f"stream_upsert_events_{uuid.uuid4().hex}"
+    run = os.path.join(checkpoint_dir(spark), name)
     schema = read_table(spark, sf_dir, "events").schema
-    inc.stream_upsert(spark, os.path.join(sf_dir, "events*.parquet"), schema,
-                      target=os.path.join(run, "table"), key="user_id",
-                      order=["ts", "event_id"], checkpoint=os.path.join(run, "stream"))
-    return inc.read_upserted(spark, os.path.join(run, "table"))
+    inc.stream_upsert(spark, os.path.join(sf_dir, "events*.parquet"), schema, name, "user_id",
+                      ["ts", "event_id"], os.path.join(run, "table"), checkpoint=os.path.join(run, "stream"))
+    return inc.read_upserted(spark, name)
 
 
 @query("tok_ngram")

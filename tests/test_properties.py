@@ -163,8 +163,8 @@ def test_stream_upsert_independent_of_batching(spark, sf_dir, tmp_path):
     ev.repartition(4, "event_id").write.parquet(src)        # several files -> several micro-batches
     results = []
     for i, per_trigger in enumerate((1, 3)):
-        target = str(tmp_path / f"t{i}")
-        inc.stream_upsert(spark, src, ev.schema, target, "user_id", ["ts", "event_id"],
+        target = f"keyed_{i}"
+        inc.stream_upsert(spark, src, ev.schema, target, "user_id", ["ts", "event_id"], str(tmp_path / f"t{i}"),
                           buckets=8, checkpoint=str(tmp_path / f"ck{i}"), max_files_per_trigger=per_trigger)
         results.append(rows(inc.read_upserted(spark, target).select(*ev.columns), "user_id"))
     expected = rows(upsert.latest_per_key(ev, "user_id", ["ts", "event_id"]).select(*ev.columns), "user_id")
