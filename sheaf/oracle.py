@@ -259,33 +259,34 @@ SQL["f_uppercase"] = counts_sql(d_map(d_standard(), "upper(replace(x, 'ß', 'ss'
 
 
 def _html_sql() -> str:
-    """Written from the definition, not from the operator's patterns: markup goes first (comments, scripts and
-    styles whole, line-breaking tags as a line break), then entities, the ampersand itself last."""
-    from html.entities import name2codepoint
+    """Written from the definition: markup and entities are found in one pass from the left, then told apart."""
+    from html.entities import html5
     breaking = ("address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|head|"
                 "header|hr|html|li|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|title|tr|ul")
-    s = "html"
-    for pattern, new in ((r"(?s)<!--.*?-->", "''"), (r"(?is)<script\b[^>]*>.*?</script\s*>", "''"),
-                         (r"(?is)<style\b[^>]*>.*?</style\s*>", "''"), (rf"(?i)</?({breaking})\b[^>]*>", "chr(10)"),
-                         (r"<[a-zA-Z/!?][^>]*>", "''")):
-        s = f"regexp_replace({s}, {lit(pattern)}, {new}, 'g')"
-    for name, code in name2codepoint.items():
-        if name != "amp":
-            s = f"replace({s}, {lit('&' + name + ';')}, {lit(chr(code))})"
-    s = f"replace({s}, '&apos;', {lit(chr(39))})"
-    num = "&#([xX][0-9a-fA-F]+|[0-9]+);"
-    dec = ("list_transform(regexp_extract_all(s1, " + lit(num) + "), lambda e: "
-           "CASE WHEN lower(substring(e, 3, 1)) = 'x' "
-           "THEN chr(CAST(('0x' || substring(e, 4, length(e) - 4)) AS INTEGER)) "
-           "ELSE chr(CAST(substring(e, 3, length(e) - 3) AS INTEGER)) END)")
+    inside = """([^>"']|"[^"]*"|'[^']*')*"""
+    found = "(?is)" + "|".join(["<!--.*?(-->|\\z)"] + [
+        rf"<{e}([\s/]{inside})?>.*?(</{e}([\s/][^>]*)?>|\z)" for e in ("script", "style")] + [
+        f"</?[a-z]{inside}>", "<[a-z/!?][^>]*>", "&(#x[0-9a-f]+;?|#[0-9]+;?|[a-z][a-z0-9]*;?)"])
+    old = "|".join(sorted((n for n in html5 if n[-1] != ";"), key=len, reverse=True))
+    names = f"MAP([{', '.join(map(lit, html5))}], [{', '.join(map(lit, html5.values()))}])"
     return f"""
-WITH a AS (SELECT page_id, {s} AS s1 FROM pages),
-b AS (SELECT page_id, s1, string_split_regex(s1, {lit(num)}) AS pieces, {dec} AS ents FROM a)
-SELECT page_id,
-       replace(CASE WHEN position('&#' IN s1) = 0 THEN s1 ELSE
-         array_to_string(list_transform(pieces, lambda p, i: p || coalesce(ents[i], '')), '') END,
-         '&amp;', '&') AS html_stripped
-FROM b
+WITH names AS MATERIALIZED (SELECT {names} AS m),
+a AS (SELECT page_id, html, string_split_regex(html, {lit(found)}) AS pieces,
+             regexp_extract_all(html, {lit(found)}) AS marks FROM pages),
+e AS (SELECT DISTINCT unnest(marks) AS mark FROM a),
+t AS (SELECT mark, regexp_extract(mark, {lit('^&(' + old + ')')}, 1) AS old, trim(substr(mark, 3), ';') AS digits FROM e),
+d AS (SELECT mark, CASE
+        WHEN starts_with(mark, '<') THEN
+          CASE WHEN regexp_matches(mark, {lit(f'(?i)^</?({breaking})[ /> ' + chr(9) + chr(10) + chr(13) + chr(12) + ']')}) THEN chr(10) ELSE '' END
+        WHEN starts_with(lower(mark), '&#x') THEN chr(CAST('0x' || substr(digits, 2) AS INTEGER))
+        WHEN starts_with(mark, '&#') THEN chr(CAST(digits AS INTEGER))
+        ELSE coalesce(m[substr(mark, 2)], CASE WHEN old <> '' THEN m[old] || substr(mark, 2 + length(old)) END, mark) END AS new
+      FROM t CROSS JOIN names),
+parts AS (SELECT page_id, unnest(pieces) AS piece, unnest(list_append(marks, NULL)) AS mark,
+                 generate_subscripts(pieces, 1) AS i FROM a WHERE html IS NOT NULL)
+SELECT page_id, string_agg(piece || coalesce(new, ''), '' ORDER BY i) AS html_stripped
+FROM parts LEFT JOIN d USING (mark) GROUP BY page_id
+UNION ALL SELECT page_id, NULL FROM pages WHERE html IS NULL
 """
 
 

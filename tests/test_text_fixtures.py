@@ -183,7 +183,11 @@ def test_filters_null_and_empty_arrays(spark, name):
 def test_html_text_between_brackets_and_entities(spark):
     from sheaf.functions import html
     cases = {"a < b > c": "a < b > c", "x<b>y</b>z": "xyz", "<!doctype html>t<?pi?>": "t", "&eacute;&Uuml;&nbsp;&unknown;": "éÜ\xa0&unknown;",
-             "&amp;lt; &#38;lt;": "&lt; &lt;", "&#00000000065;&#x000000042;": "AB", "&#xFFFFFFFFFFFFFFFFFF;&#0;": "��", "5 &lt 6 & 7": "5 &lt 6 & 7"}
+             "&amp;lt; &#38;lt;": "&lt; &lt;", "&#00000000065;&#x000000042;": "AB", "&#xFFFFFFFFFFFFFFFFFF;&#0;": "��", "5 &lt 6 & 7": "5 < 6 & 7",
+             '<a title="x > y">t</a>': "t", "<a title='x > y' b=\"'>\">t</a>": "t", '<a title="x>t</a> u': "t u", "don't <b>do</b> it's": "don't do it's",
+             "a<script>if (a<b) '</p>'": "a", "a<style >x": "a", "a<!-- x > y": "a", "a<script-x>b</script-x>": "ab", "<p-x>a<p/>b": "a\nb",
+             "<SCRIPT src='>'>x</ScRiPt >y": "y", "&check;&notit;&notin;&copy2&Aacutex&#65 &#x42": "✓¬it;∉©2Áx" + "A B", "&NotEqualTilde;": "≂̸",
+             "<!-- a --><!-- b -->c": "c", "x" * 9 + "<p " + "a='>' " * 20000 + ">y": "x" * 9 + "\ny", "<div>": "\n", "": "", "&": "&", "&;<": "&;<"}
     df = spark.createDataFrame(list(cases.items()), "html string, want string")
     from pyspark.sql import functions as F
     for r in df.select("html", "want", html.html_strip(F.col("html")).alias("got")).collect():
