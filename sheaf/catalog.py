@@ -598,6 +598,30 @@ def q_field_stats(spark, sf_dir):
     return shape.field_stats(read_table(spark, sf_dir, "lineitem"))
 
 
+#: Columns of the sketched tables, by their name without the table's prefix (custkey and orderkey are in two).
+SKETCHED = {"customer": ("c_custkey", "c_name", "c_nationkey", "c_mktsegment"),
+            "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+            "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")}
+#: What a merged estimate may be off: over five standard deviations of a sketch.
+SKETCH_ERROR = 0.05
+
+
+@query("field_sketches")
+def q_field_sketches(spark, sf_dir):
+    """Sketches of three tables, stored, then merged without a rescan; the distinct estimate held against the exact count."""
+    from .operators import sketches as sk
+    from .operators.ranking import save_shared
+    tables = [read_table(spark, sf_dir, t).select(*[F.col(c).alias(c[2:]) for c in columns]) for t, columns in SKETCHED.items()]
+    merged = sk.read_fields(sk.merge_fields(*[save_shared(sk.sketch_fields(t), "sketch") for t in tables]))
+    values = [t.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v"))
+                                           for c in t.columns])).alias("p")).select("p.*") for t in tables]
+    exact = values[0].unionByName(values[1]).unionByName(values[2]).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+    exact = exact.groupBy("column").agg(F.count("v").alias("exact"))
+    off = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(F.lit(1.0), F.lit(SKETCH_ERROR) * F.col("exact"))
+    return merged.join(exact, "column").select("column", "n_rows", "n_nonnull", "max_len", F.col("exact").alias("n_distinct"),
+                                               off.alias("within_bound"))
+
+
 # ---------------------------------------------------------------------------
 # Repeated keyed load as a stream.
 # ---------------------------------------------------------------------------

@@ -630,6 +630,14 @@ SQL["field_stats"] = " UNION ALL ".join(
     f"CAST(count(DISTINCT CAST({c} AS VARCHAR)) AS BIGINT) AS n_distinct, "
     f"CAST(max(length(CAST({c} AS VARCHAR))) AS BIGINT) AS max_len FROM lineitem" for c in COLUMNS["lineitem"])
 
+SQL["field_sketches"] = (
+    "SELECT \"column\", count(*) AS n_rows, count(v) AS n_nonnull, CAST(max(length(v)) AS BIGINT) AS max_len, "
+    "count(DISTINCT v) AS n_distinct, TRUE AS within_bound FROM (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({p}_{c} AS VARCHAR) AS v FROM {t}"
+        for t, p, names in (("customer", "c", "custkey name nationkey mktsegment"),
+                            ("orders", "o", "orderkey custkey orderstatus orderpriority"),
+                            ("lineitem", "l", "orderkey partkey suppkey linenumber returnflag linestatus"))
+        for c in names.split()) + ") GROUP BY 1")
 SQL["stream_upsert_events"] = """
 SELECT event_id, ts, user_id, event_type, value, props FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
