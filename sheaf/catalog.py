@@ -60,7 +60,7 @@ def q_top_terms(spark, sf_dir):
 # Text: tokenizers, analyzers and token filters as corpus jobs on `documents`.
 # Each is "tokens per row -> explode -> count per (lang, token)".
 # ---------------------------------------------------------------------------
-from .functions import light_stem, porter, stopwords  # noqa: E402
+from .functions import porter, stopwords  # noqa: E402
 from .plans import analyze as an  # noqa: E402
 
 
@@ -77,6 +77,9 @@ SUBSTITUTED = {
     "f_serbian": "translate(text, 'abcdefghijklmnoprstuvz', 'абцдефгхијклмнопрстувз')",
     "f_elision": "replace(replace(text, ' t', ' l''t'), ' o', ' Qu’o')",
     "f_cjk_bigram": "translate(text, 'aeiou', '中文字单日')", "an_cjk": "translate(text, 'aeioubcd', '中文字单日ｂｃｄ')",
+    "an_stemmed": "concat_ws(' ', replace(replace(replace(replace(replace(replace(text, ' t', 'amente t'), ' a', 'hetene a'), ' s', 'ssa s'), "
+                  "' o', 'lerden o'), ' i', 'oknak i'), ' b', 'igheden b'), "
+                  "translate(replace(text, 'ing', 'ая'), 'abcdefghijklmnoprstuvzy', 'абцдефгхиклмнопарстувзы'))",
 }
 
 
@@ -240,13 +243,6 @@ def q_f_delimited_payload(spark, sf_dir):
 # Stemming and per-language analysis: stem the distinct vocabulary, not every
 # token occurrence (the vocabulary grows far slower than the corpus).
 # ---------------------------------------------------------------------------
-def _porter_vocab_counts(d):
-    """(lang, stem, n): tokens -> counts -> stemmed vocabulary."""
-    counts = jobs.term_counts(d, std_lower(), ["lang"])
-    stems = jobs.apply_word_steps(counts, porter.porter_steps())
-    return stems.groupBy("lang", F.col("stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
-
-
 @query("f_porter_stem")
 def q_f_porter_stem(spark, sf_dir):
     """forms per language and Porter stem: forms, occurrences, documents."""
@@ -258,54 +254,20 @@ def q_f_porter_stem(spark, sf_dir):
 def q_f_stemmer(spark, sf_dir):
     """F16: the `stemmer` filter (default language English) -> stem counts."""
     d = docs(spark, sf_dir, "doc_id", "lang", "text")
-    return _porter_vocab_counts(d)
-
-
-# Per-language chains: filters before stemming, then the stemmer steps.
-LANG_CHAINS = {
-    "en": ([flt.possessive_english, "lowercase", lambda a: flt.stop(a, stopwords.ENGLISH_STOP_33)],
-           porter.porter_steps),
-    "fr": (["elision", "lowercase", lambda a: flt.stop(a, "french")],
-           lambda: light_stem.steps("french")),
-    "de": (["lowercase", lambda a: flt.stop(a, "german"), "german_normalization"],
-           lambda: light_stem.steps("german")),
-    "es": (["lowercase", lambda a: flt.stop(a, "spanish")],
-           lambda: light_stem.steps("spanish")),
-}
-# The stop-list-only languages, by ISO code: lowercase and the language's stop list,
-# all in one branch that looks the list up by language.
-STOP_ONLY_CODES = {"da": "danish", "nl": "dutch", "fi": "finnish", "hu": "hungarian", "it": "italian",
-                   "no": "norwegian", "pt": "portuguese", "ru": "russian", "sv": "swedish",
-                   "tr": "turkish"}
+    return jobs.stem_counts(d, std_lower(), "english", ["lang"])
 
 
 @query("an_by_lang")
 def q_an_by_lang(spark, sf_dir):
-    """Each document analysed by its language's analyzer; term counts per language.
+    """Each document analysed by its language's analyzer; term counts per language."""
+    return jobs.terms_by_lang(docs(spark, sf_dir, "doc_id", "lang", "text"), "text", "lang")
 
-    Pre-stem filters run per row (one CASE per language); stemming runs once
-    per distinct (lang, token), one projection per step.
-    """
-    d = docs(spark, sf_dir, "doc_id", "lang", "text")
-    base = tok.standard(F.col("text"))
-    expr = None
-    for code, (pre, _) in LANG_CHAINS.items():
-        a = base
-        for f in pre:
-            a = flt.FILTERS[f](a) if isinstance(f, str) else f(a)
-        expr = F.when(F.col("lang") == code, a) if expr is None else expr.when(F.col("lang") == code, a)
-    expr = (expr.when(F.col("lang").isin(list(STOP_ONLY_CODES)),
-                      flt.stop_by_lang(flt.lowercase(base), F.col("lang"), STOP_ONLY_CODES))
-                .otherwise(flt.lowercase(base)))
-    counts = jobs.term_counts(d, expr, ["lang"])
-    stem = F.col("token")
-    for code, (_, steps) in LANG_CHAINS.items():
-        # a language's chain applies to its own rows; inside the lambda the
-        # running value is a variable, so the nesting stays linear
-        stem = jobs.once(stem, (lambda c, st: (lambda x: F.when(F.col("lang") == c, jobs.chain(x, st))
-                                               .otherwise(x)))(code, steps()))
-    w = counts.withColumn("stem", stem)
-    return w.groupBy("lang", F.col("stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
+
+@query("an_stemmed")
+def q_an_stemmed(spark, sf_dir):
+    """The stemmers of the ten languages over the words of all documents, with endings of those languages."""
+    d = docs(spark, sf_dir, "text")
+    return jobs.stems_by_language(d, flt.lowercase(tok.standard(F.expr(SUBSTITUTED["an_stemmed"]))), an.STOP_ONLY_LANGUAGES)
 
 
 @query("an_stop_lists")
@@ -652,9 +614,7 @@ def q_tok_ngram(spark, sf_dir):
 @query("f_shingle")
 def q_f_shingle(spark, sf_dir):
     """counts of unigrams and 2-token shingles (the multiset ``flt.shingle`` emits)."""
-    d = docs(spark, sf_dir, "lang", "text").select("lang", std_lower().alias("_t"))
-    bag = F.concat(F.col("_t"), flt.bigram_shingles(F.col("_t")))
-    return jobs.term_counts(d, bag, ["lang"]).withColumn("n", F.col("n").cast("bigint"))
+    return jobs.shingle_counts(docs(spark, sf_dir, "lang", "text"), std_lower(), ["lang"])
 
 
 @query("stream_analyze_documents")

@@ -186,12 +186,19 @@ def possessive_english(a: Column) -> Column:
     return F.transform(a, lambda x: F.regexp_replace(x, "['’][sS]$", ""))
 
 
-def stemmer(a: Column, language: str = "english") -> Column:
-    """`stemmer` / `porter_stem`: English is Porter; see ``light_stem`` for others."""
+def stem_steps(language: str = "english") -> list:
+    """The steps of a language's stemmer, each a function of one lower-case word."""
     if language in ("english", "porter", "en"):
-        return porter.porter_stem(a)
-    from . import light_stem
-    return light_stem.light_stem(a, language)
+        return porter.porter_steps()
+    from . import light_stem, suffix_stem
+    return (suffix_stem if language in suffix_stem.PROGRAMS else light_stem).steps(language)
+
+
+def stemmer(a: Column, language: str = "english") -> Column:
+    """`stemmer` / `porter_stem`: English is Porter; see ``light_stem`` and ``suffix_stem`` for others."""
+    for step in stem_steps(language):
+        a = F.transform(a, step)
+    return a
 
 
 def _fold(name):

@@ -94,9 +94,3 @@ def light_stem(a: Column, language: str) -> Column:
     for step in steps(language):
         a = F.transform(a, step)
     return a
-
-
-def light_stem_word(x: Column, language: str) -> Column:
-    for step in steps(language):
-        x = step(x)
-    return x

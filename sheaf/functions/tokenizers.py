@@ -112,16 +112,6 @@ def ngram(text: Column, min_gram: int = 1, max_gram: int = 2) -> Column:
                                 .otherwise(F.array(c, F.concat(c, d)))))
 
 
-def ngram_bag(text: Column) -> Column:
-    """The same multiset of grams as ``ngram`` (sizes 1..2), unigrams first then
-    bigrams: for jobs that only count grams, without a small array per position."""
-    chars = characters(text)
-    nxt = F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0)))
-    pairs = F.zip_with(F.slice(chars, 1, F.greatest(F.size(chars) - 1, F.lit(0))), nxt,
-                       lambda a, b: F.concat(a, b))
-    return F.concat(chars, pairs)
-
-
 def edge_ngram(text: Column, min_gram: int = 1, max_gram: int = 2) -> Column:
     """Prefixes of the whole text of length min_gram..max_gram."""
     n = F.length(text)

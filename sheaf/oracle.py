@@ -383,6 +383,30 @@ def _light_sql_steps(lang: str) -> list[str]:
     raise KeyError(lang)
 
 
+def _suffix_ctes(language: str, src: str) -> tuple[list[str], str]:
+    """CTEs of a suffix stemmer over ``src`` (token, n); the last one has the stem as w."""
+    from .functions import suffix_stem as S
+    name = language[:2]
+    parts, prev = [f"{name}0 AS (SELECT token, n, token AS w FROM {src})"], f"{name}0"
+    for i, (kind, a, b) in enumerate(S.PROGRAMS[language], 1):
+        if kind == "map":
+            step, source = f"translate(w, {lit(a)}, {lit(b)})", prev
+        elif kind == "sub":
+            step, source = f"regexp_replace(w, {lit(a)}, {lit(b)}, 'g')", prev
+        else:
+            whens = []
+            for suffixes, new, tests, cut in b:
+                holds = " AND ".join([f"s IN ({', '.join(map(lit, suffixes))})",
+                                      *[f"regexp_matches(h, {lit(S.expand(t, language))})" for t in tests]])
+                whens.append(f"WHEN {holds} THEN left(h, length(h) - {cut}) || {lit(new)}")
+            step = f"CASE WHEN s = '' THEN w {' '.join(whens)} ELSE w END"
+            source = (f"(SELECT *, left(w, length(w) - length(s)) AS h FROM (SELECT *, "
+                      f"regexp_extract(w, {lit(S.suffix_pattern(language, a, b))}, 1) AS s FROM {prev}))")
+        parts.append(f"{name}{i} AS MATERIALIZED (SELECT token, n, {step} AS w FROM {source})")
+        prev = f"{name}{i}"
+    return parts, prev
+
+
 def stem_ctes(src: str, steps: list[str], prefix: str, cols: str = "lang, token") -> tuple[str, str]:
     """CTE chain applying ``steps`` to ``w``; returns (ctes, last name)."""
     parts, prev = [f"{prefix}0 AS (SELECT {cols}, token AS w FROM {src})"], f"{prefix}0"
@@ -443,7 +467,16 @@ WITH v AS (SELECT lang, token, count(*) AS n FROM
 {",".join(parts)}
 SELECT lang, w AS token, CAST(sum(n) AS BIGINT) AS n FROM {prev} GROUP BY lang, w
 """
+    from .catalog import SUBSTITUTED
     from .plans.analyze import STOP_ONLY_LANGUAGES
+    chained, last = zip(*[_suffix_ctes(l, "v") for l in STOP_ONLY_LANGUAGES])
+    stems = " UNION ALL ".join(f"SELECT {lit(l)} AS language, w AS stem, n FROM {t}" for l, t in zip(STOP_ONLY_LANGUAGES, last))
+    SQL["an_stemmed"] = f"""
+WITH v AS (SELECT token, count(*) AS n FROM (SELECT unnest({d_std_lower()}) AS token
+  FROM (SELECT {SUBSTITUTED["an_stemmed"]} AS text FROM documents)) GROUP BY token),
+{", ".join(sum(chained, []))}
+SELECT language, stem, CAST(count(*) AS BIGINT) AS n_forms, CAST(sum(n) AS BIGINT) AS n FROM ({stems}) GROUP BY language, stem
+"""
     sums = ", ".join(f"CAST(sum(len({d_stop('t', stop_words(l))})) AS BIGINT) AS {l}"
                      for l in STOP_ONLY_LANGUAGES)
     SQL["an_stop_lists"] = f"""

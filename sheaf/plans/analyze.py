@@ -8,16 +8,14 @@ analysed in one pass with no join and no Python.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import filters as flt
-from ..functions import html, light_stem, porter, stopwords, stream, tokenizers as tok
-
-def _empty() -> Column:
-    return F.array().cast("array<string>")
+from ..functions import html, light_stem, porter, stopwords, stream, suffix_stem, tokenizers as tok
 
 
 def _as_col(c) -> Column:
@@ -87,19 +85,33 @@ ANALYZERS = {
     "pattern": (lambda s: F.filter(F.split(F.lower(s), r"\W+"), lambda x: F.length(x) > 0), []),
     "fingerprint": ("standard", ["lowercase", "asciifolding", lambda a: flt.fingerprint(a, None)]),
     "cjk": ("standard", ["cjk_width", "lowercase", "cjk_bigram", _stop_en]),
-    "english": ("standard", [flt.possessive_english, "lowercase", _stop_en, porter.porter_stem]),
-    "french": ("standard", ["elision", "lowercase", lambda a: flt.stop(a, "french"),
-                            lambda a: light_stem.light_stem(a, "french")]),
-    "german": ("standard", ["lowercase", lambda a: flt.stop(a, "german"), "german_normalization",
-                            lambda a: light_stem.light_stem(a, "german")]),
-    "spanish": ("standard", ["lowercase", lambda a: flt.stop(a, "spanish"),
-                             lambda a: light_stem.light_stem(a, "spanish")]),
 }
-# Standard, lowercase, the language's stop list; no stemming.
+# Language -> (filters before the stemmer, the stemmer's steps of a word).
 STOP_ONLY_LANGUAGES = ("danish dutch finnish hungarian italian norwegian portuguese "
                        "russian swedish turkish").split()
-for _lang in STOP_ONLY_LANGUAGES:
-    ANALYZERS[_lang] = ("standard", ["lowercase", (lambda L: (lambda a: flt.stop(a, L)))(_lang)])
+
+
+def _stop(language):
+    return lambda a: flt.stop(a, language)
+
+
+LANGUAGES = {
+    "english": ([flt.possessive_english, "lowercase", _stop_en], porter.porter_steps),
+    "french": (["elision", "lowercase", _stop("french")], lambda: light_stem.steps("french")),
+    "german": (["lowercase", _stop("german"), "german_normalization"], lambda: light_stem.steps("german")),
+    "spanish": (["lowercase", _stop("spanish")], lambda: light_stem.steps("spanish")),
+    **{name: (["lowercase", _stop(name)], functools.partial(suffix_stem.steps, name)) for name in STOP_ONLY_LANGUAGES},
+}
+
+
+def _stemmed(a: Column, language: str) -> Column:
+    for step in LANGUAGES[language][1]():
+        a = F.transform(a, step)
+    return a
+
+
+for _name, (_before, _) in LANGUAGES.items():
+    ANALYZERS[_name] = ("standard", [*_before, functools.partial(_stemmed, language=_name)])
 
 # T4: user-named pipelines; register more with ``register_analyzer``.
 CUSTOM_ANALYZERS: dict[str, tuple] = {
@@ -143,34 +155,41 @@ LANG_ANALYZER = {"en": "english", "fr": "french", "de": "german", "es": "spanish
                  "sv": "swedish", "tr": "turkish"}
 
 
+def by_language(lang: Column, values: dict[str, Column], default: Column) -> Column:
+    """The value of a row's language, or the default."""
+    out = None
+    for code, value in values.items():
+        out = F.when(lang == code, value) if out is None else out.when(lang == code, value)
+    return default if out is None else out.otherwise(default)
+
+
+def before_stems(text, lang, languages: Sequence[str] | None = None, default: str = "standard") -> Column:
+    """Tokens of each row through its language's filters before the stemmer; the tokenizer runs once."""
+    base, lang = tok.standard(_as_col(text)), _as_col(lang)
+    codes = list(LANG_ANALYZER) if languages is None else languages
+    plain = {c: LANG_ANALYZER[c] for c in codes if LANG_ANALYZER[c] in STOP_ONLY_LANGUAGES}
+    own = {}
+    for code in codes:
+        if code not in plain:
+            own[code] = base
+            for f in LANGUAGES[LANG_ANALYZER[code]][0]:
+                own[code] = flt.FILTERS[f](own[code]) if isinstance(f, str) else f(own[code])
+    other = analyze(text, default)
+    if plain:       # lowercase, then the language's list: one branch looks the list up
+        other = F.when(lang.isin(list(plain)), flt.stop_by_lang(flt.lowercase(base), lang, plain)).otherwise(other)
+    return by_language(lang, own, other)
+
+
 def analyze_by_lang(text, lang, languages: Sequence[str] | None = None,
                     default: str = "standard") -> Column:
     """Analyze each row with the analyzer of its language.
 
-    The tokenizer is shared (standard); each language's filter chain is one
-    ``CASE`` branch over the already-tokenized array, so the tokenizer runs
-    once per row. Rows of other languages use ``default``.
+    The tokenizer is shared (standard); each language's filters are one ``CASE``
+    branch, and so is its stemmer, over the tokens that are left. Rows of other
+    languages, or of none, use ``default``. ``jobs.terms_by_lang`` counts the same
+    tokens and stems each distinct one once.
     """
-    base = tok.standard(_as_col(text))
-    lang = _as_col(lang)
-    languages = list(LANG_ANALYZER) if languages is None else languages
-
-    def chain(name, a):
-        for f in ANALYZERS[name][1]:
-            a = flt.FILTERS[f](a) if isinstance(f, str) else f(a)
-        return a
-    out = None
-    stop_only = {c: LANG_ANALYZER[c] for c in languages if LANG_ANALYZER[c] in STOP_ONLY_LANGUAGES}
-    for code in languages:
-        if code in stop_only:
-            continue
-        branch = chain(LANG_ANALYZER[code], base)
-        out = F.when(lang == code, branch) if out is None else out.when(lang == code, branch)
-    if stop_only:
-        # one branch for every stop-list-only language: lowercase, then its list
-        shared = flt.stop_by_lang(flt.lowercase(base), lang, stop_only)
-        cond = lang.isin(list(stop_only))
-        out = F.when(cond, shared) if out is None else out.when(cond, shared)
-    fallback = chain(default, base) if default in ANALYZERS and ANALYZERS[default][0] == "standard" \
-        else analyze(text, default)
-    return out.otherwise(fallback) if out is not None else fallback
+    codes = list(LANG_ANALYZER) if languages is None else list(languages)
+    tokens = before_stems(text, lang, codes, default)
+    return F.get(F.transform(F.array(tokens), lambda a: by_language(
+        _as_col(lang), {c: _stemmed(a, LANG_ANALYZER[c]) for c in codes}, a)), F.lit(0))

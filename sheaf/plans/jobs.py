@@ -193,6 +193,50 @@ def once(value: Column, fn: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), fn), 1)
 
 
+def stem_counts(df: DataFrame, tokens: Column, language: str = "english",
+                group_cols: Sequence[str] = ()) -> DataFrame:
+    """F16: occurrences per (group, stem), as counting ``filters.stemmer`` gives them; each distinct token is stemmed once."""
+    from ..functions import filters as flt
+    stems = apply_word_steps(term_counts(df, tokens, group_cols), flt.stem_steps(language))
+    return stems.groupBy(*group_cols, F.col("stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
+
+
+def stems_by_language(df: DataFrame, tokens: Column, languages: Sequence[str]) -> DataFrame:
+    """Occurrences and distinct forms per (language, stem): every language's stemmer over one vocabulary.
+
+    The vocabulary is counted in one shuffle; a row of it is stemmed ``len(languages)`` times where it lies.
+    """
+    from ..functions import filters as flt
+    stems = F.array(*[F.struct(F.lit(name).alias("language"), chain(F.col("token"), flt.stem_steps(name)).alias("stem"))
+                      for name in languages])
+    return (term_counts(df, tokens).select("n", F.explode(stems).alias("s")).groupBy("s.language", "s.stem")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n_forms"), F.sum("n").cast("bigint").alias("n")))
+
+
+def terms_by_lang(df: DataFrame, text, lang: str, languages: Sequence[str] | None = None) -> DataFrame:
+    """(lang, token, n), the counts of ``analyze.analyze_by_lang``; each distinct token is stemmed once.
+
+    The filters before the stemmers run per row, one ``CASE`` branch per language; the stemmers run on the
+    distinct (lang, token). Rows without a language, or of another one, count under it with the default analyzer.
+    """
+    from ..functions import filters as flt
+    from . import analyze as an
+    codes = list(an.LANG_ANALYZER) if languages is None else list(languages)
+    named = df.select(F.col(lang).alias("lang"), an.before_stems(text, lang, codes).alias("_tokens"))
+    # one CASE over the languages; inside the lambda the token is a variable, so the nesting stays linear
+    stem = once(F.col("token"), lambda x: an.by_language(
+        F.col("lang"), {c: chain(x, flt.stem_steps(an.LANG_ANALYZER[c])) for c in codes}, x))
+    counts = term_counts(named, F.col("_tokens"), ["lang"]).withColumn("_stem", stem)
+    return counts.groupBy("lang", F.col("_stem").alias("token")).agg(F.sum("n").cast("bigint").alias("n"))
+
+
+def shingle_counts(df: DataFrame, tokens: Column, group_cols: Sequence[str] = ()) -> DataFrame:
+    """occurrences of unigrams and 2-token shingles (the multiset ``filters.shingle`` emits)."""
+    from ..functions import filters as flt
+    once_named = df.select(*group_cols, tokens.alias("_t"))
+    return term_counts(once_named, F.concat(F.col("_t"), flt.bigram_shingles(F.col("_t"))), group_cols)
+
+
 def stem_groups(df: DataFrame, tokens: Column, steps, id_col: str,
                 group_cols: Sequence[str] = (), max_hot_keys: int = 100_000,
                 min_hot_size: int = 100_000) -> DataFrame:
