@@ -165,12 +165,21 @@ def line_and_symbol_counts(text: Column) -> dict[str, Column]:
             "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint")}
 
 
-def judge(df: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST) -> DataFrame:
-    """Adds covered_share, base_failed and kept to a table of ``repetition`` with word_chars."""
-    share = F.when(F.col("word_chars") > 0, F.col("covered_chars") / F.col("word_chars")).otherwise(0.0)
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return (df.withColumn("covered_share", share).withColumn("base_failed", base)
-              .withColumn("kept", ~base & (share <= max_covered) & (F.col("longest_repeat") <= max_longest)))
+def judge(df: DataFrame, max_covered: float = MAX_COVERED, max_longest: int = MAX_LONGEST,
+          measured: DataFrame | None = None, word_chars: str = "word_chars") -> DataFrame:
+    """Adds covered_share, base_failed and kept to a table of ``repetition`` that has a column ``word_chars``.
+
+    ``measured`` is the table that was given to ``repetition``, needed only if it had columns named like the
+    results: those are then read under the names that they got. Where ``df`` has a column of one of the three
+    names, underscores are put before the new one.
+    """
+    names = [name for name, _ in OUT_FIELDS]
+    at = {n: F.col(f"`{c}`") for n, c in zip(names, names if measured is None else fresh(measured, *names))}
+    chars, added = F.col(f"`{word_chars}`"), fresh(df, "covered_share", "base_failed", "kept")
+    share = F.when(chars > 0, at["covered_chars"] / chars).otherwise(0.0)
+    base = (at["n_words"] < MIN_WORDS) | (100 * at["n_repeat_words"] > MAX_REPEAT_PERCENT * at["n_words"])
+    kept = ~base & (share <= max_covered) & (at["longest_repeat"] <= max_longest)
+    return df.select("*", *[c.alias(n) for c, n in zip((share, base, kept), added)])
 
 
 def op2_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,3 +71,17 @@ def test_blocks_do_not_change_the_result(monkeypatch):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string")
     assert R.repetition(df).count() == 0
+
+
+def test_judge_reads_its_own_columns_beside_clashing_ones(spark):
+    texts = ["only a few words", " ".join(f"w{i}" for i in range(60)), "one two three four five six seven eight nine " * 12, None, ""]
+    plain = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    counted = R.line_and_symbol_counts(F.coalesce("text", F.lit("")))["word_chars"].alias("word_chars")
+    want = {r.doc_id: (r.covered_share, r.base_failed, r.kept) for r in R.judge(R.repetition(plain.select("*", counted))).collect()}
+    clash = ("n_words", "n_repeat_words", "covered_chars", "longest_repeat", "base_failed", "kept", "Covered_Share")
+    df = plain.select("*", counted, *[F.lit(7).alias(c) for c in clash])
+    out = R.judge(R.repetition(df), measured=df)
+    rows = out.collect()
+    assert all(r[c] == 7 for r in rows for c in clash)
+    assert {r.doc_id: (r["_covered_share"], r["_base_failed"], r["_kept"]) for r in rows} == want
+    assert {k for _, _, k in want.values()} == {True, False}
