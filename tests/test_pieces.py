@@ -43,3 +43,12 @@ def test_a_piece_is_tokenized_once_however_often_it_occurs(spark):
     out = jobs.term_counts_by_piece(df, "text", tok.standard(see("text")), ["lang"])
     assert {r["token"]: r["n"] for r in out.collect()} == dict.fromkeys(["same", "words", "here"], 20000)
     assert seen.value <= 4
+
+
+def test_stem_groups_by_piece(rows):
+    """Documents are counted once per stem, also where an id has several rows."""
+    again = rows.unionByName(rows.withColumn("text", F.upper("text")))
+    args = (catalog.std_lower(), porter.porter_steps(), "doc_id", ["lang"])
+    got = counted(jobs.stem_groups(again, *args, text="text"))
+    assert got == counted(jobs.stem_groups(again, *args, min_hot_size=1, text="text")) == counted(jobs.stem_groups(again, *args))
+    assert ("en", "run", 2, 2, 2) not in got and any(r[1] == "run" and r[4] == 2 for r in got)
