@@ -45,6 +45,10 @@ def test_a_piece_is_tokenized_once_however_often_it_occurs(spark):
     assert seen.value <= 4
 
 
+def test_ngrams_of_pieces_are_those_of_texts(rows):
+    assert counted(jobs.ngram_counts(rows, F.col("text"), ["lang"])) == counted(jobs.term_counts(rows, tok.ngram(F.col("text")), ["lang"]))
+
+
 def test_stem_groups_by_piece(rows):
     """Documents are counted once per stem, also where an id has several rows."""
     again = rows.unionByName(rows.withColumn("text", F.upper("text")))
