@@ -45,6 +45,13 @@ def test_a_piece_is_tokenized_once_however_often_it_occurs(spark):
     assert seen.value <= 4
 
 
+def test_stems_by_piece(rows):
+    t = catalog.std_lower()
+    assert counted(jobs.stem_counts(rows, t, "english", ["lang"], text="text")) == counted(jobs.stem_counts(rows, t, "english", ["lang"]))
+    languages = an.STOP_ONLY_LANGUAGES[:3]
+    assert counted(jobs.stems_by_language(rows, t, languages, text="text")) == counted(jobs.stems_by_language(rows, t, languages))
+
+
 def test_ngrams_of_pieces_are_those_of_texts(rows):
     assert counted(jobs.ngram_counts(rows, F.col("text"), ["lang"])) == counted(jobs.term_counts(rows, tok.ngram(F.col("text")), ["lang"]))
 
