@@ -70,17 +70,35 @@ def is_date(s: Column) -> Column:
     return s.rlike(DATE_RE) & s.try_cast("timestamp_ntz").isNotNull()
 
 
-def value_class(s: Column) -> Column:
-    """(bits, before, after) of a text; bits are null for a null."""
-    d, few = digits(s), ~F.contains(F.lower(s), F.lit("e")) & (F.length(s) <= DOUBLE_DIGITS)
-    plain = F.when(d["before"] + d["after"] <= DECIMAL_DIGITS, EXACT).otherwise(HUGE)
+def classified(df: DataFrame, text: str) -> DataFrame:
+    """``df`` with ``bits``, ``before`` and ``after`` of a text column; bits are null for a null.
+
+    A shape is matched once and each part of a number is cut out once: every step is a projection of its own, as
+    an expression that names a step several times would compute it each time.
+    """
+    s, keep = F.col(text), list(df.columns)
+    df = df.select(*keep, s.rlike(FLOAT_RE).alias("_number"), F.lower(F.ltrim(s, F.lit("+-"))).alias("_bare"), (F.length(s) > DOUBLE_DIGITS).alias("_long"))
+    number, bare = F.col("_number"), F.col("_bare")
+    df = df.withColumns({"_mantissa": F.when(number, F.substring_index(bare, "e", 1)), "_exponent": number & F.contains(bare, F.lit("e")),
+                         "_point": number & F.contains(bare, F.lit("."))})
+    mantissa, exponent, point = F.col("_mantissa"), F.col("_exponent"), F.col("_point")
+    df = df.withColumns({"_whole": F.substring_index(mantissa, ".", 1),
+                         "_part": F.rtrim(F.when(F.contains(mantissa, F.lit(".")), F.substring_index(mantissa, ".", -1)).otherwise(""), F.lit("0")),
+                         "_few": number & ~exponent & ~F.col("_long")})
+    whole, part, few = F.col("_whole"), F.col("_part"), F.col("_few")
+    df = df.withColumns({"before": F.when(number, F.length(F.ltrim(whole, F.lit("0")))), "after": F.when(number, F.length(part)),
+                         "_significant": F.when(number & ~few, F.length(F.ltrim(F.concat(whole, part), F.lit("0")))),
+                         "_value": F.when(number & ~few & (exponent | point), s.try_cast("double"))})
+    significant, magnitude = F.col("_significant"), F.abs(F.col("_value"))
+    inside = (magnitude >= DOUBLE_LEAST) & (magnitude < float("inf"))
+    keeps = ((significant <= DOUBLE_DIGITS) & ((significant == 0) | inside)) | (inside & (F.col("_value").cast("string") == s))
+    plain = F.when(F.col("before") + F.col("after") <= DECIMAL_DIGITS, EXACT).otherwise(HUGE)
     bits = (F.when(s.isNull(), F.lit(None))
-            .when(s.rlike(INT_RE), F.when(F.length(s) <= DOUBLE_DIGITS, SHORT).when(s.try_cast("bigint").isNull(), plain).when(d["significant"] <= DOUBLE_DIGITS, SHORT).otherwise(LONG))
-            .when(s.rlike(FLOAT_RE), F.when(few, FLOAT).when(keeps_double(s), F.when(d["exponent"], FLOAT | EXPONENT).otherwise(FLOAT))
-                  .when(d["exponent"], HUGE).otherwise(plain))
+            .when(number & ~point & ~exponent, F.when(~F.col("_long"), SHORT).when(s.try_cast("bigint").isNull(), plain)
+                  .when(significant <= DOUBLE_DIGITS, SHORT).otherwise(LONG))
+            .when(number, F.when(few, FLOAT).when(keeps, F.when(exponent, FLOAT | EXPONENT).otherwise(FLOAT)).when(exponent, HUGE).otherwise(plain))
             .when(is_date(s), DATE).when(is_point(s), GEO).otherwise(TEXT)).cast("int")
-    number = s.rlike(FLOAT_RE)
-    return F.struct(bits.alias("bits"), F.when(number, d["before"]).alias("before"), F.when(number, d["after"]).alias("after"))
+    return df.select(*keep, bits.alias("bits"), "before", "after")
 
 
 def bound(bits: Column, before: Column, after: Column) -> Column:
@@ -129,9 +147,8 @@ def infer_types(df: DataFrame) -> DataFrame:
     values = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(k is None).alias("open"), F.col(_q(f.name)).cast("string").alias("s"))
                        for i, (f, k) in enumerate(zip(fields, own))])
     long = df.select(F.explode(values).alias("r")).select("r.i", F.length("r.s").alias("l"), F.when(F.col("r.open"), F.col("r.s")).alias("s"))
-    seen = long.select("i", "l", value_class(F.col("s")).alias("k"))
-    counted = seen.groupBy("i").agg(F.count("l").alias("n"), F.max("l").alias("l"), F.bit_or("k.bits").alias("b"),
-                                    F.max("k.before").alias("p"), F.max("k.after").alias("a"))
+    counted = classified(long, "s").groupBy("i").agg(F.count("l").alias("n"), F.max("l").alias("l"), F.bit_or("bits").alias("b"),
+                                                     F.max("before").alias("p"), F.max("after").alias("a"))
     # a row for every column, also of an empty table
     named = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(f.name).alias("column"), F.lit(k).cast("string").alias("own"))
                       for i, (f, k) in enumerate(zip(fields, own))])

@@ -79,3 +79,10 @@ def test_the_plan_does_not_grow_with_the_columns(spark):
     plans = [kinds.infer_types(spark.range(1).selectExpr(*[f"cast(id as string) c{i}" for i in range(n)]))._jdf.queryExecution().optimizedPlan().toString()
              for n in (2, 60)]
     assert plans[0].count("regexp") == plans[1].count("regexp") and plans[1].count("RLIKE") == plans[0].count("RLIKE")
+
+
+def test_a_shape_is_matched_once_per_value(spark):
+    """Classifying a text matches the pattern of numbers once, however many parts of the result hang on it."""
+    df = spark.createDataFrame([("1",), ("2.5",), (None,)], "a string")
+    plan = kinds.infer_types(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(kinds.FLOAT_RE) == 1 and kinds.INT_RE not in plan
