@@ -23,7 +23,7 @@ def counted(df):
     return sorted([tuple(r) for r in df.collect()], key=str)
 
 
-@pytest.mark.parametrize("name", "an_cjk f_cjk_bigram f_ngram".split())
+@pytest.mark.parametrize("name", "an_cjk f_cjk_bigram f_cjk_width f_ngram tok_url_email tok_classic tok_lowercase an_pattern f_word_delimiter".split())
 def test_jobs_by_piece_count_as_jobs_by_row(rows, name):
     tokens = catalog.TERM_COUNT_JOBS[name]()
     got = counted(jobs.term_counts_by_piece(rows, "text", tokens, ["lang"]))
