@@ -56,6 +56,11 @@ def test_ngrams_of_pieces_are_those_of_texts(rows):
     assert counted(jobs.ngram_counts(rows, F.col("text"), ["lang"])) == counted(jobs.term_counts(rows, tok.ngram(F.col("text")), ["lang"]))
 
 
+def test_terms_by_lang_by_piece(rows):
+    slow = rows.select("lang", F.explode(an.analyze_by_lang("text", "lang")).alias("token")).groupBy("lang", "token").agg(F.count(F.lit(1)).alias("n"))
+    assert counted(jobs.terms_by_lang(rows, "text", "lang")) == counted(slow)
+
+
 def test_stem_groups_by_piece(rows):
     """Documents are counted once per stem, also where an id has several rows."""
     again = rows.unionByName(rows.withColumn("text", F.upper("text")))
