@@ -19,3 +19,10 @@ def test_the_word_pattern_asks_ascii_letter_by_letter_and_takes_greedy_runs(spar
     texts = ["".join(map(chr, range(1, 0x3100))), " ".join(map(chr, range(1, 0x3100))), "a.b c..d 1,2,,3 a1.2b _x_.y 字1a々〇⺀ ３.４ don't a'1 '' 𠀀a", "", None]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
     assert df.filter(~tok.extract(F.col("text"), tok.STANDARD_PATTERN).eqNullSafe(tok.extract(F.col("text"), slow))).count() == 0
+
+
+def test_ngrams_of_tokens(spark):
+    tokens = ["abc", "", "é😀x", "y"]
+    got = spark.createDataFrame([(tokens,)], "a array<string>").select(flt.ngram(F.col("a")).alias("g")).first()["g"]
+    assert got == [t[i:i + k] for t in tokens for i in range(len(t)) for k in (1, 2) if i + k <= len(t)]
+    assert "substring" not in str(spark.range(1).select(flt.ngram(F.array(F.lit("x"))).alias("g"))._jdf.queryExecution().analyzed())
