@@ -26,3 +26,20 @@ def test_ngrams_of_tokens(spark):
     got = spark.createDataFrame([(tokens,)], "a array<string>").select(flt.ngram(F.col("a")).alias("g")).first()["g"]
     assert got == [t[i:i + k] for t in tokens for i in range(len(t)) for k in (1, 2) if i + k <= len(t)]
     assert "substring" not in str(spark.range(1).select(flt.ngram(F.array(F.lit("x"))).alias("g"))._jdf.queryExecution().analyzed())
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 16, 17, 64, 65, 1023, 1025, 5000])
+def test_running_sums_of_any_length(spark, n):
+    lengths = [(i * 7919) % 13 for i in range(n)]
+    got = spark.createDataFrame([(lengths,)], "v array<int>").select(stream._ends(F.col("v")).alias("e")).first()["e"]
+    assert got == [sum(lengths[:i + 1]) for i in range(n)]
+
+
+def test_offsets_cut_their_tokens_out_of_the_text(spark):
+    texts = ["", " . ", "a", "  lead, 3.14 trail.  ", "中文字 x😀y\n" * 300, "w" * 600 + " é" * 40, None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    for row in df.select("text", an.token_stream("text", "standard").alias("s"), tok.standard(F.col("text")).alias("t")).collect():
+        assert (row["s"] is None) == (row["text"] is None)
+        if row["s"] is not None:
+            assert [x["token"] for x in row["s"]] == row["t"] == [row["text"][x["start"]:x["end"]] for x in row["s"]]
+            assert [x["position"] for x in row["s"]] == list(range(len(row["t"])))
