@@ -43,3 +43,14 @@ def test_offsets_cut_their_tokens_out_of_the_text(spark):
         if row["s"] is not None:
             assert [x["token"] for x in row["s"]] == row["t"] == [row["text"][x["start"]:x["end"]] for x in row["s"]]
             assert [x["position"] for x in row["s"]] == list(range(len(row["t"])))
+
+
+def test_shingles_alone_are_those_among_the_tokens_also_without_types(spark):
+    texts = ["The cat and the hat of a dog", "of the", "", "one", "中文 a b", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    mixed = F.filter(an.token_stream("text", "standard", ["lowercase", "stop", "shingle"]), lambda x: x["type"] == "shingle")
+    alone = an.token_stream("text", "standard", ["lowercase", "stop", lambda s: stream.shingle(s, unigrams=False)], typed=False)
+    rows = [sorted(tuple(r) for r in jobs.stream_table(df, ["doc_id"], s).collect()) for s in (mixed, alone)]
+    assert rows[0] == rows[1] and any(r[2] == "cat _" for r in rows[0])
+    plain = [r["x"] for r in df.select(an.token_stream("text", "standard", typed=False).alias("s")).select(F.explode("s").alias("x")).collect()]
+    assert plain and all(x["type"] is None for x in plain)
